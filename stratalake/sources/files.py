@@ -16,7 +16,7 @@ from stratalake.functions.keys import named
 from stratalake.functions.temporal import folder_date
 
 # Options of the CSV drops.
-CSV_OPTIONS = {"quote": '"', "escape": "\\", "encoding": "utf8", "header": "true", "multiLine": "true"}
+CSV_OPTIONS = {"quote": '"', "escape": "\\", "encoding": "UTF-8", "header": "true", "multiLine": "true"}
 # Options of the CSV snapshots.
 SNAPSHOT_CSV_OPTIONS = {
     "header": "true",

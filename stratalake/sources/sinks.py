@@ -16,6 +16,13 @@ from stratalake.functions.keys import named
 from stratalake.operators.merge import merge_actions
 
 
+# Text formats keep microseconds; their defaults cut times to milliseconds.
+TEXT_TIMES = {
+    "timestampFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX",
+    "timestampNTZFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSS",
+}
+
+
 @dataclass(frozen=True)
 class WriteSpec:
     """Where and how one output of a job is written."""
@@ -42,7 +49,8 @@ def write_files(
     partition_by: str | Sequence[str] = (),
 ) -> None:
     parts = [partition_by] if isinstance(partition_by, str) else list(partition_by)
-    writer = df.write.format(fmt).mode(mode).options(**(options or {}))
+    times = TEXT_TIMES if fmt in ("csv", "json") else {}
+    writer = df.write.format(fmt).mode(mode).options(**{**times, **(options or {})})
     (writer.partitionBy(*parts) if parts else writer).save(path)
 
 
