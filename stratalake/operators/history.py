@@ -19,7 +19,8 @@ from stratalake.functions.temporal import microsecond_after
 from stratalake.functions.text import blank_to_null
 from stratalake.operators.joins import flag_exists, without
 from stratalake.operators.latest import first_per_key, latest_per_key
-from stratalake.operators.ordered import HOT_ROWS, ID_SLICE_ROWS, along, global_id
+from stratalake.operators.ordered import HOT_ROWS, ID_SLICE_ROWS, SLICE, Timeline, along, global_id
+from stratalake.session import materialise
 
 
 def _flag(active: Column) -> Column:
@@ -157,14 +158,15 @@ def state_history(
     )
     once = first_per_key(tagged, [*keys, time, "_src", "_state"], [F.col("_row_order").asc()])
     order = [time, "_after", "_row_order", "_state", "_src"]
-    seen = along(once, keys, order, previous={"_before": "_state"}, hot_rows=hot_rows, keep_slice=True)
+    line = Timeline.of(once, keys, order, hot_rows)
+    seen = line.add(line.df, previous={"_before": "_state"})
     changes = seen.filter(F.col("_before").isNull() | (F.col("_before") != F.col("_state")))
-    out = along(changes, keys, order, following={"_until": time}, rank="_version" if id_name else None)
+    out = line.add(changes, following={"_until": time}, rank="_version" if id_name else None)
     until = F.when(F.col("_until") == named(time), microsecond_after("_until")).otherwise(F.col("_until"))
     out = out.withColumns({cols.valid_to: until, cols.active: _flag(F.col("_until").isNull())})
     if id_name:
         out = out.withColumn(id_name, F.col("_version"))
-    helpers = ["_state", "_after", "_row_order", "_src", "_before", "_until", "_version"]
+    helpers = ["_state", "_after", "_row_order", "_src", "_before", "_until", "_version", SLICE]
     return out.drop(*helpers)
 
 
@@ -247,7 +249,8 @@ def incremental_history(
     The first load keeps every version. Later, keys whose newest state is new or differs from the active one
     are affected: their active row ends at the first time that was not loaded yet, and the versions not loaded
     yet are inserted. Versions that are in the table already are never inserted again. Ids go on from the
-    greatest one.
+    greatest one. The rows to insert are written to the shared folder once, because they close old rows, are
+    ranked and are numbered.
     """
     time = cols.valid_from
     hashed = source.withColumn("row_hash", state_hash([*keys, *tracked], "~"))
@@ -268,6 +271,7 @@ def incremental_history(
         .select(*as_columns(keys))
     )
     pending = pending.join(affected, list(keys), "left_semi").select(*as_columns(hashed.columns))
+    pending = materialise(pending, "pending")
     first = pending.groupBy(*[named(k).alias(f"_k{i}") for i, k in enumerate(keys)]).agg(
         F.min(named(time)).alias("_first")
     )

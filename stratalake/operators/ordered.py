@@ -1,12 +1,14 @@
 """Neighbour, rank and id computations along a per-key timeline.
 
-A plain window gives one task all rows of one key. Here a key above ``hot_rows`` rows is cut into slices at
-points of its own ordering, each slice is windowed on its own, and what crosses a slice border is taken from a
-table with one row per slice. All other keys stay in one slice, so the usual case is a plain window behind one
-hash exchange.
+A plain window gives one task all rows of one key. Before a timeline is windowed, one narrow aggregate counts
+rows per key (key columns only, combined before the exchange). Where no key has more than ``hot_rows`` rows the
+plan is a plain window behind one hash exchange. Otherwise each hot key is cut into slices at points of its own
+ordering, every slice is windowed on its own, and what crosses a slice border comes from a table with one row
+per slice.
 
-Sizes of what is broadcast: a table of N rows has at most ``N / hot_rows`` hot keys and at most
-``2 N / hot_rows`` slices (one million for 10^12 rows), never a number that follows the number of keys.
+Sizes of what is broadcast: a table of N rows has at most ``N / hot_rows`` hot keys and at most ``4 N /
+hot_rows`` slices (two million narrow rows for 10^12), never a number that follows the number of keys. The cut
+points are a written table in the shared folder, so a lost executor reads the same points again.
 
 The order columns must name a row uniquely within its key; ties beyond them have no defined order.
 """
@@ -14,12 +16,14 @@ The order columns must name a row uniquely within its key; ties beyond them have
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
+from dataclasses import dataclass
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from stratalake.functions.keys import as_columns, named
+from stratalake.session import materialise
 
 HOT_ROWS = 2_000_000
 ID_SLICE_ROWS = 250_000
@@ -27,56 +31,160 @@ MAX_SLICES = 32_768
 OVERSAMPLE = 8
 SLICE = "_slice"
 
-
-def _same(left: DataFrame, right: DataFrame, pairs: Sequence[tuple[str, str]]) -> Column:
-    return reduce(lambda a, b: a & b, [left[f"`{a}`"].eqNullSafe(right[f"`{b}`"]) for a, b in pairs])
+Columns = Mapping[str, str | Column]
 
 
 def _attach(df: DataFrame, small: DataFrame, keys: Sequence[str], how: str) -> DataFrame:
     """Null-safe equi-join to a table of bounded size; the key columns of the small side are dropped."""
     renamed = small.withColumnsRenamed({k: f"_s_{k}" for k in keys})
-    out = df.join(F.broadcast(renamed), _same(df, renamed, [(k, f"_s_{k}") for k in keys]), how)
-    return out.drop(*[f"_s_{k}" for k in keys])
+    same = reduce(lambda a, b: a & b, [named(k).eqNullSafe(named(f"_s_{k}")) for k in keys])
+    return df.join(F.broadcast(renamed), same, how).drop(*[f"_s_{k}" for k in keys])
 
 
-def _cut_points(df: DataFrame, keys: Sequence[str], order: Sequence[str], hot_rows: int, max_slices: int) -> DataFrame:
-    """One row per hot key with its sorted cut points; empty where no key is hot.
+@dataclass(frozen=True)
+class Timeline:
+    """How the rows of a frame are laid out for windows over one key and order.
 
-    The cut points are taken from a hash-chosen part of the rows: about 64 per wanted slice, thinned to eight
-    per slice by a per-bucket maximum, of which every eighth is kept. The choice depends on the data only, so
-    a recomputed task gives the same points.
+    ``df`` carries a slice number only if some key is hot: 0 for every other key, 1.. along a hot one. Frames
+    derived from ``df`` by filters or projections can be passed to :meth:`add` and share its exchange.
     """
-    point = F.struct(*[named(c) for c in order])
-    probe = df.select(*[named(k) for k in keys], point.alias("_point"))
-    hot = (
-        probe.groupBy(*[named(k) for k in keys])
-        .agg(F.count(F.lit(1)).alias("_n"))
-        .filter(F.col("_n") > hot_rows)
-        .select(
-            *[named(k) for k in keys],
-            "_n",
-            F.least(F.ceil(F.col("_n") / hot_rows).cast("int") * 2, F.lit(max_slices)).alias("_parts"),
-        )
-    )
+
+    df: DataFrame
+    keys: tuple[str, ...]
+    order: tuple[str, ...]
+    sliced: bool
+
+    @staticmethod
+    def of(
+        df: DataFrame,
+        keys: Sequence[str],
+        order: Sequence[str],
+        hot_rows: int = HOT_ROWS,
+        max_slices: int = MAX_SLICES,
+    ) -> "Timeline":
+        """Look for hot keys, which runs one narrow aggregate, and cut their timelines."""
+        by = [named(k) for k in keys]
+        hot = df.groupBy(*by).agg(F.count(F.lit(1)).alias("_n")).filter(F.col("_n") > hot_rows)
+        if hot.isEmpty():
+            return Timeline(df, tuple(keys), tuple(order), False)
+        parts = F.least(F.ceil(F.col("_n") / hot_rows).cast("int") * 2, F.lit(max_slices))
+        cuts = materialise(_cut_points(df, keys, order, hot.withColumn("_parts", parts)), "cuts")
+        if keys:
+            out = _attach(df, cuts, keys, "left")
+        else:
+            out = df.withColumn("_cuts", cuts.select("_cuts").scalar())
+        at = _position(F.col("_cuts"), F.struct(*[named(c) for c in order]))
+        out = out.withColumn(SLICE, F.when(F.col("_cuts").isNull(), F.lit(0)).otherwise(at + 1)).drop("_cuts")
+        return Timeline(out, tuple(keys), tuple(order), True)
+
+    def add(
+        self,
+        df: DataFrame,
+        previous: Columns | None = None,
+        following: Columns | None = None,
+        next_marked: Columns | None = None,
+        rank: str | None = None,
+        reverse_rank: str | None = None,
+    ) -> DataFrame:
+        """Add values of neighbouring rows of the same key, in ascending order.
+
+        ``previous`` / ``following``: value in the row just before / after, null at the end of the timeline.
+        ``next_marked``: nearest later value that is not null. ``rank`` and ``reverse_rank``: 1-based position
+        from the start and from the end, 64 bit.
+        """
+        part = [named(k) for k in self.keys] + ([F.col(SLICE)] if self.sliced else [])
+        forward = Window.partitionBy(*part).orderBy(*[named(c).asc() for c in self.order])
+        backward = Window.partitionBy(*part).orderBy(*[named(c).desc() for c in self.order])
+        later = backward.rowsBetween(Window.unboundedPreceding, -1)
+        added: dict[str, Column] = {}
+        if previous:
+            added["_prev"] = F.lag(_packed(previous)).over(forward)
+        if following:
+            added["_next"] = F.lead(_packed(following)).over(forward)
+        if rank:
+            added["_rank"] = F.row_number().over(forward).cast("long")
+        if reverse_rank:
+            added["_reverse"] = F.row_number().over(backward).cast("long")
+        for alias, c in (next_marked or {}).items():
+            added[f"_mark_{alias}"] = F.last(as_columns([c])[0], ignorenulls=True).over(later)
+        out = df.withColumns(added)
+        if self.sliced:
+            borders = self._borders(df, previous, following, next_marked)
+            out = _attach(out, borders, [*self.keys, SLICE], "left")
+
+        def joined(own: str, border: str, default: Column | None = None) -> Column:
+            options = [F.col(own)] + ([F.col(border)] if self.sliced else []) + ([default] if default is not None else [])
+            return F.coalesce(*options)
+
+        final: dict[str, Column] = {}
+        for alias in previous or {}:
+            final[alias] = joined("_prev", "_border_prev").getField(alias)
+        for alias in following or {}:
+            final[alias] = joined("_next", "_border_next").getField(alias)
+        for alias in next_marked or {}:
+            final[alias] = joined(f"_mark_{alias}", f"_border_mark_{alias}")
+        for name, own, border in ((rank, "_rank", "_border_before"), (reverse_rank, "_reverse", "_border_after")):
+            if name:
+                final[name] = F.col(own) + F.coalesce(F.col(border), F.lit(0)) if self.sliced else F.col(own)
+        helpers = [c for c in out.columns if c.startswith("_border_")] + list(added)
+        return out.withColumns(final).drop(*[h for h in helpers if h not in final])
+
+    def _borders(
+        self, df: DataFrame, previous: Columns | None, following: Columns | None, next_marked: Columns | None
+    ) -> DataFrame:
+        """One row per slice of a hot key: what its rows need from the slices around it."""
+        point = F.struct(*[named(c) for c in self.order])
+        ends = [F.count(F.lit(1)).alias("_rows")]
+        if previous:
+            ends.append(F.max_by(_packed(previous), point).alias("_last"))
+        if following:
+            ends.append(F.min_by(_packed(following), point).alias("_first"))
+        for alias, c in (next_marked or {}).items():
+            mark = as_columns([c])[0]
+            ends.append(F.min_by(mark, F.when(mark.isNotNull(), point)).alias(f"_first_{alias}"))
+        by = [named(k) for k in self.keys]
+        edge = df.filter(F.col(SLICE) > 0).groupBy(*by, SLICE).agg(*ends)
+        up = Window.partitionBy(*by).orderBy(SLICE)
+        down = Window.partitionBy(*by).orderBy(F.col(SLICE).desc())
+        before = up.rowsBetween(Window.unboundedPreceding, -1)
+        after = down.rowsBetween(Window.unboundedPreceding, -1)
+        cols = {"_border_before": F.sum("_rows").over(before), "_border_after": F.sum("_rows").over(after)}
+        if previous:
+            cols["_border_prev"] = F.lag("_last").over(up)
+        if following:
+            cols["_border_next"] = F.lead("_first").over(up)
+        for alias in next_marked or {}:
+            cols[f"_border_mark_{alias}"] = F.last(f"_first_{alias}", ignorenulls=True).over(after)
+        return edge.select(*by, SLICE, *[c.alias(a) for a, c in cols.items()])
+
+
+def _packed(cols: Columns) -> Column:
+    """The columns as one struct, which is never null itself: a null value and a missing row stay apart."""
+    return F.struct(*[c.alias(a) for a, c in zip(cols, as_columns(list(cols.values())))])
+
+
+def _cut_points(df: DataFrame, keys: Sequence[str], order: Sequence[str], hot: DataFrame) -> DataFrame:
+    """One row per hot key with its sorted cut points.
+
+    The points come from a hash-chosen part of the rows: about 64 per wanted slice, thinned to eight per slice
+    by a maximum per bucket, of which every eighth is kept. The choice depends on the data only.
+    """
+    by = [named(k) for k in keys]
+    probe = df.select(*by, F.struct(*[named(c) for c in order]).alias("_point"))
     if keys:
         tagged = _attach(probe, hot, keys, "inner")
     else:
-        one = hot.agg(F.first(F.struct("_n", "_parts"))).scalar()
-        tagged = probe.withColumn("_h", one).filter("_h IS NOT NULL").select("_point", "_h.*")
+        sizes = hot.select(F.struct("_n", "_parts").alias("_h")).scalar()
+        tagged = probe.withColumn("_h", sizes).select("_point", "_h.*")
     h = F.xxhash64("_point")
     stride = F.greatest(F.lit(1), F.floor(F.col("_n") / (F.col("_parts") * 64)))
+    bucket = F.pmod(F.xxhash64("_point", F.lit(1)), F.col("_parts") * OVERSAMPLE)
     thinned = (
-        tagged.filter(F.pmod(h, stride) == 0)
-        .withColumn("_bucket", F.pmod(F.xxhash64("_point", F.lit(1)), F.col("_parts") * OVERSAMPLE))
-        .groupBy(*[named(k) for k in keys], "_bucket")
-        .agg(F.max_by("_point", h).alias("_point"))
+        tagged.filter(F.pmod(h, stride) == 0).groupBy(*by, bucket.alias("_bucket")).agg(F.max_by("_point", h).alias("_point"))
     )
     every = F.filter("_all", lambda x, i: F.pmod(i, F.lit(OVERSAMPLE)) == OVERSAMPLE - 1)
-    return (
-        thinned.groupBy(*[named(k) for k in keys])
-        .agg(F.sort_array(F.collect_set("_point")).alias("_all"))
-        .select(*[named(k) for k in keys], every.alias("_cuts"))
-    )
+    points = thinned.groupBy(*by).agg(F.sort_array(F.collect_set("_point")).alias("_all"))
+    return points.select(*by, every.alias("_cuts"))
 
 
 def _position(cuts: Column, point: Column) -> Column:
@@ -91,108 +199,20 @@ def _position(cuts: Column, point: Column) -> Column:
     )
 
 
-def slice_timelines(
-    df: DataFrame,
-    keys: Sequence[str],
-    order: Sequence[str],
-    hot_rows: int = HOT_ROWS,
-    max_slices: int = MAX_SLICES,
-) -> DataFrame:
-    """Add the slice number: 0 for every key that is not hot, 1.. along the timeline of a hot one."""
-    cuts = _cut_points(df, keys, order, hot_rows, max_slices)
-    if keys:
-        out = _attach(df, cuts, keys, "left")
-    else:
-        out = df.withColumn("_cuts", cuts.agg(F.first("_cuts")).scalar())
-    at = _position(F.col("_cuts"), F.struct(*[named(c) for c in order]))
-    return out.withColumn(SLICE, F.when(F.col("_cuts").isNull(), F.lit(0)).otherwise(at + 1)).drop("_cuts")
-
-
 def along(
     df: DataFrame,
     keys: Sequence[str],
     order: Sequence[str],
-    previous: Mapping[str, str | Column] | None = None,
-    following: Mapping[str, str | Column] | None = None,
-    next_marked: Mapping[str, str | Column] | None = None,
+    previous: Columns | None = None,
+    following: Columns | None = None,
+    next_marked: Columns | None = None,
     rank: str | None = None,
+    reverse_rank: str | None = None,
     hot_rows: int = HOT_ROWS,
-    keep_slice: bool = False,
-) -> DataFrame:
-    """Add values of neighbouring rows of the same key, in ascending order.
-
-    ``previous`` / ``following``: value in the row just before / after, null at the end of the timeline.
-    ``next_marked``: nearest later value that is not null. ``rank``: 1-based position, 64 bit.
-    A frame that already carries slices for the same keys and order is used as it is, so that two passes over
-    one timeline share one exchange.
-    """
-    sliced = df if SLICE in df.columns else slice_timelines(df, keys, order, hot_rows)
-    part = [named(k) for k in keys] + [F.col(SLICE)]
-    forward = Window.partitionBy(*part).orderBy(*[named(c).asc() for c in order])
-    backward = Window.partitionBy(*part).orderBy(*[named(c).desc() for c in order])
-    before_this = backward.rowsBetween(Window.unboundedPreceding, -1)
-
-    def packed(cols: Mapping[str, str | Column]) -> Column:
-        return F.struct(*[c.alias(a) for a, c in zip(cols, as_columns(list(cols.values())))])
-
-    added: dict[str, Column] = {}
-    if previous:
-        added["_prev"] = F.lag(packed(previous)).over(forward)
-    if following:
-        added["_next"] = F.lead(packed(following)).over(forward)
-    if rank:
-        added["_rank"] = F.row_number().over(forward)
-    for alias, c in (next_marked or {}).items():
-        added[f"_mark_{alias}"] = F.last(as_columns([c])[0], ignorenulls=True).over(before_this)
-    out = sliced.withColumns(added)
-
-    borders = _borders(sliced, keys, order, previous and packed(previous), following and packed(following), next_marked)
-    out = _attach(out, borders, [*keys, SLICE], "left")
-    final: dict[str, Column] = {}
-    for alias in previous or {}:
-        final[alias] = F.coalesce("_prev", "_border_prev").getField(alias)
-    for alias in following or {}:
-        final[alias] = F.coalesce("_next", "_border_next").getField(alias)
-    for alias in next_marked or {}:
-        final[alias] = F.coalesce(f"_mark_{alias}", f"_border_mark_{alias}")
-    if rank:
-        final[rank] = F.col("_rank").cast("long") + F.coalesce("_border_rows", F.lit(0))
-    helpers = [c for c in out.columns if c.startswith(("_border_", "_mark_")) or c in ("_prev", "_next", "_rank")]
-    out = out.withColumns(final).drop(*helpers)
-    return out if keep_slice else out.drop(SLICE)
-
-
-def _borders(
-    sliced: DataFrame,
-    keys: Sequence[str],
-    order: Sequence[str],
-    previous: Column | None,
-    following: Column | None,
-    next_marked: Mapping[str, str | Column] | None,
 ) -> DataFrame:
-    """One row per slice of a hot key: what its rows need from the slices around it."""
-    point = F.struct(*[named(c) for c in order])
-    ends = [F.count(F.lit(1)).alias("_rows")]
-    if previous is not None:
-        ends.append(F.max_by(previous, point).alias("_last"))
-    if following is not None:
-        ends.append(F.min_by(following, point).alias("_first"))
-    for alias, c in (next_marked or {}).items():
-        mark = as_columns([c])[0]
-        ends.append(F.min_by(mark, F.when(mark.isNotNull(), point)).alias(f"_first_{alias}"))
-    group = [named(k) for k in keys] + [F.col(SLICE)]
-    edge = sliced.filter(F.col(SLICE) > 0).groupBy(*group).agg(*ends)
-    up = Window.partitionBy(*[named(k) for k in keys]).orderBy(SLICE)
-    down = Window.partitionBy(*[named(k) for k in keys]).orderBy(F.col(SLICE).desc())
-    cols = {"_border_rows": F.sum("_rows").over(up.rowsBetween(Window.unboundedPreceding, -1))}
-    if previous is not None:
-        cols["_border_prev"] = F.lag("_last").over(up)
-    if following is not None:
-        cols["_border_next"] = F.lead("_first").over(up)
-    for alias in next_marked or {}:
-        later = down.rowsBetween(Window.unboundedPreceding, -1)
-        cols[f"_border_mark_{alias}"] = F.last(f"_first_{alias}", ignorenulls=True).over(later)
-    return edge.select(*group, *[c.alias(a) for a, c in cols.items()])
+    """Neighbour values and positions in one call; see :meth:`Timeline.add`."""
+    line = Timeline.of(df, keys, order, hot_rows)
+    return line.add(line.df, previous, following, next_marked, rank, reverse_rank).drop(SLICE)
 
 
 def global_id(
@@ -202,7 +222,7 @@ def global_id(
     start: int | Column = 0,
     slice_rows: int = ID_SLICE_ROWS,
 ) -> DataFrame:
-    """Dense ids ``start + 1 ..`` in the given total order, without sorting the table in one task."""
+    """Dense ids ``start + 1 ..`` in the given total order, without sorting a large table in one task."""
     numbered = along(df, [], order, rank="_id", hot_rows=slice_rows)
     offset = F.lit(start) if isinstance(start, int) else start
     return numbered.withColumn(name, F.col("_id") + offset.cast("long")).drop("_id")
