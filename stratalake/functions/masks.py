@@ -7,6 +7,7 @@ data; ``md5`` gives numbers any SQL engine can recompute.
 from __future__ import annotations
 
 from collections.abc import Sequence
+from datetime import date
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -75,16 +76,9 @@ def redacted(col: Column) -> Column:
 
 def fake_birth_date(col: Column, seed: Column, flavour: str = "murmur") -> Column:
     """Made-up date in the fixed range; a missing date stays missing."""
-    start, end = (F.lit(d).cast("date") for d in BIRTH_RANGE)
-    span = _days(*BIRTH_RANGE)
-    del end
-    return keep_null(col, F.date_add(start, draw(seed, span, "", flavour).cast("int")))
-
-
-def _days(start: str, end: str) -> int:
-    from datetime import date
-
-    return (date.fromisoformat(end) - date.fromisoformat(start)).days
+    first, last = (date.fromisoformat(d) for d in BIRTH_RANGE)
+    offset = draw(seed, (last - first).days, "", flavour).cast("int")
+    return keep_null(col, F.date_add(F.lit(first), offset))
 
 
 def fake_int(col: Column, seed: Column, bounds: tuple[int, int], flavour: str = "murmur") -> Column:

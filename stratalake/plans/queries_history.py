@@ -4,13 +4,44 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from stratalake.operators import history, merge
-from stratalake.operators.latest import latest_per_key
-from stratalake.operators.ordered import along
+from stratalake.functions import text
+from stratalake.operators import conform, history, merge
 from stratalake.plans.registry import Tables, query
 from stratalake.session import materialise
 
+# --- flagship ------------------------------------------------------------------------------------
+
+
+@query(
+    "flagship_customer_state",
+    """WITH typed AS (SELECT o_orderkey, o_custkey, o_orderdate AS "IngestionDate",
+                             CASE o_orderpriority WHEN '1-URGENT' THEN 'appeals' WHEN '5-LOW' THEN 'archive'
+                                  ELSE lower(o_orderpriority) END AS stage, o_orderstatus FROM orders),
+       h AS (SELECT *, ROW_NUMBER() OVER (PARTITION BY o_custkey ORDER BY "IngestionDate" DESC, o_orderkey DESC) AS n,
+                    ROW_NUMBER() OVER (ORDER BY "IngestionDate", o_custkey, o_orderkey) AS "StateID" FROM typed)
+       SELECT "StateID", o_custkey, o_orderkey, o_orderstatus, stage, "IngestionDate",
+              md5(o_custkey || o_orderkey::VARCHAR || o_orderstatus) AS "RowID" FROM h WHERE n = 1""",
+)
+def flagship(t: Tables) -> DataFrame:
+    """Raw text orders are typed, versioned per customer, numbered and hashed; the active rows get their stage."""
+    raw = conform.all_text(t.orders).toDF("O OrderKey", "o custkey.", "o_orderstatus", "o-totalprice", "o orderdate", "o_orderpriority")
+    declared = T.StructType.fromDDL("o_orderkey bigint, o_custkey bigint, o_orderdate timestamp_ntz")
+    typed = conform.cast_to_schema(conform.clean_headers(raw), declared)
+    versions = history.rank_history(
+        typed.withColumnRenamed("o_orderdate", "IngestionDate"),
+        ["o_custkey"],
+        ["o_orderkey"],
+        id_name="StateID",
+        hash_cols=["o_custkey", "o_orderkey", "o_orderstatus"],
+    )
+    codes = {"1-URGENT": "appeals", "5-LOW": "archive"}
+    stage = text.map_codes("o_orderpriority", codes, F.lower("o_orderpriority"))
+    cols = ["StateID", "o_custkey", "o_orderkey", "o_orderstatus", "stage", "IngestionDate", "RowID"]
+    return conform.active_only(versions.withColumn("stage", stage), cols)
+
+
 # --- rank history --------------------------------------------------------------------------------
 
 
