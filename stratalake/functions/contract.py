@@ -60,3 +60,10 @@ class HistoryColumns:
 
 
 HISTORY = HistoryColumns()
+
+
+# Labels that say which system a history row came from.
+MESSAGE_SOURCE = "ODT"
+LEGACY_SOURCE = "Horizon"
+LEGACY_TIMELINE_SOURCE = "HORIZON"
+DIRECTORY_SOURCE = "EntraID"

@@ -73,7 +73,8 @@ class Timeline:
             out = _attach(df, cuts, keys, "left")
         else:
             out = df.withColumn("_cuts", cuts.select("_cuts").scalar())
-        at = _position(F.col("_cuts"), F.struct(*[named(c) for c in order]))
+        most = cuts.agg(F.max(F.size("_cuts"))).first()[0]
+        at = _position(F.col("_cuts"), F.struct(*[named(c) for c in order]), most)
         out = out.withColumn(SLICE, F.when(F.col("_cuts").isNull(), F.lit(0)).otherwise(at + 1)).drop("_cuts")
         return Timeline(out, tuple(keys), tuple(order), True)
 
@@ -187,9 +188,9 @@ def _cut_points(df: DataFrame, keys: Sequence[str], order: Sequence[str], hot: D
     return points.select(*by, every.alias("_cuts"))
 
 
-def _position(cuts: Column, point: Column) -> Column:
+def _position(cuts: Column, point: Column, most: int) -> Column:
     """Number of cut points that are not after the point, by binary search over the sorted array."""
-    steps = F.array(*[F.lit(1 << i) for i in range((MAX_SLICES * 2).bit_length() - 1, -1, -1)])
+    steps = F.array(*[F.lit(1 << i) for i in range(max(most, 1).bit_length() - 1, -1, -1)])
     return F.aggregate(
         steps,
         F.lit(0),
