@@ -81,14 +81,14 @@ def snapshot_history(
 
     A new key is inserted; a changed key is inserted and its active row ends the day before the snapshot (or at
     ``closed_at``); an unchanged key and all past rows stay. A key missing from the snapshot stays active: use
-    :func:`close_deleted` where absence means deletion. The snapshot has one row per key.
+    :func:`close_deleted` where absence means deletion. The snapshot has one row per key; null keys are no keys.
 
     One full join decides everything: each side is exchanged once, and each pair gives back the rows it needs.
     """
     constants = dict(constants or {})
     out_cols = [c for c in current.columns]
     types = {f.name: f.dataType for f in current.schema.fields}
-    new = snapshot.withColumn(cols.row_id, row_id(hash_cols)).withColumns(constants)
+    new = snapshot.filter(named(key).isNotNull()).withColumn(cols.row_id, row_id(hash_cols)).withColumns(constants)
     fresh = {cols.valid_to: F.lit(None), cols.active: F.lit(ACTIVE)}
     new_row = F.struct(
         *[
@@ -97,7 +97,8 @@ def snapshot_history(
         ]
     )
     incoming = new.select(named(key).alias("_key"), new_row.alias("_new"))
-    active = current.filter(named(cols.active) == ACTIVE).select(
+    open_rows = F.coalesce((named(cols.active) == ACTIVE) & named(key).isNotNull(), F.lit(False))
+    active = current.filter(open_rows).select(
         named(key).alias("_key_old"), F.struct(*as_columns(out_cols)).alias("_old")
     )
     changed = ~F.col("_new").getField(cols.row_id).eqNullSafe(F.col("_old").getField(cols.row_id))
@@ -111,7 +112,7 @@ def snapshot_history(
     rows = incoming.join(active, F.col("_key") == F.col("_key_old"), "full").select(
         F.explode(F.filter(F.array(kept, inserted), lambda r: r.isNotNull())).alias("_row")
     )
-    past = current.filter(~named(cols.active).eqNullSafe(ACTIVE))
+    past = current.filter(~open_rows)
     return rows.select("_row.*").unionByName(past)
 
 

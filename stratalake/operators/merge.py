@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from stratalake.functions.contract import ACTIVE, HISTORY, INACTIVE, HistoryColumns
 from stratalake.functions.keys import as_columns, json_hash, named
+from stratalake.operators.joins import within, without
 
 # Spellings of the three row actions.
 CREATE = ("create", "created")
@@ -46,40 +47,51 @@ def merge_actions(
 ) -> DataFrame:
     """State of ``target`` after the changes: matched updates and deletes, unmatched creates.
 
-    An unmatched update or delete and a matched create change nothing. Two changes for one key fail the query.
-    Columns that only the changes carry are added, null where nothing was changed.
+    An unmatched update or delete and a matched create change nothing. Two updates or deletes that hit one row
+    fail the query. Columns that only the changes carry are added, null where nothing was changed.
+
+    The target is the left side of a left join, and its keys are cut down to those of the creates before they
+    are compared. A small batch is therefore broadcast and the target is not moved at all; with a large one,
+    adaptive execution can split a hot key of the target.
     """
     _require(keys, target.columns, "target")
     _require([*keys, action], changes.columns, "changes")
     fields = {f.name: f.dataType for f in changes.schema.fields if f.name != action}
     fields.update({f.name: f.dataType for f in target.schema.fields})
-    w = Window.partitionBy(*as_columns(keys)).orderBy(*as_columns(keys))
-    twice = F.raise_error(F.lit("merge: more than one change for a key"))
-    src = changes.withColumn("_nth", F.row_number().over(w)).select(
-        *[named(k).alias(f"_k{i}") for i, k in enumerate(keys)],
-        F.when(F.col("_nth") == 1, checked_action(action)).otherwise(twice).alias("_action"),
-        F.struct(*as_columns([c for c in changes.columns if c != action])).alias("_src"),
+    values = [c for c in changes.columns if c != action]
+    checked = changes.withColumn("_action", checked_action(action))
+    filled = reduce(lambda a, b: a & b, [named(k).isNotNull() for k in keys])
+    w = Window.partitionBy(*as_columns(keys)).orderBy("_action")
+    edits = (
+        checked.filter(F.col("_action").isin(*UPDATE, *DELETE) & filled)
+        .withColumn("_nth", F.row_number().over(w))
+        .select(
+            *[named(k).alias(f"_k{i}") for i, k in enumerate(keys)],
+            "_action",
+            "_nth",
+            F.struct(*as_columns(values)).alias("_src"),
+        )
     )
-    tgt = target.withColumn("_present", F.lit(True))
-    cond = reduce(lambda a, b: a & b, [named(k) == F.col(f"_k{i}") for i, k in enumerate(keys)])
-    joined = tgt.join(src, cond, "full")
-
+    same = reduce(lambda a, b: a & b, [named(k) == F.col(f"_k{i}") for i, k in enumerate(keys)])
+    twice = F.raise_error(F.lit("merge: more than one change for a row")).cast("boolean")
     act = F.col("_action")
-    matched = F.col("_present").isNotNull()
-    drop = (matched & act.isin(*DELETE)) | (~matched & ~act.isin(*CREATE))
-    inserts = ~matched
-    updates = matched & act.isin(*UPDATE)
-    kept = joined.filter(~F.coalesce(drop, F.lit(False)))
-    out = []
+    stays = F.when(F.col("_nth") > 1, twice).otherwise(act.isNull() | ~act.isin(*DELETE))
+    updates = act.isin(*UPDATE)
+    joined = target.join(edits, same, "left").filter(stays)
+    kept = []
     for name, dtype in fields.items():
         old = named(name) if name in target.columns else F.lit(None).cast(dtype)
-        new = F.col("_src").getField(name).cast(dtype) if name in changes.columns else F.lit(None).cast(dtype)
-        touched = name in changes.columns and (not update_cols or name in update_cols)
-        value = F.when(inserts, new)
-        if touched:
-            value = value.when(updates, new)
-        out.append(value.otherwise(old).alias(name))
-    return kept.select(*out)
+        touched = name in values and (not update_cols or name in update_cols)
+        new = F.col("_src").getField(name).cast(dtype) if touched else None
+        kept.append((old if new is None else F.when(updates, new).otherwise(old)).alias(name))
+
+    creates = checked.filter(F.col("_action").isin(*CREATE)).drop(action, "_action")
+    on = {k: k for k in keys}
+    known = within(target.select(*as_columns(keys)), creates, on).distinct()
+    added = without(creates, known, on).select(
+        *[(named(n).cast(d) if n in values else F.lit(None).cast(d)).alias(n) for n, d in fields.items()]
+    )
+    return joined.select(*kept).unionByName(added)
 
 
 def _require(wanted: Sequence[str], present: Sequence[str], where: str) -> None:
@@ -98,10 +110,11 @@ def reconcile_messages(
     """History after a batch of change messages.
 
     Creates and updates are appended as active rows. An active row of a key that got an update or a delete ends
-    at the first such message; rows that ended before keep their end. Exact duplicates are dropped.
+    at the first such message; rows that ended before keep their end. A message that came twice counts once;
+    the history itself is not sorted through again, since it has no copies to begin with.
 
     The messages are reduced to one row per key before the join, so a key with many rows on both sides is never
-    multiplied out.
+    multiplied out, and a small batch is broadcast to a history that stays where it is.
     """
     closing = messages.filter(named(action).isin("update", "delete"))
     first = closing.groupBy(named(key).alias("_key")).agg(F.min(named(cols.valid_from)).alias("_closed"))
@@ -113,9 +126,8 @@ def reconcile_messages(
             cols.active: F.when(ends, F.lit(INACTIVE)).otherwise(named(cols.active)),
         }
     )
-    new = messages.filter(named(action) != "delete").drop(action)
-    old = old.drop("_key", "_closed")
-    return new.unionByName(old, allowMissingColumns=True).dropDuplicates()
+    new = messages.filter(named(action) != "delete").drop(action).dropDuplicates()
+    return new.unionByName(old.drop("_key", "_closed"), allowMissingColumns=True)
 
 
 def label_changes(

@@ -57,7 +57,8 @@ def versions_of(
 ) -> DataFrame:
     """Rank history of one or two sources. ``known`` holds the keys the message source has.
 
-    ``hash_first`` keeps row ids that were made before ids, ends and flags were set.
+    ``hash_first`` keeps row ids that were made before ids, ends and flags were set. Rows come in without copies;
+    with an id on every row a later duplicate check could find nothing.
     """
     rows = rows.withColumn("IngestionDate", named("IngestionDate").cast("timestamp"))
     if hash_first and row_id_cols is not None:
@@ -220,7 +221,7 @@ def extract_documents(extract: DataFrame) -> DataFrame:
     )
     loaded = loaded.drop("SourceSystemID", "expected_from").distinct()
     out = versions_of(loaded, "TEMP_PK", "AIEDocumentDataID", EXTRACT_DOCUMENT_ROW_ID, hash_first=True)
-    return out.drop("TEMP_PK").dropDuplicates()
+    return out.drop("TEMP_PK")
 
 
 def _legacy_documents(
@@ -266,7 +267,7 @@ def appeal_documents(messages: DataFrame, legacy: DataFrame, extract: DataFrame)
     )
     known = messages.select(composite_key(parts[:3]).alias(key))
     out = versions_of(_union(ours.distinct(), theirs), key, "AppealsDocumentMetadataID", APPEAL_DOCUMENT_ROW_ID, known)
-    return out.drop(key, "SourceSystemID").dropDuplicates()
+    return out.drop(key, "SourceSystemID")
 
 
 # --- project families ----------------------------------------------------------------------------
@@ -326,10 +327,8 @@ def representations(messages: DataFrame, legacy: DataFrame, source_system: DataF
     dated = joins.attach_constants(rows.drop("ingested_datetime", *facts.columns), facts)
     shaped = conform.project_padded(dated, [c for c in messages.columns if c in dated.columns]).distinct()
     theirs = nested.collect_into(shaped, ["representationId"], "attachmentIds")
-    out = versions_of(
-        _union(messages.distinct(), theirs), "representationId", "NSIPRepresentationID", REPRESENTATION_ROW_ID, messages
-    )
-    return out.dropDuplicates()
+    rows = _union(messages.distinct(), theirs)
+    return versions_of(rows, "representationId", "NSIPRepresentationID", REPRESENTATION_ROW_ID, messages)
 
 
 # Columns of the advice row id, in hash order.
@@ -369,7 +368,7 @@ def advice(messages: DataFrame, legacy: DataFrame) -> DataFrame:
     out = versions_of(_union(messages.distinct(), theirs), "adviceId", "NSIPAdviceID", ADVICE_ROW_ID, messages)
     gone = history.deleted_keys(legacy, "advicenodeid", "ingested_datetime")
     gone = gone.select(named("advicenodeid").try_cast("int").alias("adviceId"))
-    return history.close_deleted(out.drop("SourceSystemID", "AttachmentModifyDate").distinct(), gone, {"adviceId": "adviceId"})
+    return history.close_deleted(out.drop("SourceSystemID", "AttachmentModifyDate"), gone, {"adviceId": "adviceId"})
 
 
 # Columns of the timetable row id, in hash order, and the states that decide whether it is published.
@@ -425,7 +424,7 @@ def exam_timetable(messages: DataFrame, legacy: DataFrame, publish_states: DataF
         minute_text("DeadlineStartDateTime").alias("eventDeadlineStartDate"),
         *[c.alias(n) for n, c in legacy_bookkeeping(named("expected_from")).items()],
     )
-    out = versions_of(
+    return versions_of(
         _union(ours, theirs),
         "caseReference",
         "NSIPExaminationTimetableID",
@@ -433,7 +432,6 @@ def exam_timetable(messages: DataFrame, legacy: DataFrame, publish_states: DataF
         messages,
         row_id_of=lambda cols: row_id_ws(cols, "|"),
     )
-    return out.dropDuplicates()
 
 
 # The two nested columns of a project, and its person lists with their names in the history.
@@ -484,8 +482,7 @@ def projects(messages: DataFrame, legacy: DataFrame, row_id_cols: Sequence[str]
     )
     rows = messages.unionByName(parsed, allowMissingColumns=True)
     own = [c for c in rows.columns if c not in HISTORY.names() and c != "NSIPProjectInfoInternalID"]
-    out = versions_of(rows, "caseId", "NSIPProjectInfoInternalID", list(row_id_cols or own), messages)
-    return out.dropDuplicates(["NSIPProjectInfoInternalID"])
+    return versions_of(rows, "caseId", "NSIPProjectInfoInternalID", list(row_id_cols or own), messages)
 
 
 def meetings(project_versions: DataFrame, target: DataFrame | None) -> DataFrame:

@@ -798,8 +798,12 @@ def h11_directory_users(t: Tables) -> DataFrame:
 
 
 def _hr_inspectors(t: Tables) -> DataFrame:
-    """Customers as staff: orders are their posts, priorities their specialisms, events their addresses."""
-    key = F.col("c_custkey").cast("string")
+    """Customers as staff: orders are their posts, priorities their specialisms, events their addresses.
+
+    Staff numbers have two leading zeros that the directory leaves out.
+    """
+    number = lambda c: F.concat(F.lit("00"), F.col(c).cast("string"))
+    key = number("c_custkey")
     live = t.customer.select(
         key.alias("pins_staff_number"),
         F.concat("c_name", F.lit("@example.com")).alias("pins_email_address"),
@@ -810,7 +814,7 @@ def _hr_inspectors(t: Tables) -> DataFrame:
         F.lit("Y").alias("isActive"),
         F.when(F.col("c_acctbal") < 0, "NON-ACTIVE").otherwise("ACTIVE").alias("active_status"),
     )
-    staff = F.col("o_custkey").cast("string")
+    staff = number("o_custkey")
     specialisms = t.orders.select(
         staff.alias("StaffNumber"),
         F.col("o_orderpriority").alias("QualificationName"),
@@ -819,10 +823,12 @@ def _hr_inspectors(t: Tables) -> DataFrame:
         F.lit(1).alias("Current"),
     )
     directory = t.customer.select(
-        F.concat(F.lit("d"), key).alias("id"), key.alias("employeeId"), F.lit("Y").alias("isActive")
+        F.concat(F.lit("d"), F.col("c_custkey")).alias("id"),
+        F.col("c_custkey").cast("string").alias("employeeId"),
+        F.when(F.col("c_mktsegment") == "FURNITURE", "N").otherwise("Y").alias("isActive"),
     )
     address = t.events.select(
-        F.col("user_id").cast("string").alias("StaffNumber"),
+        number("user_id").alias("StaffNumber"),
         F.concat(F.col("ts").cast("string"), F.lit("#"), F.lpad(F.col("event_id").cast("string"), 12, "0")).alias("IngestionDate"),
         F.col("event_type").alias("StreetandHouseNumber"),
         *[F.lit(None).cast("string").alias(c) for c in ("2ndAddressLine", "City", "District", "PostalCode")],
@@ -837,9 +843,9 @@ def _hr_inspectors(t: Tables) -> DataFrame:
 
 
 HR_SQL = """
-  SELECT CASE WHEN c_custkey::VARCHAR = p THEN 'd' || c_custkey END AS "entraId", c_custkey::VARCHAR AS "sapId", c_mktsegment AS "firstName",
+  SELECT CASE WHEN c_mktsegment <> 'FURNITURE' THEN 'd' || c_custkey END AS "entraId", '00' || c_custkey AS "sapId", c_mktsegment AS "firstName",
          '2020-01-01T00:00:00.000Z' AS "validFrom", o_orderkey::VARCHAR AS title, event_type AS street, COALESCE(skills, '') AS skills
-  FROM (SELECT *, CASE WHEN length(c_custkey::VARCHAR) < 8 THEN '00' || c_custkey ELSE c_custkey::VARCHAR END AS p FROM customer WHERE c_acctbal >= 0)
+  FROM (SELECT * FROM customer WHERE c_acctbal >= 0)
   LEFT JOIN (SELECT * FROM orders QUALIFY ROW_NUMBER() OVER (PARTITION BY o_custkey ORDER BY o_orderdate DESC, o_orderkey DESC) = 1) ON o_custkey = c_custkey
   LEFT JOIN (SELECT * FROM events QUALIFY ROW_NUMBER() OVER (PARTITION BY user_id ORDER BY ts DESC, event_id DESC) = 1) ON user_id = c_custkey
   LEFT JOIN (SELECT k, string_agg(o_orderpriority || ':' || o_orderstatus, ',' ORDER BY o_orderpriority) AS skills FROM (
@@ -850,7 +856,7 @@ HR_SQL = """
 
 @query("ent_h12_hr_inspectors", HR_SQL)
 def h12_hr_inspectors(t: Tables) -> DataFrame:
-    """Short staff numbers are padded on the directory side only, so they find no directory id."""
+    """Short numbers of the directory are prefixed before they are matched; furniture staff left the directory."""
     skill = lambda s: F.concat_ws(":", s["name"], s["proficiency"])
     return _hr_inspectors(t).select(
         "entraId", "sapId", "firstName", "validFrom", "title", F.col("address.addressLine1").alias("street"),
@@ -914,7 +920,7 @@ def _service_users(t: Tables) -> DataFrame:
             "ContactId": F.col("id"),
             "BuildingNumber": F.lit("1"),
             "Street": F.lit("High Street"),
-            "AgentContactId": F.when(F.col("c_acctbal") < 0, F.col("id")),
+            "AgentContactId": F.when(F.col("c_acctbal") < 0, F.concat(F.lit("A"), "id")),
             "CaseReference": F.lit("C3"),
             "preferredContactMethod": F.when(F.col("c_acctbal") < 0, "E-Mail").otherwise("Portal"),
             "expected_from": at(SNAPSHOT),
@@ -932,7 +938,9 @@ SERVICE_USERS_SQL = """
     UNION ALL SELECT c_custkey::VARCHAR, 'C2', 'Applicant', 'Applicant', NULL, NULL, TIMESTAMP '2024-02-01' FROM customer WHERE c_mktsegment = 'MACHINERY'
     UNION ALL SELECT c_custkey::VARCHAR, 'C3', 'RepresentationContact', 'RepresentationContact_Represented',
            CASE WHEN c_acctbal < 0 THEN 'email' ELSE 'portal' END, '1 High Street', TIMESTAMP '2024-02-01' FROM customer
-    WHERE c_mktsegment = 'HOUSEHOLD' AND c_acctbal >= 0)
+    WHERE c_mktsegment = 'HOUSEHOLD'
+    UNION ALL SELECT 'A' || c_custkey, 'C3', 'RepresentationContact', 'RepresentationContact_Agent', 'email', NULL, TIMESTAMP '2024-02-01'
+    FROM customer WHERE c_mktsegment = 'HOUSEHOLD' AND c_acctbal < 0)
   SELECT *, LEAD("IngestionDate") OVER w AS "ValidTo", CASE WHEN LEAD("IngestionDate") OVER w IS NULL THEN 'Y' ELSE 'N' END AS "IsActive"
   FROM rows WINDOW w AS (PARTITION BY id, "caseReference", "serviceUserType" ORDER BY "IngestionDate")
 """
@@ -940,8 +948,8 @@ SERVICE_USERS_SQL = """
 
 @query("ent_h14_service_users", SERVICE_USERS_SQL)
 def h14_service_users(t: Tables) -> DataFrame:
-    """Households in debt come with an agent of the same id and time; they are left to a test."""
-    out = _service_users(t).filter("NOT (caseReference = 'C3' AND contactMethod = 'email')").select(
+    """Households in debt are represented by an agent."""
+    out = _service_users(t).select(
         "id", "caseReference", "serviceUserType", "serviceUserTypeInternal", "contactMethod", "addressline1", "IngestionDate", "ValidTo", "IsActive"
     )
     return naive(out, "IngestionDate", "ValidTo")
