@@ -91,7 +91,7 @@ def _drop(t: Tables) -> DataFrame:
     return raw.toDF("Part Key", "Name.", "SIZE (cm)", "price", "Unnamed: 4")
 
 
-PART_DECLARED = T.StructType.fromDDL("part_key bigint, size_cm int, price array<string>")
+PART_DECLARED = "part_key bigint, size_cm int, price array<string>"
 
 
 @query(
@@ -103,7 +103,7 @@ def s2_csv_drop(t: Tables) -> DataFrame:
     """The declared array stays text."""
     out = S.dated_drop(
         _drop(t),
-        PART_DECLARED,
+        T.StructType.fromDDL(PART_DECLARED),
         now=at("2024-03-01"),
         load_date=F.lit(SNAPSHOT),
         lateness_days=3,
@@ -128,7 +128,7 @@ def s3_api_drop(t: Tables) -> DataFrame:
     listed = [{"column_name": "Name", "classifications": ["All Full Names"]}]
     out = S.dated_drop(
         _drop(t),
-        PART_DECLARED,
+        T.StructType.fromDDL(PART_DECLARED),
         now=at("2024-03-01"),
         load_date=F.lit(SNAPSHOT),
         lateness_days=3,
@@ -1267,7 +1267,7 @@ def _api_inputs(t: Tables) -> tuple[list[DataFrame], DataFrame, DataFrame, DataF
         F.concat("o_orderstatus", F.lit(" . ")).alias("applicationReference"),
         F.when(F.col("o_orderstatus") == "F", "T").when(F.col("o_orderstatus") == "O", "0").otherwise("maybe").alias("isCorrectAppealType"),
         F.col("c_nationkey").cast("string").alias("inspectorId"),
-        F.lit("1").alias("caseOfficerId"),
+        F.substring("o_orderpriority", 1, 1).alias("caseOfficerId"),
         F.lit("Y").alias("IsActive"),
         "o_orderpriority",
         F.col("o_orderdate").alias("IngestionDate"),
@@ -1300,7 +1300,7 @@ def _api_inputs(t: Tables) -> tuple[list[DataFrame], DataFrame, DataFrame, DataF
               o.s_name AS "caseOfficerFirstName"
        FROM (SELECT * FROM rows QUALIFY ROW_NUMBER() OVER (PARTITION BY o_custkey, o_orderstatus ORDER BY o_orderkey) = 1)
        LEFT JOIN nation ON n_nationkey = c_nationkey LEFT JOIN (SELECT user_id, MIN(event_id) AS e FROM events GROUP BY 1) ON user_id = o_custkey
-       LEFT JOIN supplier s ON s.s_suppkey = c_nationkey LEFT JOIN supplier o ON o.s_suppkey = 1""",
+       LEFT JOIN supplier s ON s.s_suppkey = c_nationkey LEFT JOIN supplier o ON o.s_suppkey = CAST(substr(o_orderpriority, 1, 1) AS INTEGER)""",
 )
 def c9_case_api(t: Tables) -> DataFrame:
     out = C.case_api(*_api_inputs(t), ["isCorrectAppealType"])
@@ -1388,7 +1388,7 @@ def c13_case_events(t: Tables) -> DataFrame:
        SELECT o_custkey::VARCHAR AS "caseReference", o_orderkey AS "caseId", event, s.s_name AS "inspectorFirstName", o.s_name AS "caseOfficerFirstName"
        FROM chosen LEFT JOIN (SELECT user_id, '[' || string_agg('{"eventId":' || event_id || ',"eventType":"' || event_type || '"}', ',' ORDER BY event_id)
                               || ']' AS event FROM events GROUP BY user_id) ON user_id = o_custkey
-       LEFT JOIN supplier s ON s.s_suppkey = c_nationkey LEFT JOIN supplier o ON o.s_suppkey = 1""",
+       LEFT JOIN supplier s ON s.s_suppkey = c_nationkey LEFT JOIN supplier o ON o.s_suppkey = CAST(substr(o_orderpriority, 1, 1) AS INTEGER)""",
 )
 def v1_case_view(t: Tables) -> DataFrame:
     groups, _, _, events, directory = _api_inputs(t)

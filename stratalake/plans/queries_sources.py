@@ -12,12 +12,12 @@ from stratalake.session import fresh_path
 from stratalake.sources import files, schema, sinks
 from stratalake.sources.routing import SourceDefinition, route
 
-CUSTOMER = T.StructType.fromDDL(
-    "c_custkey bigint, c_name string, c_nationkey int, c_acctbal double, c_mktsegment string"
-)
-PART = T.StructType.fromDDL(
-    "p_partkey bigint, p_name string, p_brand string, p_type string, p_size int, p_retailprice double"
-)
+CUSTOMER = "c_custkey bigint, c_name string, c_nationkey int, c_acctbal double, c_mktsegment string"
+PART = "p_partkey bigint, p_name string, p_brand string, p_type string, p_size int, p_retailprice double"
+
+
+def _type(ddl: str) -> T.StructType:
+    return T.StructType.fromDDL(ddl)
 
 
 def _written(t: Tables, df: DataFrame, name: str, fmt: str, **kw) -> str:
@@ -67,7 +67,7 @@ MESSAGES_SQL = """
 def file_scan(t: Tables) -> DataFrame:
     first = _written(t, t.customer.filter("c_acctbal < 0"), "scan", "json")
     second = _written(t, t.customer.filter("c_acctbal >= 0"), "scan", "json")
-    return files.read_files(t.spark, "json", [first, second], schema=CUSTOMER)
+    return files.read_files(t.spark, "json", [first, second], schema=_type(CUSTOMER))
 
 
 @query("src_02_table_scan", "SELECT * FROM supplier")
@@ -87,7 +87,7 @@ def snapshot_scan(t: Tables) -> DataFrame:
 @query("src_04_csv_strict", "SELECT * FROM part")
 def csv_strict(t: Tables) -> DataFrame:
     path = _written(t, t.part, "strict", "csv", options={"header": "true", "escape": "\\"})
-    return files.read_csv_strict(t.spark, path, PART, multi_line=False)
+    return files.read_csv_strict(t.spark, path, _type(PART), multi_line=False)
 
 
 @query("src_05_format_by_name", "SELECT * FROM customer UNION ALL SELECT * FROM customer")
@@ -95,8 +95,8 @@ def format_by_name(t: Tables) -> DataFrame:
     root = fresh_path(t.spark, "any")
     sinks.write_files(t.customer, f"{root}/drop.csv", "csv", options={"header": "true", "escape": "\\"})
     sinks.write_files(t.customer, f"{root}/drop.json", "json")
-    from_csv = files.read_any(t.spark, f"{root}/drop.csv", CUSTOMER, multi_line=False)
-    return from_csv.unionByName(files.read_any(t.spark, f"{root}/drop.json", CUSTOMER, multi_line=False))
+    from_csv = files.read_any(t.spark, f"{root}/drop.csv", _type(CUSTOMER), multi_line=False)
+    return from_csv.unionByName(files.read_any(t.spark, f"{root}/drop.json", _type(CUSTOMER), multi_line=False))
 
 
 @query(
@@ -106,7 +106,7 @@ def format_by_name(t: Tables) -> DataFrame:
 )
 def message_scan(t: Tables) -> DataFrame:
     path = _written(t, _messages(t).drop("input_file", "ts"), "messages", "json")
-    wanted = T.StructType.fromDDL("message_id string, message_type string, user_id bigint, value double")
+    wanted = _type("message_id string, message_type string, user_id bigint, value double")
     read = files.read_messages(t.spark, path, wanted)
     return read.select("message_id", "message_type", "user_id", F.contains("input_file", F.lit(path)).alias("from_landing"))
 
@@ -118,7 +118,7 @@ def nested_snapshot(t: Tables) -> DataFrame:
     item = F.struct("n_nationkey", "n_name", "s_suppkey", "s_name")
     docs = rows.groupBy("n_nationkey").agg(F.collect_list(item).alias("value")).select("value")
     path = _written(t, docs, "nested", "json", options={"maxRecordsPerFile": "1"})
-    element = T.StructType.fromDDL("n_nationkey int, n_name string, s_suppkey bigint, s_name string")
+    element = _type("n_nationkey int, n_name string, s_suppkey bigint, s_name string")
     return files.read_nested_snapshot(t.spark, path, element)
 
 
@@ -140,7 +140,7 @@ def history_scan(t: Tables) -> DataFrame:
         "l_orderkey", "l_linenumber", "l_returnflag", F.year("l_shipdate").alias("shipped")
     )
     path = _written(t, rows, "history", "json", partition_by="shipped")
-    wanted = T.StructType.fromDDL("l_orderkey bigint, l_linenumber int, l_returnflag string")
+    wanted = _type("l_orderkey bigint, l_linenumber int, l_returnflag string")
     return files.read_history(t.spark, path, "json", "part-", schema=wanted)
 
 
@@ -244,7 +244,7 @@ def landed_pages(t: Tables) -> DataFrame:
     sinks.write_files(rows, f"{root}/p1", "json", options={"maxRecordsPerFile": "1000"})
     second = rows.filter("role = 'assistant'").withColumn("page", F.lit(2))
     sinks.write_files(second, f"{root}/p2", "json", options={"maxRecordsPerFile": "1000"})
-    wanted = T.StructType.fromDDL("conv_id bigint, turn bigint, role string, text string, page int")
+    wanted = _type("conv_id bigint, turn bigint, role string, text string, page int")
     lines = files.read_files(t.spark, "json", root, {"recursiveFileLookup": "true"}, wanted)
     from stratalake.operators.latest import latest_per_key
 
@@ -254,7 +254,7 @@ def landed_pages(t: Tables) -> DataFrame:
 @query("src_19_landed_sheet", "SELECT * FROM customer")
 def landed_sheet(t: Tables) -> DataFrame:
     path = _written(t, t.customer, "sheet", "csv", options={"header": "true", "escape": "\\"})
-    return files.read_landed_sheet(t.spark, path, CUSTOMER)
+    return files.read_landed_sheet(t.spark, path, _type(CUSTOMER))
 
 
 @query(
@@ -263,7 +263,7 @@ def landed_sheet(t: Tables) -> DataFrame:
        FROM supplier, (VALUES ('csv'), ('json'), ('orc'), ('parquet')) v(f) GROUP BY f""",
 )
 def declared_formats(t: Tables) -> DataFrame:
-    wanted = T.StructType.fromDDL("s_suppkey bigint, s_name string")
+    wanted = _type("s_suppkey bigint, s_name string")
     out = None
     for fmt in ("csv", "json", "orc", "parquet"):
         options = {"header": "true"} if fmt == "csv" else {}
@@ -377,7 +377,7 @@ def stream_pickup(t: Tables) -> DataFrame:
     landing, checkpoint = fresh_path(t.spark, "landing"), fresh_path(t.spark, "offsets")
     table = _scratch_table(t, "messages")
     body = _messages(t).drop("input_file", "ts")
-    wanted = T.StructType.fromDDL(
+    wanted = _type(
         "message_id string, message_type string, message_enqueued_time_utc string, user_id bigint, value double"
     )
     for step, rows in enumerate([body.filter("message_type = 'click'"), body.filter("message_type <> 'click'")]):

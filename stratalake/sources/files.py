@@ -70,12 +70,11 @@ def read_csv_strict(
     raw = read_files(
         spark, "csv", paths, {**options, "mode": "PERMISSIVE", "columnNameOfCorruptRecord": CORRUPT}, full
     )
-    problem = F.raise_error(F.concat(F.lit("corrupt CSV record: "), F.substring(CORRUPT, 1, 200)))
-    first = schema.fields[0]
-    checked = F.when(F.col(CORRUPT).isNull(), named(first.name)).otherwise(problem.cast(first.dataType))
-    # The check hangs on a row filter, not on a column, so pruning columns later cannot lose it.
-    passes = F.when(F.col(CORRUPT).isNull(), F.lit(True)).otherwise(problem.cast("boolean"))
-    return raw.filter(passes).withColumn(first.name, checked).drop(CORRUPT)
+    # The message names every column, so that no later pruning keeps the parser from checking one.
+    seen = F.concat_ws(", ", *[named(f.name).cast("string") for f in schema.fields])
+    text = F.concat(F.lit("corrupt CSV record: "), F.col(CORRUPT), F.lit(" read as "), seen)
+    fits = F.when(F.col(CORRUPT).isNull(), F.lit(True)).otherwise(F.raise_error(text).cast("boolean"))
+    return raw.filter(fits).drop(CORRUPT)
 
 
 def csv_schema(spark: SparkSession, path: str) -> T.StructType:
