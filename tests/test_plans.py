@@ -18,13 +18,6 @@ def t(spark):
     return registry.Tables(spark, FOLDER)
 
 
-@pytest.mark.parametrize("name", sorted(n for n in registry.QUERIES if n.startswith(("scd_", "win_", "ded_", "jon_", "key_", "ano_", "ent_"))))
-def test_no_pairing_and_no_python(t, name):
-    text = plan(registry.QUERIES[name](t))
-    for bad in ("CartesianProduct", "BroadcastNestedLoopJoin", "BatchEvalPython", "ArrowEvalPython", "MapInPandas"):
-        assert bad not in text, f"{bad} in {name}"
-
-
 def test_history_is_one_exchange(t):
     versions = t.orders.withColumnRenamed("o_orderdate", "IngestionDate")
     text = plan(history.rank_history(versions, ["o_custkey"], ["o_orderkey"]))

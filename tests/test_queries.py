@@ -1,4 +1,4 @@
-"""Every registered query gives the rows of its SQL on the smallest scale."""
+"""Every registered query gives the rows of its SQL on the smallest scale, by a plan without pairing or Python."""
 
 from __future__ import annotations
 
