@@ -51,6 +51,9 @@ def rank_history(
 
     ``tie`` makes the order within one instant total. An end the source already carries wins. Adds a dense id
     ordered by time and key, a flag whether the key exists in another table, and a row id, where asked for.
+
+    The rows are looked at several times (hot keys, cut points, the history itself), column by column: hand in a
+    table, or a frame that was written, rather than the end of a long lineage.
     """
     time = cols.valid_from
     ahead = along(df, keys, [time, *tie], following={"_until": time, "_has_next": F.lit(True)}, hot_rows=hot_rows)
@@ -59,10 +62,11 @@ def rank_history(
     until = F.col("_until") if given is None else F.coalesce(given.cast(time_type), F.col("_until"))
     out = ahead.withColumns({cols.valid_to: until, cols.active: _flag(F.col("_has_next").isNull())})
     out = out.drop("_until", "_has_next")
+    if id_name is not None:
+        order = [time, *keys, *[t for t in tie if t not in keys]]
+        out = global_id(out, order, id_name, slice_rows=id_slice_rows, count_on=df)
     if existence is not None:
         out = flag_exists(out, existence[0], existence[1], cols.migrated)
-    if id_name is not None:
-        out = global_id(out, [time, *keys, *[t for t in tie if t not in keys]], id_name, slice_rows=id_slice_rows)
     if hash_cols is not None:
         out = out.withColumn(cols.row_id, row_id(hash_cols, hash_null))
     return out
@@ -159,7 +163,7 @@ def state_history(
     )
     once = first_per_key(tagged, [*keys, time, "_src", "_state"], [F.col("_row_order").asc()])
     order = [time, "_after", "_row_order", "_state", "_src"]
-    line = Timeline.of(once, keys, order, hot_rows)
+    line = Timeline.of(once, keys, order, hot_rows, count_on=base)
     seen = line.add(line.df, previous={"_before": "_state"})
     changes = seen.filter(F.col("_before").isNull() | (F.col("_before") != F.col("_state")))
     out = line.add(changes, following={"_until": time}, rank="_version" if id_name else None)
@@ -178,12 +182,13 @@ def close_by(
     only_active: bool = True,
     cols: HistoryColumns = HISTORY,
     hot_rows: int = HOT_ROWS,
+    count_on: DataFrame | None = None,
 ) -> DataFrame:
     """Close a row of ``a`` when its key becomes active in ``b``: at the first strictly later active time of ``b``.
 
     With ``only_active`` rows already closed stay as they are; otherwise a later end is brought forward as well.
     Both tables are laid on one timeline and every row of ``a`` looks for the next mark of ``b``; the rows of a
-    key are never paired with each other.
+    key are never paired with each other. ``count_on`` has the keys and at least as many rows of each as ``a``.
     """
     time = cols.valid_from
     marks = b.filter(named(cols.active) == ACTIVE).select(*as_columns(keys), named(time).alias("_at")).distinct()
@@ -202,7 +207,13 @@ def close_by(
     line = ours.unionByName(theirs).withColumn("_mark", F.when(F.col("_side") == 0, F.col("_at")))
     line = line.withColumn("_tie", F.xxhash64("_row"))
     names = [f"_k{i}" for i in range(len(keys))]
-    met = along(line, names, ["_at", "_side", "_tie"], next_marked={"_next_mark": "_mark"}, hot_rows=hot_rows)
+    bound = None
+    if count_on is not None:
+        own = [named(k).alias(n) for k, n in zip(keys, names)]
+        bound = count_on.select(*own).unionByName(b.select(*own))
+    met = along(
+        line, names, ["_at", "_side", "_tie"], next_marked={"_next_mark": "_mark"}, hot_rows=hot_rows, count_on=bound
+    )
     rows = met.filter("_side = 1").select("_row.*", "_next_mark")
     end_type = a.schema[cols.valid_to].dataType
     if only_active:

@@ -1,7 +1,8 @@
 """Arrays and structs: taking them apart, and folding rows into them.
 
-A folded array is one value in one row, so it is as long as the group; the folds that promise distinct values
-drop copies before the exchange.
+A folded array is one value in one row, so it is as long as its group; the folds that promise distinct values
+drop copies before the exchange. Where a key may have more rows than one value can hold, number its rows with
+:func:`stratalake.operators.ordered.chunk_groups` and fold by key and chunk.
 """
 
 from __future__ import annotations

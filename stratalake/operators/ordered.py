@@ -61,11 +61,20 @@ class Timeline:
         order: Sequence[str],
         hot_rows: int = HOT_ROWS,
         max_slices: int = MAX_SLICES,
+        count_on: DataFrame | None = None,
     ) -> "Timeline":
-        """Look for hot keys, which runs one narrow aggregate, and cut their timelines."""
+        """Look for hot keys, which runs one narrow aggregate, and cut their timelines.
+
+        ``count_on`` is a cheaper frame to look at first: one with the same keys and at least as many rows of
+        each, such as the table ``df`` was derived from. If it has no hot key, ``df`` has none.
+        """
         by = [named(k) for k in keys]
-        hot = df.groupBy(*by).agg(F.count(F.lit(1)).alias("_n")).filter(F.col("_n") > hot_rows)
-        if hot.isEmpty():
+
+        def above(rows: DataFrame) -> DataFrame:
+            return rows.groupBy(*by).agg(F.count(F.lit(1)).alias("_n")).filter(F.col("_n") > hot_rows)
+
+        hot = above(df)
+        if (above(count_on) if count_on is not None else hot).isEmpty() or (count_on is not None and hot.isEmpty()):
             return Timeline(df, tuple(keys), tuple(order), False)
         parts = F.least(F.ceil(F.col("_n") / hot_rows).cast("int") * 2, F.lit(max_slices))
         cuts = materialise(_cut_points(df, keys, order, hot.withColumn("_parts", parts)), "cuts")
@@ -210,9 +219,10 @@ def along(
     rank: str | None = None,
     reverse_rank: str | None = None,
     hot_rows: int = HOT_ROWS,
+    count_on: DataFrame | None = None,
 ) -> DataFrame:
     """Neighbour values and positions in one call; see :meth:`Timeline.add`."""
-    line = Timeline.of(df, keys, order, hot_rows)
+    line = Timeline.of(df, keys, order, hot_rows, count_on=count_on)
     return line.add(line.df, previous, following, next_marked, rank, reverse_rank).drop(SLICE)
 
 
@@ -222,8 +232,17 @@ def global_id(
     name: str,
     start: int | Column = 0,
     slice_rows: int = ID_SLICE_ROWS,
+    count_on: DataFrame | None = None,
 ) -> DataFrame:
     """Dense ids ``start + 1 ..`` in the given total order, without sorting a large table in one task."""
-    numbered = along(df, [], order, rank="_id", hot_rows=slice_rows)
+    numbered = along(df, [], order, rank="_id", hot_rows=slice_rows, count_on=count_on)
     offset = F.lit(start) if isinstance(start, int) else start
     return numbered.withColumn(name, F.col("_id") + offset.cast("long")).drop("_id")
+
+
+def chunk_groups(
+    df: DataFrame, keys: Sequence[str], order: Sequence[str], size: int, name: str = "chunk", hot_rows: int = HOT_ROWS
+) -> DataFrame:
+    """Number chunks of at most ``size`` rows along every key, so that a fold by key and chunk stays bounded."""
+    ranked = along(df, keys, order, rank="_position", hot_rows=hot_rows)
+    return ranked.withColumn(name, F.floor((F.col("_position") - 1) / size)).drop("_position")

@@ -26,6 +26,7 @@ from stratalake.functions.keys import as_columns, composite_key, incremental_key
 from stratalake.functions.temporal import iso_midnight, minute_text
 from stratalake.operators import conform, history, joins, latest, merge, nested
 from stratalake.operators.ingest import new_messages
+from stratalake.session import materialise
 
 TIE = "_tie"
 
@@ -58,14 +59,15 @@ def versions_of(
     """Rank history of one or two sources. ``known`` holds the keys the message source has.
 
     ``hash_first`` keeps row ids that were made before ids, ends and flags were set. Rows come in without copies;
-    with an id on every row a later duplicate check could find nothing.
+    with an id on every row a later duplicate check could find nothing. They are written once, since the history
+    looks at them several times, column by column.
     """
     rows = rows.withColumn("IngestionDate", named("IngestionDate").cast("timestamp"))
     if hash_first and row_id_cols is not None:
         rows = rows.withColumn("RowID", row_id_of(row_id_cols))
-    tied = rows.withColumn(TIE, F.xxhash64(*as_columns(rows.columns)))
+    staged = materialise(rows.withColumn(TIE, F.xxhash64(*as_columns(rows.columns))), "staged")
     out = history.rank_history(
-        tied,
+        staged,
         [key],
         [TIE],
         id_name=id_name,
@@ -550,7 +552,7 @@ def directory_users(standardised: DataFrame, current: DataFrame, source_system:
         "ODTSourceSystem": F.lit(DIRECTORY_SOURCE),
         "SourceSystemID": source_system.select("SourceSystemID").scalar().cast("string"),
     }
-    out = history.snapshot_history(snapshot, current, "id", DIRECTORY_ROW_ID, constants)
+    out = materialise(history.snapshot_history(snapshot, current, "id", DIRECTORY_ROW_ID, constants), "directory")
     return history.renumber(out, "EmployeeEntraId", ["id", "IngestionDate", "RowID"])
 
 
@@ -749,8 +751,8 @@ def service_users(
         contact("Agent_", "AgentContactId", "RepresentationContact_Agent"),
     ):
         rows = rows.unionByName(part)
-    rows = rows.withColumn(TIE, F.xxhash64(*as_columns(rows.columns)))
-    out = history.rank_history(rows, ["id", "caseReference", "serviceUserType"], [TIE], id_name="ServiceUserID")
+    staged = materialise(rows.withColumn(TIE, F.xxhash64(*as_columns(rows.columns))), "staged")
+    out = history.rank_history(staged, ["id", "caseReference", "serviceUserType"], [TIE], id_name="ServiceUserID")
     return out.select(*USER_COLUMNS)
 
 
@@ -786,8 +788,9 @@ def case_group(
     staged = staged.withColumn("IngestionDate", named("IngestionDate").cast("timestamp"))
     priority = {MESSAGE_SOURCE: 2, LEGACY_TIMELINE_SOURCE: 1}
     states = [c for c in staged.columns if c not in HISTORY.names() and c != id_name]
-    out = history.state_history(staged.drop(id_name), [key], states, priority, id_name)
-    return history.close_by(out, other_group, [key], only_active=not close_any)
+    staged = materialise(staged.drop(id_name), "staged")
+    out = history.state_history(staged, [key], states, priority, id_name)
+    return history.close_by(out, other_group, [key], only_active=not close_any, count_on=staged)
 
 
 def case_events(messages: DataFrame, legacy: DataFrame, row_id_cols: Sequence[str]) -> DataFrame:

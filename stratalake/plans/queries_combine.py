@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from stratalake.functions import masks
 from stratalake.operators import joins, latest, nested
-from stratalake.operators.ordered import along, global_id
+from stratalake.operators.ordered import along, chunk_groups, global_id
 from stratalake.plans.registry import Tables, query
 
 # --- joins ---------------------------------------------------------------------------------------
@@ -233,6 +233,19 @@ def struct_array(t: Tables) -> DataFrame:
     return _shown(out, "lines", ["line", "part"])
 
 
+@query(
+    "agg_01_chunked_array",
+    """SELECT event_type, chunk, string_agg(event_id, ',' ORDER BY event_id) AS events, COUNT(*) AS n
+       FROM (SELECT *, (ROW_NUMBER() OVER (PARTITION BY event_type ORDER BY event_id) - 1) // 100 AS chunk FROM events)
+       GROUP BY event_type, chunk""",
+)
+def chunked_array(t: Tables) -> DataFrame:
+    """Few keys with very many rows each: every array holds at most a hundred, and none is left out."""
+    parts = chunk_groups(t.events.select("event_type", "event_id"), ["event_type"], ["event_id"], 100)
+    arrays = nested.collect_structs(parts, ["event_type", "chunk"], {"event_id": "id"}, "events")
+    return _shown(arrays.withColumn("n", F.size("events").cast("bigint")), "events", ["id"])
+
+
 @query(
     "agg_02_sorted_distinct",
     """SELECT l_orderkey, string_agg(s, ',' ORDER BY s) AS suppliers

@@ -131,7 +131,7 @@ def snapshot_history(t: Tables) -> DataFrame:
     )
     ids = ["c_custkey", "c_name", "c_mktsegment"]
     out = history.snapshot_history(snapshot, _customer_history(t), "c_custkey", ids)
-    unnumbered = out.withColumn("id", F.lit(None).cast("bigint"))
+    unnumbered = materialise(out.withColumn("id", F.lit(None).cast("bigint")), "snapshot")
     numbered = history.renumber(unnumbered, "id", ["c_custkey", "IngestionDate", "RowID"])
     naive = {c: F.col(c).cast("timestamp_ntz") for c in ("IngestionDate", "ValidTo")}
     return numbered.withColumns(naive)

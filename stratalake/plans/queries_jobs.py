@@ -147,7 +147,7 @@ def s3_api_drop(t: Tables) -> DataFrame:
 )
 def s4_directory(t: Tables) -> DataFrame:
     user = F.struct(F.col("c_custkey").cast("string").alias("id"), F.col("c_name").alias("surname"))
-    docs = t.customer.groupBy("c_nationkey", "c_mktsegment").agg(F.collect_list(user).alias("value"))
+    docs = t.customer.groupBy(F.floor(F.col("c_custkey") / 100).alias("page")).agg(F.collect_list(user).alias("value"))
     out = S.directory_users(docs, at("2024-03-01"), F.lit(SNAPSHOT), 1)
     return naive(out.drop("ingested_datetime"), "expected_from", "expected_to")
 
@@ -167,11 +167,15 @@ def s5_attribute_matrix(t: Tables) -> DataFrame:
 
 @query("ent_s6_listed_entities", 'SELECT s_suppkey AS entity, s_name AS "listed-name" FROM supplier, nation WHERE s_nationkey = n_nationkey AND n_regionkey <= 2 UNION ALL SELECT s_suppkey, s_name FROM supplier')
 def s6_listed_entities(t: Tables) -> DataFrame:
-    """Two documents per nation of the first regions: their entities come twice."""
+    """Documents of at most ten suppliers; those of the first regions come in two documents."""
     item = F.struct(F.col("s_suppkey").alias("entity"), F.col("s_name").alias("listed-name"))
-    docs = t.supplier.groupBy("s_nationkey").agg(F.collect_list(item).alias("entities"))
-    again = docs.join(t.nation.filter("n_regionkey <= 2"), F.col("s_nationkey") == F.col("n_nationkey"), "left_semi")
-    return S.listed_entities(docs.unionByName(again))
+
+    def pages(rows: DataFrame) -> DataFrame:
+        return rows.groupBy(F.floor(F.col("s_suppkey") / 10)).agg(F.collect_list(item).alias("entities")).select("entities")
+
+    near = t.nation.filter("n_regionkey <= 2")
+    again = t.supplier.join(near, F.col("s_nationkey") == F.col("n_nationkey"), "left_semi")
+    return S.listed_entities(pages(t.supplier).unionByName(pages(again)))
 
 
 def _case_tables(t: Tables) -> tuple[DataFrame, list[S.Related], dict]:

@@ -223,11 +223,10 @@ def remask(t: Tables) -> DataFrame:
 
 @query("ano_15_remask_nested", f'SELECT "PersNo", sha256(lower(email)) AS email FROM ({PEOPLE_SQL})')
 def remask_nested(t: Tables) -> DataFrame:
-    """The raw side holds its records as an array per segment."""
-    raw = _people(t).select("PersNo", "email").join(
-        t.customer.select(F.col("c_custkey").cast("string").alias("PersNo"), "c_nationkey", "c_mktsegment"), "PersNo"
-    )
-    docs = raw.groupBy("c_nationkey", "c_mktsegment").agg(F.collect_list(F.struct("PersNo", "email")).alias("value"))
+    """The raw side holds its records in arrays of at most a hundred."""
+    raw = _people(t).select("PersNo", "email")
+    page = F.floor(F.col("PersNo").cast("bigint") / 100)
+    docs = raw.groupBy(page.alias("page")).agg(F.collect_list(F.struct("PersNo", "email")).alias("value"))
     flat = nested.explode_entities(docs, "value")
     old = _people(t).select("PersNo", masks.keep_ends(F.col("email")).alias("email"))
     return masking.remask(old, flat, ["PersNo"], {"email": "email"})

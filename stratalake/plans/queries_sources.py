@@ -113,10 +113,10 @@ def message_scan(t: Tables) -> DataFrame:
 
 @query("src_07_nested_snapshot", "SELECT n_nationkey, n_name, s_suppkey, s_name FROM supplier JOIN nation ON s_nationkey = n_nationkey")
 def nested_snapshot(t: Tables) -> DataFrame:
-    """One document per nation with its suppliers as an array."""
+    """Documents of at most ten suppliers, by ranges of the key, as an array."""
     rows = t.supplier.join(t.nation, F.col("s_nationkey") == F.col("n_nationkey"))
     item = F.struct("n_nationkey", "n_name", "s_suppkey", "s_name")
-    docs = rows.groupBy("n_nationkey").agg(F.collect_list(item).alias("value")).select("value")
+    docs = rows.groupBy(F.floor(F.col("s_suppkey") / 10)).agg(F.collect_list(item).alias("value")).select("value")
     path = _written(t, docs, "nested", "json", options={"maxRecordsPerFile": "1"})
     element = _type("n_nationkey int, n_name string, s_suppkey bigint, s_name string")
     return files.read_nested_snapshot(t.spark, path, element)
