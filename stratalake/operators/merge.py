@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Mapping, Sequence
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from stratalake.functions.contract import ACTIVE, HISTORY, INACTIVE, HistoryColumns
@@ -61,21 +61,19 @@ def merge_actions(
     values = [c for c in changes.columns if c != action]
     checked = changes.withColumn("_action", checked_action(action))
     filled = reduce(lambda a, b: a & b, [named(k).isNotNull() for k in keys])
-    w = Window.partitionBy(*as_columns(keys)).orderBy("_action")
     edits = (
         checked.filter(F.col("_action").isin(*UPDATE, *DELETE) & filled)
-        .withColumn("_nth", F.row_number().over(w))
-        .select(
-            *[named(k).alias(f"_k{i}") for i, k in enumerate(keys)],
-            "_action",
-            "_nth",
-            F.struct(*as_columns(values)).alias("_src"),
+        .groupBy(*[named(k).alias(f"_k{i}") for i, k in enumerate(keys)])
+        .agg(
+            F.count(F.lit(1)).alias("_changes"),
+            F.first("_action").alias("_action"),
+            F.first(F.struct(*as_columns(values))).alias("_src"),
         )
     )
     same = reduce(lambda a, b: a & b, [named(k) == F.col(f"_k{i}") for i, k in enumerate(keys)])
     twice = F.raise_error(F.lit("merge: more than one change for a row")).cast("boolean")
     act = F.col("_action")
-    stays = F.when(F.col("_nth") > 1, twice).otherwise(act.isNull() | ~act.isin(*DELETE))
+    stays = F.when(F.col("_changes") > 1, twice).otherwise(act.isNull() | ~act.isin(*DELETE))
     updates = act.isin(*UPDATE)
     joined = target.join(edits, same, "left").filter(stays)
     kept = []

@@ -6,9 +6,9 @@ plan is a plain window behind one hash exchange. Otherwise each hot key is cut i
 ordering, every slice is windowed on its own, and what crosses a slice border comes from a table with one row
 per slice.
 
-Sizes of what is broadcast: a table of N rows has at most ``N / hot_rows`` hot keys and at most ``4 N /
-hot_rows`` slices (two million narrow rows for 10^12), never a number that follows the number of keys. The cut
-points are a written table in the shared folder, so a lost executor reads the same points again.
+What is broadcast has one narrow row per slice. The number of slices is held below ``SLICE_LIMIT``: the rows of
+all hot keys are counted first, and with very many of them a slice is made larger. The cut points are a written
+table in the shared folder, so a lost executor reads the same points again.
 
 The order columns must name a row uniquely within its key; ties beyond them have no defined order.
 """
@@ -28,6 +28,7 @@ from stratalake.session import materialise
 HOT_ROWS = 2_000_000
 ID_SLICE_ROWS = 250_000
 MAX_SLICES = 32_768
+SLICE_LIMIT = 1_000_000
 OVERSAMPLE = 8
 SLICE = "_slice"
 
@@ -70,19 +71,27 @@ class Timeline:
         """
         by = [named(k) for k in keys]
 
-        def above(rows: DataFrame) -> DataFrame:
-            return rows.groupBy(*by).agg(F.count(F.lit(1)).alias("_n")).filter(F.col("_n") > hot_rows)
-
-        hot = above(df)
-        if (above(count_on) if count_on is not None else hot).isEmpty() or (count_on is not None and hot.isEmpty()):
-            return Timeline(df, tuple(keys), tuple(order), False)
-        parts = F.least(F.ceil(F.col("_n") / hot_rows).cast("int") * 2, F.lit(max_slices))
-        cuts = materialise(_cut_points(df, keys, order, hot.withColumn("_parts", parts)), "cuts")
+        def hot_in(rows: DataFrame) -> tuple[DataFrame, int]:
+            hot = rows.groupBy(*by).agg(F.count(F.lit(1)).alias("_n")).filter(F.col("_n") > hot_rows)
+            return hot, hot.agg(F.sum("_n")).first()[0] or 0
+
+        plain = Timeline(df, tuple(keys), tuple(order), False)
+        if count_on is not None and not hot_in(count_on)[1]:
+            return plain
+        hot, total = hot_in(df)
+        if not total:
+            return plain
+        per_slice = max(hot_rows, -(-4 * total // SLICE_LIMIT))
+        parts = F.least(F.ceil(F.col("_n") / per_slice).cast("int") * 2, F.lit(max_slices))
+        hot = hot.filter(F.col("_n") > per_slice).withColumn("_parts", parts)
+        cuts = materialise(_cut_points(df, keys, order, hot), "cuts")
+        most = cuts.agg(F.max(F.size("_cuts"))).first()[0]
+        if most is None:
+            return plain
         if keys:
             out = _attach(df, cuts, keys, "left")
         else:
             out = df.withColumn("_cuts", cuts.select("_cuts").scalar())
-        most = cuts.agg(F.max(F.size("_cuts"))).first()[0]
         at = _position(F.col("_cuts"), F.struct(*[named(c) for c in order]), most)
         out = out.withColumn(SLICE, F.when(F.col("_cuts").isNull(), F.lit(0)).otherwise(at + 1)).drop("_cuts")
         return Timeline(out, tuple(keys), tuple(order), True)

@@ -6,7 +6,8 @@ import pytest
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
-from stratalake.operators.ordered import SLICE, Timeline, along, global_id
+from stratalake.operators import ordered
+from stratalake.operators.ordered import SLICE, Timeline, along, chunk_groups, global_id
 
 ORDERS = "/root/testdata/sf0.001/orders.parquet"
 
@@ -78,3 +79,24 @@ def test_all_rows_at_one_instant_are_still_cut(spark):
     assert max(sizes) < 400
     ranked = line.add(line.df, rank="r")
     assert ranked.filter("r <> id + 1").isEmpty()
+
+
+def test_number_of_slices_is_bounded(spark, monkeypatch):
+    """With very many hot rows the slices grow instead of their number."""
+    monkeypatch.setattr(ordered, "SLICE_LIMIT", 40)
+    line = Timeline.of(skewed(spark), ["k"], ["o_orderdate", "o_orderkey"], hot_rows=5)
+    assert line.df.filter(f"{SLICE} > 0").select("k", SLICE).distinct().count() <= 40
+
+
+def test_cheaper_frame_is_counted_first(spark):
+    df = skewed(spark)
+    order = ["o_orderdate", "o_orderkey"]
+    assert not Timeline.of(df, ["k"], order, 50, count_on=df.limit(10)).sliced
+    assert Timeline.of(df, ["k"], order, 50, count_on=df).sliced
+
+
+def test_chunks_are_full_and_whole(spark):
+    out = chunk_groups(skewed(spark), ["k"], ["o_orderdate", "o_orderkey"], 10, hot_rows=50)
+    sizes = out.groupBy("k", "chunk").count()
+    assert out.count() == 1500 and sizes.agg({"count": "max"}).first()[0] == 10
+    assert sizes.filter("k = 1 AND count < 10").count() <= 1
