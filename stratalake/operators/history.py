@@ -253,6 +253,7 @@ def incremental_history(
     id_name: str,
     tie: Sequence[str],
     cols: HistoryColumns = HISTORY,
+    hot_rows: int = HOT_ROWS,
     id_slice_rows: int = ID_SLICE_ROWS,
 ) -> DataFrame:
     """New state of a history after its source was read again in full.
@@ -267,7 +268,7 @@ def incremental_history(
     hashed = source.withColumn("row_hash", state_hash([*keys, *tracked], "~"))
     order = [time, *tie, "row_hash"]
     if target is None:
-        return _versions(hashed, keys, order, id_name, F.lit(0), cols, id_slice_rows)
+        return _versions(hashed, keys, order, id_name, F.lit(0), cols, hot_rows, id_slice_rows)
 
     present = {c: c for c in [*keys, "row_hash", time]}
     pending = without(hashed, target, present)
@@ -299,7 +300,7 @@ def incremental_history(
         .select(*as_columns(target.columns))
     )
     last_id = target.agg(F.coalesce(F.max(named(id_name)).cast("long"), F.lit(0))).scalar()
-    added = _versions(pending, keys, order, id_name, last_id, cols, id_slice_rows)
+    added = _versions(pending, keys, order, id_name, last_id, cols, hot_rows, id_slice_rows)
     return expired.unionByName(added, allowMissingColumns=True)
 
 
@@ -310,21 +311,13 @@ def _versions(
     id_name: str,
     start: Column,
     cols: HistoryColumns,
+    hot_rows: int,
     id_slice_rows: int,
 ) -> DataFrame:
-    """Ends, active flags and ids from one global order by key and time: the next row ends this one if it has its key."""
-    key = F.struct(*as_columns(keys))
-    line = Timeline.of(df, [], [*keys, *order], id_slice_rows)
-    ahead = line.add(line.df, following={"_until": cols.valid_from, "_next_key": key}, rank="_id")
-    goes_on = F.col("_next_key").eqNullSafe(key)
-    out = ahead.withColumns(
-        {
-            id_name: F.col("_id") + start.cast("long"),
-            cols.valid_to: F.when(goes_on, F.col("_until")),
-            cols.active: _flag(~goes_on),
-        }
-    )
-    return out.drop("_until", "_next_key", "_id", SLICE)
+    ahead = along(df, keys, order, following={"_until": cols.valid_from, "_has_next": F.lit(True)}, hot_rows=hot_rows)
+    out = ahead.withColumns({cols.valid_to: F.col("_until"), cols.active: _flag(F.col("_has_next").isNull())})
+    out = out.drop("_until", "_has_next")
+    return global_id(out, [*keys, *order], id_name, start, id_slice_rows, count_on=df)
 
 
 def append_rerank(

@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from stratalake.functions.contract import ACTIVE, HISTORY, INACTIVE, HistoryColumns
 from stratalake.functions.keys import as_columns, json_hash, named
 from stratalake.operators.joins import within, without
+from stratalake.session import materialise
 
 # Spellings of the three row actions.
 CREATE = ("create", "created")
@@ -146,18 +147,23 @@ def label_changes(
 
 
 def hash_upsert(new: DataFrame, existing: DataFrame | None, key: str, action: str = "row_action") -> DataFrame:
-    """State of a table after upserting the rows that differ. Without a table the rows are the table."""
+    """State of a table after upserting the rows that differ. Without a table the rows are the table.
+
+    The rows that differ are written once: the merge reads them several times, and hashing both tables again for
+    each would cost far more.
+    """
     if existing is None:
         return new.filter(named(key).isNotNull())
-    return merge_actions(existing, label_changes(new, existing, key, action), [key], action)
+    changes = materialise(label_changes(new, existing, key, action), "changes")
+    return merge_actions(existing, changes, [key], action)
 
 
 def aligned_upsert(new: DataFrame, existing: DataFrame, key: str, action: str = "row_action") -> DataFrame:
     """Upsert restricted to the columns both tables have, in the types of the existing one."""
     common = [c for c in existing.columns if c in new.columns]
     shaped = new.select(*[named(c).cast(existing.schema[c].dataType).alias(c) for c in common])
-    labelled = label_changes(shaped, existing, key, action, common)
-    return merge_actions(existing, labelled, [key], action)
+    changes = materialise(label_changes(shaped, existing, key, action, common), "changes")
+    return merge_actions(existing, changes, [key], action)
 
 
 def split_changes(changes: DataFrame, action: str) -> Mapping[str, DataFrame]:

@@ -2,13 +2,13 @@
 
 A plain window gives one task all rows of one key. Before a timeline is windowed, one narrow aggregate counts
 rows per key (key columns only, combined before the exchange). Where no key has more than ``hot_rows`` rows the
-plan is a plain window behind one hash exchange. Otherwise each hot key is cut into slices at points of its own
-ordering, every slice is windowed on its own, and what crosses a slice border comes from a table with one row
-per slice.
+plan is a plain window behind one hash exchange. Otherwise the rows are range-partitioned by key and order, which
+cuts a hot key into slices of even size, and written to the shared folder once, so that every later pass and
+every retried task sees the same slices. Each slice is windowed on its own, and what crosses a slice border
+comes from a table with one row per slice of a cut key.
 
-What is broadcast has one narrow row per slice. The number of slices is held below ``SLICE_LIMIT``: the rows of
-all hot keys are counted first, and with very many of them a slice is made larger. The cut points are a written
-table in the shared folder, so a lost executor reads the same points again.
+Two slices share at most one key, so the table of borders has at most two rows per slice, and the number of
+slices never exceeds ``MAX_SLICES``: it is broadcast whatever the size of the data.
 
 The order columns must name a row uniquely within its key; ties beyond them have no defined order.
 """
@@ -28,8 +28,6 @@ from stratalake.session import materialise
 HOT_ROWS = 2_000_000
 ID_SLICE_ROWS = 250_000
 MAX_SLICES = 32_768
-SLICE_LIMIT = 1_000_000
-OVERSAMPLE = 8
 SLICE = "_slice"
 
 Columns = Mapping[str, str | Column]
@@ -42,18 +40,27 @@ def _attach(df: DataFrame, small: DataFrame, keys: Sequence[str], how: str) -> D
     return df.join(F.broadcast(renamed), same, how).drop(*[f"_s_{k}" for k in keys])
 
 
+def _slices(rows: int, per_slice: int) -> int:
+    return min(MAX_SLICES, max(2, -(-rows // per_slice)))
+
+
 @dataclass(frozen=True)
 class Timeline:
     """How the rows of a frame are laid out for windows over one key and order.
 
-    ``df`` carries a slice number only if some key is hot: 0 for every other key, 1.. along a hot one. Frames
-    derived from ``df`` by filters or projections can be passed to :meth:`add` and share its exchange.
+    ``df`` carries a slice number only if some key is hot, and ``cut`` then holds the keys that lie in more than
+    one slice. Frames derived from ``df`` by filters or projections can be passed to :meth:`add` and share its
+    exchange.
     """
 
     df: DataFrame
     keys: tuple[str, ...]
     order: tuple[str, ...]
-    sliced: bool
+    cut: DataFrame | None = None
+
+    @property
+    def sliced(self) -> bool:
+        return self.cut is not None
 
     @staticmethod
     def of(
@@ -61,40 +68,23 @@ class Timeline:
         keys: Sequence[str],
         order: Sequence[str],
         hot_rows: int = HOT_ROWS,
-        max_slices: int = MAX_SLICES,
         count_on: DataFrame | None = None,
     ) -> "Timeline":
-        """Look for hot keys, which runs one narrow aggregate, and cut their timelines.
+        """Look for hot keys, which runs one narrow aggregate, and slice the frame if there is one.
 
-        ``count_on`` is a cheaper frame to look at first: one with the same keys and at least as many rows of
-        each, such as the table ``df`` was derived from. If it has no hot key, ``df`` has none.
+        ``count_on`` is a cheaper frame to look at: one with the same keys and at least as many rows of each,
+        such as the table ``df`` was derived from.
         """
         by = [named(k) for k in keys]
-
-        def hot_in(rows: DataFrame) -> tuple[DataFrame, int]:
-            hot = rows.groupBy(*by).agg(F.count(F.lit(1)).alias("_n")).filter(F.col("_n") > hot_rows)
-            return hot, hot.agg(F.sum("_n")).first()[0] or 0
-
-        plain = Timeline(df, tuple(keys), tuple(order), False)
-        if count_on is not None and not hot_in(count_on)[1]:
-            return plain
-        hot, total = hot_in(df)
-        if not total:
-            return plain
-        per_slice = max(hot_rows, -(-4 * total // SLICE_LIMIT))
-        parts = F.least(F.ceil(F.col("_n") / per_slice).cast("int") * 2, F.lit(max_slices))
-        hot = hot.filter(F.col("_n") > per_slice).withColumn("_parts", parts)
-        cuts = materialise(_cut_points(df, keys, order, hot), "cuts")
-        most = cuts.agg(F.max(F.size("_cuts"))).first()[0]
-        if most is None:
-            return plain
-        if keys:
-            out = _attach(df, cuts, keys, "left")
-        else:
-            out = df.withColumn("_cuts", cuts.select("_cuts").scalar())
-        at = _position(F.col("_cuts"), F.struct(*[named(c) for c in order]), most)
-        out = out.withColumn(SLICE, F.when(F.col("_cuts").isNull(), F.lit(0)).otherwise(at + 1)).drop("_cuts")
-        return Timeline(out, tuple(keys), tuple(order), True)
+        sizes = (df if count_on is None else count_on).groupBy(*by).agg(F.count(F.lit(1)).alias("_n"))
+        rows, most = sizes.agg(F.coalesce(F.sum("_n"), F.lit(0)), F.coalesce(F.max("_n"), F.lit(0))).first()
+        if most <= hot_rows:
+            return Timeline(df, tuple(keys), tuple(order))
+        ranged = df.repartitionByRange(_slices(2 * rows, hot_rows), *by, *[named(c) for c in order])
+        staged = materialise(ranged.withColumn(SLICE, F.spark_partition_id()), "slices")
+        spans = staged.groupBy(*by).agg(F.min(SLICE).alias("_lo"), F.max(SLICE).alias("_hi"))
+        cut = materialise(spans.filter("_lo < _hi").select(*by, "_lo"), "cut-keys")
+        return Timeline(staged, tuple(keys), tuple(order), cut)
 
     def add(
         self,
@@ -128,12 +118,11 @@ class Timeline:
             added[f"_mark_{alias}"] = F.last(as_columns([c])[0], ignorenulls=True).over(later)
         out = df.withColumns(added)
         if self.sliced:
-            borders = self._borders(df, previous, following, next_marked)
+            borders = self._borders(df, previous, following, next_marked, bool(rank or reverse_rank))
             out = _attach(out, borders, [*self.keys, SLICE], "left")
 
-        def joined(own: str, border: str, default: Column | None = None) -> Column:
-            options = [F.col(own)] + ([F.col(border)] if self.sliced else []) + ([default] if default is not None else [])
-            return F.coalesce(*options)
+        def joined(own: str, border: str) -> Column:
+            return F.coalesce(own, border) if self.sliced else F.col(own)
 
         final: dict[str, Column] = {}
         for alias in previous or {}:
@@ -149,29 +138,49 @@ class Timeline:
         return out.withColumns(final).drop(*[h for h in helpers if h not in final])
 
     def _borders(
-        self, df: DataFrame, previous: Columns | None, following: Columns | None, next_marked: Columns | None
+        self, df: DataFrame, previous: Columns | None, following: Columns | None, next_marked: Columns | None, counted: bool
     ) -> DataFrame:
-        """One row per slice of a hot key: what its rows need from the slices around it."""
-        point = F.struct(*[named(c) for c in self.order])
-        ends = [F.count(F.lit(1)).alias("_rows")]
+        """One row per slice of a cut key: what its rows need from the slices around it.
+
+        The row at an end of a slice comes from ``row_number() = 1``, which each map task cuts down to one row
+        per slice before the exchange.
+        """
+        by = [named(k) for k in self.keys]
+        rows = _attach(df, self.cut, self.keys, "left_semi") if self.keys else df
+        up_in, down_in = [named(c).asc() for c in self.order], [named(c).desc() for c in self.order]
+
+        def end(of: DataFrame, value: Column, name: str, order: list[Column]) -> DataFrame:
+            w = Window.partitionBy(*by, SLICE).orderBy(*order)
+            return of.withColumn("_rn", F.row_number().over(w)).filter("_rn = 1").select(*by, SLICE, value.alias(name))
+
+        parts = []
+        if counted:
+            parts.append(rows.groupBy(*by, SLICE).agg(F.count(F.lit(1)).alias("_rows")))
         if previous:
-            ends.append(F.max_by(_packed(previous), point).alias("_last"))
+            parts.append(end(rows, _packed(previous), "_last", down_in))
         if following:
-            ends.append(F.min_by(_packed(following), point).alias("_first"))
+            parts.append(end(rows, _packed(following), "_first", up_in))
         for alias, c in (next_marked or {}).items():
             mark = as_columns([c])[0]
-            ends.append(F.min_by(mark, F.when(mark.isNotNull(), point)).alias(f"_first_{alias}"))
-        by = [named(k) for k in self.keys]
-        edge = df.filter(F.col(SLICE) > 0).groupBy(*by, SLICE).agg(*ends)
+            parts.append(end(rows.filter(mark.isNotNull()), mark, f"_first_{alias}", up_in))
+        if not counted and not previous and not following:
+            parts.append(rows.groupBy(*by, SLICE).agg(F.count(F.lit(1)).alias("_rows")))
+        both = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), parts)
+        values = [c for c in both.columns if c not in (*self.keys, SLICE)]
+        edge = both.groupBy(*by, SLICE).agg(*[F.first(v, ignorenulls=True).alias(v) for v in values])
+
         up = Window.partitionBy(*by).orderBy(SLICE)
         down = Window.partitionBy(*by).orderBy(F.col(SLICE).desc())
         before = up.rowsBetween(Window.unboundedPreceding, -1)
         after = down.rowsBetween(Window.unboundedPreceding, -1)
-        cols = {"_border_before": F.sum("_rows").over(before), "_border_after": F.sum("_rows").over(after)}
+        cols: dict[str, Column] = {}
+        if counted:
+            cols["_border_before"] = F.sum("_rows").over(before)
+            cols["_border_after"] = F.sum("_rows").over(after)
         if previous:
-            cols["_border_prev"] = F.lag("_last").over(up)
+            cols["_border_prev"] = F.last("_last", ignorenulls=True).over(before)
         if following:
-            cols["_border_next"] = F.lead("_first").over(up)
+            cols["_border_next"] = F.last("_first", ignorenulls=True).over(after)
         for alias in next_marked or {}:
             cols[f"_border_mark_{alias}"] = F.last(f"_first_{alias}", ignorenulls=True).over(after)
         return edge.select(*by, SLICE, *[c.alias(a) for a, c in cols.items()])
@@ -182,42 +191,6 @@ def _packed(cols: Columns) -> Column:
     return F.struct(*[c.alias(a) for a, c in zip(cols, as_columns(list(cols.values())))])
 
 
-def _cut_points(df: DataFrame, keys: Sequence[str], order: Sequence[str], hot: DataFrame) -> DataFrame:
-    """One row per hot key with its sorted cut points.
-
-    The points come from a hash-chosen part of the rows: about 64 per wanted slice, thinned to eight per slice
-    by a maximum per bucket, of which every eighth is kept. The choice depends on the data only.
-    """
-    by = [named(k) for k in keys]
-    probe = df.select(*by, F.struct(*[named(c) for c in order]).alias("_point"))
-    if keys:
-        tagged = _attach(probe, hot, keys, "inner")
-    else:
-        sizes = hot.select(F.struct("_n", "_parts").alias("_h")).scalar()
-        tagged = probe.withColumn("_h", sizes).select("_point", "_h.*")
-    h = F.xxhash64("_point")
-    stride = F.greatest(F.lit(1), F.floor(F.col("_n") / (F.col("_parts") * 64)))
-    bucket = F.pmod(F.xxhash64("_point", F.lit(1)), F.col("_parts") * OVERSAMPLE)
-    thinned = (
-        tagged.filter(F.pmod(h, stride) == 0).groupBy(*by, bucket.alias("_bucket")).agg(F.max_by("_point", h).alias("_point"))
-    )
-    every = F.filter("_all", lambda x, i: F.pmod(i, F.lit(OVERSAMPLE)) == OVERSAMPLE - 1)
-    points = thinned.groupBy(*by).agg(F.sort_array(F.collect_set("_point")).alias("_all"))
-    return points.select(*by, every.alias("_cuts"))
-
-
-def _position(cuts: Column, point: Column, most: int) -> Column:
-    """Number of cut points that are not after the point, by binary search over the sorted array."""
-    steps = F.array(*[F.lit(1 << i) for i in range(max(most, 1).bit_length() - 1, -1, -1)])
-    return F.aggregate(
-        steps,
-        F.lit(0),
-        lambda at, step: F.when(
-            (at + step <= F.size(cuts)) & (F.try_element_at(cuts, at + step) <= point), at + step
-        ).otherwise(at),
-    )
-
-
 def along(
     df: DataFrame,
     keys: Sequence[str],
@@ -231,7 +204,7 @@ def along(
     count_on: DataFrame | None = None,
 ) -> DataFrame:
     """Neighbour values and positions in one call; see :meth:`Timeline.add`."""
-    line = Timeline.of(df, keys, order, hot_rows, count_on=count_on)
+    line = Timeline.of(df, keys, order, hot_rows, count_on)
     return line.add(line.df, previous, following, next_marked, rank, reverse_rank).drop(SLICE)
 
 
@@ -243,10 +216,30 @@ def global_id(
     slice_rows: int = ID_SLICE_ROWS,
     count_on: DataFrame | None = None,
 ) -> DataFrame:
-    """Dense ids ``start + 1 ..`` in the given total order, without sorting a large table in one task."""
-    numbered = along(df, [], order, rank="_id", hot_rows=slice_rows, count_on=count_on)
+    """Dense ids ``start + 1 ..`` in the given total order, without sorting a large table in one task.
+
+    A table of at most ``slice_rows`` rows is numbered by one window. A larger one is range-partitioned and sorted
+    within its partitions; each row then knows its place in its partition, the partitions are counted, and the
+    counts of the partitions before are added. The sorted rows are written once: a second range partitioning
+    would draw other limits.
+    """
     offset = F.lit(start) if isinstance(start, int) else start
-    return numbered.withColumn(name, F.col("_id") + offset.cast("long")).drop("_id")
+    by = [named(c) for c in order]
+    rows = (df if count_on is None else count_on).count()
+    if rows <= slice_rows:
+        place = F.row_number().over(Window.orderBy(*by)).cast("long")
+        return df.withColumn(name, place + offset.cast("long"))
+    ranged = df.repartitionByRange(_slices(rows, slice_rows), *by).sortWithinPartitions(*by)
+    staged = materialise(ranged.withColumn("_at", F.monotonically_increasing_id()), "ordered")
+    # The generated id holds the partition above its 33rd bit and the place within it below.
+    placed = staged.withColumns({"_part": F.shiftright("_at", 33), "_place": F.col("_at") % (1 << 33) + 1})
+    sizes = placed.groupBy("_part").agg(F.count(F.lit(1)).alias("_n"))
+    before = Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = sizes.select("_part", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_before"))
+    numbered = _attach(placed, offsets, ["_part"], "left")
+    return numbered.withColumn(name, F.col("_place") + F.col("_before") + offset.cast("long")).drop(
+        "_at", "_part", "_place", "_before"
+    )
 
 
 def chunk_groups(
