@@ -11,6 +11,7 @@ from pyspark.sql import types as T
 from stratalake.functions import text
 from stratalake.functions.contract import ACTIVE
 from stratalake.functions.keys import as_columns, json_hash, named
+from stratalake.functions.types import nullable
 
 
 # --- headers -------------------------------------------------------------------------------------
@@ -71,7 +72,7 @@ def _cast_to(col: Column, have: T.DataType, want: T.DataType) -> Column:
         return col
     if isinstance(want, T.StringType) and isinstance(have, (T.ArrayType, T.StructType, T.MapType)):
         return F.to_json(col)
-    return col.try_cast(want)
+    return col.try_cast(nullable(want))
 
 
 def cast_to_schema(df: DataFrame, schema: T.StructType) -> DataFrame:
@@ -86,7 +87,7 @@ def cast_to_schema(df: DataFrame, schema: T.StructType) -> DataFrame:
 
 def align_types(source: DataFrame, target: T.StructType) -> DataFrame:
     """Types of the target where it has the column; own columns stay, columns of the target only are ignored."""
-    types = {f.name: f.dataType for f in target.fields}
+    types = {f.name: nullable(f.dataType) for f in target.fields}
     return source.select(*[named(c).try_cast(types[c]).alias(c) if c in types else named(c) for c in source.columns])
 
 

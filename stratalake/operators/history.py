@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 from stratalake.functions.contract import ACTIVE, HISTORY, INACTIVE, HistoryColumns
 from stratalake.functions.keys import as_columns, named, order_row_id, row_id, state_hash
 from stratalake.functions.temporal import microsecond_after
+from stratalake.functions.types import nullable
 from stratalake.functions.text import blank_to_null
 from stratalake.operators.joins import flag_exists, without
 from stratalake.operators.latest import first_per_key, latest_per_key
@@ -91,7 +92,7 @@ def snapshot_history(
     """
     constants = dict(constants or {})
     out_cols = [c for c in current.columns]
-    types = {f.name: f.dataType for f in current.schema.fields}
+    types = {f.name: nullable(f.dataType) for f in current.schema.fields}
     new = snapshot.filter(named(key).isNotNull()).withColumn(cols.row_id, row_id(hash_cols)).withColumns(constants)
     fresh = {cols.valid_to: F.lit(None), cols.active: F.lit(ACTIVE)}
     new_row = F.struct(
@@ -103,7 +104,8 @@ def snapshot_history(
     incoming = new.select(named(key).alias("_key"), new_row.alias("_new"))
     open_rows = F.coalesce((named(cols.active) == ACTIVE) & named(key).isNotNull(), F.lit(False))
     active = current.filter(open_rows).select(
-        named(key).alias("_key_old"), F.struct(*as_columns(out_cols)).alias("_old")
+        named(key).alias("_key_old"),
+        F.struct(*[named(c).cast(types[c]).alias(c) for c in out_cols]).alias("_old"),
     )
     changed = ~F.col("_new").getField(cols.row_id).eqNullSafe(F.col("_old").getField(cols.row_id))
     has_new, has_old = F.col("_new").isNotNull(), F.col("_old").isNotNull()

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from stratalake.functions.contract import ACTIVE, HISTORY, INACTIVE, HistoryColumns
 from stratalake.functions.keys import as_columns, json_hash, named
+from stratalake.functions.types import nullable
 from stratalake.operators.joins import within, without
 from stratalake.session import materialise
 
@@ -57,8 +58,8 @@ def merge_actions(
     """
     _require(keys, target.columns, "target")
     _require([*keys, action], changes.columns, "changes")
-    fields = {f.name: f.dataType for f in changes.schema.fields if f.name != action}
-    fields.update({f.name: f.dataType for f in target.schema.fields})
+    fields = {f.name: nullable(f.dataType) for f in changes.schema.fields if f.name != action}
+    fields.update({f.name: nullable(f.dataType) for f in target.schema.fields})
     values = [c for c in changes.columns if c != action]
     checked = changes.withColumn("_action", checked_action(action))
     filled = reduce(lambda a, b: a & b, [named(k).isNotNull() for k in keys])
@@ -79,7 +80,7 @@ def merge_actions(
     joined = target.join(edits, same, "left").filter(stays)
     kept = []
     for name, dtype in fields.items():
-        old = named(name) if name in target.columns else F.lit(None).cast(dtype)
+        old = (named(name) if name in target.columns else F.lit(None)).cast(dtype)
         touched = name in values and (not update_cols or name in update_cols)
         new = F.col("_src").getField(name).cast(dtype) if touched else None
         kept.append((old if new is None else F.when(updates, new).otherwise(old)).alias(name))
@@ -161,7 +162,7 @@ def hash_upsert(new: DataFrame, existing: DataFrame | None, key: str, action: st
 def aligned_upsert(new: DataFrame, existing: DataFrame, key: str, action: str = "row_action") -> DataFrame:
     """Upsert restricted to the columns both tables have, in the types of the existing one."""
     common = [c for c in existing.columns if c in new.columns]
-    shaped = new.select(*[named(c).cast(existing.schema[c].dataType).alias(c) for c in common])
+    shaped = new.select(*[named(c).cast(nullable(existing.schema[c].dataType)).alias(c) for c in common])
     changes = materialise(label_changes(shaped, existing, key, action, common), "changes")
     return merge_actions(existing, changes, [key], action)
 

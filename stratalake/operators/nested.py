@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 
 from stratalake.functions.keys import as_columns, named
 from stratalake.functions.text import blank_to_null
+from stratalake.functions.types import nullable
 
 
 def explode_flatten(df: DataFrame, array: str, fields: Mapping[str, str] | Sequence[str]) -> DataFrame:
@@ -50,7 +51,7 @@ def attach_array(df: DataFrame, arrays: DataFrame, keys: Mapping[str, str], name
     for i, own in enumerate(keys):
         c = named(own) == F.col(f"_k{i}")
         cond = c if cond is None else cond & c
-    out = df.join(side, cond, "left").withColumn(name, F.coalesce("_arr", F.array().cast(arrays.schema[name].dataType)))
+    out = df.join(side, cond, "left").withColumn(name, F.coalesce("_arr", F.array().cast(nullable(arrays.schema[name].dataType))))
     return out.drop("_arr", *[f"_k{i}" for i in range(len(keys))])
 
 

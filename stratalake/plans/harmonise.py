@@ -24,6 +24,7 @@ from stratalake.functions.contract import (
 )
 from stratalake.functions.keys import as_columns, composite_key, incremental_key, named, row_id, row_id_ws
 from stratalake.functions.temporal import iso_midnight, minute_text
+from stratalake.functions.types import nullable
 from stratalake.operators import conform, history, joins, latest, merge, nested
 from stratalake.operators.ingest import new_messages
 from stratalake.session import materialise
@@ -80,7 +81,7 @@ def versions_of(
 
 def _union(messages: DataFrame, legacy: DataFrame) -> DataFrame:
     """Message rows and legacy rows in the columns of the message rows."""
-    types = {f.name: f.dataType for f in messages.schema.fields}
+    types = {f.name: nullable(f.dataType) for f in messages.schema.fields}
     aligned = legacy.select(
         *[
             (named(c).try_cast(t) if c in legacy.columns else F.lit(None).cast(t)).alias(c)

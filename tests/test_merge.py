@@ -149,3 +149,10 @@ def test_tables_grow_columns_and_swap(spark):
     assert spark.table("t_sinks.grow").isEmpty()
     with pytest.raises(ValueError, match="unknown kind"):
         sinks.write_all([sinks.WriteSpec(spark.range(1), "x", "nowhere")])
+
+
+def test_merge_takes_nested_values_whether_nulls_are_promised_or_not(spark):
+    strict = spark.range(2).select("id", F.array(F.struct(F.lit(1).alias("a"))).alias("v"))
+    loose = spark.createDataFrame([(1, [(2,)], "update"), (5, [None], "create")], "id bigint, v array<struct<a: int>>, act string")
+    assert merge.merge_actions(strict, loose, ["id"], "act").count() == 3
+    assert merge.hash_upsert(strict, loose.drop("act"), "id").count() == 3
