@@ -534,7 +534,7 @@ def invoice_changes(project_versions: DataFrame, existing: DataFrame, now: Colum
 
 
 def invoices(project_versions: DataFrame, existing: DataFrame, now: Column) -> DataFrame:
-    changes = invoice_changes(project_versions, existing, now)
+    changes = materialise(invoice_changes(project_versions, existing, now), "invoice-changes")
     return merge.merge_actions(existing, changes, ["NSIPInvoiceID"], "row_action", INVOICE_UPDATES)
 
 

@@ -394,7 +394,7 @@ def append_rerank(t: Tables) -> DataFrame:
 def append_rerank_merged(t: Tables) -> DataFrame:
     """The changes applied: old rows get four columns, new rows are inserted."""
     old, changes = _append_rerank(t)
-    return merge.merge_actions(old, changes, ["InvoiceID"], "row_action", ["IsActive", "ValidTo", "Migrated", "RowID"])
+    return merge.merge_actions(old, materialise(changes, "changes"), ["InvoiceID"], "row_action", ["IsActive", "ValidTo", "Migrated", "RowID"])
 
 
 # --- change messages and merges ------------------------------------------------------------------

@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 
 from stratalake.functions.keys import named
 from stratalake.operators.merge import merge_actions
+from stratalake.session import materialise
 
 
 # Text formats keep microseconds; their defaults cut times to milliseconds.
@@ -114,13 +115,18 @@ def merge_table(
     fmt: str = "parquet",
     partition_by: Sequence[str] = (),
 ) -> None:
-    """Apply actions to a table. The first load creates it from the rows that are not deletes."""
+    """Apply actions to a table. The first load creates it from the rows to create.
+
+    The changes are written to the shared folder once: the merge reads them several times, and their own lineage
+    may be long.
+    """
     spark = changes.sparkSession
     if not table_exists(spark, table):
         first = changes.filter(F.lower(named(action)).isin("create", "created")).drop(action)
         write_table(first, table, fmt=fmt, partition_by=partition_by)
         return
-    swap_table(merge_actions(spark.table(table), changes, keys, action, update_cols), table, fmt, partition_by)
+    once = materialise(changes, "changes")
+    swap_table(merge_actions(spark.table(table), once, keys, action, update_cols), table, fmt, partition_by)
 
 
 def create_from_labelled(df: DataFrame, table: str, action: str, fmt: str = "parquet") -> None:
