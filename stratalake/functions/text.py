@@ -8,6 +8,7 @@ from functools import reduce
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
+from pyspark.sql.types import DataType
 
 from stratalake.functions.keys import as_columns
 
@@ -152,6 +153,6 @@ def usable_key(col: str | Column) -> Column:
     return _c(col).isNotNull() & (c != "") & ~c.isin('"', "'")
 
 
-def quoted_json(col: str | Column, schema: str) -> Column:
+def quoted_json(col: str | Column, schema: str | DataType) -> Column:
     """Parse text that writes JSON with single quotes."""
     return F.from_json(F.regexp_replace(_c(col), "'", '"'), schema)

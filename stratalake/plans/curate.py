@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from stratalake.functions import text
-from stratalake.functions.contract import ACTIVE, LEGACY_SOURCE, MESSAGE_SOURCE
+from stratalake.functions.contract import ACTIVE, HISTORY, LEGACY_SOURCE, MESSAGE_SOURCE
 from stratalake.functions.keys import as_columns, named
 from stratalake.functions.temporal import not_before, utc_to_local
 from stratalake.operators import conform, joins, latest, merge, nested
@@ -174,7 +174,9 @@ def exam_timetable(history: DataFrame, projects: DataFrame) -> DataFrame:
 
 # --- meetings, invoices, subscriptions -----------------------------------------------------------
 
-MEETING = "caseId caseReference meetingAgenda planningInspectorateRole meetingId meetingDate meetingType".split()
+MEETING_FIRST = ["caseId", "caseReference"]
+MEETING_LAST = ["meetingId", "meetingDate", "meetingType"]
+MEETING_LEFT_OUT = HISTORY.names() | {"NSIPMeetingId", "NSIPProjectInfoInternalID", "row_hash"}
 INVOICE = (
     "caseId caseReference invoiceStage invoiceNumber amountDue paymentDueDate invoicedDate paymentDate "
     "refundCreditNoteNumber refundAmount refundIssueDate"
@@ -183,7 +185,10 @@ SUBSCRIPTION = "subscriptionId caseReference emailAddress subscriptionType start
 
 
 def meetings(history: DataFrame) -> DataFrame:
-    rows = active_rows(history, MEETING, distinct=False).filter("meetingId IS NOT NULL")
+    """The newest date of every active meeting, with the details of a meeting between its case and its id."""
+    fixed = {*MEETING_FIRST, *MEETING_LAST, *MEETING_LEFT_OUT}
+    columns = [*MEETING_FIRST, *[c for c in history.columns if c not in fixed], *MEETING_LAST]
+    rows = active_rows(history, columns, distinct=False).filter("meetingId IS NOT NULL")
     return latest.latest_per_key(rows, ["meetingId"], ["meetingDate", "caseId", "meetingAgenda", "meetingType"])
 
 

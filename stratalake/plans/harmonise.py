@@ -437,20 +437,15 @@ def exam_timetable(messages: DataFrame, legacy: DataFrame, publish_states: DataF
     )
 
 
-# The two nested columns of a project, and its person lists with their names in the history.
+# The invoices of a project, and its person lists with their names in the history.
 INVOICE_FIELDS = (
     "invoiceStage invoiceNumber amountDue paymentDueDate invoicedDate paymentDate refundCreditNoteNumber refundAmount "
     "refundIssueDate"
 ).split()
-MEETING_FIELDS = "meetingId meetingAgenda planningInspectorateRole meetingDate meetingType".split()
 INVOICES_TYPE = (
     "array<struct<invoiceStage:string,invoiceNumber:string,amountDue:double,paymentDueDate:string,invoicedDate:string,"
     "paymentDate:string,refundCreditNoteNumber:string,refundAmount:double,refundIssueDate:string>>"
 )
-MEETINGS_TYPE = (
-    "array<struct<meetingId:string,meetingAgenda:string,planningInspectorateRole:string,meetingDate:string,"
-    "meetingType:string>>"
-)
 PROJECT_LISTS = {
     "region": "regions",
     "nsipOfficerIds": "nsipOfficerIds",
@@ -469,7 +464,8 @@ def projects(messages: DataFrame, legacy: DataFrame, row_id_cols: Sequence[str]
     """Project versions of both systems.
 
     Legacy rows count until their case first came as a message. Their person columns, delivered one per row, are
-    folded into one list per case and load. The row id covers all listed columns, or all business columns.
+    folded into one list per case and load, and their nested columns, delivered as text, are parsed into the types
+    of the messages. The row id covers all listed columns, or all business columns.
     """
     before = joins.without_from(legacy, messages.withColumnRenamed("caseId", "HorizonCaseNumber"), "HorizonCaseNumber", "IngestionDate", "IngestionDate")
     listed = {c: a for c, a in PROJECT_LISTS.items() if c in before.columns}
@@ -478,8 +474,8 @@ def projects(messages: DataFrame, legacy: DataFrame, row_id_cols: Sequence[str]
     folded = before.select(*as_columns(rest)).distinct().join(lists, ["caseId", "IngestionDate"])
     parsed = folded.withColumns(
         {
-            c: text.quoted_json(named(c).cast("string"), t)
-            for c, t in (("invoices", INVOICES_TYPE), ("meetings", MEETINGS_TYPE))
+            c: text.quoted_json(named(c).cast("string"), nullable(messages.schema[c].dataType))
+            for c in ("invoices", "meetings")
             if c in folded.columns
         }
     )
@@ -494,14 +490,15 @@ def meetings(project_versions: DataFrame, target: DataFrame | None) -> DataFrame
         "NSIPProjectInfoInternalID caseId caseReference meetings Migrated ODTSourceSystem SourceSystemID IngestionDate"
     ).split()
     rows = project_versions.filter("meetings IS NOT NULL").select(*kept)
-    flat = nested.explode_flatten(rows, "meetings", MEETING_FIELDS).filter("meetingId IS NOT NULL")
+    fields = [f.name for f in rows.schema["meetings"].dataType.elementType.fields]
+    flat = nested.explode_flatten(rows, "meetings", fields).filter("meetingId IS NOT NULL")
     if target is not None:
         flat = conform.align_types(flat, target.schema)
     return history.incremental_history(
         flat,
         target,
         ["caseId", "meetingId"],
-        ["meetingAgenda", "planningInspectorateRole", "meetingType", "meetingDate"],
+        [f for f in fields if f not in ("meetingId", "meetingDate")] + ["meetingDate"],
         "NSIPMeetingId",
         ["NSIPProjectInfoInternalID"],
     )
@@ -558,9 +555,18 @@ def directory_users(standardised: DataFrame, current: DataFrame, source_system:
 
 
 def hr_inspectors(
-    live: DataFrame, specialisms: DataFrame, directory: DataFrame, address: DataFrame, hr: DataFrame
+    live: DataFrame,
+    specialisms: DataFrame,
+    directory: DataFrame,
+    address: DataFrame,
+    hr: DataFrame,
+    key: str,
+    email: str,
 ) -> DataFrame:
-    """Inspectors from the staff systems: one row per live inspector with nested address and specialisms."""
+    """Inspectors from the staff systems: one row per live inspector with nested address and specialisms.
+
+    ``key`` and ``email`` name the staff number and the address in the live table.
+    """
     current = specialisms.filter("Current = 1") if "Current" in specialisms.columns else specialisms
     skills = latest.latest_per_key(current, ["StaffNumber", "QualificationName"], ["ValidFrom", "Proficien"])
     arrays = nested.collect_structs(
@@ -573,7 +579,6 @@ def hr_inspectors(
     homes = latest.latest_per_key(address, ["StaffNumber"], ["IngestionDate", "StreetandHouseNumber"])
     posts = latest.latest_per_key(hr, ["PersNo"], ["ingestionDate", "Position1"])
     base = live.filter("active_status <> 'NON-ACTIVE'")
-    key = "pins_staff_number"
     joined = joins.enrich_star(
         nested.attach_array(base, arrays, {key: "StaffNumber"}, "specialisms"),
         [
@@ -607,7 +612,7 @@ def hr_inspectors(
     return joined.select(
         "entraId",
         named(key).alias("sapId"),
-        named("pins_email_address").alias("email"),
+        named(email).alias("email"),
         named("given_names").alias("firstName"),
         named("family_name").alias("lastName"),
         iso_midnight("date_in").alias("validFrom"),

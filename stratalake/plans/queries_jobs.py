@@ -643,6 +643,9 @@ def h7_exam_timetable(t: Tables) -> DataFrame:
     return naive(out, "IngestionDate", "ValidTo")
 
 
+MEETINGS_TYPE = "array<struct<meetingId:string,meetingAgenda:string,meetingDate:string,meetingType:string>>"
+
+
 def _project_versions(t: Tables) -> DataFrame:
     """Urgent orders are project versions sent as messages; the others are legacy versions with one row per line."""
     book = {"ODTSourceSystem": F.lit("ODT"), "SourceSystemID": F.lit("7"), "ValidTo": F.lit(None).cast("string"), "RowID": F.lit("")}
@@ -655,7 +658,7 @@ def _project_versions(t: Tables) -> DataFrame:
         F.array(F.lit("sent")).alias("regions"),
         F.array().cast("array<string>").alias("inspectorIds"),
         F.lit(None).cast(H.INVOICES_TYPE).alias("invoices"),
-        F.lit(None).cast(H.MEETINGS_TYPE).alias("meetings"),
+        F.lit(None).cast(MEETINGS_TYPE).alias("meetings"),
         F.timestamp_micros(F.unix_micros(F.col("o_orderdate").cast("timestamp")) + F.col("o_orderkey")).alias("IngestionDate"),
         *[c.alias(n) for n, c in book.items()],
     )
@@ -809,8 +812,8 @@ def _hr_inspectors(t: Tables) -> DataFrame:
     number = lambda c: F.concat(F.lit("00"), F.col(c).cast("string"))
     key = number("c_custkey")
     live = t.customer.select(
-        key.alias("pins_staff_number"),
-        F.concat("c_name", F.lit("@example.com")).alias("pins_email_address"),
+        key.alias("staff_number"),
+        F.concat("c_name", F.lit("@example.com")).alias("email_address"),
         F.col("c_mktsegment").alias("given_names"),
         F.col("c_name").alias("family_name"),
         F.lit("2020-01-01").alias("date_in"),
@@ -843,7 +846,7 @@ def _hr_inspectors(t: Tables) -> DataFrame:
         *[F.lit(None).cast("string").alias(c) for c in ("FTE", "PersonnelArea", "PersonnelSubArea", "OrganizationalUnit", "NameofManagerOM", "SourceSystemID")],
         F.concat(F.col("o_orderdate").cast("string"), F.lit("#"), F.lpad(F.col("o_orderkey").cast("string"), 12, "0")).alias("ingestionDate"),
     )
-    return H.hr_inspectors(live, specialisms, directory, address, hr)
+    return H.hr_inspectors(live, specialisms, directory, address, hr, "staff_number", "email_address")
 
 
 HR_SQL = """
