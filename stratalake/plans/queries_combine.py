@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from stratalake.functions import masks
-from stratalake.operators import joins, latest, nested
+from stratalake.operators import joins, nested
 from stratalake.operators.ordered import along, chunk_groups, global_id
 from stratalake.plans.registry import Tables, query
 
