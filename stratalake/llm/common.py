@@ -5,6 +5,7 @@ from __future__ import annotations
 import io
 import zipfile
 from collections.abc import Iterable, Iterator
+from contextlib import contextmanager
 from pathlib import Path
 
 import numpy as np
@@ -60,6 +61,18 @@ def remove(spark: SparkSession, *paths: str) -> None:
         where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(where, True)
 
 
+@contextmanager
+def tidy_shuffles(spark: SparkSession) -> Iterator[None]:
+    """Within it, each job's shuffle files go when the job ends, as its result is a written table."""
+    key = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+    before = spark.conf.get(key, None)
+    spark.conf.set(key, "true")
+    try:
+        yield
+    finally:
+        spark.conf.unset(key) if before is None else spark.conf.set(key, before)
+
+
 def texts_of(column: pa.Array | pa.ChunkedArray) -> Iterator[bytes]:
     """UTF-8 of each value without a detour over Python strings; null gives empty bytes."""
     for part in column.chunks if isinstance(column, pa.ChunkedArray) else [column]:
