@@ -46,7 +46,7 @@ def rank_history(
     hash_null: str = ".",
     cols: HistoryColumns = HISTORY,
     hot_rows: int = HOT_ROWS,
-    id_slice_rows: int = ID_SLICE_ROWS,
+    id_slice_rows: int | None = ID_SLICE_ROWS,
 ) -> DataFrame:
     """History by rank: the newest row of a key is active, every other row ends where the next one begins.
 
@@ -86,7 +86,8 @@ def snapshot_history(
 
     A new key is inserted; a changed key is inserted and its active row ends the day before the snapshot (or at
     ``closed_at``); an unchanged key and all past rows stay. A key missing from the snapshot stays active: use
-    :func:`close_deleted` where absence means deletion. The snapshot has one row per key; null keys are no keys.
+    :func:`close_deleted` where absence means deletion. The snapshot has one row per key, or the query fails; null
+    keys are no keys.
 
     One full join decides everything: each side is exchanged once, and each pair gives back the rows it needs.
     """
@@ -102,6 +103,10 @@ def snapshot_history(
         ]
     )
     incoming = new.select(named(key).alias("_key"), new_row.alias("_new"))
+    # Counted in the exchange that the join needs anyway.
+    incoming = incoming.groupBy("_key").agg(F.count(F.lit(1)).alias("_copies"), F.first("_new").alias("_new"))
+    twice = F.raise_error(F.concat(F.lit("snapshot: more than one row for key "), F.col("_key").cast("string"))).cast("boolean")
+    incoming = incoming.filter(F.when(F.col("_copies") > 1, twice).otherwise(F.lit(True))).drop("_copies")
     open_rows = F.coalesce((named(cols.active) == ACTIVE) & named(key).isNotNull(), F.lit(False))
     active = current.filter(open_rows).select(
         named(key).alias("_key_old"),
@@ -123,7 +128,7 @@ def snapshot_history(
 
 
 def renumber(
-    df: DataFrame, id_name: str, tie: Sequence[str], slice_rows: int = ID_SLICE_ROWS
+    df: DataFrame, id_name: str, tie: Sequence[str], slice_rows: int | None = ID_SLICE_ROWS
 ) -> DataFrame:
     """Dense ids: rows that have one first, in their order, then the new rows in the order of ``tie``."""
     ordered = df.withColumn("_new_row", named(id_name).isNull()).withColumn("_old_id", named(id_name))
@@ -193,7 +198,8 @@ def close_by(
     key are never paired with each other. ``count_on`` has the keys and at least as many rows of each as ``a``.
     """
     time = cols.valid_from
-    marks = b.filter(named(cols.active) == ACTIVE).select(*as_columns(keys), named(time).alias("_at")).distinct()
+    marks = b.filter(named(cols.active) == ACTIVE).select(*as_columns(keys), named(time).alias("_at"))
+    marks = marks.dropna(subset=list(keys)).distinct()  # a null key is no key and closes nothing
     ours = a.select(
         *[named(k).alias(f"_k{i}") for i, k in enumerate(keys)],
         named(time).alias("_at"),
@@ -256,7 +262,7 @@ def incremental_history(
     tie: Sequence[str],
     cols: HistoryColumns = HISTORY,
     hot_rows: int = HOT_ROWS,
-    id_slice_rows: int = ID_SLICE_ROWS,
+    id_slice_rows: int | None = ID_SLICE_ROWS,
 ) -> DataFrame:
     """New state of a history after its source was read again in full.
 
@@ -314,7 +320,7 @@ def _versions(
     start: Column,
     cols: HistoryColumns,
     hot_rows: int,
-    id_slice_rows: int,
+    id_slice_rows: int | None,
 ) -> DataFrame:
     ahead = along(df, keys, order, following={"_until": cols.valid_from, "_has_next": F.lit(True)}, hot_rows=hot_rows)
     out = ahead.withColumns({cols.valid_to: F.col("_until"), cols.active: _flag(F.col("_has_next").isNull())})
@@ -334,7 +340,7 @@ def append_rerank(
     action: str = "row_action",
     cols: HistoryColumns = HISTORY,
     hot_rows: int = HOT_ROWS,
-    id_slice_rows: int = ID_SLICE_ROWS,
+    id_slice_rows: int | None = ID_SLICE_ROWS,
 ) -> DataFrame:
     """Changes that append the rows newer than anything loaded and rank the whole table again.
 

@@ -7,8 +7,8 @@ cuts a hot key into slices of even size, and written to the shared folder once,
 every retried task sees the same slices. Each slice is windowed on its own, and what crosses a slice border
 comes from a table with one row per slice of a cut key.
 
-Two slices share at most one key, so the table of borders has at most two rows per slice, and the number of
-slices never exceeds ``MAX_SLICES``: it is broadcast whatever the size of the data.
+Two slices share at most one key, so the table of borders has at most two rows per slice. It is joined by key and
+slice and written first, so that its size is known and decides whether it is broadcast.
 
 The order columns must name a row uniquely within its key; ties beyond them have no defined order.
 """
@@ -26,22 +26,22 @@ from stratalake.functions.keys import as_columns, named
 from stratalake.session import materialise
 
 HOT_ROWS = 2_000_000
-ID_SLICE_ROWS = 250_000
-MAX_SLICES = 32_768
+#: Rows per slice for dense ids; none leaves the number of slices to the session's shuffle partitions.
+ID_SLICE_ROWS: int | None = None
 SLICE = "_slice"
 
 Columns = Mapping[str, str | Column]
 
 
 def _attach(df: DataFrame, small: DataFrame, keys: Sequence[str], how: str) -> DataFrame:
-    """Null-safe equi-join to a table of bounded size; the key columns of the small side are dropped."""
+    """Null-safe equi-join; the key columns of the right side are dropped."""
     renamed = small.withColumnsRenamed({k: f"_s_{k}" for k in keys})
     same = reduce(lambda a, b: a & b, [named(k).eqNullSafe(named(f"_s_{k}")) for k in keys])
-    return df.join(F.broadcast(renamed), same, how).drop(*[f"_s_{k}" for k in keys])
+    return df.join(renamed, same, how).drop(*[f"_s_{k}" for k in keys])
 
 
 def _slices(rows: int, per_slice: int) -> int:
-    return min(MAX_SLICES, max(2, -(-rows // per_slice)))
+    return max(2, -(-rows // per_slice))
 
 
 @dataclass(frozen=True)
@@ -118,7 +118,7 @@ class Timeline:
             added[f"_mark_{alias}"] = F.last(as_columns([c])[0], ignorenulls=True).over(later)
         out = df.withColumns(added)
         if self.sliced:
-            borders = self._borders(df, previous, following, next_marked, bool(rank or reverse_rank))
+            borders = materialise(self._borders(df, previous, following, next_marked, bool(rank or reverse_rank)), "borders")
             out = _attach(out, borders, [*self.keys, SLICE], "left")
 
         def joined(own: str, border: str) -> Column:
@@ -213,30 +213,27 @@ def global_id(
     order: Sequence[str],
     name: str,
     start: int | Column = 0,
-    slice_rows: int = ID_SLICE_ROWS,
+    slice_rows: int | None = ID_SLICE_ROWS,
     count_on: DataFrame | None = None,
 ) -> DataFrame:
-    """Dense ids ``start + 1 ..`` in the given total order, without sorting a large table in one task.
+    """Dense ids ``start + 1 ..`` in the given total order, by one plan at every size and never in one task.
 
-    A table of at most ``slice_rows`` rows is numbered by one window. A larger one is range-partitioned and sorted
-    within its partitions; each row then knows its place in its partition, the partitions are counted, and the
-    counts of the partitions before are added. The sorted rows are written once: a second range partitioning
-    would draw other limits.
+    The table is range-partitioned and sorted within its partitions; each row then knows its place in its
+    partition, the partitions are counted, and the counts of the partitions before are added. Only those counts,
+    one row per partition, are broadcast. The sorted rows are written once: a second range partitioning would
+    draw other limits. ``slice_rows`` asks for partitions of so many rows, which takes a count.
     """
     offset = F.lit(start) if isinstance(start, int) else start
     by = [named(c) for c in order]
-    rows = (df if count_on is None else count_on).count()
-    if rows <= slice_rows:
-        place = F.row_number().over(Window.orderBy(*by)).cast("long")
-        return df.withColumn(name, place + offset.cast("long"))
-    ranged = df.repartitionByRange(_slices(rows, slice_rows), *by).sortWithinPartitions(*by)
+    slices = [] if slice_rows is None else [_slices((df if count_on is None else count_on).count(), slice_rows)]
+    ranged = df.repartitionByRange(*slices, *by).sortWithinPartitions(*by)
     staged = materialise(ranged.withColumn("_at", F.monotonically_increasing_id()), "ordered")
     # The generated id holds the partition above its 33rd bit and the place within it below.
     placed = staged.withColumns({"_part": F.shiftright("_at", 33), "_place": F.col("_at") % (1 << 33) + 1})
     sizes = placed.groupBy("_part").agg(F.count(F.lit(1)).alias("_n"))
     before = Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
     offsets = sizes.select("_part", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_before"))
-    numbered = _attach(placed, offsets, ["_part"], "left")
+    numbered = placed.join(F.broadcast(offsets), "_part", "left")  # one row per partition
     return numbered.withColumn(name, F.col("_place") + F.col("_before") + offset.cast("long")).drop(
         "_at", "_part", "_place", "_before"
     )

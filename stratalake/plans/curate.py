@@ -60,15 +60,13 @@ def appeal_documents(history: DataFrame) -> DataFrame:
     return out.withColumns({**blank, "caseType": text.map_codes("caseType", CASE_TYPES)}).distinct()
 
 
-def project_documents(history: DataFrame, projects: DataFrame) -> DataFrame:
-    """The join to the projects does not change the rows; it is kept as a check that each side can be read."""
+def project_documents(history: DataFrame) -> DataFrame:
     out = active_rows(history, PROJECT_DOCUMENT, distinct=False)
-    joined = joins.mark_listed(out, projects, {"caseRef": "caseReference"}, "_listed").drop("_listed")
     stages = {"Developer's Application": "developers_application", "Post decision": "post_decision"}
     status = F.when(named("publishedStatus") == "Depublished", F.lit("unpublished")).otherwise(
         F.regexp_replace(F.lower("publishedStatus"), " ", "_")
     )
-    return joined.withColumns(
+    return out.withColumns(
         {
             "documentURI": F.coalesce("documentURI", F.lit("")),
             "caseType": F.lower("caseType"),

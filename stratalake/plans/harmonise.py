@@ -471,7 +471,9 @@ def projects(messages: DataFrame, legacy: DataFrame, row_id_cols: Sequence[str]
     listed = {c: a for c, a in PROJECT_LISTS.items() if c in before.columns}
     rest = [c for c in before.columns if c not in listed and c != "HorizonCaseNumber"]
     lists = nested.collect_over(before, ["caseId", "IngestionDate"], listed)
-    folded = before.select(*as_columns(rest)).distinct().join(lists, ["caseId", "IngestionDate"])
+    lists = lists.withColumnsRenamed({"caseId": "_case", "IngestionDate": "_load"})
+    same = named("caseId").eqNullSafe(named("_case")) & named("IngestionDate").eqNullSafe(named("_load"))
+    folded = before.select(*as_columns(rest)).distinct().join(lists, same).drop("_case", "_load")
     parsed = folded.withColumns(
         {
             c: text.quoted_json(named(c).cast("string"), nullable(messages.schema[c].dataType))

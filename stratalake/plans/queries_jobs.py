@@ -1122,8 +1122,7 @@ def c1_appeal_documents(t: Tables) -> DataFrame:
         FROM ({PROJECT_DOCUMENTS_SQL}) WHERE "IsActive" = 'Y'""",
 )
 def c1_project_documents(t: Tables) -> DataFrame:
-    refs = t.documents.select(F.col("lang").alias("caseReference")).distinct()
-    out = C.project_documents(_project_documents(t), refs)
+    out = C.project_documents(_project_documents(t))
     return out.select("documentId", "filename", "caseRef", "publishedStatus", "caseType")
 
 

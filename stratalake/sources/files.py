@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -98,7 +98,7 @@ def read_any(
 def read_messages(spark: SparkSession, paths: str | Sequence[str], schema: T.StructType) -> DataFrame:
     """Message files with a declared schema, and the file every message came from."""
     return read_files(spark, "json", paths, {"recursiveFileLookup": "true"}, schema).withColumn(
-        "input_file", F.col("_metadata.file_path")
+        "input_file", plain_path("_metadata.file_path")
     )
 
 
@@ -127,10 +127,22 @@ def read_history(
     return read_files(spark, fmt, root, {**(options or {}), **extra}, schema)
 
 
+def local_path(path: str) -> Column:
+    """One way to write a local path: ``file:/`` with one slash."""
+    return F.regexp_replace(F.col(path), "^file:/+", "file:/")
+
+
+def plain_path(path: str) -> Column:
+    """Path of a file's metadata, which is URL-encoded, as a listing writes it."""
+    literal_plus = F.regexp_replace(F.col(path), r"\+", "%2B")
+    return F.regexp_replace(F.url_decode(literal_plus), "^file:/+", "file:/")
+
+
 def list_files(spark: SparkSession, root: str, glob: str | None = None) -> DataFrame:
     """Path, size and modification time of every file below a folder."""
     options = {"recursiveFileLookup": "true", **({"pathGlobFilter": glob} if glob else {})}
-    return read_files(spark, "binaryFile", root, options).select("path", "modificationTime", "length")
+    found = read_files(spark, "binaryFile", root, options)
+    return found.select(local_path("path").alias("path"), "modificationTime", "length")
 
 
 def newest_folder_by_name(files: DataFrame, path: str = "path") -> DataFrame:

@@ -115,15 +115,15 @@ def merge_table(
     fmt: str = "parquet",
     partition_by: Sequence[str] = (),
 ) -> None:
-    """Apply actions to a table. The first load creates it from the rows to create.
+    """Apply actions to a table. The first load creates it from the rows to create, with the same checks.
 
     The changes are written to the shared folder once: the merge reads them several times, and their own lineage
     may be long.
     """
     spark = changes.sparkSession
     if not table_exists(spark, table):
-        first = changes.filter(F.lower(named(action)).isin("create", "created")).drop(action)
-        write_table(first, table, fmt=fmt, partition_by=partition_by)
+        empty = changes.drop(action).limit(0)
+        write_table(merge_actions(empty, changes, keys, action, update_cols), table, fmt=fmt, partition_by=partition_by)
         return
     once = materialise(changes, "changes")
     swap_table(merge_actions(spark.table(table), once, keys, action, update_cols), table, fmt, partition_by)

@@ -179,7 +179,7 @@ def test_snapshot_history(spark):
 
 def test_renumber_puts_new_rows_last(spark):
     df = spark.createDataFrame([("c", None), ("a", 7), ("b", 3)], "k string, id bigint")
-    for slice_rows in (1, 100):
+    for slice_rows in (1, None):
         assert rows(history.renumber(df, "id", ["k"], slice_rows)) == [("a", 2), ("b", 1), ("c", 3)]
 
 
@@ -237,3 +237,16 @@ def test_append_rerank(spark):
         (6, "i", "Y", None, 1, "create"),
         (7, "k", "Y", None, 0, "create"),
     ]
+
+
+def test_null_keys_close_nothing(spark):
+    own = spark.createDataFrame([(None, "2025-01-01", None, "Y"), ("a", "2025-01-01", None, "Y")], "k string, IngestionDate string, ValidTo string, IsActive string")
+    other = spark.createDataFrame([(None, "2025-02-01", "Y"), ("a", "2025-02-01", "Y")], "k string, IngestionDate string, IsActive string")
+    assert rows(history.close_by(own, other, ["k"]), "k", "IsActive") == [("a", "N"), (None, "Y")]
+
+
+def test_a_snapshot_with_two_rows_of_a_key_fails(spark):
+    current = spark.createDataFrame([], "k string, v string, IngestionDate timestamp, ValidTo timestamp, RowID string, IsActive string")
+    snapshot = spark.sql("SELECT 'a' AS k, 'x' AS v, timestamp'2025-01-01' AS IngestionDate UNION ALL SELECT 'a', 'y', timestamp'2025-01-01'")
+    with pytest.raises(Exception, match="more than one row for key a"):
+        history.snapshot_history(snapshot, current, "k", ["k", "v"]).collect()

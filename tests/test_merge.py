@@ -4,9 +4,10 @@ from datetime import datetime
 
 import pytest
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from stratalake.operators import joins, merge, quality, sets
-from stratalake.sources import sinks
+from stratalake.operators import ingest, joins, merge, quality, sets
+from stratalake.sources import files, sinks
 from tests.conftest import rows
 
 TARGET = [(1, "a", "x"), (2, "b", "x"), (3, "c", "x"), (None, "n", "x")]
@@ -156,3 +157,20 @@ def test_merge_takes_nested_values_whether_nulls_are_promised_or_not(spark):
     loose = spark.createDataFrame([(1, [(2,)], "update"), (5, [None], "create")], "id bigint, v array<struct<a: int>>, act string")
     assert merge.merge_actions(strict, loose, ["id"], "act").count() == 3
     assert merge.hash_upsert(strict, loose.drop("act"), "id").count() == 3
+
+
+def test_a_first_load_checks_actions_too(spark):
+    spark.sql("CREATE DATABASE IF NOT EXISTS t_sinks")
+    wrong = spark.createDataFrame([(1, "create"), (2, "upsert")], "id int, act string")
+    with pytest.raises(Exception, match="unknown row action"):
+        sinks.merge_table(wrong, "t_sinks.first_load", ["id"], "act")
+
+
+def test_landed_files_with_blanks_are_missing_only_once(spark, tmp_path):
+    root = tmp_path / "land dir+100%"
+    root.mkdir()
+    for n in range(3):
+        (root / f"m {n}%20+.json").write_text('{"a": %d}' % n)
+    loaded = files.read_messages(spark, str(root), T.StructType([T.StructField("a", T.LongType())]))
+    assert loaded.count() == 3 and ingest.missing_files(files.list_files(spark, str(root)), loaded).count() == 0
+    assert ingest.missing_files(files.list_files(spark, str(root)), loaded.filter("a = 1")).count() == 2
