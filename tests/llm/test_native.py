@@ -108,8 +108,8 @@ def test_every_long_enough_span_is_found(spark, docs):
     passage = [f"w{i}" for i in range(40)]
     bench = spark.createDataFrame([(1, " ".join(passage))], "item_id long, text string")
     made = [(i, "x y " + " ".join(passage[i : i + 10]) + " z") for i in range(31)] + [(i + 40, "x " + " ".join(passage[i : i + 9]) + " z") for i in range(31)]
-    found = hits(docs(*made), bench)
-    assert [f[2] for f in found] == [10] * 31 + [0] * 31
+    found = {f[0]: f[2] for f in hits(docs(*made), bench)}
+    assert found == {i: 10 for i in range(31)} | {i + 40: 0 for i in range(31)}
 
 
 def test_contamination_of_odd_rows(spark, docs):

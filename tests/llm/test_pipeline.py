@@ -27,7 +27,7 @@ def test_queries_and_stages_are_registered():
     import __spark_entry__ as entry
 
     names = entry.queries()
-    assert "pipeline" in names and {re.match(r"op(\d+)_", n)[1] for n in names if n.startswith("op")} >= {str(k) for k in range(1, 11)}
+    assert "pipeline" in names and {m[1] for n in names if (m := re.match(r"op(\d+)_", n))} >= {str(k) for k in range(1, 11)}
     assert 4 <= len(corpus_pipeline.STAGES) <= 5
 
 
