@@ -28,6 +28,10 @@ GRAMS = (4, 5)
 LONGEST_WORD = 40
 EDGE = b".,;:!?\"'()[]{}<>*_-"
 STEPS, BATCH, RATE = 420, 64, 0.01
+#: Share of a batch that is clean, and share of its clean windows that are the highest of their document.
+CLEAN_SHARE, HARD_SHARE = 0.6, 0.34
+#: Share of each class that is taken for mislabelled once the network has a first opinion, and no longer fitted on.
+DOUBTED = {0: 0.02, 1: 0.06}
 REMEMBERED = 300_000
 
 
@@ -233,7 +237,10 @@ def train(texts: dict[int, list[str]], steps: int = STEPS, seed: int = 11) -> Ne
     """Fit on documents with label 0 and 1; a window takes its document's label.
 
     After a third of the steps, toxic documents are represented by their highest window only, since most windows
-    of a long toxic document need not be toxic. Without rows of both classes the score is their share of 1.
+    of a long toxic document need not be toxic, and clean ones by their highest window now and then, since that one
+    decides their score. From then on the documents that contradict their label most, toxic ones whose highest
+    window is among the lowest and clean ones whose highest is among the highest, are left out as mislabelled.
+    Without rows of both classes the score is their share of 1.
     """
     if min(len(texts[0]), len(texts[1])) < 4:
         return Network(constant=share_of_ones(texts))
@@ -253,16 +260,20 @@ def train(texts: dict[int, list[str]], steps: int = STEPS, seed: int = 11) -> Ne
     fit = {c: docs[c][held_back[c] :] for c in docs}
     one, two = ({k: np.zeros_like(v) for k, v in w.items() if k not in ("word", "gram")} for _ in range(2))
     sums = {"word": np.full(WORD_ROWS, 1e-4, np.float32), "gram": np.full(GRAM_ROWS, 1e-4, np.float32)}
-    best: list[int] | None = None
+    highest: dict[int, list[int]] | None = None
+    trusted = {c: np.arange(len(fit[c])) for c in fit}
     for step in range(1, steps + 1):
         if step in (steps // 3, 2 * steps // 3):
-            best = [int(np.argmax(s)) for s in _score_known(w, vocabulary, fit[1])]
+            found = {c: _score_known(w, vocabulary, fit[c]) for c in fit}
+            highest = {c: [int(np.argmax(s)) for s in found[c]] for c in fit}
+            trusted = {c: _trusted(np.array([s.max() for s in found[c]]), c) for c in fit}
         windows, y = [], np.zeros(BATCH)
         for n in range(BATCH):
-            label = int(n < BATCH // 2)
-            k = int(rng.integers(len(fit[label])))
+            label = int(n >= BATCH * CLEAN_SHARE)
+            k = int(trusted[label][rng.integers(len(trusted[label]))])
             of = fit[label][k]
-            windows.append(of[best[k]] if label and best is not None else of[int(rng.integers(len(of)))])
+            at_highest = highest is not None and (label or rng.random() < HARD_SHARE)
+            windows.append(of[highest[label][k]] if at_highest else of[int(rng.integers(len(of)))])
             y[n] = label
         used, at = np.unique(np.concatenate(windows), return_inverse=True)
         ends = np.cumsum([len(x) for x in windows])
@@ -285,6 +296,13 @@ def train(texts: dict[int, list[str]], steps: int = STEPS, seed: int = 11) -> Ne
     return Network(w, slope, offset)
 
 
+def _trusted(tops: np.ndarray, label: int) -> np.ndarray:
+    """Places of the documents whose highest logits do not contradict their label the most."""
+    if label:
+        return np.flatnonzero(tops >= np.quantile(tops, DOUBTED[1]))
+    return np.flatnonzero(tops <= np.quantile(tops, 1 - DOUBTED[0]))
+
+
 def _score_known(w: dict[str, np.ndarray], vocabulary: list[bytes], docs: list[list[np.ndarray]]) -> list[np.ndarray]:
     tables = _tables(w, _inputs(w, vocabulary)[0])
     flat = [x for d in docs for x in d]
@@ -295,13 +313,14 @@ def _score_known(w: dict[str, np.ndarray], vocabulary: list[bytes], docs: list[l
 def _calibrate(clean: np.ndarray, toxic: np.ndarray) -> tuple[float, float]:
     """Slope and offset of a logistic curve over highest logits, both classes of equal weight; slope above zero.
 
-    The middle is the threshold with the fewest errors, clean documents counting four times.
+    The middle is that of the thresholds with about the fewest errors, clean documents counting four times: the
+    very best one alone would hang on a few documents.
     """
     both = np.sort(np.concatenate([clean, toxic]))
     borders = (both[1:] + both[:-1]) / 2
     wrong = [4 * (clean >= b).mean() + (toxic < b).mean() for b in borders]
     least = min(wrong)
-    fine = borders[[i for i, x in enumerate(wrong) if x <= least + 1e-12]]
+    fine = borders[[i for i, x in enumerate(wrong) if x <= least + 0.02]]
     middle = float((fine.min() + fine.max()) / 2)
     spread = float(np.std(both)) or 1.0
     return 4 / spread, -4 / spread * middle
