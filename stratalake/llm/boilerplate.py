@@ -71,11 +71,11 @@ def remove_boilerplate(
     same = named(id_col).cast("long").eqNullSafe(F.col("__id")) & (text_key(F.coalesce(text, F.lit(""))) == F.col("__key"))
     joined = df.join(per_text, same, "left")
     lined = _lines(text)
-    left = F.array_join(F.filter(lined, lambda line, at: ~F.array_contains(F.col("__gone"), at)), "\n")
+    stay = F.array_except(F.sequence(F.lit(0), F.size(lined) - 1), "__gone")  # by hash: in proportion to the lines
+    left = F.array_join(F.transform(stay, lambda at: lined[at]), "\n")
     counts = {
         "__n_lines": F.when(text.isNull(), F.lit(0)).otherwise(F.size(lined)).cast("long"),
-        "__n_removed": F.coalesce(F.size("__gone"), F.lit(0)).cast("long"),
+        "__n_removed": F.when(F.col("__gone").isNull(), F.lit(0)).otherwise(F.size("__gone")).cast("long"),
     }
-    counts["__n_removed"] = F.when(F.col("__gone").isNull(), F.lit(0)).otherwise(F.size("__gone")).cast("long")
     cleaned = joined.withColumns(counts).withColumn(text_col, F.when(F.col("__gone").isNull(), text).otherwise(left))
     return cleaned.select(*[named(c) for c in df.columns], "__n_lines", "__n_removed")
