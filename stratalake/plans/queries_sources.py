@@ -8,7 +8,7 @@ from pyspark.sql import types as T
 
 from stratalake.operators import ingest
 from stratalake.plans.registry import Tables, query
-from stratalake.session import fresh_path
+from stratalake.session import fresh_path, materialise
 from stratalake.sources import files, schema, sinks
 from stratalake.sources.routing import SourceDefinition, route
 
@@ -441,6 +441,24 @@ def merge_write(t: Tables) -> DataFrame:
     return t.spark.table(table)
 
 
+@query(
+    "snk_03_merge_partitions",
+    """SELECT c_custkey, c_name, CASE WHEN c_mktsegment = 'BUILDING' THEN 0.0 ELSE c_acctbal END AS c_acctbal, c_mktsegment,
+              c_mktsegment <> 'BUILDING' AS untouched FROM customer WHERE c_mktsegment <> 'MACHINERY'""",
+)
+def merge_partitions(t: Tables) -> DataFrame:
+    """Updates fill one partition, deletes empty another; the files of the rest are those of before."""
+    table, path = _scratch_table(t, "segments"), fresh_path(t.spark, "segments")
+    cols = ["c_custkey", "c_name", "c_acctbal", "c_mktsegment"]
+    sinks.write_table(t.customer.select(*cols), table, path, partition_by="c_mktsegment")
+    file = F.col("_metadata.file_path")
+    before = materialise(t.spark.table(table).select(file.alias("_file")).distinct(), "files")
+    edits = _customer_changes(t).filter("row_action <> 'create'").select(*cols, "row_action")
+    sinks.merge_table(edits, table, ["c_custkey"], "row_action")
+    after = t.spark.table(table).select(*cols, file.alias("_file"))
+    return after.join(before.withColumn("_old", F.lit(True)), "_file", "left").select(*cols, F.coalesce("_old", F.lit(False)).alias("untouched"))
+
+
 @query("snk_04_swap", "SELECT p_partkey, p_name FROM part WHERE p_size > 25")
 def swap(t: Tables) -> DataFrame:
     table = _scratch_table(t, "parts")

@@ -11,8 +11,8 @@ from datetime import datetime, timezone
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from stratalake.operators.quality import RUN_KEYS, RUN_SCHEMA, RUN_UPDATES, observe_actions
-from stratalake.sources.sinks import WriteSpec, merge_table, write_all
+from stratalake.operators.quality import RUN_KEYS, RUN_SCHEMA, observe_actions
+from stratalake.sources.sinks import WriteSpec, write_all, write_files
 
 
 @dataclass(frozen=True)
@@ -48,7 +48,7 @@ def run(
     started = _now()
     opened = Outcome(run_id or uuid.uuid4().hex, entity, stage, started, started, False)
     if log_table:
-        _log(spark, log_table, opened, "create")
+        _log(spark, log_table, opened, False)
     counts: dict[str, dict[str, int]] = {}
     error = None
     try:
@@ -64,7 +64,7 @@ def run(
         error = f"{type(e).__name__}: {e}"
     done = replace(opened, finished=_now(), successful=error is None, counts=counts, error=error)
     if log_table:
-        _log(spark, log_table, done, "update")
+        _log(spark, log_table, done, True)
     return done
 
 
@@ -79,9 +79,19 @@ def _observe_rows(df: DataFrame, entity: str):
     return df.observe(seen, F.count(F.lit(1)).alias("row_count")), seen
 
 
-def _log(spark: SparkSession, table: str, o: Outcome, action: str) -> None:
-    finished = o.finished if action == "update" else None
-    text = json.dumps(o.counts) if o.error is None else o.error
-    row = (o.run_id, o.entity, o.stage, "{}", o.started, finished, o.successful if finished else None, text if finished else None)
-    change = spark.createDataFrame([row], RUN_SCHEMA).withColumn("row_action", F.lit(action))
-    merge_table(change, table, RUN_KEYS, "row_action", RUN_UPDATES)
+def _log(spark: SparkSession, table: str, o: Outcome, finished: bool) -> None:
+    """Append an event to the log; ``table`` is a view of the newest event of every run.
+
+    Every event is a file in a folder of its own below its day, so that runs at the same time neither read, rewrite
+    nor clean up what the other writes.
+    """
+    row = (o.run_id, o.entity, o.stage, "{}", o.started)
+    told = json.dumps(o.counts) if o.error is None else o.error
+    row += (o.finished, o.successful, told) if finished else (None, None, None)
+    database, _, name = table.rpartition(".")
+    root = f"{spark.catalog.getDatabase(database or spark.catalog.currentDatabase()).locationUri.rstrip('/')}/{name}_events"
+    event = spark.createDataFrame([row], RUN_SCHEMA).coalesce(1)
+    write_files(event, f"{root}/day={o.started:%Y-%m-%d}/event=e{uuid.uuid4().hex}")
+    cols = ", ".join(event.columns)
+    newest = f"row_number() OVER (PARTITION BY {', '.join(RUN_KEYS)} ORDER BY execution_finish_time DESC NULLS LAST)"
+    spark.sql(f"CREATE VIEW IF NOT EXISTS {table} AS SELECT {cols} FROM (SELECT *, {newest} AS _newest FROM parquet.`{root}`) WHERE _newest = 1")

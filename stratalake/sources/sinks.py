@@ -1,13 +1,21 @@
 """Writers and table upkeep.
 
-Tables are replaced by writing a new folder first and switching names after, so a job that dies half way
-leaves the old table as it was.
+A table is replaced by writing the whole new state beside it first, as ``<table>_tmp``. Spark enters a table only
+when its rows are written, so a staged table that is there is complete: whoever finds one with the table itself gone
+or half overwritten finishes the swap (:func:`recover_table`), and no copy is lost. Format, path, partitions and
+properties of the table stay as they are.
+
+Merges and deletes on a partitioned table rewrite the partitions that hold changed rows and leave the files of the
+others alone. Every partition is replaced from a written copy; merges and deletes that died are run again.
 """
 
 from __future__ import annotations
 
-from collections.abc import Callable, Mapping, Sequence
+import json
+from collections.abc import Callable, Iterator, Mapping, Sequence
+from contextlib import contextmanager
 from dataclasses import dataclass, field
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -76,14 +84,120 @@ def table_exists(spark: SparkSession, table: str) -> bool:
     return spark.catalog.tableExists(table)
 
 
-def swap_table(df: DataFrame, table: str, fmt: str = "parquet", partition_by: Sequence[str] = ()) -> None:
-    """Replace a table by a frame that may read the table itself."""
+@dataclass(frozen=True)
+class Layout:
+    """How a table is stored; ``path`` only where the table does not lie in the warehouse."""
+
+    fmt: str = "parquet"
+    path: str | None = None
+    partition_by: tuple[str, ...] = ()
+    properties: Mapping[str, str] = field(default_factory=dict)
+
+
+def layout(spark: SparkSession, table: str) -> Layout:
+    told = json.loads(spark.sql(f"DESCRIBE TABLE EXTENDED {table} AS JSON").first()[0])
+    own = told.get("type") == "EXTERNAL"
+    return Layout(told["provider"], told["location"] if own else None, tuple(told.get("partition_columns", ())), told.get("table_properties", {}))
+
+
+#: Property of a staged table whose rows will be copied: to this path, or into the warehouse where it is "-". A
+#: table with a path of its own keeps it that way, and the partitions of a renamed table may not follow it.
+SWAP_PATH = "swap.path"
+
+
+def _set_properties(spark: SparkSession, table: str, properties: Mapping[str, str]) -> None:
+    if properties:
+        quoted = lambda x: "'" + x.replace("\\", "\\\\").replace("'", "\\'") + "'"
+        spark.sql(f"ALTER TABLE {table} SET TBLPROPERTIES ({', '.join(f'{quoted(k)} = {quoted(v)}' for k, v in properties.items())})")
+
+
+def _finish_swap(spark: SparkSession, table: str) -> None:
+    """Put the staged table in the place of the table; may be run again after a death at any point."""
+    staged = f"{table}_tmp"
+    new = layout(spark, staged)
+    path = new.properties.get(SWAP_PATH)
+    if path is None:
+        spark.sql(f"DROP TABLE IF EXISTS {table}")
+        spark.sql(f"ALTER TABLE {staged} RENAME TO {table}")
+        return
+    write_table(spark.table(staged), table, None if path == "-" else path, new.fmt, "overwrite", new.partition_by)
+    _set_properties(spark, table, {k: v for k, v in new.properties.items() if k != SWAP_PATH})
+    spark.sql(f"DROP TABLE {staged}")
+
+
+def recover_table(spark: SparkSession, table: str) -> bool:
+    """Finish a swap that died after it began to replace the table, undo one that died before; whether rows changed."""
+    staged = f"{table}_tmp"
+    if not table_exists(spark, staged):
+        return False
+    begun = not table_exists(spark, table) or SWAP_PATH in layout(spark, staged).properties
+    if begun:
+        _finish_swap(spark, table)
+    else:
+        spark.sql(f"DROP TABLE {staged}")
+    return begun
+
+
+def swap_table(df: DataFrame, table: str, fmt: str | None = None, partition_by: Sequence[str] | None = None) -> None:
+    """Replace the rows of a table by a frame that may read the table itself.
+
+    Path and properties stay, format and partitions too unless others are given. A frame that was made while the
+    table was half swapped has the wrong rows; that is an error, after the table is whole again.
+    """
     spark = df.sparkSession
+    if recover_table(spark, table):
+        raise RuntimeError(f"{table} was left half swapped and is whole again; read it anew")
+    now = layout(spark, table) if table_exists(spark, table) else Layout()
+    parts = [c for c in now.partition_by if c in df.columns] if partition_by is None else partition_by
     staged = f"{table}_tmp"
-    spark.sql(f"DROP TABLE IF EXISTS {staged}")
-    write_table(df, staged, fmt=fmt, mode="errorifexists", partition_by=partition_by)
-    spark.sql(f"DROP TABLE IF EXISTS {table}")
-    spark.sql(f"ALTER TABLE {staged} RENAME TO {table}")
+    write_table(df, staged, fmt=fmt or now.fmt, mode="errorifexists", partition_by=parts)
+    _set_properties(spark, staged, {**now.properties, **({SWAP_PATH: now.path or "-"} if now.path or parts else {})})
+    _finish_swap(spark, table)
+
+
+def _same(left: Sequence[Column], right: Sequence[Column]) -> Column:
+    return reduce(lambda a, b: a & b, [x.eqNullSafe(y) for x, y in zip(left, right)])
+
+
+def _scope(target: DataFrame, touched: DataFrame, parts: Sequence[str]) -> DataFrame:
+    """Rows of the touched partitions; others are pruned while planning.
+
+    ``touched`` has one row per partition. The driver lists the partitions of a table for any scan of it, so their
+    values are no more than it holds anyway.
+    """
+    values = touched.agg(*[F.collect_set(named(p)).alias(p) for p in parts], *[F.count_if(named(p).isNull()).alias(f"_n{i}") for i, p in enumerate(parts)]).first()
+    for i, p in enumerate(parts):
+        here = named(p).isin(*values[p]) if values[p] else F.lit(False)
+        target = target.filter(here | named(p).isNull() if values[f"_n{i}"] else here)
+    other = touched.select(*[named(p).alias(f"_p{i}") for i, p in enumerate(parts)])
+    return target.join(other, _same([named(p) for p in parts], [F.col(f"_p{i}") for i in range(len(parts))]), "left_semi")
+
+
+@contextmanager
+def _dynamic_overwrite(spark: SparkSession) -> Iterator[None]:
+    key = "spark.sql.sources.partitionOverwriteMode"
+    before = spark.conf.get(key)
+    spark.conf.set(key, "dynamic")
+    try:
+        yield
+    finally:
+        spark.conf.set(key, before)
+
+
+def _replace_partitions(new: DataFrame, table: str, changed: DataFrame, parts: Sequence[str]) -> None:
+    """Overwrite partitions by ``new``, a written frame; ``changed`` partitions that have no rows in it are emptied."""
+    spark = new.sparkSession
+    cols = spark.table(table).columns
+    with _dynamic_overwrite(spark):
+        new.select(*[named(c) for c in cols]).write.mode("overwrite").insertInto(table)
+    other = new.select(*[named(p).alias(f"_p{i}") for i, p in enumerate(parts)]).distinct()
+    empty = changed.join(other, _same([named(p) for p in parts], [F.col(f"_p{i}") for i in range(len(parts))]), "left_anti")
+    text = [F.when(named(p).isNull(), F.lit("NULL")).otherwise(F.concat(F.lit("'"), F.replace(F.replace(named(p).cast("string"), F.lit("\\"), F.lit("\\\\")), F.lit("'"), F.lit("\\'")), F.lit("'"))) for p in parts]
+    for row in empty.select(*text).collect():
+        which = ", ".join(f"`{p}` = {v}" for p, v in zip(parts, row))
+        nothing = new.filter(F.lit(False)).select(*[named(c) for c in cols if c not in parts])
+        nothing.createOrReplaceTempView("_no_rows")
+        spark.sql(f"INSERT OVERWRITE TABLE {table} PARTITION ({which}) SELECT * FROM _no_rows")
 
 
 def append_or_create(df: DataFrame, table: str, fmt: str = "parquet") -> None:
@@ -118,15 +232,32 @@ def merge_table(
     """Apply actions to a table. The first load creates it from the rows to create, with the same checks.
 
     The changes are written to the shared folder once: the merge reads them several times, and their own lineage
-    may be long.
+    may be long. Of a partitioned table, only partitions that hold a changed key or take a row are read whole and
+    rewritten. ``fmt`` and ``partition_by`` are for the first load.
     """
     spark = changes.sparkSession
+    recover_table(spark, table)
     if not table_exists(spark, table):
         empty = changes.drop(action).limit(0)
         write_table(merge_actions(empty, changes, keys, action, update_cols), table, fmt=fmt, partition_by=partition_by)
         return
     once = materialise(changes, "changes")
-    swap_table(merge_actions(spark.table(table), once, keys, action, update_cols), table, fmt, partition_by)
+    parts = layout(spark, table).partition_by
+    if not parts:
+        swap_table(merge_actions(spark.table(table), once, keys, action, update_cols), table)
+        return
+    known = spark.table(table).columns
+    new_cols = {f.name: f.dataType.simpleString() for f in once.schema.fields if f.name not in (*known, action)}
+    if new_cols:
+        add_columns(spark, table, new_cols)
+    target = spark.table(table)
+    hit = target.join(once.select(*[named(k).alias(f"_k{i}") for i, k in enumerate(keys)]), reduce(lambda a, b: a & b, [named(k) == F.col(f"_k{i}") for i, k in enumerate(keys)]), "left_semi")
+    there = materialise(hit.select(*[named(p) for p in parts]).distinct(), "partitions")
+    types = {p: target.schema[p].dataType for p in parts}
+    coming = once.select(*[(named(p) if p in once.columns else F.lit(None)).cast(types[p]).alias(p) for p in parts])
+    touched = materialise(there.unionByName(coming).distinct(), "touched")
+    merged = materialise(merge_actions(_scope(target, touched, parts), once, keys, action, update_cols), "merged")
+    _replace_partitions(merged, table, there, parts)
 
 
 def create_from_labelled(df: DataFrame, table: str, action: str, fmt: str = "parquet") -> None:
@@ -137,7 +268,7 @@ def create_from_labelled(df: DataFrame, table: str, action: str, fmt: str = "par
 WRITERS: Mapping[str, Callable[[WriteSpec], None]] = {
     "file": lambda s: write_files(s.data, s.path or s.target, s.fmt, s.mode, s.options, s.partition_by),
     "table": lambda s: write_table(s.data, s.target, s.path, s.fmt, s.mode, s.partition_by, s.options),
-    "swap": lambda s: swap_table(s.data, s.target, s.fmt, s.partition_by),
+    "swap": lambda s: swap_table(s.data, s.target, s.fmt, s.partition_by or None),
     "append": lambda s: append_or_create(s.data, s.target, s.fmt),
     "merge": lambda s: merge_table(s.data, s.target, s.keys, s.action or "", s.update_cols, s.fmt, s.partition_by),
 }
@@ -162,12 +293,19 @@ def drop_table(spark: SparkSession, table: str, purge: bool = True) -> None:
 
 def empty_table(spark: SparkSession, table: str) -> None:
     """Remove the rows, keep the table and its schema."""
+    recover_table(spark, table)
     swap_table(spark.table(table).filter(F.lit(False)), table)
 
 
 def delete_rows(spark: SparkSession, table: str, predicate: Column) -> None:
     """Delete by predicate: rows for which it is true go, rows for which it is null stay."""
-    swap_table(spark.table(table).filter(~F.coalesce(predicate, F.lit(False))), table)
+    recover_table(spark, table)
+    gone, rows, parts = F.coalesce(predicate, F.lit(False)), spark.table(table), layout(spark, table).partition_by
+    if not parts:
+        swap_table(rows.filter(~gone), table)
+        return
+    touched = materialise(rows.filter(gone).select(*[named(p) for p in parts]).distinct(), "touched")
+    _replace_partitions(materialise(_scope(rows, touched, parts).filter(~gone), "left"), table, touched, parts)
 
 
 def add_columns(spark: SparkSession, table: str, columns: Mapping[str, str]) -> None:

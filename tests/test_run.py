@@ -33,3 +33,17 @@ def test_rows_of_unlabelled_outputs_are_counted(spark):
     spark.sql("CREATE DATABASE IF NOT EXISTS t_runs")
     done = run(spark, "plain", "standardised", lambda: [WriteSpec(spark.range(7).toDF("k"), "t_runs.plain", "append")])
     assert done.counts == {"t_runs.plain": {"row_count": 7}} and done.seconds >= 0
+
+
+def test_runs_at_the_same_time_keep_both_rows(spark):
+    spark.sql("CREATE DATABASE IF NOT EXISTS t_runs")
+
+    def outer():
+        # The second run opens and ends while the first one is open.
+        assert run(spark, "inner", "curated", lambda: [], "t_runs.both", "b").successful
+        assert rows(spark.table("t_runs.both"), "run_id", "successful") == [("a", None), ("b", True)]
+        return []
+
+    assert run(spark, "outer", "curated", outer, "t_runs.both", "a").successful
+    assert rows(spark.table("t_runs.both"), "run_id", "successful") == [("a", True), ("b", True)]
+    assert spark.table("t_runs.both").columns == [c.split()[0] for c in quality.RUN_SCHEMA.split(", ")]
