@@ -414,3 +414,20 @@ def multiset_diff(t: Tables) -> DataFrame:
 def affected_keys(t: Tables) -> DataFrame:
     new = t.orders.filter("o_orderpriority = '1-URGENT'").select("o_custkey")
     return sets.affected_keys(new, t.orders.filter("o_orderstatus = 'P'").select("o_custkey"))
+
+
+@query(
+    "win_11_hot_key_timeline",
+    """WITH e AS (SELECT CASE WHEN event_id % 3 = 0 THEN -1 ELSE user_id END AS key, ts, event_id FROM events)
+       SELECT key, event_id, LAG(event_id) OVER w AS before, LEAD(event_id) OVER w AS after,
+              ROW_NUMBER() OVER w AS place, ROW_NUMBER() OVER (PARTITION BY key ORDER BY ts DESC, event_id DESC) AS from_end
+       FROM e WINDOW w AS (PARTITION BY key ORDER BY ts, event_id)""",
+)
+def hot_key_timeline(t: Tables) -> DataFrame:
+    """A third of all rows share one key, whose timeline is cut into slices."""
+    key = F.when(F.col("event_id") % 3 == 0, F.lit(-1)).otherwise(F.col("user_id"))
+    rows = t.events.select(key.alias("key"), "ts", "event_id")
+    line = along(
+        rows, ["key"], ["ts", "event_id"], {"before": "event_id"}, {"after": "event_id"}, rank="place", reverse_rank="from_end", hot_rows=1000
+    )
+    return line.drop("ts")

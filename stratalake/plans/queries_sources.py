@@ -245,16 +245,13 @@ def landed_pages(t: Tables) -> DataFrame:
     second = rows.filter("role = 'assistant'").withColumn("page", F.lit(2))
     sinks.write_files(second, f"{root}/p2", "json", options={"maxRecordsPerFile": "1000"})
     wanted = _type("conv_id bigint, turn bigint, role string, text string, page int")
-    lines = files.read_files(t.spark, "json", root, {"recursiveFileLookup": "true"}, wanted)
-    from stratalake.operators.latest import latest_per_key
-
-    return latest_per_key(lines, ["conv_id", "turn"], ["page"]).drop("page")
+    return files.read_landed_pages(t.spark, root, wanted, ["conv_id", "turn"], "page", multi_line=False).drop("page")
 
 
 @query("src_19_landed_sheet", "SELECT * FROM customer")
 def landed_sheet(t: Tables) -> DataFrame:
     path = _written(t, t.customer, "sheet", "csv", options={"header": "true", "escape": "\\"})
-    return files.read_landed_sheet(t.spark, path, _type(CUSTOMER))
+    return files.read_landed_sheet(t.spark, path, _type(CUSTOMER), multi_line=False)
 
 
 @query(

@@ -185,15 +185,19 @@ def read_jdbc(
 
 
 def read_landed_pages(
-    spark: SparkSession, root: str, schema: T.StructType, key: Sequence[str], newest_by: str
+    spark: SparkSession, root: str, schema: T.StructType, key: Sequence[str], newest_by: str, multi_line: bool = True
 ) -> DataFrame:
-    """Landed pages of a paged extract as one frame; a record that came with several pages counts once."""
+    """Landed pages of a paged extract as one frame; a record that came with several pages counts once.
+
+    A page is one JSON array over many lines; pages of one record a line are read with ``multi_line=False``, which
+    lets Spark split a large one over many tasks.
+    """
     from stratalake.operators.latest import latest_per_key
 
-    options = {"multiLine": "true", "recursiveFileLookup": "true"}
+    options = {"multiLine": str(multi_line).lower(), "recursiveFileLookup": "true"}
     return latest_per_key(read_files(spark, "json", root, options, schema), key, [newest_by])
 
 
-def read_landed_sheet(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
-    """Spreadsheet extract, landed as CSV."""
-    return read_csv_strict(spark, path, schema)
+def read_landed_sheet(spark: SparkSession, path: str, schema: T.StructType, multi_line: bool = True) -> DataFrame:
+    """Spreadsheet extract, landed as CSV; its cells may hold line breaks unless ``multi_line`` is off."""
+    return read_csv_strict(spark, path, schema, multi_line)
