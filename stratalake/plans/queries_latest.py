@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from stratalake.functions import keys as K
 from stratalake.operators import latest, quality, sets
 from stratalake.operators.ordered import along, global_id
+from stratalake.plans.murmur import hash_sql, magnitude_sql
 from stratalake.plans.queries_shape import ORDER_VERSIONS_SQL, order_versions
 from stratalake.plans.registry import Tables, query
 
@@ -333,9 +334,12 @@ def composite_key(t: Tables) -> DataFrame:
     return _nullable(t).select("o_orderkey", K.composite_key(["o_orderkey", "prio", "o_orderstatus"]).alias("temp_key"))
 
 
-@query("key_08_incremental_key")
+@query(
+    "key_08_incremental_key",
+    f"""SELECT event_id, {magnitude_sql("pair_hash")} AS incremental_key
+        FROM ({hash_sql(hash_sql("SELECT event_id, user_id, ts FROM events", "user_id::VARCHAR", "first_hash"), "ts::VARCHAR", "pair_hash", "first_hash")})""",
+)
 def incremental_key(t: Tables) -> DataFrame:
-    """Murmur3 has no counterpart in the checking engine; a test recomputes it in plain Python."""
     return t.events.select("event_id", K.incremental_key("user_id", "ts").alias("incremental_key"))
 
 

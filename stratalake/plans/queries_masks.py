@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from stratalake.functions import masks
 from stratalake.operators import masking, nested, quality, sets
+from stratalake.plans.murmur import hash_sql, magnitude_sql
 from stratalake.plans.registry import Tables, query
 
 
@@ -90,9 +91,27 @@ def fake_number(t: Tables) -> DataFrame:
     return masked.select("PersNo", "ni_number")
 
 
-@query("ano_02_fake_number_murmur")
+def _hashed_people() -> str:
+    """People with the Murmur hash of their number and each salt."""
+    rows = PEOPLE_SQL
+    for salt in masks.NUMBER_SALTS:
+        rows = hash_sql(rows, f"\"PersNo\" || '{salt}'", f"hash{salt}")
+    return rows
+
+
+def _picked(letters: str, salt: str) -> str:
+    return f"substr('{letters}', ({magnitude_sql(f'hash{salt}')} % {len(letters)})::INTEGER + 1, 1)"
+
+
+@query(
+    "ano_02_fake_number_murmur",
+    f"""SELECT "PersNo", CASE WHEN filled THEN
+            {_picked(masks.NUMBER_LETTERS, "_ni1")} || {_picked(masks.NUMBER_LETTERS, "_ni2")}
+            || lpad(({magnitude_sql("hash_nid")} % 1000000)::VARCHAR, 6, '0') || {_picked(masks.NUMBER_FINALS, "_nil")} END AS ni_number
+        FROM ({_hashed_people()})""",
+)
 def fake_number_murmur(t: Tables) -> DataFrame:
-    """The same with the hash existing masked data was made with; a test recomputes it in plain Python."""
+    """The same with the hash existing masked data was made with."""
     return masking.mask_columns(_people(t), {"ni_number": "number"}, "PersNo").select("PersNo", "ni_number")
 
 
