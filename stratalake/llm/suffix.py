@@ -8,8 +8,11 @@ first place. Equal strings have equal seeds at the same distance, hence
    Equal neighbourhoods of a batch are folded before they move: only the first can be new.
 2. By seed, all but the first of equal neighbourhoods are repeats. A seed with one distinct neighbourhood is done.
 3. Of seeds with several, the first copies are cut into blocks of at most ``BLOCK`` starts, folded again, and
-   dealt by the bytes that all strings of a block share, so a passage that a third of all rows hold meets as a
-   few distinct blocks, whatever stands around it.
+   dealt by the bytes that all strings of a block share. The inside of a passage that a third of all rows hold
+   meets as a few distinct blocks. What straddles its edges does not: with other text around it in each row, one
+   seed has a distinct neighbourhood per row. The neighbourhoods of a seed with more than ``MANY`` distinct ones
+   are cut into single strings, so only equal strings meet, and what repeats one of its batch does not move.
+   Seeds that a sample of the documents shows to be such are dealt by neighbourhood in step 2 already.
 4. Blocks that share those bytes but differ are suffix-sorted: sampled triples (places 1 and 2 modulo 3) are
    sorted and named, the names are sorted by recursion, the remaining suffixes are merged in, and adjacent
    suffixes are compared over ``length`` bytes. Of every class of equal strings the earliest stays.
@@ -33,8 +36,13 @@ from stratalake.llm.common import id_and_text, remove, runs, stage, texts_of, ti
 LENGTH = 100
 GRAM = 32
 BLOCK = 16
-#: Bytes of text that are suffix-sorted at once; one group of blocks is never divided.
+#: Bytes of text that are suffix-sorted at once; one group of blocks, at most ``MANY``, is never divided.
 SORT_BYTES = 1 << 20
+#: Distinct neighbourhoods of one seed whose blocks are sorted together; with more, its strings are dealt singly.
+MANY = 4096
+#: One document of so many is read beforehand for seeds with many neighbourhoods, and the number of them kept.
+#: Results do not depend on it: a seed that the sample misses is counted in step 2.
+SAMPLE, SAMPLED_SEEDS = 64, 1 << 16
 #: Bytes of a document that are hashed at once; what spans a border is read twice.
 READ_BYTES = 1 << 22
 #: Rows with null ids come after all others.
@@ -213,12 +221,25 @@ def _folded(columns: list[np.ndarray], doc: np.ndarray, place: np.ndarray) -> tu
     return order[~same], first[~same]
 
 
-LISTED = "gone boolean, seed long, body long, doc long, place long"
+def _joined(doc: np.ndarray, place: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Places of blocks, those that follow each other in one text as one; 64 starts begin a new one."""
+    key, begin = place & (1 << KEY_BITS) - 1, place >> STARTS_BITS + KEY_BITS
+    order = np.lexsort((begin, key, doc))
+    doc, key, begin = doc[order], key[order], begin[order]
+    end = begin + (place[order] >> KEY_BITS & (1 << STARTS_BITS) - 1)
+    new = np.ones(len(doc), bool)
+    new[1:] = (doc[1:] != doc[:-1]) | (key[1:] != key[:-1]) | (begin[1:] != end[:-1]) | (begin[1:] >> 6 != begin[:-1] >> 6)
+    first = np.flatnonzero(new)
+    last = np.append(first[1:], len(doc)) - 1
+    return doc[first], _place(begin[first], end[last] - begin[first], key[first])
 
 
-def _list(length: int):
+LISTED = "gone boolean, hot boolean, seed long, body long, doc long, place long"
+
+
+def _list(length: int, hot_seeds: np.ndarray):
     """Step 1: neighbourhoods of a batch; those that repeat one of the batch are gone at once."""
-    schema = pa.schema([("gone", pa.bool_()), ("seed", pa.int64()), ("body", pa.int64()), ("doc", pa.int64()), ("place", pa.int64())])
+    schema = pa.schema([("gone", pa.bool_()), ("hot", pa.bool_()), ("seed", pa.int64()), ("body", pa.int64()), ("doc", pa.int64()), ("place", pa.int64())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
@@ -235,48 +256,66 @@ def _list(length: int):
             seed, body, doc, place = (np.concatenate(c) for c in (seed, body, doc, place))
             order, first = _folded([seed, body], doc, place)
             seed = np.where(first, seed[order], 0)
-            yield pa.RecordBatch.from_arrays([pa.array(c) for c in (~first, seed, body[order], doc[order], place[order])], schema=schema)
+            hot = first & np.isin(seed, hot_seeds)
+            yield pa.RecordBatch.from_arrays([pa.array(c) for c in (~first, hot, seed, body[order], doc[order], place[order])], schema=schema)
 
     return run
 
 
-FOUND = "again boolean, doc long, place long"
+def _hot_seeds(docs: DataFrame, length: int) -> np.ndarray:
+    """Seeds with many distinct neighbourhoods in a sample of the documents, the most frequent ones."""
+    sample = docs.filter(F.pmod(F.xxhash64("doc", "key"), F.lit(SAMPLE)) == 0).select("doc", "key", "text")
+    listed = sample.mapInArrow(_list(length, np.zeros(0, np.int64)), LISTED).filter("NOT gone")
+    per_seed = listed.select("seed", "body").distinct().groupBy("seed").agg(F.count(F.lit(1)).alias("n"))
+    top = per_seed.filter(F.col("n") > MANY // SAMPLE).orderBy(F.desc("n"), "seed").limit(SAMPLED_SEEDS)
+    return np.array([r["seed"] for r in top.collect()], np.int64)
+
 
+FOUND = "again boolean, hot boolean, doc long, place long"
 
-def _by_seed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+
+def _by_seed():
     """Step 2, over rows ordered by seed, body and age: what is gone, and what has to be looked at again."""
-    schema = pa.schema([("again", pa.bool_()), ("doc", pa.int64()), ("place", pa.int64())])
-
-    def told(again: bool, doc: np.ndarray, place: np.ndarray) -> pa.RecordBatch:
-        return pa.RecordBatch.from_arrays([pa.array(np.full(len(doc), again)), pa.array(doc), pa.array(place)], schema=schema)
-
-    # One seed may go on over batches: its last distinct neighbourhood is put before the next batch.
-    last: tuple[int, int, int, int] | None = None
-    last_told = False
-    for b in batches:
-        gone, seed, body, doc, place = (c.to_numpy(zero_copy_only=False) for c in b.columns)
-        if gone.any():
-            yield told(False, doc[gone], place[gone])
-            seed, body, doc, place = (c[~gone] for c in (seed, body, doc, place))
-        if not len(seed):
-            continue
-        if last is not None:
-            seed, body, doc, place = (np.concatenate([[x], c]) for x, c in zip(last, (seed, body, doc, place)))
-        new_seed = np.concatenate([[True], seed[1:] != seed[:-1]])
-        new_body = new_seed | np.concatenate([[True], body[1:] != body[:-1]])
-        copy = ~new_body
-        copy[1:] &= (doc[1:] != doc[:-1]) | (place[1:] != place[:-1])
-        yield told(False, doc[copy], place[copy])
-        # A distinct neighbourhood is looked at again if its seed has another one.
-        heads = np.flatnonzero(new_body)
-        joined = ~new_seed[heads]
-        again = joined | np.concatenate([joined[1:], [False]])
-        fresh = again.copy()
-        if last is not None:
-            fresh[0] &= not last_told
-        yield told(True, doc[heads[fresh]], place[heads[fresh]])
-        last_told = bool(again[-1]) or (len(heads) == 1 and last is not None and last_told)
-        last = tuple(int(c[heads[-1]]) for c in (seed, body, doc, place))
+    schema = pa.schema([("again", pa.bool_()), ("hot", pa.bool_()), ("doc", pa.int64()), ("place", pa.int64())])
+
+    def told(again: bool, hot: np.ndarray, doc: np.ndarray, place: np.ndarray) -> pa.RecordBatch:
+        return pa.RecordBatch.from_arrays([pa.array(np.full(len(doc), again)), pa.array(hot), pa.array(doc), pa.array(place)], schema=schema)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        # One seed may go on over batches: its distinct neighbourhoods are put before the next batch. Once they are
+        # many they are told, and only the last of them is put there.
+        carried, many = [np.zeros(0, bool), *[np.zeros(0, np.int64)] * 4], False
+        for b in batches:
+            gone, *columns = (c.to_numpy(zero_copy_only=False) for c in b.columns)
+            if gone.any():
+                yield told(False, np.zeros(gone.sum(), bool), *(c[gone] for c in columns[-2:]))
+                columns = [c[~gone] for c in columns]
+            if not len(columns[0]):
+                continue
+            hot, seed, body, doc, place = (np.concatenate(x) for x in zip(carried, columns))
+            new_seed = np.concatenate([[True], seed[1:] != seed[:-1]])
+            new_body = new_seed | np.concatenate([[True], body[1:] != body[:-1]])
+            copy = ~new_body
+            copy[1:] &= (doc[1:] != doc[:-1]) | (place[1:] != place[:-1])
+            yield told(False, np.zeros(copy.sum(), bool), doc[copy], place[copy])
+            # A distinct neighbourhood is looked at again if its seed has another one.
+            heads = np.flatnonzero(new_body)
+            nth = np.cumsum(new_seed[heads]) - 1
+            count = np.bincount(nth)
+            large = count > MANY
+            large[0] |= many
+            hot_head = hot[heads] | large[nth]
+            tell = hot_head | ((count > 1)[nth] & (nth < nth[-1]))
+            if many:
+                tell[0] = False
+            yield told(True, hot_head[tell], doc[heads[tell]], place[heads[tell]])
+            many = bool(hot_head[-1])
+            on = heads[-1:] if many else heads[nth == nth[-1]]
+            carried = [c[on] for c in (hot, seed, body, doc, place)]
+        if not many and len(carried[0]) > 1:
+            yield told(True, carried[0], *carried[-2:])
+
+    return run
 
 
 BLOCKS = "gone boolean, shared long, body long, doc long, place long, bytes binary"
@@ -289,11 +328,20 @@ def _cut(length: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             shared, body, doc, place, held = [], [], [], [], []
-            for doc_id, key, text, places in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), texts_of(b.column(2)), b.column(3)):
+            for doc_id, key, text, places, hot in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), texts_of(b.column(2)), b.column(3), b.column(4)):
                 wanted = np.unique(places.values.to_numpy() >> STARTS_BITS + KEY_BITS)
+                singly = set((hot.values.to_numpy() >> STARTS_BITS + KEY_BITS).tolist())
                 for start, starts, seed, _ in neighbourhoods(text, length):
                     chosen = np.isin(start, wanted)
                     for at, n, p in zip(start[chosen].tolist(), starts[chosen].tolist(), seed[chosen].tolist()):
+                        if at in singly:
+                            for x in range(at, at + n):
+                                shared.append(_signed(xxh64_intdigest(text[x : x + length], p - x)))
+                                place.append((x << STARTS_BITS + KEY_BITS) | (1 << KEY_BITS) | key)
+                            body.extend([0] * n)
+                            doc.extend([doc_id] * n)
+                            held.extend([None] * n)
+                            continue
                         # Cut by distance to the seed, which equal strings share; the strings of a block have all
                         # but the outermost bytes in common.
                         cuts = sorted({0, n, *range((p - at + 1) % BLOCK, n, BLOCK)})
@@ -309,8 +357,11 @@ def _cut(length: int):
                 continue
             columns = [np.array(c, np.int64) for c in (shared, body, doc, place)]
             order, first = _folded(columns[:2], *columns[2:])
-            kept = [held[k] if new else None for k, new in zip(order.tolist(), first.tolist())]
-            yield pa.RecordBatch.from_arrays([pa.array(~first), *[pa.array(c[order]) for c in columns], pa.array(kept, pa.binary())], schema=schema)
+            late_doc, late_place = _joined(columns[2][order[~first]], columns[3][order[~first]])
+            gone = np.repeat([True, False], [len(late_doc), first.sum()])
+            columns = [np.concatenate([late, c[order[first]]]) for late, c in zip((np.zeros_like(late_doc), np.zeros_like(late_doc), late_doc, late_place), columns)]
+            kept = [None] * len(late_doc) + [held[k] for k in order[first].tolist()]
+            yield pa.RecordBatch.from_arrays([pa.array(gone), *[pa.array(c) for c in columns], pa.array(kept, pa.binary())], schema=schema)
 
     return run
 
@@ -421,14 +472,14 @@ def dedup(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", length:
     spark = df.sparkSession
     docs = id_and_text(df, id_col, text_col).select(F.coalesce("doc_id", F.lit(LAST)).alias("doc"), _text_key().alias("key"), "text", "doc_id")
     with tidy_shuffles(spark):
-        listed = docs.select("doc", "key", "text").mapInArrow(_list(length), LISTED)
-        # Rows that are gone go to any task; the others meet by seed.
-        dealt = listed.repartition(F.when(F.col("gone"), F.xxhash64("doc", "place")).otherwise(F.col("seed")))
-        found, found_path = stage(dealt.sortWithinPartitions("seed", "body", "doc", "place").mapInArrow(_by_seed, FOUND), "suffix-seeds")
+        listed = docs.select("doc", "key", "text").mapInArrow(_list(length, _hot_seeds(docs, length)), LISTED)
+        # Rows that are gone go to any task; the others meet by seed, those of a hot seed by neighbourhood.
+        dealt = listed.repartition(F.when(F.col("gone"), F.xxhash64("doc", "place")).when(F.col("hot"), F.col("body")).otherwise(F.col("seed")))
+        found, found_path = stage(dealt.sortWithinPartitions("seed", "body", "doc", "place").mapInArrow(_by_seed(), FOUND), "suffix-seeds")
         key = F.col("place").bitwiseAND(F.lit((1 << KEY_BITS) - 1))
-        again = found.filter("again").groupBy("doc", key.alias("key")).agg(F.collect_list("place").alias("places"))
+        again = found.filter("again").groupBy("doc", key.alias("key")).agg(F.collect_list("place").alias("places"), F.collect_list(F.when(F.col("hot"), F.col("place"))).alias("hot"))
         once = docs.select("doc", "key", "text").join(again, ["doc", "key"]).dropDuplicates(["doc", "key"])
-        blocks = once.select("doc", "key", "text", "places").mapInArrow(_cut(length), BLOCKS)
+        blocks = once.select("doc", "key", "text", "places", "hot").mapInArrow(_cut(length), BLOCKS)
         met = blocks.repartition(F.when(F.col("gone"), F.xxhash64("doc", "place")).otherwise(F.col("shared")))
         met = met.sortWithinPartitions("shared", "body", "doc", "place").select("gone", "shared", "body", "doc", "place", "bytes")
         late, late_path = stage(met.mapInArrow(_by_block(length), "doc long, place long"), "suffix-blocks")

@@ -95,6 +95,28 @@ def test_suffix_dedup_equals_brute_force(docs, monkeypatch):
     assert repeats(docs(*made)) == brute.without_repeats(made)
 
 
+@pytest.mark.parametrize("sample", [1, 1 << 40])
+def test_suffix_passage_with_other_text_around_it_in_most_rows(docs, monkeypatch, sample):
+    plain = suffix.repeated_starts
+
+    def bounded(texts, firsts, length):
+        assert len(texts) <= 12, "a task sorts one group of blocks per row"
+        return plain(texts, firsts, length)
+
+    monkeypatch.setattr(suffix, "repeated_starts", bounded)
+    monkeypatch.setattr(suffix, "SORT_BYTES", 1)
+    monkeypatch.setattr(suffix, "MANY", 12, raising=False)
+    monkeypatch.setattr(suffix, "SAMPLE", sample, raising=False)
+    rng = random.Random(13)
+    letters = lambda n: "".join(rng.choice("abcdefgh") for _ in range(n))
+    passage, rare = letters(180), letters(130)
+    made = [(i, letters(rng.randint(0, 150)) + (passage if i % 5 else rare if i < 50 else "") + letters(rng.randint(0, 150))) for i in range(140)]
+    made += [(None, letters(60) + passage[:140] + letters(60)), (300, passage + passage), (7, made[7][1])]
+    want = brute.without_repeats([(10**6 if i is None else i, t) for i, t in made if (i, t) != made[7]] + [made[7]])
+    want[None] = want.pop(10**6)
+    assert repeats(docs(*made)) == want
+
+
 def test_suffix_dedup_of_long_texts_read_in_parts(docs, monkeypatch):
     rng = random.Random(2)
     long = "".join(rng.choice("abcdef") for _ in range(9000))
