@@ -1,7 +1,7 @@
 """Token sequences of a fixed length with minimum bin slack.
 
 Documents are turned into token ids, whole windows are cut off, and the remainders of a bounded block of
-documents are packed. For each window a bitset over reachable lengths tells which multiset of remaining lengths
+documents are packed. For each window a bitset over reachable lengths tells which multiset of all remaining lengths
 comes closest to its capacity; the bits reached after each length are kept, so the counts are read off backwards.
 What a window still lacks is cut from the largest remainder left. At the end of a task the last window is cut
 into powers of two, which need no padding.
@@ -25,8 +25,6 @@ from stratalake.llm.common import id_and_text
 
 CAPACITY = 1024
 BLOCK_DOCUMENTS = 2048
-#: Distinct lengths offered to one window, the largest first; the rest wait for the next.
-OFFERED = 96
 PIECE = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long"
 
 
@@ -93,8 +91,7 @@ class Packer:
     def windows(self) -> Iterator[tuple[int, int, int, int, int]]:
         """Full windows as long as what waits fills one."""
         while self.tokens >= self.capacity:
-            offered = sorted(self.waiting, reverse=True)[:OFFERED]
-            counts = closest_multiset({n: len(self.waiting[n]) for n in offered}, self.capacity)
+            counts = closest_multiset({n: len(places) for n, places in self.waiting.items()}, self.capacity)
             sequence, offset = self._next(), 0
             for length in sorted(counts, reverse=True):
                 for _ in range(counts[length]):

@@ -54,6 +54,18 @@ def test_closest_multiset_is_the_closest():
         assert sum(n * c for n, c in counts.items()) == max(s for s in sums if s <= capacity)
 
 
+def test_every_waiting_length_is_offered_before_a_cut():
+    packer = packing.Packer(1024)
+    lengths = [*range(600, 1001), 24, 30]
+    for document, n in enumerate(lengths):
+        assert list(packer.add(document, n)) == []
+    windows = packer.windows()
+    for _ in range(2):
+        placed = [next(windows), next(windows)]
+        assert sum(length for _, _, length, _, _ in placed) == 1024
+        assert all(start == 0 and length == lengths[document] for document, start, length, _, _ in placed)
+
+
 def check(rows, made, encoder):
     by_doc, by_sequence = {}, {}
     for r in rows:
