@@ -17,11 +17,12 @@ from itertools import accumulate, combinations
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from xxhash import xxh64_intdigest
 
-from stratalake.llm.common import batch, id_and_text, runs, stage, texts_of
+from stratalake.functions.keys import named
+from stratalake.llm.common import batch, id_and_text, runs, stage, text_key, texts_of
 from stratalake.llm.components import components
 
 SEED = 42
@@ -50,14 +51,27 @@ def fingerprint(text: bytes, shingle_words: int) -> int:
 
 def fingerprints(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle_words: int = 3) -> DataFrame:
     """``doc_id, fp`` for each row, ``fp`` as a signed long. Null texts are empty; null ids stay null."""
-    schema = pa.schema([("doc_id", pa.int64()), ("fp", pa.int64())])
+    return _fingerprinted(id_and_text(df, id_col, text_col), shingle_words)
+
+
+def _fingerprinted(rows: DataFrame, shingle_words: int) -> DataFrame:
+    """``doc_id, fp`` and the further columns of ``rows``, longs behind ``doc_id`` and ``text``."""
+    further = rows.columns[2:]
+    schema = pa.schema([(c, pa.int64()) for c in ("doc_id", "fp", *further)])
 
     def compute(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             found = np.array([fingerprint(t, shingle_words) for t in texts_of(b.column(1))], np.uint64)
-            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(found.view(np.int64))], schema=schema)
+            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(found.view(np.int64)), *b.columns[2:]], schema=schema)
+
+    return rows.mapInArrow(compute, ", ".join(f"{c} long" for c in schema.names))
 
-    return id_and_text(df, id_col, text_col).mapInArrow(compute, "doc_id long, fp long")
+
+def _rooted(own: DataFrame, least: Column, max_bits: int) -> DataFrame:
+    """``fp, least, root`` for each distinct fingerprint of ``own``: an aggregate of its rows, and its component."""
+    nodes, _ = stage(own.groupBy("fp").agg(least.alias("least")), "nodes")
+    roots = components(links(nodes.select("fp"), max_bits)).select(F.col("node").alias("fp"), "root")
+    return nodes.join(roots, "fp", "left").select("fp", "least", F.coalesce("root", "fp").alias("root"))
 
 
 def _positional_keys(max_bits: int) -> list[int]:
@@ -174,9 +188,7 @@ def groups(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingl
     repeated row is repeated. An empty table gives an empty one.
     """
     own, _ = stage(fingerprints(df, id_col, text_col, shingle_words), "fingerprints")
-    nodes, _ = stage(own.groupBy("fp").agg(F.min("doc_id").alias("least")), "nodes")
-    roots = components(links(nodes.select("fp"), max_bits)).select(F.col("node").alias("fp"), "root")
-    rooted = nodes.join(roots, "fp", "left").select("fp", "least", F.coalesce("root", "fp").alias("root"))
+    rooted = _rooted(own, F.min("doc_id"), max_bits)
     named_roots = rooted.groupBy("root").agg(F.min("least").alias("component_id"))
     of_fp = rooted.join(named_roots, "root").select("fp", "component_id")
     return own.join(of_fp, "fp").select("doc_id", "fp", "component_id")
@@ -187,11 +199,25 @@ def hex_fingerprint(fp: str = "fp"):
 
 
 def keep_one(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle_words: int = 3, max_bits: int = 3) -> DataFrame:
-    """The rows of ``df``, one per component: that with the smallest id; one row with a null id if none has an id.
+    """The rows of ``df``, one per component: that with the smallest id; a row with a null id if none has an id.
 
-    Where several rows carry the id that stays, one of them does.
+    Of several such rows the one of the smallest text hash stays, then that of the smallest hash of all columns, so
+    a retried task keeps the same row. Rows equal in all columns are one. Rows of different components never meet,
+    also where they share an id or have none.
     """
-    ids = groups(df, id_col, text_col, shingle_words, max_bits)
-    stay = ids.groupBy("component_id").agg(F.count(F.lit(1)).alias("_n")).select(F.col("component_id").alias("__stay"))
-    kept = df.join(stay, F.col(id_col).eqNullSafe(F.col("__stay"))).drop("__stay")
-    return kept.dropDuplicates([id_col])
+    every = [named(c) for c in df.columns]
+    hashed = [F.to_json(F.struct(c)) if "map<" in kind or kind == "variant" else c for c, (_, kind) in zip(every, df.dtypes)]
+    marked = df.select(
+        *every,
+        named(id_col).cast("long").alias("__id"),
+        text_key(F.coalesce(named(text_col).cast("string"), F.lit(""))).alias("__text"),
+        F.xxhash64(*hashed, *[F.isnull(c) for c in every]).alias("__row"),
+    )
+    rows = marked.select(F.col("__id").alias("doc_id"), F.coalesce(named(text_col).cast("string"), F.lit("")).alias("text"), F.col("__text").alias("text_key"), F.col("__row").alias("row_key"))
+    own, _ = stage(_fingerprinted(rows, shingle_words), "fingerprints")
+    age = F.struct(F.isnull("doc_id").alias("none"), "doc_id", "text_key", "row_key")
+    stay = _rooted(own, F.min(age), max_bits).groupBy("root").agg(F.min("least").alias("least")).select("least.*")
+    stay = stay.select(F.col("doc_id").alias("__stay"), F.col("text_key").alias("__stay_text"), F.col("row_key").alias("__stay_row"))
+    same = F.col("__id").eqNullSafe(F.col("__stay")) & (F.col("__text") == F.col("__stay_text")) & (F.col("__row") == F.col("__stay_row"))
+    kept = marked.join(stay, same).dropDuplicates(["__id", "__text", "__row"])
+    return kept.select(*every)

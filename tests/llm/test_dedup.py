@@ -182,6 +182,18 @@ def test_one_of_each_group_stays(docs):
     assert simhash.keep_one(docs((None, "x"), (None, "x"))).count() == 1
 
 
+def test_one_of_each_group_stays_where_ids_are_missing_or_repeated(docs):
+    rng = random.Random(21)
+    texts = [" ".join(f"t{k}w{rng.randint(0, 10**6)}" for _ in range(60)) for k in range(6)]
+    # Groups 0 to 2 have no id; 3 and 4 share id 7; a copy of 3 has no id; 5 has ids 7 and 6, so its 7 goes.
+    rows = [(None, texts[0]), (None, texts[0]), (None, texts[1]), (None, texts[2]), (7, texts[3]), (None, texts[3]), (7, texts[4]), (7, texts[5]), (6, texts[5])]
+    want = [(None, texts[0]), (None, texts[1]), (None, texts[2]), (7, texts[3]), (7, texts[4]), (6, texts[5])]
+    kept = [(r["doc_id"], r["text"]) for r in simhash.keep_one(docs(*rows)).collect()]
+    assert Counter(kept) == Counter(want)
+    by_source = docs(*[(1, texts[0], f"s{k}") for k in range(5)]).repartition(5)
+    assert len({simhash.keep_one(by_source.repartition(n)).collect()[0]["source"] for n in (1, 3)}) == 1
+
+
 def test_components_of_a_path_and_a_star(spark):
     path = [(i, i + 1) for i in range(100, 160)]
     star = [(7, i) for i in range(200, 400)]
