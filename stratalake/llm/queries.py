@@ -9,8 +9,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from stratalake.llm import boilerplate, decontaminate, exact, packing, quality, secrets, simhash, suffix, toxicity, warc
-from stratalake.llm.common import ship
+from stratalake.llm import align, boilerplate, collocation, decontaminate, exact, packing, quality, secrets, simhash, suffix, topk, toxicity, warc
+from stratalake.llm.common import remove, ship, stage, tidy_shuffles
 from stratalake.llm.labelled import fold
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -157,3 +157,55 @@ def op9_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op10_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = simhash.groups(table(spark, sf_dir, "documents"))
     return found.select("doc_id", simhash.hex_fingerprint().alias("fingerprint"), "component_id")
+
+
+@query(
+    "op11_collocations",
+    r"""
+    WITH p AS (SELECT coalesce(lang, 'und') AS lang, unnest(regexp_split_to_array(
+                   translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[.,;:!?\x0A-\x0D]')) AS piece FROM documents),
+         w AS (SELECT lang, list_filter(regexp_split_to_array(piece, '[\x20\x09]+'), lambda x: x <> '') AS w FROM p),
+         g AS (SELECT lang, n, array_to_string(w[i + 1 : i + n], ' ') AS phrase
+               FROM (SELECT lang, w, s.n, unnest(range(len(w) - s.n + 1)) AS i FROM w, (SELECT unnest([1, 2, 3, 4, 5]) AS n) s WHERE len(w) >= s.n)),
+         f AS (SELECT lang, n, phrase, count(*) AS f FROM g GROUP BY ALL),
+         t AS (SELECT lang, sum(f)::BIGINT AS n FROM f WHERE n = 1 GROUP BY lang),
+         c AS (SELECT lang, n AS size, phrase, f AS a FROM f WHERE n >= 2 AND f >= 100),
+         k AS (SELECT *, array_to_string(string_split(phrase, ' ')[1 : k], ' ') AS first, array_to_string(string_split(phrase, ' ')[k + 1 : size], ' ') AS rest
+               FROM (SELECT *, unnest(range(1, size)) AS k FROM c)),
+         s AS (SELECT k.*, l.f AS l, r.f AS r, t.n, (1000::HUGEINT * a * t.n) // (l.f::HUGEINT * r.f) AS score
+               FROM k JOIN f l ON l.lang = k.lang AND l.phrase = k.first AND l.n = k.k
+                      JOIN f r ON r.lang = k.lang AND r.phrase = k.rest AND r.n = k.size - k.k JOIN t ON t.lang = k.lang),
+         b AS (SELECT * FROM s QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, k) = 1),
+         o AS (SELECT * FROM b WHERE NOT EXISTS (SELECT 1 FROM c WHERE c.lang = b.lang AND c.size > b.size AND 100 * c.a >= 100 * b.a
+                                                   AND contains(' ' || c.phrase || ' ', ' ' || b.phrase || ' ')))
+    SELECT lang, rank, phrase, a, l, r, n, score::BIGINT AS score
+    FROM (SELECT *, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase COLLATE "C") AS rank FROM o) WHERE rank <= 2000
+    """,
+)
+def op11_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return collocation.mine(table(spark, sf_dir, "documents"))
+
+
+@query("op12_alignment")
+def op12_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    files = [public_tokenizers.path(n) for n in ("byte_bpe_50k.json", "byte_bpe_50k.tiktoken", "piece_bpe_32k.model")]
+    with tidy_shuffles(spark):
+        aligned, at = stage(align.align(table(spark, sf_dir, "documents"), *files), "aligned")
+        result, _ = stage(align.digests(aligned, align.pair_counts(aligned)), "alignment")
+        remove(spark, at)
+    return result
+
+
+@query(
+    "op13_topk",
+    """
+    WITH e AS (SELECT vec_id, list_transform(embedding, lambda x: floor(256 * x::DOUBLE)) AS v FROM embeddings
+               WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+         s AS (SELECT q.vec_id AS query_id, c.vec_id, list_inner_product(q.v, c.v)::BIGINT AS score
+               FROM e q JOIN e c ON q.vec_id % 50 = 0 AND q.vec_id <> c.vec_id)
+    SELECT query_id, rank::INTEGER AS rank, vec_id, score
+    FROM (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS rank FROM s) WHERE rank <= 5
+    """,
+)
+def op13_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return topk.search(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 50 == 0)
