@@ -34,6 +34,10 @@ TEXTS = 256
 NEAR = 8
 #: Pairs that a task counts at once.
 PAIRS = 1 << 22
+#: Ids and group sizes as little-endian bytes, which Spark hands on without looking at each; for the sides a and b.
+IDS, SIZES = np.dtype("<u2"), np.dtype("<u4")
+SIDES = (("a_ids", IDS), ("b_ids", IDS), ("a_sizes", SIZES), ("b_sizes", SIZES))
+PACKED = "doc_id long, a_ids binary, b_ids binary, a_sizes binary, b_sizes binary"
 ALIGNED = "doc_id long, a_ids array<int>, b_ids array<int>, a_sizes array<int>, b_sizes array<int>"
 
 
@@ -72,7 +76,8 @@ def divide(a_ends: np.ndarray, b_ends: np.ndarray, lo: np.ndarray, hi: np.ndarra
         split = cut >= 0
         lo, hi, cut = lo[split], hi[split], cut[split]
         found.append(cut)
-        lo, hi = np.concatenate([lo, cut + 1]), np.concatenate([cut + 1, hi])
+        # In order: neighbours are looked up one after the other.
+        lo, hi = np.stack([lo, cut + 1], 1).ravel(), np.stack([cut + 1, hi], 1).ravel()
 
 
 class Vocabulary:
@@ -130,6 +135,7 @@ class Encoder:
     """
 
     REMEMBERED = 200_000
+    AT_ONCE = 64
     PLAIN_UNTIL = "ɏ"
     SPACES = tuple(chr(c) for c in (9, 10, 11, 12, 13, 28, 29, 30, 31, 32, 133, 160))
 
@@ -148,6 +154,8 @@ class Encoder:
         self.ranks = tiktoken.Encoding("ranks", pat_str=public_tokenizers.PATTERN, mergeable_ranks=known, special_tokens={})
         self.model = sentencepiece.SentencePieceProcessor(model_file=model)
         self.b = pieces(self.model)
+        if max(len(self.a.tokens), len(self.b.tokens)) > np.iinfo(IDS).max + 1:
+            raise ValueError("ids of these vocabularies do not fit two bytes")
         self.cuts_at_blanks = not any(b" " in t.lstrip(b" ") for t in self.b.tokens)
         self._forget()
 
@@ -157,9 +165,11 @@ class Encoder:
         self.ends = [np.zeros(1, np.int64), np.zeros(1, np.int64)]
 
     def _learn(self, new: list[str]) -> None:
-        text = " ".join(new)
-        bytes_to = np.cumsum([1 + len(p.encode()) for p in new])
-        for side, (ids, words) in enumerate(((self.ranks.encode_ordinary(" " + text), self.a), (self.model.encode(text), self.b))):
+        bytes_to = np.cumsum([1 + (len(p) if p.isascii() else len(p.encode())) for p in new])
+        pieces_of: list[int] = []
+        for at in range(0, len(new), self.AT_ONCE):
+            pieces_of += self.model.encode(" ".join(new[at : at + self.AT_ONCE]))
+        for side, (ids, words) in enumerate(((self.ranks.encode_ordinary(" " + " ".join(new)), self.a), (pieces_of, self.b))):
             ids = np.array(ids, np.int32)
             ends = np.searchsorted(np.cumsum(words.lengths[ids]), bytes_to) + 1
             self.ends[side] = np.concatenate([self.ends[side], ends + len(self.flat[side])])
@@ -222,6 +232,8 @@ def groups(encoded: list[tuple[np.ndarray, np.ndarray]], a: Vocabulary, b: Vocab
         return out
     counts = [np.array([len(encoded[n][side]) for n in full], np.int64) for side in (0, 1)]
     ends = [np.cumsum(v.lengths[np.concatenate([encoded[n][side] for n in full])]) for side, v in enumerate((a, b))]
+    if ends[0][-1] < 2**31:
+        ends = [e.astype(np.int32) for e in ends]
     hi = np.cumsum(counts[0])
     cuts = divide(ends[0], ends[1], hi - counts[0], hi)  # a text's end is shared by both
     in_b = np.searchsorted(ends[1], ends[0][cuts])
@@ -232,44 +244,66 @@ def groups(encoded: list[tuple[np.ndarray, np.ndarray]], a: Vocabulary, b: Vocab
     return out
 
 
+def _slices(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for b in batches:
+        for at in range(0, b.num_rows, TEXTS):
+            yield b.slice(at, TEXTS)
+
+
 def align(df: DataFrame, tokenizer: str, ranks: str, model: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """One row per document: :data:`ALIGNED`, the ids of both sides and how many of either each group has.
+    """One row per document: :data:`ALIGNED`, the ids of both sides and how many of either each group has."""
+    ints = pa.list_(pa.int32())
+    schema = pa.schema([("doc_id", pa.int64()), *[(n, ints) for n, _ in SIDES]])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in _slices(batches):
+            flat = [_flat(b, n) for n, _ in SIDES]
+            lists = [pa.ListArray.from_arrays(at.astype(np.int32), values.astype(np.int32)) for values, at in flat]
+            yield pa.RecordBatch.from_arrays([b.column(0), *lists], schema=schema)
+
+    return pack_groups(df, tokenizer, ranks, model, id_col, text_col).mapInArrow(run, ALIGNED)
+
+
+def pack_groups(df: DataFrame, tokenizer: str, ranks: str, model: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """:func:`align` with its arrays as bytes, :data:`PACKED`.
 
     ``tokenizer``, ``ranks`` (the same vocabulary) and ``model`` are paths on every executor.
     """
-    ints = pa.list_(pa.int32())
-    schema = pa.schema([("doc_id", pa.int64()), *[(n, ints) for n in ("a_ids", "b_ids", "a_sizes", "b_sizes")]])
+    schema = pa.schema([("doc_id", pa.int64()), *[(n, pa.binary()) for n, _ in SIDES]])
 
-    def lists(parts: list[np.ndarray]) -> pa.Array:
-        offsets = np.concatenate([[0], np.cumsum([len(p) for p in parts])]).astype(np.int32)
-        return pa.ListArray.from_arrays(offsets, np.concatenate([*parts, np.zeros(0, np.int32)]).astype(np.int32))
+    def binary(parts: list[np.ndarray], kind: np.dtype) -> pa.Array:
+        offsets = np.concatenate([[0], np.cumsum([len(p) for p in parts])]).astype(np.int32) * kind.itemsize
+        data = np.concatenate([*parts, np.zeros(0, kind)]).astype(kind)
+        return pa.Array.from_buffers(pa.binary(), len(parts), [None, pa.py_buffer(offsets.astype(np.int32)), pa.py_buffer(data)])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = _encoder(tokenizer, ranks, model)
-        for b in batches:
-            for at in range(0, b.num_rows, TEXTS):
-                part = b.slice(at, TEXTS)
-                encoded = encoder.encode(part.column(1).to_pylist())
-                sizes = groups(encoded, encoder.a, encoder.b)
-                columns = [lists([x[side] for x in of]) for of in (encoded, sizes) for side in (0, 1)]
-                yield pa.RecordBatch.from_arrays([part.column(0), *columns], schema=schema)
+        for part in _slices(batches):
+            encoded = encoder.encode(part.column(1).to_pylist())
+            sizes = groups(encoded, encoder.a, encoder.b)
+            columns = [binary([x[side] for x in of], kind) for of, kind in ((encoded, IDS), (sizes, SIZES)) for side in (0, 1)]
+            yield pa.RecordBatch.from_arrays([part.column(0), *columns], schema=schema)
 
-    return id_and_text(df, id_col, text_col).mapInArrow(run, ALIGNED)
+    return id_and_text(df, id_col, text_col).mapInArrow(run, PACKED)
 
 
-def _flat(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
-    """Values of a list column and where each row's begin, with the end at last."""
-    offsets = column.offsets.to_numpy().astype(np.int64)
-    return column.values.to_numpy(zero_copy_only=False)[offsets[0] : offsets[-1]], offsets - offsets[0]
+def _flat(b: pa.RecordBatch, name: str) -> tuple[np.ndarray, np.ndarray]:
+    """Values of a packed column and where each row's begin, with the end at last."""
+    column, kind = b.column(b.schema.get_field_index(name)), dict(SIDES)[name]
+    _, offsets, data = column.buffers()
+    if offsets is None or data is None:
+        return np.zeros(0, kind), np.zeros(len(column) + 1, np.int64)
+    at = np.frombuffer(offsets, np.int32)[column.offset : column.offset + len(column) + 1].astype(np.int64)
+    return np.frombuffer(data, kind, (at[-1] - at[0]) // kind.itemsize, at[0]), (at - at[0]) // kind.itemsize
 
 
 def _links(b: pa.RecordBatch) -> tuple[np.ndarray, np.ndarray]:
     """Pairs of ids that end together as one number each, and where each row's begin."""
-    (a_ids, a_at), (b_ids, b_at), (a_sizes, at), (b_sizes, _) = (_flat(b.column(b.schema.get_field_index(n))) for n in ("a_ids", "b_ids", "a_sizes", "b_sizes"))
-    return a_ids[np.cumsum(a_sizes) - 1].astype(np.int64) << 32 | b_ids[np.cumsum(b_sizes) - 1].astype(np.int64), at
+    (a_ids, _), (b_ids, _), (a_sizes, at), (b_sizes, _) = (_flat(b, n) for n, _ in SIDES)
+    return a_ids[np.cumsum(a_sizes, dtype=np.int64) - 1].astype(np.int64) << 32 | b_ids[np.cumsum(b_sizes, dtype=np.int64) - 1].astype(np.int64), at
 
 
-def pair_counts(aligned: DataFrame) -> DataFrame:
+def pair_counts(packed: DataFrame) -> DataFrame:
     """``a, b, n, best``: how many links hold a pair of ids, and whether no pair of its ``b`` has more."""
     schema = pa.schema([("a", pa.int32()), ("b", pa.int32()), ("n", pa.int64())])
 
@@ -283,7 +317,7 @@ def pair_counts(aligned: DataFrame) -> DataFrame:
             np.add.at(total, place, np.concatenate([counts, times]))
             return both, total
 
-        for b in batches:
+        for b in _slices(batches):
             waiting.append(_links(b)[0])
             size += len(waiting[-1])
             if size >= PAIRS:
@@ -294,36 +328,36 @@ def pair_counts(aligned: DataFrame) -> DataFrame:
             columns = [(keys >> 32).astype(np.int32), (keys & 0xFFFFFFFF).astype(np.int32), counts]
             yield pa.RecordBatch.from_arrays([pa.array(c) for c in columns], schema=schema)
 
-    made = aligned.select("a_ids", "b_ids", "a_sizes", "b_sizes").mapInArrow(run, "a int, b int, n long").groupBy("a", "b").agg(F.sum("n").alias("n"))
+    made = packed.select(*[n for n, _ in SIDES]).mapInArrow(run, "a int, b int, n long").groupBy("a", "b").agg(F.sum("n").alias("n"))
     most = F.max("n").over(Window.partitionBy("b"))  # no more rows than the other vocabulary has ids
     return made.select("a", "b", "n", (F.col("n") == most).alias("best"))
 
 
-def digests(aligned: DataFrame, counts: DataFrame) -> DataFrame:
+def digests(packed: DataFrame, counts: DataFrame) -> DataFrame:
     """One row per document: numbers of tokens, groups and links, how common its links are, and its groups' digest.
 
     ``counts`` is brought to the tasks whole; see the module's text for its bound.
     """
     table = counts.select((F.shiftleft(F.col("a").cast("long"), 32) + F.col("b")).alias("key"), "n", "best").toArrow().sort_by("key")
-    sent = aligned.sparkSession.sparkContext.broadcast(tuple(table.column(n).to_numpy() for n in ("key", "n", "best")))
+    sent = packed.sparkSession.sparkContext.broadcast(tuple(table.column(n).to_numpy() for n in ("key", "n", "best")))
     names = ("doc_id", "n_a", "n_b", "n_groups", "n_links", "n_best", "count_sum")
     schema = pa.schema([*[(n, pa.int64()) for n in names], ("groups_sha256", pa.string())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         keys, times, best = sent.value
-        for b in batches:
+        for b in _slices(batches):
             links, at = _links(b)
             where = np.searchsorted(keys, links)
             sums = [np.concatenate([[0], np.cumsum(v)]) for v in (times[where], best[where].astype(np.int64))]
             count_sum, n_best = (s[at[1:]] - s[at[:-1]] for s in sums)
-            sides = [_flat(b.column(b.schema.get_field_index(n))) for n in ("a_ids", "b_ids")]
+            sides = [_flat(b, n) for n in ("a_ids", "b_ids")]
             n_a, n_b = (np.diff(offsets) for _, offsets in sides)
             n_groups = np.diff(at)
             columns = [b.column(b.schema.get_field_index("doc_id")), n_a, n_b, n_groups, n_groups, n_best, count_sum]
             written = _written(b)
             yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in columns] + [pa.array(written)], schema=schema)
 
-    return aligned.mapInArrow(run, ", ".join(f"{n} long" for n in names) + ", groups_sha256 string")
+    return packed.mapInArrow(run, ", ".join(f"{n} long" for n in names) + ", groups_sha256 string")
 
 
 _tails: dict[str, list[str]] = {}
@@ -338,10 +372,10 @@ def _tail(mark: str, most: int) -> list[str]:
 
 def _written(b: pa.RecordBatch) -> list[str]:
     """sha256 of ``a1,a2|b1;a3|b2,b3`` for each row, nothing where there are no tokens."""
-    (a_ids, a_at), (b_ids, b_at), (a_sizes, at), (b_sizes, _) = (_flat(b.column(b.schema.get_field_index(n))) for n in ("a_ids", "b_ids", "a_sizes", "b_sizes"))
+    (a_ids, a_at), (b_ids, b_at), (a_sizes, _), (b_sizes, _) = (_flat(b, n) for n, _ in SIDES)
     if not len(a_ids):
         return [""] * b.num_rows
-    a_stop, b_stop = np.cumsum(a_sizes.astype(np.int64)), np.cumsum(b_sizes.astype(np.int64))
+    a_stop, b_stop = np.cumsum(a_sizes, dtype=np.int64), np.cumsum(b_sizes, dtype=np.int64)
     a_last, b_last = np.zeros(len(a_ids), np.int64), np.zeros(len(b_ids), np.int64)
     a_last[a_stop - 1], b_last[b_stop - 1] = 1, 1
     # Place of each token in the written row: the other side's tokens of earlier (for b: and of this) groups come before.

@@ -46,10 +46,10 @@ def text_key(text: Column) -> Column:
     return F.xxhash64(text)
 
 
-def stage(df: DataFrame, name: str) -> tuple[DataFrame, str]:
+def stage(df: DataFrame, name: str, **options: str) -> tuple[DataFrame, str]:
     """Written table in the shared folder and its path, for results that are read more than once."""
     path = fresh_path(df.sparkSession, name)
-    df.write.parquet(path)
+    df.write.options(**options).parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path), path
 
 
@@ -73,6 +73,18 @@ def tidy_shuffles(spark: SparkSession) -> Iterator[None]:
         spark.conf.unset(key) if before is None else spark.conf.set(key, before)
 
 
+@contextmanager
+def arrow_rows(spark: SparkSession, rows: int) -> Iterator[None]:
+    """Within it an Arrow batch holds so many rows at most, for rows that are large."""
+    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before = spark.conf.get(key)
+    spark.conf.set(key, str(rows))
+    try:
+        yield
+    finally:
+        spark.conf.set(key, before)
+
+
 def texts_of(column: pa.Array | pa.ChunkedArray) -> Iterator[bytes]:
     """UTF-8 of each value without a detour over Python strings; null gives empty bytes."""
     for part in column.chunks if isinstance(column, pa.ChunkedArray) else [column]:

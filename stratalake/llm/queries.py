@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from stratalake.llm import align, boilerplate, collocation, decontaminate, exact, packing, quality, secrets, simhash, suffix, topk, toxicity, warc
-from stratalake.llm.common import remove, ship, stage, tidy_shuffles
+from stratalake.llm.common import arrow_rows, remove, ship, stage, tidy_shuffles
 from stratalake.llm.labelled import fold
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -189,9 +189,9 @@ def op11_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op12_alignment")
 def op12_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
     files = [public_tokenizers.path(n) for n in ("byte_bpe_50k.json", "byte_bpe_50k.tiktoken", "piece_bpe_32k.model")]
-    with tidy_shuffles(spark):
-        aligned, at = stage(align.align(table(spark, sf_dir, "documents"), *files), "aligned")
-        result, _ = stage(align.digests(aligned, align.pair_counts(aligned)), "alignment")
+    with tidy_shuffles(spark), arrow_rows(spark, align.TEXTS):
+        packed, at = stage(align.pack_groups(table(spark, sf_dir, "documents"), *files), "aligned", compression="zstd")
+        result, _ = stage(align.digests(packed, align.pair_counts(packed)), "alignment")
         remove(spark, at)
     return result
 

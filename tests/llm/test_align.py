@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import bisect
 import hashlib
 import random
 from collections import Counter
@@ -34,7 +35,8 @@ def plain(encoder, rows):
     links, out = {}, []
     for n, (_, text) in enumerate(rows):
         a, b = whole(encoder, text)
-        links[n] = [(x, y) for x, i in a for y in (dict((e, t) for t, e in b).get(i),) if y is not None]
+        token_b = {e: t for t, e in b}
+        links[n] = [(x, token_b[e]) for x, e in a if e in token_b]
     counts = Counter(p for ps in links.values() for p in ps)
     most = Counter()
     for (_, y), c in counts.items():
@@ -42,9 +44,13 @@ def plain(encoder, rows):
     for n, (doc_id, text) in enumerate(rows):
         a, b = whole(encoder, text)
         shared = sorted({e for _, e in a} & {e for _, e in b})
-        parts = [
-            "|".join(",".join(str(t) for t, e in side if low < e <= high) for side in (a, b)) for low, high in zip([0, *shared], shared)
-        ]
+        sides = []
+        for side in (a, b):
+            group: dict[int, list[str]] = {}
+            for t, e in side:
+                group.setdefault(shared[bisect.bisect_left(shared, e)], []).append(str(t))
+            sides.append(group)
+        parts = ["|".join(",".join(side[e]) for side in sides) for e in shared]
         digest = hashlib.sha256(";".join(parts).encode()).hexdigest() if parts else ""
         out.append((doc_id, len(a), len(b), len(parts), len(links[n]), sum(counts[p] == most[p[1]] for p in links[n]), sum(counts[p] for p in links[n]), digest))
     return sorted(out, key=repr)
@@ -63,14 +69,22 @@ def test_digests_equal_the_plain_version(spark, docs, encoder):
     rows = [(i, " ".join(rng.choice(["Thorough", "naïve", "123456", "New-York,", "ouèan", "a.b"]) for _ in range(rng.randint(1, 80)))) for i in range(60)]
     rows += [(100 + i, "".join(rng.choice(ODD) for _ in range(9))) for i in range(60)]
     rows += [(200, None), (201, ""), (None, "no id"), (5, "same id"), (5, "same id"), (202, "word " * 30_000), (203, "漢字" * 3000), (204, " x")]
-    aligned = align.align(docs(*rows), *FILES)
-    got = align.digests(aligned, align.pair_counts(aligned)).collect()
+    packed = align.pack_groups(docs(*rows), *FILES)
+    got = align.digests(packed, align.pair_counts(packed)).collect()
     assert sorted(map(tuple, got), key=repr) == plain(encoder, rows)
 
 
 def test_no_rows(docs):
-    aligned = align.align(docs(), *FILES)
-    assert align.digests(aligned, align.pair_counts(aligned)).collect() == []
+    packed = align.pack_groups(docs(), *FILES)
+    assert align.digests(packed, align.pair_counts(packed)).collect() == []
+
+
+def test_aligned_rows_hold_ids_and_group_sizes(docs, encoder):
+    rows = [(1, "Thorough naïve work"), (2, None), (3, "12345 a.b")]
+    for r in align.align(docs(*rows), *FILES).collect():
+        a, b = whole(encoder, dict(rows)[r["doc_id"]])
+        assert [r["a_ids"], r["b_ids"]] == [[i for i, _ in side] for side in (a, b)]
+        assert sum(r["a_sizes"]) == len(a) and sum(r["b_sizes"]) == len(b) and len(r["a_sizes"]) == len({e for _, e in a} & {e for _, e in b})
 
 
 def test_division_finds_all_shared_ends():
