@@ -22,20 +22,22 @@ bits raise an error.
 from __future__ import annotations
 
 from collections.abc import Iterator
-from contextlib import contextmanager
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from stratalake.functions.keys import named
-from stratalake.llm.common import remove, stage, tidy_shuffles
+from stratalake.llm.common import arrow_rows, remove, stage, tidy_shuffles
 
 SCALE = 256
 LISTS = 2
+#: Entries that a list names for each query in the first phase, for each row wanted. The cutoff is safe at any depth;
+#: deeper lists find a higher one, so that fewer entries reach it.
+DEPTH = 6
 #: Rows in a block of candidates, and in a block of queries.
-CANDIDATES, QUERIES = 4096, 1024
+CANDIDATES, QUERIES = 16384, 512
 #: Rows of a query block that meet a candidate block at once.
 AT_ONCE = 256
 #: Cells of the grid in an Arrow batch; one holds a block of either side.
@@ -151,18 +153,6 @@ def _best(scored: DataFrame, keep: int) -> DataFrame:
     return scored.withColumn("place", F.rank().over(order)).where(F.col("place") <= keep).drop("place")
 
 
-@contextmanager
-def _few_at_once(spark: SparkSession) -> Iterator[None]:
-    """Within it an Arrow batch holds :data:`CELLS` rows, as a row is a whole block."""
-    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
-    before = spark.conf.get(key)
-    spark.conf.set(key, str(CELLS))
-    try:
-        yield
-    finally:
-        spark.conf.set(key, before)
-
-
 def search(
     df: DataFrame, is_query: Column, k: int = 5, id_col: str = "vec_id", vector_col: str = "embedding", scale: int = SCALE, lists: int = LISTS
 ) -> DataFrame:
@@ -170,7 +160,7 @@ def search(
     spark, keep = df.sparkSession, k + 1
     asked = F.coalesce(is_query, F.lit(False))
     rows = df.select(named(id_col).cast("long").alias("id"), whole(named(vector_col), scale).alias("v"), asked.alias("asked")).where("v IS NOT NULL")
-    with tidy_shuffles(spark), _few_at_once(spark):
+    with tidy_shuffles(spark), arrow_rows(spark, CELLS):
         classes, classes_at = stage(_classes(rows, keep), "vector-classes")
         size = classes.agg(
             F.count("*").alias("n"), F.count_if("asked").alias("asked"), F.max(F.size("v")).alias("width"), F.max(F.array_max(F.transform("v", F.abs))).alias("most")
@@ -205,9 +195,9 @@ def search(
             return scored, [at]
 
         # 1: local lists and a safe cutoff
-        local = _entries(cells(queries), product, keep, lists)
+        local = _entries(cells(queries), product, keep * DEPTH, lists)
         highest = Window.partitionBy("g", "q", "part").orderBy(F.desc("p"), "c")
-        local = local.withColumn("place", F.row_number().over(highest)).where(F.col("place") <= keep)
+        local = local.withColumn("place", F.row_number().over(highest)).where(F.col("place") <= keep * DEPTH)
         first, gone = exact(summed(local), "first-entries")
         nth = F.row_number().over(Window.partitionBy("g", "q").orderBy(F.desc("score")))
         cutoff = first.withColumn("place", nth).where(F.col("place") <= keep).groupBy("g", "q").agg(F.min("score").alias("cut"), F.count("*").alias("n"))
