@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from stratalake.functions.keys import as_columns, named
 from stratalake.functions.temporal import file_time, load_window
+from stratalake.functions.types import nullable
 from stratalake.operators.joins import without
 
 
@@ -64,3 +65,11 @@ def new_messages(standardised: DataFrame, harmonised: DataFrame, message_id: str
     """Messages that did not reach the harmonised table; messages without an id count as new."""
     seen = harmonised.select(named(message_id)).filter(named(message_id).isNotNull()).distinct()
     return without(standardised, seen, {message_id: message_id})
+
+
+def lacking_rows(rows: DataFrame, have: DataFrame) -> DataFrame:
+    """Rows that the other frame has not, counting equal ones, in its types; columns that it lacks are null there."""
+    types = {f.name: nullable(f.dataType) for f in have.schema.fields}
+    shaped = rows.select(*[named(c).cast(types[c]).alias(c) if c in types else named(c) for c in rows.columns])
+    other = have.select(*[named(c) if c in types else F.lit(None).cast(rows.schema[c].dataType).alias(c) for c in rows.columns])
+    return shaped.exceptAll(other)

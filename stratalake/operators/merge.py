@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Callable, Mapping, Sequence
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from stratalake.functions.contract import ACTIVE, HISTORY, INACTIVE, HistoryColumns
 from stratalake.functions.keys import as_columns, json_hash, named
@@ -56,6 +57,23 @@ def merge_actions(
     are compared. A small batch is therefore broadcast and the target is not moved at all; with a large one,
     adaptive execution can split a hot key of the target.
     """
+    kept, added = merge_parts(target, changes, keys, action, update_cols)
+    return kept.unionByName(added(target.select(*as_columns(keys))))
+
+
+def merge_parts(
+    target: DataFrame,
+    changes: DataFrame,
+    keys: Sequence[str],
+    action: str,
+    update_cols: Sequence[str] | None = None,
+    mark: str | None = None,
+) -> tuple[DataFrame, Callable[[DataFrame], DataFrame]]:
+    """The two halves of :func:`merge_actions`: what becomes of the target's rows, and the rows to add for given keys.
+
+    With ``mark`` the rows that go stay in the first half, marked; written, it tells the target's keys, so that the
+    target is read once.
+    """
     _require(keys, target.columns, "target")
     _require([*keys, action], changes.columns, "changes")
     fields = {f.name: nullable(f.dataType) for f in changes.schema.fields if f.name != action}
@@ -77,7 +95,8 @@ def merge_actions(
     act = F.col("_action")
     stays = F.when(F.col("_changes") > 1, twice).otherwise(act.isNull() | ~act.isin(*DELETE))
     updates = act.isin(*UPDATE)
-    joined = target.join(edits, same, "left").filter(stays)
+    joined = target.join(edits, same, "left")
+    joined = joined.withColumn(mark, ~stays) if mark else joined.filter(stays)
     kept = []
     for name, dtype in fields.items():
         old = (named(name) if name in target.columns else F.lit(None)).cast(dtype)
@@ -87,11 +106,14 @@ def merge_actions(
 
     creates = checked.filter(F.col("_action").isin(*CREATE)).drop(action, "_action")
     on = {k: k for k in keys}
-    known = within(target.select(*as_columns(keys)), creates, on).distinct()
-    added = without(creates, known, on).select(
-        *[(named(n).cast(d) if n in values else F.lit(None).cast(d)).alias(n) for n, d in fields.items()]
-    )
-    return joined.select(*kept).unionByName(added)
+
+    def added(of_target: DataFrame) -> DataFrame:
+        known = within(of_target, creates, on).distinct()
+        return without(creates, known, on).select(
+            *[(named(n).cast(d) if n in values else F.lit(None).cast(d)).alias(n) for n, d in fields.items()]
+        )
+
+    return joined.select(*kept, *([named(mark)] if mark else [])), added
 
 
 def _require(wanted: Sequence[str], present: Sequence[str], where: str) -> None:
@@ -147,24 +169,48 @@ def label_changes(
     return out.withColumn(action, label).drop("_key", "_new_hash", "_old_hash")
 
 
-def hash_upsert(new: DataFrame, existing: DataFrame | None, key: str, action: str = "row_action") -> DataFrame:
+def hash_upsert(new: DataFrame, existing: DataFrame | None, key: str) -> DataFrame:
     """State of a table after upserting the rows that differ. Without a table the rows are the table.
 
-    The rows that differ are written once: the merge reads them several times, and hashing both tables again for
-    each would cost far more.
+    Rows with an unknown key are all added; a known key may come more than once only with the values that the table has.
+    Null keys are dropped. See :func:`upserted` for the plan.
+    """
+    rows = new.filter(named(key).isNotNull())
+    return rows if existing is None else upserted(rows, existing, key, [c for c in new.columns if c != key])
+
+
+def upserted(new: DataFrame, existing: DataFrame, key: str, values: Sequence[str]) -> DataFrame:
+    """The table's rows, those that differ from the new ones by the hash of ``values`` replaced, and the rows to add.
+
+    The new rows are written once, with their hashes, and reduced to one per key. The table is the left side of a left
+    join, where a row is compared and replaced at once, so a small batch is broadcast and the table stays where it is;
+    of a second read, which tells the keys to add, only the key is taken.
     """
-    if existing is None:
-        return new.filter(named(key).isNotNull())
-    changes = materialise(label_changes(new, existing, key, action), "changes")
-    return merge_actions(existing, changes, [key], action)
+    fields = {f.name: nullable(f.dataType) for f in new.schema.fields}
+    fields.update({f.name: nullable(f.dataType) for f in existing.schema.fields})
+    once = materialise(new.select(F.struct(*as_columns(new.columns)).alias("_row"), named(key).alias("_key"), json_hash(values).alias("_hash")), "upsert")
+    edits = once.groupBy("_key").agg(F.count(F.lit(1)).alias("_n"), F.min("_hash").alias("_low"), F.max("_hash").alias("_high"), F.first("_row").alias("_row"))
+    differs = F.col("_n").isNotNull() & ((F.col("_low") != F.col("_now")) | (F.col("_high") != F.col("_now")))
+    twice = F.raise_error(F.lit("merge: more than one change for a row")).cast("boolean")
+    replaced = F.when(differs & (F.col("_n") > 1), twice).otherwise(differs)
+    joined = existing.withColumn("_now", json_hash(values)).join(edits, named(key) == F.col("_key"), "left")
+
+    def value(name: str, dtype: T.DataType) -> Column:
+        old = (named(name) if name in existing.columns else F.lit(None)).cast(dtype)
+        return F.when(replaced, F.col("_row").getField(name).cast(dtype)).otherwise(old) if name in new.columns else old
+
+    kept = joined.select(*[value(n, d).alias(n) for n, d in fields.items()])
+    known = existing.select(named(key).alias("_key"))
+    added = once.join(known, "_key", "left_anti")
+    blank = F.lit(None)
+    return kept.unionByName(added.select(*[(F.col("_row").getField(n) if n in new.columns else blank).cast(d).alias(n) for n, d in fields.items()]))
 
 
-def aligned_upsert(new: DataFrame, existing: DataFrame, key: str, action: str = "row_action") -> DataFrame:
+def aligned_upsert(new: DataFrame, existing: DataFrame, key: str) -> DataFrame:
     """Upsert restricted to the columns both tables have, in the types of the existing one."""
     common = [c for c in existing.columns if c in new.columns]
     shaped = new.select(*[named(c).cast(nullable(existing.schema[c].dataType)).alias(c) for c in common])
-    changes = materialise(label_changes(shaped, existing, key, action, common), "changes")
-    return merge_actions(existing, changes, [key], action)
+    return upserted(shaped.filter(named(key).isNotNull()), existing, key, [c for c in common if c != key])
 
 
 def split_changes(changes: DataFrame, action: str) -> Mapping[str, DataFrame]:

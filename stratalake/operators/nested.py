@@ -1,20 +1,22 @@
 """Arrays and structs: taking them apart, and folding rows into them.
 
 A folded array is one value in one row, so it is as long as its group; the folds that promise distinct values
-drop copies before the exchange. Where a key may have more rows than one value can hold, number its rows with
-:func:`stratalake.operators.ordered.chunk_groups` and fold by key and chunk.
+drop copies before the exchange. Where a key may have more rows than one value can hold, use the folds in parts: rows
+are numbered along their key and folded by key and chunk (:func:`stratalake.operators.ordered.chunk_groups`).
 """
 
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
+from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from stratalake.functions.keys import as_columns, named
 from stratalake.functions.text import blank_to_null
 from stratalake.functions.types import nullable
+from stratalake.operators.ordered import HOT_ROWS, chunk_groups
 
 
 def explode_flatten(df: DataFrame, array: str, fields: Mapping[str, str] | Sequence[str]) -> DataFrame:
@@ -82,6 +84,20 @@ def collect_over(df: DataFrame, keys: Sequence[str], cols: Mapping[str, str]) ->
     return df.groupBy(*as_columns(keys)).agg(*aggs)
 
 
+def collect_over_rows(
+    df: DataFrame, keys: Sequence[str], order: Sequence[str], cols: Mapping[str, str], size: int, chunk: str = "chunk", hot_rows: int = HOT_ROWS
+) -> DataFrame:
+    """Every row with the sorted list of every listed column over the rows of its key.
+
+    A list holds at most ``size`` values: the rows of a key are numbered in chunks of so many along ``order``, which
+    must name a row of a key, and a row gets the lists of its chunk. A key of up to ``size`` rows has one chunk, so its
+    rows get the lists of the key.
+    """
+    numbered = chunk_groups(df, keys, order, size, chunk, hot_rows)
+    over = Window.partitionBy(*as_columns(keys), named(chunk))
+    return numbered.withColumns({a: F.array_sort(F.collect_list(named(c)).over(over)) for c, a in cols.items()})
+
+
 def first_seen(df: DataFrame, keys: Sequence[str], ts: str, name: str) -> DataFrame:
     return df.groupBy(*as_columns(keys)).agg(F.min(named(ts)).alias(name))
 
@@ -113,6 +129,38 @@ def rows_json(df: DataFrame, keys: Sequence[str], fields: Sequence[str], name: s
     return df.groupBy(*as_columns(keys)).agg(F.to_json(F.sort_array(F.collect_list(item))).alias(name))
 
 
+def rows_json_parts(
+    df: DataFrame, keys: Sequence[str], fields: Sequence[str], name: str, size: int, part: str = "part", parts: str = "parts", hot_rows: int = HOT_ROWS
+) -> DataFrame:
+    """All rows of a key as JSON array texts of at most ``size`` rows each, numbered from 1 in the order of the fields.
+
+    The texts of a key, one after the other, hold what :func:`rows_json` puts in one; ``parts`` says how many there are.
+    A null key is a key like any other.
+    """
+    numbered = chunk_groups(df.select(*as_columns([*keys, *fields])), keys, fields, size, "_chunk", hot_rows)
+    texts = rows_json(numbered, [*keys, "_chunk"], fields, name)
+    counts = df.groupBy(*[named(k).alias(f"_k{i}") for i, k in enumerate(keys)]).agg(F.ceil(F.count(F.lit(1)) / size).alias("_parts"))
+    same = reduce(lambda a, b: a & b, [named(k).eqNullSafe(F.col(f"_k{i}")) for i, k in enumerate(keys)])
+    return texts.join(counts, same).select(*as_columns(keys), (F.col("_chunk") + 1).alias(part), F.col("_parts").alias(parts), named(name))
+
+
+def collect_structs_parts(
+    df: DataFrame, keys: Sequence[str], fields: Mapping[str, str], name: str, size: int, part: str = "part", hot_rows: int = HOT_ROWS
+) -> DataFrame:
+    """:func:`collect_structs` in numbered arrays of at most ``size`` structs."""
+    numbered = chunk_groups(df.select(*as_columns(list(dict.fromkeys([*keys, *fields])))), keys, list(fields), size, "_chunk", hot_rows)
+    out = collect_structs(numbered, [*keys, "_chunk"], fields, name)
+    return out.select(*as_columns(keys), (F.col("_chunk") + 1).alias(part), named(name))
+
+
+def collect_into_parts(df: DataFrame, keys: Sequence[str], col: str, size: int, part: str = "part", hot_rows: int = HOT_ROWS) -> DataFrame:
+    """:func:`collect_into` with numbered lists of at most ``size`` values; a state of a key comes with each of its lists."""
+    numbered = chunk_groups(df.select(*as_columns([*keys, col])), keys, [col], size, "_chunk", hot_rows)
+    lists = numbered.groupBy(*as_columns(keys), "_chunk").agg(F.array_sort(F.collect_list(named(col))).alias(col))
+    lists = lists.select(*as_columns(keys), (F.col("_chunk") + 1).alias(part), named(col))
+    return df.drop(col).distinct().join(lists, list(keys))
+
+
 def fold(df: DataFrame, keys: Sequence[str], nested: Sequence[str], name: str) -> DataFrame:
     """Flat rows into one record per key with its distinct nested records."""
     return collect_distinct_structs(df, keys, {c: c for c in nested}, name)

@@ -332,17 +332,26 @@ def case_api(
 
 
 def case_view(
-    groups: Mapping[int, DataFrame], events: DataFrame, inspectors: DataFrame, event_fields: Sequence[str]
+    groups: Mapping[int, DataFrame], events: DataFrame, inspectors: DataFrame, event_fields: Sequence[str], part_size: int | None = None
 ) -> DataFrame:
-    """One row per case: the group with the lowest number wins; events as JSON, both officers by name."""
+    """One row per case: the group with the lowest number wins; events as JSON, both officers by name.
+
+    With ``part_size`` a JSON text holds at most so many events, and a case has a row for each of its texts, ``part`` of
+    ``parts``; a case without events has one row.
+    """
     chosen = latest.by_source_priority(
         {p: df.filter(named("IsActive") == ACTIVE) for p, df in groups.items()}, ["caseReference"], ["IngestionDate"]
     )
-    folded = nested.rows_json(
-        events.filter(named("IsActive") == ACTIVE), ["caseReference"], event_fields, "event"
-    )
+    current, taken = events.filter(named("IsActive") == ACTIVE), {"event": "event"}
+    if part_size is None:
+        folded = nested.rows_json(current, ["caseReference"], event_fields, "event")
+    else:
+        folded = nested.rows_json_parts(current, ["caseReference"], event_fields, "event", part_size)
+        taken |= {"part": "part", "parts": "parts"}
     people = latest.distinct_on(inspectors, ["entraId"], ["firstName", "lastName"])
-    rich = joins.enrich(chosen, folded, {"caseReference": "caseReference"}, {"event": "event"})
+    rich = joins.enrich(chosen, folded, {"caseReference": "caseReference"}, taken)
+    if part_size is not None:
+        rich = rich.withColumns({c: F.coalesce(c, F.lit(1)) for c in ("part", "parts")})
     roles = {
         "inspectorId": {"firstName": "inspectorFirstName", "lastName": "inspectorLastName"},
         "caseOfficerId": {"firstName": "caseOfficerFirstName", "lastName": "caseOfficerLastName"},

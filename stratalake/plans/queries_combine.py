@@ -298,6 +298,28 @@ def lists_per_key(t: Tables) -> DataFrame:
     return out.select("l_orderkey", text("parts").alias("parts"), text("suppliers").alias("suppliers"))
 
 
+def _hot_events(t: Tables) -> DataFrame:
+    """Events by type, a third of them under one key; some have none."""
+    key = F.when(F.col("event_id") % 3 == 0, "hot").when(F.col("event_type") != "error", F.col("event_type"))
+    return t.events.select(key.alias("key"), "event_id", "user_id", "event_type")
+
+
+HOT_EVENTS_SQL = """SELECT *, (ROW_NUMBER() OVER (PARTITION BY key ORDER BY event_id) - 1) // 100 AS chunk FROM (
+    SELECT CASE WHEN event_id % 3 = 0 THEN 'hot' WHEN event_type <> 'error' THEN event_type END AS key, event_id, user_id, event_type FROM events)"""
+
+
+@query(
+    "agg_06_lists_on_rows",
+    f"""SELECT key, event_id, chunk, string_agg(event_id, ',' ORDER BY event_id) OVER w AS ids, string_agg(user_id, ',' ORDER BY user_id) OVER w AS users
+        FROM ({HOT_EVENTS_SQL}) WINDOW w AS (PARTITION BY key, chunk)""",
+)
+def lists_on_rows(t: Tables) -> DataFrame:
+    """All rows stay, each with the lists of its hundred."""
+    out = nested.collect_over_rows(_hot_events(t), ["key"], ["event_id"], {"event_id": "ids", "user_id": "users"}, 100)
+    text = lambda c: F.array_join(F.transform(c, lambda x: x.cast("string")), ",").alias(c)
+    return out.select("key", "event_id", "chunk", text("ids"), text("users"))
+
+
 @query("agg_07_first_seen", "SELECT user_id, MIN(ts) AS first_seen FROM events GROUP BY user_id")
 def first_seen(t: Tables) -> DataFrame:
     return nested.first_seen(t.events, ["user_id"], "ts", "first_seen")
@@ -351,6 +373,28 @@ def rows_json(t: Tables) -> DataFrame:
     return nested.rows_json(t.lineitem, ["l_orderkey"], ["l_linenumber", "l_returnflag"], "lines")
 
 
+@query(
+    "agg_12_rows_json_parts",
+    f"""SELECT key, chunk + 1 AS part, CAST(ceil(n / 100) AS BIGINT) AS parts,
+               '[' || string_agg('{{"event_id":' || event_id || ',"event_type":"' || event_type || '"}}', ',' ORDER BY event_id) || ']' AS events
+        FROM (SELECT *, COUNT(*) OVER (PARTITION BY key) AS n FROM ({HOT_EVENTS_SQL})) GROUP BY key, chunk, n""",
+)
+def rows_json_parts(t: Tables) -> DataFrame:
+    """A key with a third of all rows has as many texts of a hundred rows as it needs."""
+    return nested.rows_json_parts(_hot_events(t), ["key"], ["event_id", "event_type"], "events", 100)
+
+
+@query(
+    "agg_03_collect_into_parts",
+    f"""SELECT key, even, part, ids FROM (SELECT key, chunk + 1 AS part, string_agg(event_id, ',' ORDER BY event_id) AS ids FROM ({HOT_EVENTS_SQL}) GROUP BY ALL)
+        JOIN (SELECT DISTINCT key, event_id % 2 = 0 AS even FROM ({HOT_EVENTS_SQL})) USING (key)""",
+)
+def collect_into_parts(t: Tables) -> DataFrame:
+    rows = _hot_events(t).select("key", (F.col("event_id") % 2 == 0).alias("even"), F.col("event_id").alias("ids"))
+    out = nested.collect_into_parts(rows, ["key"], "ids", 100)
+    return out.withColumn("ids", F.array_join(F.transform("ids", lambda x: x.cast("string")), ","))
+
+
 @query(
     "agg_13_fold",
     """SELECT conv_id, string_agg(turn || ':' || role, ',' ORDER BY turn, role) AS turns

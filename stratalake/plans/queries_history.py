@@ -8,8 +8,10 @@ from pyspark.sql import types as T
 
 from stratalake.functions import text
 from stratalake.operators import conform, history, merge
+from stratalake.plans.queries_sources import _scratch_table
 from stratalake.plans.registry import Tables, query
 from stratalake.session import materialise
+from stratalake.sources import sinks
 
 # --- flagship ------------------------------------------------------------------------------------
 
@@ -492,7 +494,7 @@ def hash_labels(t: Tables) -> DataFrame:
     """SELECT o_orderkey, o_orderstatus, COUNT(*) AS n_lines FROM orders JOIN lineitem ON l_orderkey = o_orderkey GROUP BY ALL""",
 )
 def hash_upsert(t: Tables) -> DataFrame:
-    new = _order_documents(t)
+    new = materialise(_order_documents(t), "documents")
     existing = new.withColumn("lines", F.filter("lines", lambda x: x["l_linenumber"] <= 6)).filter("o_orderpriority <> '5-LOW'")
     out = merge.hash_upsert(new, existing, "o_orderkey")
     return out.select("o_orderkey", "o_orderstatus", F.size("lines").cast("bigint").alias("n_lines"))
@@ -558,6 +560,22 @@ def reference_history(t: Tables) -> DataFrame:
     return _reference_history(t)
 
 
+@query(
+    "scd_11_hash_upsert_buckets",
+    """SELECT o_orderkey, CASE WHEN o_orderkey % 100 < 2 THEN 'changed' ELSE o_orderpriority END AS o_orderpriority,
+              CASE WHEN o_orderkey % 100 < 2 THEN 2 ELSE 1 END AS written FROM orders""",
+)
+def hash_upsert_buckets(t: Tables) -> DataFrame:
+    """Two snapshots into a table in buckets; ``written`` tells which of them brought a row."""
+    table = _scratch_table(t, "orders")
+    rows = t.orders.select("o_orderkey", "o_orderpriority", F.lit(1).alias("written"))
+    sinks.upsert_table(rows.filter("o_orderkey % 100 <> 0"), table, "o_orderkey", 64)
+    hit = F.col("o_orderkey") % 100 < 2
+    second = rows.withColumns({"o_orderpriority": F.when(hit, "changed").otherwise(F.col("o_orderpriority")), "written": F.when(hit, 2).otherwise(1)})
+    sinks.upsert_table(second, table, "o_orderkey", 64)
+    return sinks.read_buckets(t.spark, table)
+
+
 @query(
     "scd_13_reference_counts",
     """SELECT COUNT(*) FILTER (p_size > 25) AS insert_count, COUNT(*) FILTER (p_size <= 25 AND p_type = 'ECONOMY') AS update_count

@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
+from dataclasses import replace
+from datetime import date, datetime, timezone
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -11,8 +13,13 @@ from pyspark.sql import types as T
 from stratalake.plans import curate as C
 from stratalake.plans import harmonise as H
 from stratalake.plans import standardise as S
-from stratalake.plans.queries_sources import LOADED_SQL, MESSAGES_SQL, _loaded, _messages
+from stratalake.plans.landing import land_drops, land_messages
+from stratalake.plans.queries_sources import MESSAGES_SQL, _messages, _scratch_table
 from stratalake.plans.registry import Tables, query
+from stratalake.session import fresh_path
+from stratalake.sources.manifest import Landed
+from stratalake.sources.routing import SourceDefinition
+from stratalake.sources.sinks import write_files
 
 SNAPSHOT = "2024-02-01"
 
@@ -71,15 +78,35 @@ def source_system(t: Tables) -> DataFrame:
 # --- standardised --------------------------------------------------------------------------------
 
 
+def utc(year: int, month: int, day: int) -> datetime:
+    return datetime(year, month, day, tzinfo=timezone.utc)
+
+
+def _opened_twice(runs: Sequence[Landed]) -> Column:
+    """Files that more than one run opened."""
+    every = [p for r in runs for p in r.paths]
+    return F.lit(len(every) - len(set(every))).cast("long")
+
+
 @query(
     "ent_s1_messages",
-    f"""SELECT DISTINCT message_id, message_type, TIMESTAMP '2024-03-01' AS expected_from, ts AS ingested_datetime, input_file
-        FROM ({MESSAGES_SQL}) WHERE input_file NOT IN (SELECT input_file FROM ({LOADED_SQL}))""",
+    f"""SELECT message_id, message_type, CASE WHEN event_id % 8 < 5 THEN TIMESTAMP '2024-03-01' ELSE TIMESTAMP '2024-03-02' END AS expected_from,
+               ts AS ingested_datetime, event_id % 8 AS slot, 0::BIGINT AS opened_twice
+        FROM (SELECT CAST(message_id AS BIGINT) AS event_id, * FROM ({MESSAGES_SQL}))""",
 )
 def s1_messages(t: Tables) -> DataFrame:
-    raw = _messages(t).drop("ts")
-    out = S.messages(raw.unionByName(raw), _loaded(t), at("2024-03-01"), "message_enqueued_time_utc")
-    out = out.select("message_id", "message_type", "expected_from", "ingested_datetime", "input_file")
+    """Every message lands twice in its file. The second run finds the files of the first beside new ones, the third
+    nothing new. Folder names hold blanks and percent signs."""
+    raw = _messages(t).drop("ts", "input_file").withColumn("slot", F.concat(F.pmod(F.col("message_id").cast("long"), 8), F.lit(" 50%")))
+    schema = T.StructType([f for f in raw.schema.fields if f.name != "slot"])
+    landing, manifest, table = fresh_path(t.spark, "landed messages"), fresh_path(t.spark, "manifest"), _scratch_table(t, "messages")
+    runs = []
+    for wanted, when in ((F.col("slot") < "5", utc(2024, 3, 1)), (F.col("slot") >= "5", utc(2024, 3, 2)), (F.lit(False), utc(2024, 3, 3))):
+        some = raw.filter(wanted)
+        write_files(some.unionByName(some).repartition("slot"), landing, "json", "append", partition_by="slot")
+        runs.append(land_messages(t.spark, landing, schema, table, manifest, when, most=3))
+    slot = F.regexp_extract("input_file", r"landed messages[^/]*/slot=(\d) 50%25/", 1).cast("long")
+    out = t.spark.table(table).select("message_id", "message_type", "expected_from", "ingested_datetime", slot.alias("slot"), _opened_twice(runs).alias("opened_twice"))
     return naive(out, "expected_from", "ingested_datetime")
 
 
@@ -91,53 +118,81 @@ def _drop(t: Tables) -> DataFrame:
     return raw.toDF("Part Key", "Name.", "SIZE (cm)", "price", "Unnamed: 4")
 
 
+def _landed(df: DataFrame, folder: str, name: str, ending: str) -> None:
+    """The frame's files in a folder, as ``<name>_<number><ending>``."""
+    spark, own = df.sparkSession, f"{folder}/_written_{name}"
+    write_files(df, own, ending[1:], options={"header": "true", "escape": "\\"} if ending == ".csv" else {})
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path
+    fs = path(folder).getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    for n, file in enumerate(f for f in fs.listStatus(path(own)) if f.getPath().getName().startswith("part-")):
+        fs.rename(file.getPath(), path(folder, f"{name}_{n}{ending}"))
+    fs.delete(path(own), True)
+
+
 PART_DECLARED = "part_key bigint, size_cm int, price array<string>"
+PART_FILES = [
+    SourceDefinition("parts [old", "never", enabled=False),
+    SourceDefinition("parts [small", "small_parts", lateness_days=3),
+    SourceDefinition("parts", "parts", lateness_days=3),
+]
+
+
+def _in_scratch(t: Tables, definitions: Sequence[SourceDefinition]) -> list[SourceDefinition]:
+    return [replace(d, table=_scratch_table(t, d.table)) for d in definitions]
 
 
 @query(
     "ent_s2_csv_drop",
     """SELECT p_partkey AS part_key, p_name AS name, p_size AS size_cm, CAST(p_retailprice AS DECIMAL(12, 2))::VARCHAR AS price,
-              TIMESTAMP '2024-01-31' AS expected_from, TIMESTAMP '2024-02-03' AS expected_to, 'parts' AS entity_name FROM part""",
+              CASE WHEN p_size > 40 THEN p_brand END AS made_by,
+              TIMESTAMP '2024-01-31' AS expected_from, TIMESTAMP '2024-02-03' AS expected_to,
+              CASE WHEN p_size <= 10 THEN 'parts [small' ELSE 'parts' END AS entity_name, 0::BIGINT AS opened_twice FROM part""",
 )
 def s2_csv_drop(t: Tables) -> DataFrame:
-    """The declared array stays text."""
-    out = S.dated_drop(
-        _drop(t),
-        T.StructType.fromDDL(PART_DECLARED),
-        now=at("2024-03-01"),
-        load_date=F.lit(SNAPSHOT),
-        lateness_days=3,
-        process="drop",
-        entity="parts",
-        file=F.lit("parts.csv"),
-    )
-    out = out.withColumn("price", F.col("price").cast("decimal(12,2)").cast("string"))
+    """Files of a dated folder go to two tables by their names; a later file has its columns in another order and one
+    more. The declared array stays text. Files of other kinds and of other names stay where they are."""
+    root, manifest = fresh_path(t.spark, "csv drops 50%"), fresh_path(t.spark, "manifest")
+    definitions, folder, size = _in_scratch(t, PART_FILES), f"{root}/{SNAPSHOT}", F.col("`SIZE (cm)`").cast("int")
+    drop, made_by = _drop(t), t.part.select(F.col("p_partkey").cast("string").alias("Part Key"), F.col("p_brand").alias("Made_By"))
+    runs = []
+    for day in (1, 2, 3):
+        if day == 1:
+            _landed(drop.filter(size <= 10), folder, "parts [small] {a}", ".csv")
+            _landed(drop.filter((size > 10) & (size <= 40)), folder, "parts 100%", ".csv")
+            _landed(drop.filter(size > 45), folder, "other", ".csv")
+        if day == 2:
+            _landed(drop.filter(size > 40).join(made_by, "Part Key").select("Made_By", "price", "`Part Key`", "`Name.`", "`SIZE (cm)`"), folder, "parts late", ".csv")
+            _landed(drop.filter(size > 45), folder, "parts", ".json")
+        runs += land_drops(
+            t.spark, root, date.fromisoformat(SNAPSHOT), definitions, lambda d: T.StructType.fromDDL(PART_DECLARED), manifest, utc(2024, 3, day), process="drop", multi_line=False
+        ).values()
+    small, large = (t.spark.table(d.table) for d in definitions if d.enabled)
+    out = small.unionByName(large, allowMissingColumns=True).withColumn("price", F.col("price").cast("decimal(12,2)").cast("string"))
     return naive(out, "expected_from", "expected_to").select(
-        "part_key", "name", "size_cm", "price", "expected_from", "expected_to", "entity_name"
+        "part_key", "name", "size_cm", "price", "made_by", "expected_from", "expected_to", "entity_name", _opened_twice(runs).alias("opened_twice")
     )
 
 
 @query(
     "ent_s3_api_drop_masked",
-    "SELECT p_partkey AS part_key, 'REDACTED' AS name FROM part",
+    """SELECT p_partkey AS part_key, 'REDACTED' AS name, p_size > 25 AS from_json, 0::BIGINT AS opened_twice FROM part""",
 )
 def s3_api_drop(t: Tables) -> DataFrame:
-    """The same shape with the masks of a test environment."""
+    """CSV and JSON files of one drop in one table, with the masks of a test environment."""
     from stratalake.operators.masking import mask_for_environment
 
     listed = [{"column_name": "Name", "classifications": ["All Full Names"]}]
-    out = S.dated_drop(
-        _drop(t),
-        T.StructType.fromDDL(PART_DECLARED),
-        now=at("2024-03-01"),
-        load_date=F.lit(SNAPSHOT),
-        lateness_days=3,
-        process="drop",
-        entity="parts",
-        file=F.lit("parts.json"),
-        mask=lambda df: mask_for_environment(df, listed, "TEST"),
-    )
-    return out.select("part_key", "name")
+    root, manifest = fresh_path(t.spark, "api drops"), fresh_path(t.spark, "manifest")
+    definitions, folder, size = _in_scratch(t, PART_FILES[2:]), f"{root}/{SNAPSHOT}", F.col("`SIZE (cm)`").cast("int")
+    runs = []
+    for name, ending, rows in (("parts", ".csv", size <= 25), ("parts+1", ".json", size > 25)):
+        _landed(_drop(t).filter(rows), folder, name, ending)
+        runs += land_drops(
+            t.spark, root, date.fromisoformat(SNAPSHOT), definitions, lambda d: T.StructType.fromDDL(PART_DECLARED), manifest, utc(2024, 3, 1),
+            process="drop", endings=(".csv", ".json"), strict=True, multi_line=False, mask=lambda d: lambda df: mask_for_environment(df, listed, "TEST"),
+        ).values()
+    out = t.spark.table(definitions[0].table)
+    return out.select("part_key", "name", F.endswith("input_file", F.lit(".json")).alias("from_json"), _opened_twice(runs).alias("opened_twice"))
 
 
 @query(
@@ -1406,6 +1461,30 @@ def v1_case_view(t: Tables) -> DataFrame:
     return out.select("caseReference", "caseId", "event", "inspectorFirstName", "caseOfficerFirstName")
 
 
+@query(
+    "ent_v1_case_view_parts",
+    """WITH rows AS (SELECT *, CASE WHEN o_orderpriority < '3' THEN 1 ELSE 2 END AS p FROM orders JOIN customer ON o_custkey = c_custkey),
+       chosen AS (SELECT * FROM rows QUALIFY ROW_NUMBER() OVER (PARTITION BY o_custkey ORDER BY p, o_orderdate DESC, o_orderkey DESC) = 1),
+       e AS (SELECT *, CASE WHEN event_id % 3 = 0 THEN (SELECT min(o_custkey) FROM orders) ELSE user_id END AS k FROM events),
+       n AS (SELECT *, (ROW_NUMBER() OVER (PARTITION BY k ORDER BY event_id) - 1) // 50 + 1 AS part, ceil(COUNT(*) OVER (PARTITION BY k) / 50)::BIGINT AS parts FROM e),
+       j AS (SELECT k, part, parts, '[' || string_agg('{"eventId":' || event_id || ',"eventType":"' || event_type || '"}', ',' ORDER BY event_id) || ']' AS event
+             FROM n GROUP BY ALL)
+       SELECT o_custkey::VARCHAR AS "caseReference", o_orderkey AS "caseId", coalesce(part, 1) AS part, coalesce(parts, 1) AS parts, event, s.s_name AS "inspectorFirstName"
+       FROM chosen LEFT JOIN j ON k = o_custkey LEFT JOIN supplier s ON s.s_suppkey = c_nationkey""",
+)
+def v1_case_view_parts(t: Tables) -> DataFrame:
+    """A third of all events belong to one case; no text holds more than fifty of them."""
+    groups, _, _, events, directory = _api_inputs(t)
+    hot = t.orders.agg(F.min("o_custkey").cast("string")).scalar()
+    events = events.withColumn("caseReference", F.when(F.col("eventId") % 3 == 0, hot).otherwise(F.col("caseReference")))
+    people = directory.select(F.col("id").alias("entraId"), F.col("givenName").alias("firstName"), F.col("surname").alias("lastName"))
+    dated = {
+        i + 1: g.withColumn("IngestionDate", F.struct("IngestionDate", "caseId")).drop("o_orderpriority") for i, g in enumerate(groups)
+    }
+    out = C.case_view(dated, events, people, ["eventId", "eventType"], part_size=50)
+    return out.select("caseReference", "caseId", "part", "parts", "event", "inspectorFirstName")
+
+
 @query(
     "ent_v2_sickness_pivot",
     """SELECT user_id, NULLIF(COUNT(*) FILTER (event_type = 'error'), 0) AS error, NULLIF(COUNT(*) FILTER (event_type = 'click'), 0) AS click

@@ -287,11 +287,23 @@ LOADED_SQL = f"""
 
 @query(
     "ing_01_missing_files",
-    f"""SELECT input_file AS path FROM ({MESSAGES_SQL}) WHERE input_file NOT IN (SELECT input_file FROM ({LOADED_SQL}))""",
+    "SELECT DISTINCT event_id % 16 AS slot, 1::BIGINT AS n_files FROM events WHERE event_id % 16 >= 10",
 )
 def missing_files(t: Tables) -> DataFrame:
-    landed = _messages(t).select(F.col("input_file").alias("path"))
-    return ingest.missing_files(landed, _loaded(t))
+    """Files in folders whose names hold blanks and percent signs; the table came from the first ten."""
+    rows = _messages(t).drop("ts", "input_file").withColumn("slot", F.pmod(F.col("message_id").cast("long"), 16))
+    landing = _written(t, rows.withColumn("slot", F.concat("slot", F.lit(" 50%"))).repartition("slot"), "landed messages", "json", partition_by="slot")
+    slot = lambda path: F.regexp_extract(path, r"/slot=(\d+) 50%25/", 1).cast("long").alias("slot")
+    read = files.read_messages(t.spark, landing, T.StructType([f for f in rows.schema.fields if f.name != "slot"]))
+    loaded = _table_of(t, read.filter(slot("input_file") < 10))
+    found = ingest.missing_files(files.list_files(t.spark, landing, "*.json"), loaded)
+    return found.groupBy(slot("path")).agg(F.count(F.lit(1)).alias("n_files"))
+
+
+def _table_of(t: Tables, rows: DataFrame) -> DataFrame:
+    table = _scratch_table(t, "loaded")
+    sinks.write_table(rows, table)
+    return t.spark.table(table)
 
 
 @query("ing_02_max_file_time", f"SELECT MAX(ts) AS max_file_time FROM ({LOADED_SQL})")
@@ -365,10 +377,12 @@ def new_messages(t: Tables) -> DataFrame:
 
 @query(
     "ing_08_stream_pickup",
-    "SELECT CAST(event_id AS VARCHAR) AS message_id, event_type AS message_type, ts AS ingested_datetime FROM events",
+    f"""SELECT message_id, message_type, ts AS ingested_datetime, CASE WHEN message_type = 'click' THEN 'a 50%25' ELSE 'b 50%25' END AS folder
+        FROM ({MESSAGES_SQL})""",
 )
 def stream_pickup(t: Tables) -> DataFrame:
-    """Messages land twice: the first run takes the clicks, the second run only what landed since."""
+    """Three runs: the clicks; everything else with clicks that come once more and messages that are older than any
+    before; and all messages again. Each message is there once, as it came first."""
     from stratalake.streaming.pickup import ingest_stream
 
     landing, checkpoint = fresh_path(t.spark, "landing"), fresh_path(t.spark, "offsets")
@@ -377,11 +391,13 @@ def stream_pickup(t: Tables) -> DataFrame:
     wanted = _type(
         "message_id string, message_type string, message_enqueued_time_utc string, user_id bigint, value double"
     )
-    for step, rows in enumerate([body.filter("message_type = 'click'"), body.filter("message_type <> 'click'")]):
-        sinks.write_files(rows, f"{landing}/{step}", "json")
+    click, later = F.col("message_type") == "click", F.lit("2030-01-01T00:00:00.000000").alias("message_enqueued_time_utc")
+    again = body.withColumn("message_enqueued_time_utc", later)
+    for folder, rows in (("a 50%", body.filter(click)), ("b 50%", body.filter(~click).unionByName(again.filter(click))), ("c 50%", again)):
+        sinks.write_files(rows.withColumn("folder", F.lit(folder)), landing, "json", "append", partition_by="folder")
         ingest_stream(t.spark, landing, wanted, table, checkpoint)
     out = t.spark.table(table)
-    return out.select("message_id", "message_type", F.col("ingested_datetime").cast("timestamp_ntz"))
+    return out.select("message_id", "message_type", F.col("ingested_datetime").cast("timestamp_ntz"), F.regexp_extract("input_file", "/folder=([^/]*)/", 1).alias("folder"))
 
 
 # --- sinks ---------------------------------------------------------------------------------------
@@ -456,6 +472,29 @@ def merge_partitions(t: Tables) -> DataFrame:
     return after.join(before.withColumn("_old", F.lit(True)), "_file", "left").select(*cols, F.coalesce("_old", F.lit(False)).alias("untouched"))
 
 
+@query(
+    "snk_03_merge_buckets",
+    """SELECT c_custkey, CASE WHEN c_custkey % 50 = 0 THEN 'new' ELSE c_name END AS c_name, TRUE AS others_untouched
+       FROM customer WHERE c_custkey % 50 <> 1
+       UNION ALL SELECT 10 * max(c_custkey), 'added', TRUE FROM customer""",
+)
+def merge_buckets(t: Tables) -> DataFrame:
+    """A table without partitions, in buckets of its key: a batch that hits some leaves the files of the others alone."""
+    table, file = _scratch_table(t, "customers"), F.col("_metadata.file_path").alias("_file")
+    act = lambda a: F.lit(a).alias("row_action")
+    sinks.merge_table(t.customer.select("c_custkey", "c_name", act("create")), table, ["c_custkey"], "row_action", buckets=256)
+    before = materialise(t.spark.table(table).select(sinks.BUCKET, file).distinct(), "files")
+    key = F.col("c_custkey")
+    batch = t.customer.filter(key % 50 == 0).select(key, F.lit("new").alias("c_name"), act("update"))
+    batch = batch.unionByName(t.customer.filter(key % 50 == 1).select(key, "c_name", act("delete")))
+    batch = batch.unionByName(t.customer.agg((F.max(key) * 10).alias("c_custkey")).select(key, F.lit("added").alias("c_name"), act("create")))
+    batch = materialise(batch, "batch")
+    sinks.merge_table(batch, table, ["c_custkey"], "row_action")
+    hit = batch.select(sinks._bucket(["c_custkey"], 256).alias(sinks.BUCKET)).distinct()
+    kept = before.join(hit, sinks.BUCKET, "left_anti").join(t.spark.table(table).select(file).distinct(), "_file", "left_anti")
+    return sinks.read_buckets(t.spark, table).withColumn("others_untouched", F.lit(kept.isEmpty()))
+
+
 @query("snk_04_swap", "SELECT p_partkey, p_name FROM part WHERE p_size > 25")
 def swap(t: Tables) -> DataFrame:
     table = _scratch_table(t, "parts")

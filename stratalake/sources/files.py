@@ -6,6 +6,7 @@ table, and no file is opened.
 
 from __future__ import annotations
 
+import re
 from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -57,13 +58,19 @@ def is_delta(spark: SparkSession, path: str) -> bool:
     return hadoop.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(hadoop)
 
 
+def exact(paths: Sequence[str]) -> list[str]:
+    """Paths that a reader takes as they are; it would read ``*?[]{}`` and a backslash as a pattern."""
+    return [re.sub(r"([*?\[\]{}\\])", r"\\\1", p) for p in paths]
+
+
 def read_csv_strict(
-    spark: SparkSession, paths: str | Sequence[str], schema: T.StructType, multi_line: bool = True
+    spark: SparkSession, paths: str | Sequence[str], schema: T.StructType, multi_line: bool = True, file_col: str | None = None
 ) -> DataFrame:
     """CSV that fails the query on the first row that does not fit its header.
 
     The row is checked while it is read, so there is no extra pass. Files without line breaks inside quotes can
-    be read with ``multi_line=False``, which lets Spark split one large file over many tasks.
+    be read with ``multi_line=False``, which lets Spark split one large file over many tasks. ``file_col`` adds the file
+    that each row came from.
     """
     options = {**CSV_OPTIONS, "multiLine": str(multi_line).lower()}
     full = T.StructType([*schema.fields, T.StructField(CORRUPT, T.StringType())])
@@ -74,12 +81,15 @@ def read_csv_strict(
     seen = F.concat_ws(", ", *[named(f.name).cast("string") for f in schema.fields])
     text = F.concat(F.lit("corrupt CSV record: "), F.col(CORRUPT), F.lit(" read as "), seen)
     fits = F.when(F.col(CORRUPT).isNull(), F.lit(True)).otherwise(F.raise_error(text).cast("boolean"))
+    if file_col:
+        raw = raw.withColumn(file_col, plain_path("_metadata.file_path"))
     return raw.filter(fits).drop(CORRUPT)
 
 
-def csv_schema(spark: SparkSession, path: str) -> T.StructType:
-    """All-text schema from the header of one CSV file."""
-    names = spark.read.options(**CSV_OPTIONS, inferSchema="false").csv(path).columns
+def csv_schema(spark: SparkSession, path: str, multi_line: bool = True) -> T.StructType:
+    """All-text schema from the header of one CSV file; ``multi_line`` if the header may have line breaks."""
+    options = {**CSV_OPTIONS, "multiLine": str(multi_line).lower(), "inferSchema": "false"}
+    names = spark.read.options(**options).csv(path).columns
     return T.StructType([T.StructField(n, T.StringType()) for n in names])
 
 

@@ -1,17 +1,23 @@
 """Writers and table upkeep.
 
-A table is replaced by writing the whole new state beside it first, as ``<table>_tmp``. Spark enters a table only
-when its rows are written, so a staged table that is there is complete: whoever finds one with the table itself gone
-or half overwritten finishes the swap (:func:`recover_table`), and no copy is lost. Format, path, partitions and
-properties of the table stay as they are.
+A table is replaced by writing the whole new state beside it first, once. Where the columns stay, the table is then
+pointed to the folder of the new state by one change of its entry in the catalogue, so a reader finds all old rows or all
+new ones. Where they change, the staged table ``<table>_tmp`` takes the table's name. Spark enters a table only when its
+rows are written, so a staged table that is there is complete: whoever finds one with the table itself gone, or with
+partitions, finishes the swap (:func:`recover_table`), and no copy is lost. Format, path, partitions and properties of
+the table stay as they are; the path of a swapped table is the folder that its versions lie in. The version before the
+newest is kept for readers that began with it, but for a first one in the folder of the table's name in the warehouse.
 
 Merges and deletes on a partitioned table rewrite the partitions that hold changed rows and leave the files of the
-others alone. Every partition is replaced from a written copy; merges and deletes that died are run again.
+others alone; partitions that come out empty lose their files without a job. A table without partitions of its own can
+be laid out in buckets of its keys (:func:`merge_table`), which are partitions to a merge. Every partition is replaced
+from a written copy; merges and deletes that died are run again.
 """
 
 from __future__ import annotations
 
 import json
+import uuid
 from collections.abc import Callable, Iterator, Mapping, Sequence
 from contextlib import contextmanager
 from dataclasses import dataclass, field
@@ -21,8 +27,10 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from stratalake.functions.keys import named
-from stratalake.operators.merge import merge_actions
+from stratalake.functions.types import nullable
+from stratalake.operators.merge import label_changes, merge_actions, merge_parts
 from stratalake.session import materialise
+from stratalake.sources.files import plain_path
 
 
 # Text formats keep microseconds; their defaults cut times to milliseconds.
@@ -92,17 +100,23 @@ class Layout:
     path: str | None = None
     partition_by: tuple[str, ...] = ()
     properties: Mapping[str, str] = field(default_factory=dict)
+    location: str = ""
+    tracked: bool = False
 
 
-def layout(spark: SparkSession, table: str) -> Layout:
-    told = json.loads(spark.sql(f"DESCRIBE TABLE EXTENDED {table} AS JSON").first()[0])
-    own = told.get("type") == "EXTERNAL"
-    return Layout(told["provider"], told["location"] if own else None, tuple(told.get("partition_columns", ())), told.get("table_properties", {}))
+#: Property of a staged table that wins over the table in any case, as the table may be gone half way.
+SWAP_PATH = "swap.path"
+#: Property of a swapped table with a path of its own: that path. Its versions lie below.
+SWAP_ROOT = "swap.root"
+VERSIONS = "_versions"
 
 
-#: Property of a staged table whose rows will be copied: to this path, or into the warehouse where it is "-". A
-#: table with a path of its own keeps it that way, and the partitions of a renamed table may not follow it.
-SWAP_PATH = "swap.path"
+def layout(spark: SparkSession, table: str) -> Layout:
+    told = json.loads(spark.sql(f"DESCRIBE TABLE EXTENDED {table} AS JSON").first()[0])
+    properties = told.get("table_properties", {})
+    own = properties.get(SWAP_ROOT) or (told["location"] if told.get("type") == "EXTERNAL" else None)
+    tracked = str(told.get("partition_provider", "")).lower() == "catalog"
+    return Layout(told["provider"], own, tuple(told.get("partition_columns", ())), properties, told["location"], tracked)
 
 
 def _set_properties(spark: SparkSession, table: str, properties: Mapping[str, str]) -> None:
@@ -111,18 +125,79 @@ def _set_properties(spark: SparkSession, table: str, properties: Mapping[str, st
         spark.sql(f"ALTER TABLE {table} SET TBLPROPERTIES ({', '.join(f'{quoted(k)} = {quoted(v)}' for k, v in properties.items())})")
 
 
+@contextmanager
+def _untracked(spark: SparkSession) -> Iterator[None]:
+    """Tables made within it find their partitions in their folder, so another folder brings its own."""
+    key = "spark.sql.hive.manageFilesourcePartitions"
+    before = spark.conf.get(key)
+    spark.conf.set(key, "false")
+    try:
+        yield
+    finally:
+        spark.conf.set(key, before)
+
+
+def _fs(spark: SparkSession, path: str):
+    where = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return where, where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+
+
+def _location(spark: SparkSession, table: str) -> str:
+    """Path of the table's folder as a writer takes it; the catalogue's own is URL-encoded."""
+    at = spark._jsparkSession.sessionState().sqlParser().parseTableIdentifier(table)
+    return spark.sparkContext._jvm.org.apache.hadoop.fs.Path(spark._jsparkSession.sessionState().catalog().getTableMetadata(at).location()).toString()
+
+
+def _versions(spark: SparkSession, table: str, now: Layout) -> str:
+    """Folder of a table's versions: below its own path, or beside it in the warehouse, where a dropped table must not
+    leave a folder of its name."""
+    if now.path:
+        return f"{now.properties.get(SWAP_ROOT) or _location(spark, table)}/{VERSIONS}"
+    database, _, name = table.replace("`", "").rpartition(".")
+    uri = spark.catalog.getDatabase(database or spark.catalog.currentDatabase()).locationUri
+    jvm = spark.sparkContext._jvm
+    return f"{jvm.org.apache.hadoop.fs.Path(jvm.java.net.URI(uri)).toString().rstrip('/')}/{VERSIONS}/{name}"
+
+
+def _remove_but(spark: SparkSession, folder: str, keep: Sequence[str]) -> None:
+    where, fs = _fs(spark, folder)
+    if fs.exists(where):
+        for status in fs.listStatus(where):
+            if status.getPath().getName() not in keep:
+                fs.delete(status.getPath(), True)
+
+
+def _fits(old: DataFrame, new: DataFrame) -> bool:
+    return [(f.name, nullable(f.dataType)) for f in old.schema.fields] == [(f.name, nullable(f.dataType)) for f in new.schema.fields]
+
+
 def _finish_swap(spark: SparkSession, table: str) -> None:
     """Put the staged table in the place of the table; may be run again after a death at any point."""
     staged = f"{table}_tmp"
-    new = layout(spark, staged)
-    path = new.properties.get(SWAP_PATH)
-    if path is None:
+    new, after = layout(spark, staged), _location(spark, staged)
+    old = layout(spark, table) if table_exists(spark, table) else None
+    before = _location(spark, table) if old else after
+    same = old is not None and not old.tracked and (old.fmt, old.partition_by) == (new.fmt, new.partition_by)
+    if same and f"/{VERSIONS}/" in after and _fits(spark.table(table), spark.table(staged)):
+        _set_properties(spark, table, {k: v for k, v in new.properties.items() if k == SWAP_ROOT})
+        spark.sql(f"ALTER TABLE {table} SET LOCATION '{_quoted(after)}'")
+        spark.sql(f"DROP TABLE {staged}")
+        spark.catalog.refreshTable(table)
+        if not old.path and f"/{VERSIONS}/" not in before:
+            where, fs = _fs(spark, before)
+            fs.delete(where, True)
+    else:
         spark.sql(f"DROP TABLE IF EXISTS {table}")
         spark.sql(f"ALTER TABLE {staged} RENAME TO {table}")
-        return
-    write_table(spark.table(staged), table, None if path == "-" else path, new.fmt, "overwrite", new.partition_by)
-    _set_properties(spark, table, {k: v for k, v in new.properties.items() if k != SWAP_PATH})
-    spark.sql(f"DROP TABLE {staged}")
+        spark.sql(f"ALTER TABLE {table} UNSET TBLPROPERTIES IF EXISTS ('{SWAP_PATH}')")
+    if f"/{VERSIONS}/" in after:
+        _remove_but(spark, after.rsplit("/", 1)[0], [x.rsplit("/", 1)[1] for x in (before, after)])
+    if SWAP_ROOT in new.properties and f"/{VERSIONS}/" in before:  # rows from before the first swap
+        _remove_but(spark, new.properties[SWAP_ROOT], [VERSIONS])
+
+
+def _quoted(path: str) -> str:
+    return path.replace("\\", "\\\\").replace("'", "\\'")
 
 
 def recover_table(spark: SparkSession, table: str) -> bool:
@@ -139,7 +214,7 @@ def recover_table(spark: SparkSession, table: str) -> bool:
 
 
 def swap_table(df: DataFrame, table: str, fmt: str | None = None, partition_by: Sequence[str] | None = None) -> None:
-    """Replace the rows of a table by a frame that may read the table itself.
+    """Replace the rows of a table by a frame that may read the table itself; the new rows are written once.
 
     Path and properties stay, format and partitions too unless others are given. A frame that was made while the
     table was half swapped has the wrong rows; that is an error, after the table is whole again.
@@ -147,11 +222,17 @@ def swap_table(df: DataFrame, table: str, fmt: str | None = None, partition_by:
     spark = df.sparkSession
     if recover_table(spark, table):
         raise RuntimeError(f"{table} was left half swapped and is whole again; read it anew")
-    now = layout(spark, table) if table_exists(spark, table) else Layout()
-    parts = [c for c in now.partition_by if c in df.columns] if partition_by is None else partition_by
-    staged = f"{table}_tmp"
-    write_table(df, staged, fmt=fmt or now.fmt, mode="errorifexists", partition_by=parts)
-    _set_properties(spark, staged, {**now.properties, **({SWAP_PATH: now.path or "-"} if now.path or parts else {})})
+    there = table_exists(spark, table)
+    now = layout(spark, table) if there else Layout()
+    parts = [c for c in now.partition_by if c in df.columns] if partition_by is None else list(partition_by)
+    staged, fmt = f"{table}_tmp", fmt or now.fmt
+    ordered = df.select(*[named(c) for c in df.columns if c not in parts], *[named(c) for c in parts])
+    switched = there and not now.tracked and fmt == now.fmt and tuple(parts) == now.partition_by and _fits(spark.table(table), ordered)
+    path = f"{_versions(spark, table, now)}/v{uuid.uuid4().hex}" if switched or now.path else None
+    with _untracked(spark):
+        write_table(df, staged, path, fmt, "errorifexists", parts)
+    root = {SWAP_ROOT: now.properties.get(SWAP_ROOT) or _location(spark, table)} if now.path else {}
+    _set_properties(spark, staged, {**now.properties, **root, **({SWAP_PATH: "-"} if now.path or parts else {})})
     _finish_swap(spark, table)
 
 
@@ -184,20 +265,29 @@ def _dynamic_overwrite(spark: SparkSession) -> Iterator[None]:
         spark.conf.set(key, before)
 
 
+def _with_folder(rows: DataFrame) -> DataFrame:
+    """The folder of each row's file; that of a partition, as all rows of a partition lie in one."""
+    return rows.withColumn("_folder", F.regexp_extract(plain_path("_metadata.file_path"), "^(.*)/[^/]*$", 1))
+
+
+def _empty_folders(spark: SparkSession, table: str, folders: Sequence[str]) -> None:
+    """Partitions without rows: their files go, no job runs."""
+    for folder in folders:
+        _remove_but(spark, folder, [])
+    spark.catalog.refreshTable(table)
+
+
 def _replace_partitions(new: DataFrame, table: str, changed: DataFrame, parts: Sequence[str]) -> None:
-    """Overwrite partitions by ``new``, a written frame; ``changed`` partitions that have no rows in it are emptied."""
+    """Overwrite partitions by ``new``, a written frame; ``changed`` partitions, with their ``_folder``, that have no rows
+    in it are emptied."""
     spark = new.sparkSession
     cols = spark.table(table).columns
     with _dynamic_overwrite(spark):
-        new.select(*[named(c) for c in cols]).write.mode("overwrite").insertInto(table)
+        # Rows of a partition go to one task, unless they are too many for it.
+        new.select(*[named(c) for c in cols]).hint("rebalance", *[named(p) for p in parts]).write.mode("overwrite").insertInto(table)
     other = new.select(*[named(p).alias(f"_p{i}") for i, p in enumerate(parts)]).distinct()
     empty = changed.join(other, _same([named(p) for p in parts], [F.col(f"_p{i}") for i in range(len(parts))]), "left_anti")
-    text = [F.when(named(p).isNull(), F.lit("NULL")).otherwise(F.concat(F.lit("'"), F.replace(F.replace(named(p).cast("string"), F.lit("\\"), F.lit("\\\\")), F.lit("'"), F.lit("\\'")), F.lit("'"))) for p in parts]
-    for row in empty.select(*text).collect():
-        which = ", ".join(f"`{p}` = {v}" for p, v in zip(parts, row))
-        nothing = new.filter(F.lit(False)).select(*[named(c) for c in cols if c not in parts])
-        nothing.createOrReplaceTempView("_no_rows")
-        spark.sql(f"INSERT OVERWRITE TABLE {table} PARTITION ({which}) SELECT * FROM _no_rows")
+    _empty_folders(spark, table, [r["_folder"] for r in empty.select("_folder").distinct().collect()])
 
 
 def append_or_create(df: DataFrame, table: str, fmt: str = "parquet") -> None:
@@ -220,6 +310,20 @@ def append_or_create(df: DataFrame, table: str, fmt: str = "parquet") -> None:
     padded.write.mode("append").insertInto(table)
 
 
+#: Column, and properties, of a table that is laid out in buckets of its keys.
+BUCKET = "_bucket"
+BUCKETS, BUCKET_KEYS = "merge.buckets", "merge.keys"
+
+
+def _bucket(keys: Sequence[str], buckets: int) -> Column:
+    return F.pmod(F.xxhash64(*[named(k).cast("string") for k in keys]), F.lit(buckets)).cast("int")
+
+
+def read_buckets(spark: SparkSession, table: str) -> DataFrame:
+    """Rows of a table that may be laid out in buckets."""
+    return spark.table(table).drop(BUCKET)
+
+
 def merge_table(
     changes: DataFrame,
     table: str,
@@ -228,38 +332,72 @@ def merge_table(
     update_cols: Sequence[str] | None = None,
     fmt: str = "parquet",
     partition_by: Sequence[str] = (),
+    buckets: int | None = None,
 ) -> None:
     """Apply actions to a table. The first load creates it from the rows to create, with the same checks.
 
     The changes are written to the shared folder once: the merge reads them several times, and their own lineage
     may be long. Of a partitioned table, only partitions that hold a changed key or take a row are read whole and
-    rewritten. ``fmt`` and ``partition_by`` are for the first load.
+    rewritten. ``fmt``, ``partition_by`` and ``buckets`` are for the first load.
+
+    With ``buckets`` a table without partitions is laid out by a hash of its keys, as column :data:`BUCKET` (see
+    :func:`read_buckets`). The bucket of a changed key is known beforehand, so a batch reads each bucket that it hits once
+    and the others not at all. A bucket should hold some hundred megabytes.
     """
     spark = changes.sparkSession
     recover_table(spark, table)
     if not table_exists(spark, table):
         empty = changes.drop(action).limit(0)
-        write_table(merge_actions(empty, changes, keys, action, update_cols), table, fmt=fmt, partition_by=partition_by)
+        first = merge_actions(empty, changes, keys, action, update_cols)
+        if buckets and not partition_by:
+            first = first.withColumn(BUCKET, _bucket(keys, buckets)).hint("rebalance", F.col(BUCKET))
+        write_table(first, table, fmt=fmt, partition_by=[BUCKET] if buckets and not partition_by else partition_by)
+        if buckets and not partition_by:
+            _set_properties(spark, table, {BUCKETS: str(buckets), BUCKET_KEYS: json.dumps(list(keys))})
+        return
+    now = layout(spark, table)
+    if BUCKETS in now.properties and json.loads(now.properties[BUCKET_KEYS]) == list(keys):
+        _merge_buckets(changes, table, keys, action, update_cols, int(now.properties[BUCKETS]))
         return
     once = materialise(changes, "changes")
-    parts = layout(spark, table).partition_by
+    parts = now.partition_by
     if not parts:
         swap_table(merge_actions(spark.table(table), once, keys, action, update_cols), table)
         return
-    known = spark.table(table).columns
-    new_cols = {f.name: f.dataType.simpleString() for f in once.schema.fields if f.name not in (*known, action)}
-    if new_cols:
-        add_columns(spark, table, new_cols)
+    _add_missing(spark, table, once, action)
     target = spark.table(table)
-    hit = target.join(once.select(*[named(k).alias(f"_k{i}") for i, k in enumerate(keys)]), reduce(lambda a, b: a & b, [named(k) == F.col(f"_k{i}") for i, k in enumerate(keys)]), "left_semi")
-    there = materialise(hit.select(*[named(p) for p in parts]).distinct(), "partitions")
+    hit = _with_folder(target).join(once.select(*[named(k).alias(f"_k{i}") for i, k in enumerate(keys)]), reduce(lambda a, b: a & b, [named(k) == F.col(f"_k{i}") for i, k in enumerate(keys)]), "left_semi")
+    there = materialise(hit.select(*[named(p) for p in parts], "_folder").distinct(), "partitions")
     types = {p: target.schema[p].dataType for p in parts}
     coming = once.select(*[(named(p) if p in once.columns else F.lit(None)).cast(types[p]).alias(p) for p in parts])
-    touched = materialise(there.unionByName(coming).distinct(), "touched")
+    touched = materialise(there.drop("_folder").unionByName(coming).distinct(), "touched")
     merged = materialise(merge_actions(_scope(target, touched, parts), once, keys, action, update_cols), "merged")
     _replace_partitions(merged, table, there, parts)
 
 
+def _add_missing(spark: SparkSession, table: str, changes: DataFrame, action: str) -> None:
+    known = spark.table(table).columns
+    new_cols = {f.name: f.dataType.simpleString() for f in changes.schema.fields if f.name not in (*known, action)}
+    if new_cols:
+        add_columns(spark, table, new_cols)
+
+
+def _merge_buckets(changes: DataFrame, table: str, keys: Sequence[str], action: str, update_cols: Sequence[str] | None, buckets: int) -> None:
+    """The buckets that a batch hits are read once; what the merge makes of their rows is written and tells, with the rows
+    that go marked, which creates have a row already."""
+    spark = changes.sparkSession
+    shape = spark.table(table).schema
+    typed = changes.select(*[named(c).cast(nullable(shape[c].dataType)).alias(c) if c in keys else named(c) for c in changes.columns])
+    once = materialise(typed.withColumn(BUCKET, _bucket(keys, buckets)), "changes")
+    _add_missing(spark, table, once, action)
+    numbers = [r[0] for r in once.select(BUCKET).distinct().collect()]  # no more than there are buckets
+    hit = _with_folder(spark.table(table)).filter(F.col(BUCKET).isin(numbers))
+    kept, added = merge_parts(hit, once, [*keys, BUCKET], action, update_cols, mark="_gone")
+    old = materialise(kept, "merged")
+    new = old.filter(~F.col("_gone")).drop("_gone", "_folder").unionByName(added(old.select(*[named(k) for k in [*keys, BUCKET]])).drop("_folder"))
+    _replace_partitions(materialise(new, "buckets"), table, old.select(BUCKET, "_folder").distinct(), [BUCKET])
+
+
 def create_from_labelled(df: DataFrame, table: str, action: str, fmt: str = "parquet") -> None:
     """Create a table from labelled rows, without the label."""
     write_table(df.drop(action), table, fmt=fmt)
@@ -288,6 +426,10 @@ def write_by_flag(df: DataFrame, path: str, flag: str = "IsActive", mode: str =
 
 
 def drop_table(spark: SparkSession, table: str, purge: bool = True) -> None:
+    """Remove a table with its versions; the files of a table with a path of its own stay."""
+    if table_exists(spark, table) and not layout(spark, table).path:
+        where, fs = _fs(spark, _versions(spark, table, Layout()))
+        fs.delete(where, True)
     spark.sql(f"DROP TABLE IF EXISTS {table}{' PURGE' if purge else ''}")
 
 
@@ -298,14 +440,23 @@ def empty_table(spark: SparkSession, table: str) -> None:
 
 
 def delete_rows(spark: SparkSession, table: str, predicate: Column) -> None:
-    """Delete by predicate: rows for which it is true go, rows for which it is null stay."""
+    """Delete by predicate: rows for which it is true go, rows for which it is null stay.
+
+    Partitions of which all rows go lose their files, however many there are; only those that keep some are rewritten.
+    """
     recover_table(spark, table)
     gone, rows, parts = F.coalesce(predicate, F.lit(False)), spark.table(table), layout(spark, table).partition_by
     if not parts:
         swap_table(rows.filter(~gone), table)
         return
-    touched = materialise(rows.filter(gone).select(*[named(p) for p in parts]).distinct(), "touched")
-    _replace_partitions(materialise(_scope(rows, touched, parts).filter(~gone), "left"), table, touched, parts)
+    counted = _with_folder(rows).groupBy(*[named(p) for p in parts], "_folder").agg(F.count_if(gone).alias("_gone"), F.count(F.lit(1)).alias("_all"))
+    hit = materialise(counted.filter("_gone > 0"), "touched")
+    some = hit.filter("_gone < _all").select(*[named(p) for p in parts]).distinct()
+    whole = hit.filter("_gone = _all").select("_folder", *[named(p) for p in parts])
+    if not some.isEmpty():
+        left = materialise(_scope(rows, some, parts).filter(~gone), "left")
+        _replace_partitions(left, table, whole.filter(F.lit(False)), parts)
+    _empty_folders(spark, table, [r["_folder"] for r in whole.select("_folder").distinct().collect()])
 
 
 def add_columns(spark: SparkSession, table: str, columns: Mapping[str, str]) -> None:
@@ -316,6 +467,21 @@ def create_as_select(spark: SparkSession, table: str, query: DataFrame) -> None:
     swap_table(query, table)
 
 
+def upsert_table(new: DataFrame, table: str, key: str, buckets: int, fmt: str = "parquet") -> None:
+    """Rows that differ from the table's, by the hash of their values, into a table in buckets of the key.
+
+    One scan of the table finds what is new or differs; of the buckets that hold such rows, each is read once more and
+    written anew. Null keys are dropped.
+    """
+    spark, action = new.sparkSession, "_row_action"
+    rows = new.filter(named(key).isNotNull())
+    if recover_table(spark, table) or table_exists(spark, table):
+        changes = label_changes(rows, read_buckets(spark, table), key, action, [c for c in new.columns if c != key])
+    else:
+        changes = rows.withColumn(action, F.lit("create"))
+    merge_table(changes, table, [key], action, fmt=fmt, buckets=buckets)
+
+
 def upsert_rows(target: DataFrame, incoming: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Insert new keys and overwrite known ones, whatever differs."""
     known = target.select(*[named(k) for k in keys]).distinct().withColumn("_known", F.lit(True))

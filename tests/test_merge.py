@@ -8,7 +8,7 @@ from pyspark.sql import types as T
 
 from stratalake.operators import ingest, joins, merge, quality, sets
 from stratalake.sources import files, sinks
-from tests.conftest import rows
+from tests.conftest import plan, rows
 
 TARGET = [(1, "a", "x"), (2, "b", "x"), (3, "c", "x"), (None, "n", "x")]
 
@@ -67,6 +67,21 @@ def test_labels(spark):
     assert rows(merge.hash_upsert(new, old, "k"), "k") == [(1,), (2,), (3,)]
 
 
+def test_an_upsert_replaces_what_differs_in_one_join(spark):
+    old = spark.createDataFrame([(1, "a", "n1"), (2, "b", "n2"), (2, "bb", "n3"), (None, "x", "n4")], "k int, v string, note string")
+    new = spark.createDataFrame([(1, "a", 9), (2, "B", 9), (3, "c", 9), (3, "c", 8), (None, "y", 9)], "k long, v string, extra int")
+    shaped = old.withColumn("extra", F.lit(9))
+    out = merge.hash_upsert(new, shaped, "k")
+    assert rows(out, "k", "v", "note", "extra") == [(1, "a", "n1", 9), (2, "B", "n2", 9), (2, "B", "n3", 9), (3, "c", None, 8), (3, "c", None, 9), (None, "x", "n4", 9)]
+    assert plan(out).count("Scan ExistingRDD") <= 2
+    same = new.unionByName(spark.createDataFrame([(1, "a", 9)], new.schema))
+    assert merge.hash_upsert(same, shaped, "k").count() == 6
+    with pytest.raises(Exception, match="more than one change"):
+        merge.hash_upsert(new.unionByName(spark.createDataFrame([(2, "C", 9)], new.schema)), shaped, "k").collect()
+    aligned = merge.aligned_upsert(new.withColumn("v", F.upper("v")), old, "k")
+    assert aligned.columns == old.columns and rows(aligned, "k", "v", "note")[0] == (1, "A", "n1")
+
+
 HISTORY = "k string, message_id string, IngestionDate string, ValidTo string, IsActive string"
 
 

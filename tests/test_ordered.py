@@ -2,10 +2,13 @@
 
 from __future__ import annotations
 
+import json
+
 import pytest
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
+from stratalake.operators import nested
 from stratalake.operators.ordered import SLICE, Timeline, along, chunk_groups, global_id
 
 ORDERS = "/root/testdata/sf0.001/orders.parquet"
@@ -98,3 +101,27 @@ def test_chunks_are_full_and_whole(spark):
     sizes = out.groupBy("k", "chunk").count()
     assert out.count() == 1500 and sizes.agg({"count": "max"}).first()[0] == 10
     assert sizes.filter("k = 1 AND count < 10").count() <= 1
+
+
+def test_folds_in_parts_hold_every_row_of_a_hot_key(spark):
+    made = [("hot" if i % 3 == 0 else None if i % 3 == 1 else f"k{i % 40}", i, i % 7) for i in range(600)]
+    df = spark.createDataFrame(made, "k string, id long, v long")
+    by_key = {}
+    for k, i, v in sorted(made, key=lambda r: r[1]):
+        by_key.setdefault(k, []).append((i, v))
+    for hot_rows in (100, 2_000_000):
+        texts = nested.rows_json_parts(df, ["k"], ["id", "v"], "text", 16, hot_rows=hot_rows).collect()
+        for k, want in by_key.items():
+            mine = sorted((r for r in texts if r["k"] == k), key=lambda r: r["part"])
+            assert [r["part"] for r in mine] == list(range(1, mine[0]["parts"] + 1)) and mine[0]["parts"] == -(-len(want) // 16)
+            lists = [json.loads(r["text"]) for r in mine]
+            assert [(x["id"], x["v"]) for one in lists for x in one] == want and max(map(len, lists)) <= 16
+        arrays = nested.collect_structs_parts(df, ["k"], {"id": "i", "v": "w"}, "items", 16, hot_rows=hot_rows).collect()
+        assert sorted((str(r["k"]), x["i"]) for r in arrays for x in r["items"]) == sorted((str(k), i) for k, i, _ in made)
+        kept = nested.collect_over_rows(df, ["k"], ["id"], {"v": "vs", "id": "ids"}, 16, hot_rows=hot_rows).collect()
+        assert len(kept) == 600
+        for r in kept:
+            chunk = by_key[r["k"]][16 * r["chunk"] : 16 * r["chunk"] + 16]
+            assert r["id"] in r["ids"] and r["ids"] == [i for i, _ in chunk] and r["vs"] == sorted(v for _, v in chunk)
+        lists = nested.collect_into_parts(df.select("k", F.col("id").alias("v"), (F.col("id") % 2).alias("odd")), ["k"], "v", 16, hot_rows=hot_rows).collect()
+        assert max(len(r["v"]) for r in lists) <= 16 and sorted(x for r in lists if r["k"] == "hot" and r["odd"] for x in r["v"]) == [i for i, _ in by_key["hot"]]

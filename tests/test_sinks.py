@@ -5,6 +5,7 @@ from __future__ import annotations
 import pytest
 from pyspark.sql import functions as F
 
+from stratalake.operators import merge
 from stratalake.sources import sinks
 from tests.conftest import rows
 
@@ -117,3 +118,85 @@ def test_a_frame_of_a_half_swapped_table_is_refused(spark):
     with pytest.raises(RuntimeError, match="half swapped"):
         sinks.swap_table(spark.range(5).toDF("k"), "t_sinks.half")
     assert spark.table("t_sinks.half").count() == 3
+
+
+def test_a_swap_is_one_write_and_one_change_of_the_catalogue(spark, parted, monkeypatch):
+    table, path = parted
+    sinks.swap_table(spark.table(table), table)  # from now on its folder tells the partitions
+    if path is None:
+        sinks.swap_table(spark.table(table), table)  # out of the folder of its name, which a dropped table must not leave
+    writes, statements, read = [], [], spark.table(table)
+    written, run = sinks.write_table, type(spark).sql
+    monkeypatch.setattr(sinks, "write_table", lambda *a, **k: (writes.append(a), written(*a, **k)))
+
+    def told(self, statement, *a, **k):
+        if "SET LOCATION" in statement or "DROP TABLE" in statement and not statement.endswith("_tmp"):
+            statements.append((statement.split()[3], spark.table(table).count()))
+        return run(self, statement, *a, **k)
+
+    monkeypatch.setattr(type(spark), "sql", told)
+    sinks.swap_table(spark.table(table).filter("k < 3"), table)
+    assert len(writes) == 1 and statements == [("SET", 5)]
+    assert rows(spark.table(table)) == ROWS[:2] and rows(read) == rows(spark.createDataFrame(ROWS, read.schema))
+    sinks.swap_table(spark.table(table).filter("k < 2"), table)
+    sinks.swap_table(spark.table(table), table)
+    assert rows(spark.table(table)) == ROWS[:1]
+    check_layout(spark, table, path)
+
+
+def test_swaps_of_a_plain_table_leave_no_old_rows_behind(spark):
+    spark.sql("CREATE DATABASE IF NOT EXISTS t_sinks")
+    for _ in range(2):
+        sinks.write_table(spark.range(9).toDF("k"), "t_sinks.again")
+        for n in (7, 5, 3):
+            sinks.swap_table(spark.table("t_sinks.again").filter(f"k < {n}"), "t_sinks.again")
+            assert spark.table("t_sinks.again").count() == n
+        assert sinks.layout(spark, "t_sinks.again").path is None
+        sinks.drop_table(spark, "t_sinks.again")
+
+
+def test_deleting_many_partitions_runs_as_few_jobs_as_one(spark, tmp_path):
+    spark.sql("CREATE DATABASE IF NOT EXISTS t_sinks")
+    jobs = []
+    for n in (3, 60):
+        table = f"t_sinks.many_{n}"
+        sinks.write_table(spark.range(2 * n).selectExpr("id AS k", f"id % {n} AS p"), table, partition_by="p")
+        before, group = files_of(spark, table), f"delete {n}"
+        spark.sparkContext.setJobGroup(group, "")
+        sinks.delete_rows(spark, table, (F.col("p") < n - 1) | (F.col("k") == 2 * n - 1))
+        jobs.append(len(spark.sparkContext.statusTracker().getJobIdsForGroup(group)))
+        spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+        assert rows(spark.table(table)) == [(n - 1, n - 1)]
+        assert not {f for p, fs in files_of(spark, table).items() for f in fs} & {f for p, fs in before.items() if p != n - 1 for f in fs}
+    assert jobs[0] == jobs[1]
+
+
+@pytest.mark.parametrize("buckets", [1, 4, 64])
+def test_a_batch_rewrites_the_buckets_it_hits(spark, buckets):
+    spark.sql("CREATE DATABASE IF NOT EXISTS t_sinks")
+    table, keys = f"t_sinks.buckets_{buckets}", ["k", "j"]
+    first = spark.range(200).selectExpr("id AS k", "id % 3 AS j", "'old' AS v", "'create' AS act")
+    sinks.merge_table(first, table, keys, "act", buckets=buckets)
+    file = F.col("_metadata.file_path").alias("f")
+    before = {r["f"]: r[sinks.BUCKET] for r in spark.table(table).select(file, sinks.BUCKET).distinct().collect()}
+    changes = [(3, 0, "new", "update"), (4, 1, None, "delete"), (5, 2, "there", "create"), (5, 1, "added", "create"), (900, 0, "none", "update"), (None, 1, "no key", "create"), (None, 1, "no key", "update")]
+    batch = spark.createDataFrame(changes, "k int, j int, v string, act string").withColumn("extra", F.lit(1))
+    sinks.merge_table(batch, table, keys, "act", ["v"])
+    want = merge.merge_actions(first.drop("act"), batch, keys, "act", ["v"])
+    assert rows(sinks.read_buckets(spark, table), "k", "j", "v", "extra") == rows(want, "k", "j", "v", "extra")
+    hit = {r[0] for r in batch.select(sinks._bucket(keys, buckets)).collect()}
+    after = {r["f"]: r[sinks.BUCKET] for r in spark.table(table).select(file, sinks.BUCKET).distinct().collect()}
+    assert {f for f, b in before.items() if b not in hit} <= set(after) and not {f for f, b in before.items() if b in hit} & set(after)
+    everything = spark.range(200).selectExpr("id AS k", "id % 3 AS j", "'x' AS v", "'delete' AS act")
+    sinks.merge_table(everything, table, keys, "act")
+    assert rows(sinks.read_buckets(spark, table), "k", "j", "v") == [(5, 1, "added"), (None, 1, "no key")]
+    with pytest.raises(Exception, match="more than one change"):
+        sinks.merge_table(spark.createDataFrame([(5, 1, "update")] * 2, "k int, j int, act string"), table, keys, "act")
+
+
+def test_buckets_keep_a_hot_key_whole(spark):
+    spark.sql("CREATE DATABASE IF NOT EXISTS t_sinks")
+    hot = spark.range(3000).selectExpr("CASE WHEN id % 3 = 0 THEN 7 ELSE id END AS k", "id AS v")
+    sinks.merge_table(hot.withColumn("act", F.lit("create")), "t_sinks.hot_key", ["k"], "act", buckets=8)
+    sinks.merge_table(spark.createDataFrame([(7, -1, "update")], "k long, v long, act string"), "t_sinks.hot_key", ["k"], "act")
+    assert spark.table("t_sinks.hot_key").filter("v = -1").count() == 1001 and spark.table("t_sinks.hot_key").count() == 3000
