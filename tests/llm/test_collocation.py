@@ -67,18 +67,40 @@ def test_flushing_and_a_full_filter_change_nothing(spark, monkeypatch):
     rows = [("en", t) for t in texts(3, 40)]
     want = plain(rows, 5, 2000)
     everything = collocation.Filter(collocation.LEAST_BITS, [(0, b"\xff" * (collocation.BITMAP // 8))])
-    monkeypatch.setattr(collocation.Filter, "of", classmethod(lambda cls, phrases, count: everything))
+    monkeypatch.setattr(collocation.Filter, "of", classmethod(lambda cls, hashes, count: everything))
     monkeypatch.setattr(collocation, "TOKENS", 50)
     assert mined(spark, rows, min_count=5) == want
 
 
 def test_a_filter_holds_what_was_put_in(spark):
     phrases = [f"w{i} é{i}" for i in range(3000)]
-    df = spark.createDataFrame([("en", p) for p in phrases], "lang string, phrase string")
+    df = spark.createDataFrame([("en", p) for p in phrases], "lang string, phrase string").select(collocation._word_hash())
     built = collocation.Filter.of(df, 3000)
-    assert built.has("en", [p.encode() for p in phrases]).all()
-    assert built.has("de", [p.encode() for p in phrases]).mean() < 0.1
-    assert not collocation.Filter.of(df.limit(0), 0).has("en", [b"a"]).any()
+    assert built.has(collocation._word_hashes("en", [p.encode() for p in phrases])).all()
+    assert built.has(collocation._word_hashes("de", [p.encode() for p in phrases])).mean() < 0.1
+    assert not collocation.Filter.of(df.limit(0), 0).has(collocation._word_hashes("en", [b"a"])).any()
+
+
+@pytest.mark.parametrize("min_count", [7, 300])
+def test_hashes_of_pairs_are_those_of_the_frequent_ones(spark, min_count):
+    made = texts(6, 300)
+    f = Counter()
+    for text in made:
+        for piece in re.split(r"[.,;:!?\n-\r]", lower_ascii(text)):
+            words = [w for w in re.split(r"[\x20\x09]+", piece) if w]
+            f.update(zip(words, words[1:]))
+    df = spark.createDataFrame([("en", t) for t in made], "lang string, text string").repartition(5)
+    dictionary = collocation.parse(df, 4, 8).groupBy("lang", "chunk", "last").agg(F.sum("n").alias("n"))
+    everything = collocation.Filter(collocation.LEAST_BITS, [(0, b"\xff" * (collocation.BITMAP // 8))])
+    key = collocation._PairKey(10**9)
+    found = {r["h"] for r in collocation.frequent_pairs(dictionary, min_count, 4, everything, key).collect()}
+    want = set()
+    for (a, b), n in f.items():
+        chunks = collocation._Chunks("en", [([a.encode(), b.encode()], True, 1)], 4, everything)
+        chunks.longer(2)
+        if n >= min_count:
+            want.update(key.whole(key.split(chunks.pair_hashes())).view(np.int64).tolist())
+    assert found == want and want
 
 
 def test_chunks_overlap_by_a_window_and_cover_all():
