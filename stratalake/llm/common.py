@@ -46,6 +46,15 @@ def text_key(text: Column) -> Column:
     return F.xxhash64(text)
 
 
+def free_name(df: DataFrame, name: str) -> str:
+    """A column name that ``df`` does not have, whatever case its names are in."""
+    taken = {c.lower() for c in df.columns}
+    name = f"__{name}"
+    while name in taken:
+        name += "_"
+    return name
+
+
 def stage(df: DataFrame, name: str, **options: str) -> tuple[DataFrame, str]:
     """Written table in the shared folder and its path, for results that are read more than once."""
     path = fresh_path(df.sparkSession, name)
