@@ -45,8 +45,8 @@ MANY = 4096
 SAMPLE, SAMPLED_SEEDS = 64, 1 << 16
 #: Bytes of a document that are hashed at once; what spans a border is read twice.
 READ_BYTES = 1 << 22
-#: Rows with null ids come after all others.
-LAST = (1 << 63) - 1
+#: From here on lie the numbers of documents without an id, which come after all others: ids are smaller.
+NO_ID = 1 << 62
 #: A place is the first start, the number of starts, and some bits of the text's hash, in one number.
 STARTS_BITS, KEY_BITS = 7, 22
 
@@ -60,6 +60,12 @@ def _text_key() -> Column:
     return F.xxhash64("text").bitwiseAND(F.lit((1 << KEY_BITS) - 1))
 
 
+def _number() -> Column:
+    """The id, or a number from the text: no two texts without an id share it and the bits of :func:`_text_key`."""
+    own = F.xxhash64(F.lit("no id"), "text").bitwiseAND(F.lit(NO_ID - 1)) + F.lit(NO_ID)
+    return F.coalesce("doc_id", own)
+
+
 def _signed(x: int) -> int:
     return x - (1 << 64) if x >> 63 else x
 
@@ -464,13 +470,14 @@ def dedup(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", length:
     Every byte covered by a string of ``length`` bytes that also starts earlier (smaller id, or same document and
     earlier start) is removed; strings are judged on the input and never cross documents. ``spans`` has begin and
     end of the maximal removed runs. A null text is empty; texts shorter than ``length`` lose nothing. Rows with a
-    null id come after all others, and rows that repeat an id with the same text are one document: both lose the
-    same bytes. An empty table gives an empty one.
+    null id come after all others, in an order of their own, and rows that repeat an id, or have none, with the same
+    text are one document: both lose the same bytes. Texts that share an id are told apart by 22 bits of their hash.
+    Ids are below 2^62. An empty table gives an empty one.
     """
     if not GRAM < length <= GRAM + (1 << STARTS_BITS) - BLOCK:
         raise ValueError(f"strings need more than {GRAM} and at most {GRAM + (1 << STARTS_BITS) - BLOCK} bytes")
     spark = df.sparkSession
-    docs = id_and_text(df, id_col, text_col).select(F.coalesce("doc_id", F.lit(LAST)).alias("doc"), _text_key().alias("key"), "text", "doc_id")
+    docs = id_and_text(df, id_col, text_col).select(_number().alias("doc"), _text_key().alias("key"), "text", "doc_id")
     with tidy_shuffles(spark):
         listed = docs.select("doc", "key", "text").mapInArrow(_list(length, _hot_seeds(docs, length)), LISTED)
         # Rows that are gone go to any task; the others meet by seed, those of a hot seed by neighbourhood.
