@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from stratalake.functions.keys import named
-from stratalake.llm.common import id_and_text, stage, text_key
+from stratalake.llm.common import free_name, id_and_text, stage, text_key
 
 MIN_SITES = 10
 SKETCH_BITS = 12
@@ -58,7 +58,7 @@ def remove_boilerplate(
 
     The first occurrence of such a line, by id and place, stays, so that nothing vanishes from the corpus. Lines
     are compared without outer blanks; blank lines stay. All rows and columns of ``df`` stay, ``__n_lines`` and
-    ``__n_removed`` are added. A null text stays null and has no lines; a null site counts as one site of its
+    ``__n_removed`` are added (in place of columns of these names). A null text stays null and has no lines; a null site counts as one site of its
     own; rows with a null id come after all others in the order of occurrences. Rows that repeat an id with the
     same text lose the same lines. A text without removed lines is returned unchanged.
     """
@@ -66,16 +66,18 @@ def remove_boilerplate(
     shared = spread(lines, min_sites, sketch_bits)
     here = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "at")
     gone = lines.select("doc_id", "key", "at", "line").join(shared, "line").filter(here != F.col("first"))
-    per_text = gone.groupBy("doc_id", "key").agg(F.collect_set("at").alias("__gone")).withColumnsRenamed({"doc_id": "__id", "key": "__key"})
+    own_id, own_key, own_gone = (free_name(df, n) for n in ("id", "key", "gone"))
+    per_text = gone.groupBy("doc_id", "key").agg(F.collect_set("at").alias(own_gone)).withColumnsRenamed({"doc_id": own_id, "key": own_key})
     text = named(text_col).cast("string")
-    same = named(id_col).cast("long").eqNullSafe(F.col("__id")) & (text_key(F.coalesce(text, F.lit(""))) == F.col("__key"))
+    same = named(id_col).cast("long").eqNullSafe(F.col(own_id)) & (text_key(F.coalesce(text, F.lit(""))) == F.col(own_key))
     joined = df.join(per_text, same, "left")
     lined = _lines(text)
-    stay = F.array_except(F.sequence(F.lit(0), F.size(lined) - 1), "__gone")  # by hash: in proportion to the lines
+    stay = F.array_except(F.sequence(F.lit(0), F.size(lined) - 1), own_gone)  # by hash: in proportion to the lines
     left = F.array_join(F.transform(stay, lambda at: lined[at]), "\n")
     counts = {
         "__n_lines": F.when(text.isNull(), F.lit(0)).otherwise(F.size(lined)).cast("long"),
-        "__n_removed": F.when(F.col("__gone").isNull(), F.lit(0)).otherwise(F.size("__gone")).cast("long"),
+        "__n_removed": F.when(F.col(own_gone).isNull(), F.lit(0)).otherwise(F.size(own_gone)).cast("long"),
     }
-    cleaned = joined.withColumns(counts).withColumn(text_col, F.when(F.col("__gone").isNull(), text).otherwise(left))
-    return cleaned.select(*[named(c) for c in df.columns], "__n_lines", "__n_removed")
+    # Columns of these names give way to the counts.
+    cleaned = joined.withColumns(counts).withColumn(text_col, F.when(F.col(own_gone).isNull(), text).otherwise(left))
+    return cleaned.select(*[named(c) for c in df.columns if c not in counts], *counts)

@@ -22,7 +22,7 @@ from pyspark.sql import functions as F
 from xxhash import xxh64_intdigest
 
 from stratalake.functions.keys import named
-from stratalake.llm.common import batch, id_and_text, runs, stage, text_key, texts_of
+from stratalake.llm.common import batch, free_name, id_and_text, runs, stage, text_key, texts_of
 from stratalake.llm.components import components
 
 SEED = 42
@@ -207,17 +207,19 @@ def keep_one(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", shin
     """
     every = [named(c) for c in df.columns]
     hashed = [F.to_json(F.struct(c)) if "map<" in kind or kind == "variant" else c for c, (_, kind) in zip(every, df.dtypes)]
+    mine = [free_name(df, n) for n in ("id", "text", "row")]
     marked = df.select(
         *every,
-        named(id_col).cast("long").alias("__id"),
-        text_key(F.coalesce(named(text_col).cast("string"), F.lit(""))).alias("__text"),
-        F.xxhash64(*hashed, *[F.isnull(c) for c in every]).alias("__row"),
+        named(id_col).cast("long").alias(mine[0]),
+        text_key(F.coalesce(named(text_col).cast("string"), F.lit(""))).alias(mine[1]),
+        F.xxhash64(*hashed, *[F.isnull(c) for c in every]).alias(mine[2]),
     )
-    rows = marked.select(F.col("__id").alias("doc_id"), F.coalesce(named(text_col).cast("string"), F.lit("")).alias("text"), F.col("__text").alias("text_key"), F.col("__row").alias("row_key"))
+    rows = marked.select(F.col(mine[0]).alias("doc_id"), F.coalesce(named(text_col).cast("string"), F.lit("")).alias("text"), F.col(mine[1]).alias("text_key"), F.col(mine[2]).alias("row_key"))
     own, _ = stage(_fingerprinted(rows, shingle_words), "fingerprints")
     age = F.struct(F.isnull("doc_id").alias("none"), "doc_id", "text_key", "row_key")
     stay = _rooted(own, F.min(age), max_bits).groupBy("root").agg(F.min("least").alias("least")).select("least.*")
-    stay = stay.select(F.col("doc_id").alias("__stay"), F.col("text_key").alias("__stay_text"), F.col("row_key").alias("__stay_row"))
-    same = F.col("__id").eqNullSafe(F.col("__stay")) & (F.col("__text") == F.col("__stay_text")) & (F.col("__row") == F.col("__stay_row"))
-    kept = marked.join(stay, same).dropDuplicates(["__id", "__text", "__row"])
+    theirs = [free_name(df, n) for n in ("stay", "stay_text", "stay_row")]
+    stay = stay.select(*[F.col(c).alias(n) for c, n in zip(("doc_id", "text_key", "row_key"), theirs)])
+    same = F.col(mine[0]).eqNullSafe(F.col(theirs[0])) & (F.col(mine[1]) == F.col(theirs[1])) & (F.col(mine[2]) == F.col(theirs[2]))
+    kept = marked.join(stay, same).dropDuplicates(mine)
     return kept.select(*every)

@@ -3,11 +3,12 @@
 from __future__ import annotations
 
 import random
+import time
 
 import pytest
 from pyspark.sql import functions as F
 
-from stratalake.llm import boilerplate, decontaminate, queries, secrets
+from stratalake.llm import boilerplate, decontaminate, queries, secrets, simhash
 from tests.conftest import plan
 from tests.llm import brute
 
@@ -85,6 +86,26 @@ def test_secrets_of_odd_rows(docs):
     assert spans_of(docs()) == []
 
 
+def test_many_matches_in_one_text_take_time_in_proportion(docs):
+    unit = "token=qW3rT9zX1pL8mN5 0123456789abcdef AKIAABCDEFGHIJ0123 "
+    text, started = unit * 70_000, time.perf_counter()
+    (row,) = secrets.scan(docs((1, text))).select(F.size("base").alias("n"), F.element_at("base", -1).alias("last")).collect()
+    assert row["n"] == 210_000 and row["last"]["end"] == len(text) - 1
+    assert len(text) > 3_900_000 and time.perf_counter() - started < 60
+    some = unit * 300
+    assert spans_of(docs((1, some)))[0][1] == ",".join(f"{k}:{a}:{b}" for a, _, k, b in brute.secrets(some))
+
+
+def test_verdicts_rest_on_owners_repositories_and_entropy(spark):
+    made = [("a", f"r{i}", "o1", 3.5) for i in range(9)] + [("b", f"r{i}", "o1", 3.5) for i in range(10)] + [("c", "r", "o1", 2.9), ("d", "r", "o1", 3.5), ("d", "r", "o2", 3.5)]
+    made += [("e", "r", f"o{i}", 1.0) for i in range(3)]
+    df = spark.createDataFrame(made * 2, "value_hash string, repository string, owner string, bits double")
+    assert {r["value_hash"]: r["verdict"] for r in secrets.ownership(df).collect()} == {"a": "live", "b": "copied", "c": "plain", "d": "plain", "e": "copied"}
+    values = ["aaaaaaaa", "abababab", "0123456789abcdef", "deadbeefdeadbeef"]
+    got = spark.createDataFrame([(v,) for v in values], "v string").select(secrets._bits(F.col("v"))).collect()
+    assert [round(r[0], 6) for r in got] == [0.0, 1.0, 4.0, 2.155639]
+
+
 def hits(df, items):
     rows = decontaminate.contamination(df, items).collect()
     return sorted(((r["doc_id"], r["n_words"], len(r["covered"]), r["items"]) for r in rows), key=repr)
@@ -120,3 +141,39 @@ def test_contamination_of_odd_rows(spark, docs):
     kept = decontaminate.drop_contaminated(docs((1, None), (2, long), (3, "fine")), bench)
     assert sorted(r[0] for r in kept.collect()) == [1, 3] and "component_id" in kept.columns
     assert hits(docs(), bench) == [] and len(hits(docs((1, "a b")), bench.limit(0))) == 1
+
+
+def test_a_hot_phrase_meets_once_whatever_the_items(spark, docs):
+    phrase = " ".join(f"w{i}" for i in range(9))
+    counts = []
+    for n in (50, 200):
+        bench = spark.createDataFrame([(i, f"{phrase} item{i} end") for i in range(n)], "item_id long, text string")
+        found = decontaminate.contamination(docs(*[(i, f"{phrase} doc{i} end") for i in range(n)]), bench)
+        assert found.filter(F.size("covered") > 0).isEmpty()
+        whole = decontaminate.contamination(docs(*[(i, f"x {phrase} item7 end") for i in range(n)]), bench)
+        counts.append(whole.agg(F.sum(F.size("items"))).first()[0])
+    assert counts == [50, 200]
+
+
+def test_slices_of_a_large_benchmark_give_the_same(spark, docs, monkeypatch):
+    rng = random.Random(9)
+    say = lambda n: " ".join(rng.choice("abcdef") for _ in range(n))
+    items = {i: say(rng.choice([3, 10, 14])) for i in range(30)}
+    made = [(i, say(60)) for i in range(40)] + [(99, items[0])]
+    bench = spark.createDataFrame(list(items.items()), "item_id long, text string")
+    monkeypatch.setattr(decontaminate, "SLICE", 20)
+    assert hits(docs(*made), bench) == sorted(((i, *brute.contamination(t, items)) for i, t in made), key=repr)
+
+
+def test_stages_keep_columns_of_any_name(spark):
+    names = ["__id", "__ID_", "__key", "__gone", "__text", "__row", "__stay", "__stay_text", "__stay_row", "n", "at", "print", "p", "row", "words", "fp"]
+    rows = [(i, f"line {i}\nshared line of all", f"s{i % 12}", *[f"{c}{i}" for c in names]) for i in range(24)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, source string, " + ", ".join(f"`{c}` string" for c in names))
+    bench = spark.createDataFrame([(1, "one two")], "item_id long, text string")
+    cleaned = boilerplate.remove_boilerplate(df)
+    assert cleaned.columns == [*df.columns, "__n_lines", "__n_removed"] and cleaned.filter("__n_removed = 1").count() == 23
+    assert boilerplate.remove_boilerplate(cleaned).columns == cleaned.columns
+    for out in (cleaned.select(*df.columns), simhash.keep_one(df), decontaminate.drop_contaminated(df, bench)):
+        assert out.columns == df.columns
+        for r in out.collect():
+            assert all(r[c] == f"{c}{r['doc_id']}" for c in names)
