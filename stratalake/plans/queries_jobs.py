@@ -372,7 +372,7 @@ PROJECT_DOC_MESSAGE = [c for c in H.PROJECT_DOCUMENT_ROW_ID if c not in BOOK] +
 
 
 def _project_documents(t: Tables) -> DataFrame:
-    """Message documents in two languages, dated by language; legacy documents of every language but one."""
+    """All documents as legacy ones; those in two languages come as messages too, dated by language."""
     docs = t.documents.withColumn("doc_id", F.col("doc_id").cast("string"))
     since = F.when(F.col("lang") == "en", at("2024-01-01")).otherwise(at("2024-03-01"))
     messages = shaped(
@@ -390,7 +390,7 @@ def _project_documents(t: Tables) -> DataFrame:
         },
     )
     legacy = shaped(
-        docs.filter("lang <> 'de'"),
+        docs,
         [*H.PROJECT_DOCUMENT_LEGACY, "expected_from"],
         {
             "dataId": F.col("doc_id"),
@@ -421,7 +421,7 @@ PROJECT_DOCUMENTS_SQL = f"""
            CASE lang WHEN 'en' THEN TIMESTAMP '2024-01-01' ELSE TIMESTAMP '2024-03-01' END AS "IngestionDate",
            md5(doc_id || source || '1') AS pk, n_chars FROM documents WHERE lang IN ('en', 'fr')
     UNION ALL SELECT CAST(doc_id AS VARCHAR), source, lang, CAST(quality AS VARCHAR), 'Horizon', TIMESTAMP '2024-02-01',
-           md5(doc_id || source || '1'), n_chars FROM documents LEFT JOIN labels USING (doc_id) WHERE lang <> 'de' ''',
+           md5(doc_id || source || '1'), n_chars FROM documents LEFT JOIN labels USING (doc_id) ''',
     'pk', "SELECT md5(doc_id || source || '1') FROM documents WHERE lang IN ('en', 'fr')", 'NSIPDocumentID')}
 """
 
