@@ -18,8 +18,8 @@ from stratalake.functions.keys import as_columns, named, order_row_id, row_id, s
 from stratalake.functions.temporal import microsecond_after
 from stratalake.functions.types import nullable
 from stratalake.functions.text import blank_to_null
-from stratalake.operators.joins import flag_exists, without
-from stratalake.operators.latest import first_per_key, latest_per_key
+from stratalake.operators.joins import flag_exists, within, without
+from stratalake.operators.latest import first_per_key
 from stratalake.operators.ordered import HOT_ROWS, ID_SLICE_ROWS, SLICE, Timeline, along, global_id
 from stratalake.session import materialise
 
@@ -54,9 +54,13 @@ def rank_history(
     ordered by time and key, a flag whether the key exists in another table, and a row id, where asked for.
 
     The rows are looked at several times (hot keys, cut points, the history itself), column by column: hand in a
-    table, or a frame that was written, rather than the end of a long lineage.
+    table, or a frame that was written, rather than the end of a long lineage. Ids depend on the order alone, so they
+    are given to the plain rows first: their cut points are drawn from them and the timeline is windowed once.
     """
     time = cols.valid_from
+    if id_name is not None:
+        order = [time, *keys, *[t for t in tie if t not in keys]]
+        df = global_id(df, order, id_name, slice_rows=id_slice_rows)
     ahead = along(df, keys, [time, *tie], following={"_until": time, "_has_next": F.lit(True)}, hot_rows=hot_rows)
     time_type = df.schema[time].dataType
     given = _existing_end(df, cols)
@@ -64,8 +68,7 @@ def rank_history(
     out = ahead.withColumns({cols.valid_to: until, cols.active: _flag(F.col("_has_next").isNull())})
     out = out.drop("_until", "_has_next")
     if id_name is not None:
-        order = [time, *keys, *[t for t in tie if t not in keys]]
-        out = global_id(out, order, id_name, slice_rows=id_slice_rows, count_on=df)
+        out = out.select(*[named(c) for c in [*[c for c in out.columns if c != id_name], id_name]])
     if existence is not None:
         out = flag_exists(out, existence[0], existence[1], cols.migrated)
     if hash_cols is not None:
@@ -253,6 +256,14 @@ def group_updates(history: DataFrame, other: DataFrame, key: str, cols: HistoryC
     return hits.select(named(key), named(cols.valid_from).alias("activeFrom")).distinct()
 
 
+def history_state(history: DataFrame, keys: Sequence[str], id_name: str, cols: HistoryColumns = HISTORY) -> DataFrame:
+    """One row per key, to be kept as a table beside the history: hash and time of its active row and its greatest id."""
+    active = named(cols.active) == ACTIVE
+    return history.groupBy(*as_columns(keys)).agg(
+        F.max(F.when(active, F.col("row_hash"))).alias("row_hash"), F.max(F.when(active, named(cols.valid_from))).alias("since"), F.max(named(id_name)).alias("last_id")
+    )
+
+
 def incremental_history(
     source: DataFrame,
     target: DataFrame | None,
@@ -263,14 +274,19 @@ def incremental_history(
     cols: HistoryColumns = HISTORY,
     hot_rows: int = HOT_ROWS,
     id_slice_rows: int | None = ID_SLICE_ROWS,
+    state: DataFrame | None = None,
 ) -> DataFrame:
     """New state of a history after its source was read again in full.
 
     The first load keeps every version. Later, keys whose newest state is new or differs from the active one
     are affected: their active row ends at the first time that was not loaded yet, and the versions not loaded
     yet are inserted. Versions that are in the table already are never inserted again. Ids go on from the
-    greatest one. The rows to insert are written to the shared folder once, because they close old rows, are
-    ranked and are numbered.
+    greatest one.
+
+    What a batch affects is found from one row per key: the newest state in the source, reduced in the map tasks, against
+    ``state`` (:func:`history_state`), or the table's active rows where none is given. Only versions of affected keys
+    meet the table's, and only they are ranked and numbered. They are written to the shared folder once, as they also
+    close old rows.
     """
     time = cols.valid_from
     hashed = source.withColumn("row_hash", state_hash([*keys, *tracked], "~"))
@@ -278,19 +294,20 @@ def incremental_history(
     if target is None:
         return _versions(hashed, keys, order, id_name, F.lit(0), cols, hot_rows, id_slice_rows)
 
-    present = {c: c for c in [*keys, "row_hash", time]}
-    pending = without(hashed, target, present)
-    newest = latest_per_key(hashed, keys, order).select(*as_columns(keys), "row_hash")
-    active = target.filter(named(cols.active) == ACTIVE).select(
-        *[named(k).alias(f"_k{i}") for i, k in enumerate(keys)], F.col("row_hash").alias("_active_hash")
-    )
+    if state is None:
+        state = history_state(target, keys, id_name, cols)
+    newest = hashed.groupBy(*as_columns(keys)).agg(F.max_by("row_hash", F.struct(*as_columns(order))).alias("row_hash"))
+    active = state.select(*[named(k).alias(f"_k{i}") for i, k in enumerate(keys)], F.col("row_hash").alias("_active_hash"))
     same_key = reduce(lambda x, y: x & y, [named(k) == F.col(f"_k{i}") for i, k in enumerate(keys)])
     affected = (
         newest.join(active, same_key, "left")
         .filter(F.col("_active_hash").isNull() | (F.col("_active_hash") != F.col("row_hash")))
         .select(*as_columns(keys))
     )
-    pending = pending.join(affected, list(keys), "left_semi").select(*as_columns(hashed.columns))
+    affected = materialise(affected, "affected")
+    on, present = {k: k for k in keys}, {c: c for c in [*keys, "row_hash", time]}
+    loaded = within(target.select(*as_columns(present)), affected, on)
+    pending = without(hashed.join(affected, list(keys), "left_semi"), loaded, present).select(*as_columns(hashed.columns))
     pending = materialise(pending, "pending")
     first = pending.groupBy(*[named(k).alias(f"_k{i}") for i, k in enumerate(keys)]).agg(
         F.min(named(time)).alias("_first")
@@ -307,7 +324,7 @@ def incremental_history(
         )
         .select(*as_columns(target.columns))
     )
-    last_id = target.agg(F.coalesce(F.max(named(id_name)).cast("long"), F.lit(0))).scalar()
+    last_id = (state if "last_id" in state.columns else target.select(named(id_name).alias("last_id"))).agg(F.coalesce(F.max("last_id").cast("long"), F.lit(0))).scalar()
     added = _versions(pending, keys, order, id_name, last_id, cols, hot_rows, id_slice_rows)
     return expired.unionByName(added, allowMissingColumns=True)
 
@@ -322,10 +339,10 @@ def _versions(
     hot_rows: int,
     id_slice_rows: int | None,
 ) -> DataFrame:
-    ahead = along(df, keys, order, following={"_until": cols.valid_from, "_has_next": F.lit(True)}, hot_rows=hot_rows)
+    numbered = global_id(df, [*keys, *order], id_name, start, id_slice_rows)
+    ahead = along(numbered, keys, order, following={"_until": cols.valid_from, "_has_next": F.lit(True)}, hot_rows=hot_rows)
     out = ahead.withColumns({cols.valid_to: F.col("_until"), cols.active: _flag(F.col("_has_next").isNull())})
-    out = out.drop("_until", "_has_next")
-    return global_id(out, [*keys, *order], id_name, start, id_slice_rows, count_on=df)
+    return out.drop("_until", "_has_next")
 
 
 def append_rerank(
@@ -341,11 +358,14 @@ def append_rerank(
     cols: HistoryColumns = HISTORY,
     hot_rows: int = HOT_ROWS,
     id_slice_rows: int | None = ID_SLICE_ROWS,
+    only_appended_keys: bool = False,
 ) -> DataFrame:
     """Changes that append the rows newer than anything loaded and rank the whole table again.
 
-    The greatest ``order`` of a key is active; every other row ends at ``now``. Row ids are written again. The
-    result carries ``create`` or ``update`` for :func:`stratalake.operators.merge.merge_actions`, which needs
+    The greatest ``order`` of a key is active; every other row ends at ``now``. Row ids are written again. With
+    ``only_appended_keys`` keys without a new row are left out: a table that was ranked before has their ranks, and the
+    time at which their rows ended stays. New rows are written once; a few of them are broadcast to the table, of which
+    only the rows of their keys are moved and ranked. The result carries ``create`` or ``update`` for :func:`stratalake.operators.merge.merge_actions`, which needs
     to update the four bookkeeping columns only.
     """
     time = cols.valid_from
@@ -353,6 +373,9 @@ def append_rerank(
     newest = existing.agg(F.coalesce(F.max(named(time)), floor)).scalar()
     last_id = existing.agg(F.coalesce(F.max(named(id_name)).cast("long"), F.lit(0))).scalar()
     fresh = global_id(incoming.filter(named(time) > newest), id_order, id_name, last_id, id_slice_rows)
+    if only_appended_keys:
+        fresh = materialise(fresh, "appended")
+        existing = within(existing, fresh.select(*as_columns(keys)).distinct(), {k: k for k in keys})
     both = existing.withColumn(action, F.lit("update")).unionByName(
         fresh.withColumn(action, F.lit("create")), allowMissingColumns=True
     )

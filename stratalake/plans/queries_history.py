@@ -327,6 +327,14 @@ def incremental_history(t: Tables) -> DataFrame:
     return history.incremental_history(_line_states(t), _first_lines(t), *_LINE_ARGS)
 
 
+@query("scd_07_state_table", INCREMENTAL_SQL)
+def incremental_history_by_state(t: Tables) -> DataFrame:
+    """The same with the table of one row per key that a job keeps beside its history."""
+    first = _first_lines(t)
+    state = materialise(history.history_state(first, _LINE_ARGS[0], "LineID"), "state")
+    return history.incremental_history(_line_states(t), first, *_LINE_ARGS, state=state)
+
+
 @query(
     "scd_07_first_load",
     f"""SELECT *, ROW_NUMBER() OVER (ORDER BY l_partkey, l_suppkey, {_LINE_ORDER}) AS "LineID",
@@ -399,6 +407,33 @@ def append_rerank_merged(t: Tables) -> DataFrame:
     return merge.merge_actions(old, materialise(changes, "changes"), ["InvoiceID"], "row_action", ["IsActive", "ValidTo", "Migrated", "RowID"])
 
 
+@query(
+    "scd_08_append_keys",
+    """WITH old AS (SELECT o_custkey, o_orderpriority, o_orderkey, o_orderdate AS "IngestionDate", ROW_NUMBER() OVER (ORDER BY o_orderkey) AS "InvoiceID"
+                    FROM orders WHERE o_orderstatus = 'F'),
+            fresh AS (SELECT o_custkey, o_orderpriority, o_orderkey, o_orderdate + INTERVAL 20 YEAR,
+                             (SELECT MAX("InvoiceID") FROM old) + ROW_NUMBER() OVER (ORDER BY o_custkey, o_orderkey) FROM orders WHERE o_custkey % 10 = 1),
+            merged AS (SELECT *, FALSE AS f FROM old UNION ALL SELECT *, TRUE FROM fresh),
+            r AS (SELECT *, LEAD(o_orderkey) OVER (PARTITION BY o_custkey, o_orderpriority ORDER BY o_orderkey, "InvoiceID") IS NULL AS last,
+                         bool_or(f) OVER (PARTITION BY o_custkey, o_orderpriority) AS hit FROM merged)
+       SELECT o_custkey, o_orderpriority, o_orderkey, "IngestionDate", "InvoiceID", CASE WHEN last THEN 'Y' ELSE 'N' END AS "IsActive",
+              CASE WHEN last THEN NULL WHEN hit THEN TIMESTAMP '2024-06-01' ELSE TIMESTAMP '2024-01-01' END AS "ValidTo" FROM r""",
+)
+def append_keys(t: Tables) -> DataFrame:
+    """A second batch for some customers: the others keep their ranks and ends, and are no part of the changes."""
+    old, _ = _append_rerank(t)
+    keys, order = ["o_custkey", "o_orderpriority"], ["o_orderkey"]
+    ids, booked = ["o_custkey", "o_orderkey"], ["IsActive", "ValidTo", "Migrated", "RowID"]
+    day = lambda text: F.lit(text).cast("timestamp_ntz")
+    none = {c: F.lit(None).cast(old.schema[c].dataType) for c in booked}
+    first = history.append_rerank(old, old.drop("InvoiceID").limit(0), keys, order, "InvoiceID", ids, INVOICE_HASH, day("2024-01-01"))
+    table = materialise(merge.merge_actions(old, materialise(first, "changes"), ["InvoiceID"], "row_action", booked), "invoices")
+    later = _invoices(t).filter("o_custkey % 10 = 1").withColumn("IngestionDate", F.col("IngestionDate") + F.expr("INTERVAL 20 YEAR")).withColumns(none)
+    second = history.append_rerank(table, later, keys, order, "InvoiceID", ids, INVOICE_HASH, day("2024-06-01"), only_appended_keys=True)
+    out = merge.merge_actions(table, materialise(second, "changes"), ["InvoiceID"], "row_action", booked)
+    return out.select(*keys, *order, "IngestionDate", "InvoiceID", "IsActive", "ValidTo")
+
+
 # --- change messages and merges ------------------------------------------------------------------
 
 MESSAGE_TYPES_SQL = """CASE event_type WHEN 'signup' THEN 'create' WHEN 'click' THEN 'update' WHEN 'purchase' THEN 'update'

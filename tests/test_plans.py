@@ -2,11 +2,14 @@
 
 from __future__ import annotations
 
+import re
+
 import pytest
 from pyspark.sql import functions as F
 
-from stratalake.operators import history, joins, latest, merge
+from stratalake.operators import history, joins, latest, merge, ordered
 from stratalake.plans import registry
+from stratalake.session import materialise
 from tests.conftest import plan
 
 FOLDER = "/root/testdata/sf0.001"
@@ -59,3 +62,26 @@ def test_skew_is_left_to_the_splittable_side(t):
     """A tie filter is a semi join, which can be split by row, not a rank."""
     text = plan(latest.latest_with_ties(t.lineitem, ["l_partkey"], "l_shipdate"))
     assert "LeftSemi" in text and "Window" not in text
+
+
+def test_ids_are_given_to_plain_rows_before_the_one_window(t, monkeypatch):
+    staged, whole = [], ordered.materialise
+    monkeypatch.setattr(ordered, "materialise", lambda df, name: (staged.append(plan(df)), whole(df, name))[1])
+    versions = t.orders.withColumnRenamed("o_orderdate", "IngestionDate")
+    text = plan(history.rank_history(versions, ["o_custkey"], ["o_orderkey"], id_name="VersionID"))
+    assert len(staged) == 1 and "Window" not in staged[0] and "rangepartitioning" in staged[0]
+    assert len(re.findall(r"Window \[lead", text)) == 1 and "rangepartitioning" not in text
+
+
+def test_a_small_batch_moves_no_history(t, monkeypatch):
+    """Of a history with its state table, a batch for one key moves nothing but that key's rows."""
+    first = t.orders.select("o_custkey", "o_orderkey", "o_orderstatus", F.col("o_orderdate").alias("IngestionDate"))
+    args = (["o_custkey"], ["o_orderstatus"], "VersionID", ["o_orderkey"])
+    table = materialise(history.incremental_history(first, None, *args), "history")
+    state = materialise(history.history_state(table, ["o_custkey"], "VersionID"), "state")
+    new = first.filter("o_custkey = 1").limit(1).withColumns({"IngestionDate": F.col("IngestionDate") + F.expr("INTERVAL 30 YEARS"), "o_orderstatus": F.lit("new")})
+    out = history.incremental_history(new, table, *args, state=state)
+    text = plan(out)
+    assert "SortMergeJoin" not in text and out.count() == table.count() + 1
+    assert out.filter("VersionID > (SELECT 0)").agg(F.max("VersionID")).first()[0] == table.count() + 1
+    assert out.filter("o_custkey = 1 AND IsActive = 'Y'").count() == 1
