@@ -49,4 +49,5 @@ def load_all() -> None:
         queries_masks,
         queries_shape,
         queries_sources,
+        queries_views,
     )
