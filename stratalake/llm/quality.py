@@ -13,9 +13,9 @@ from pyspark.sql import Column, DataFrame
 from stratalake.llm.common import id_and_text, texts_of
 from stratalake.llm.labelled import sample, share_of_ones
 
-#: Labelled rows per class and characters of each that the dictionaries and the calibration are fitted on.
+#: Labelled rows per class that the dictionaries and the calibration are fitted on, and characters of each: all.
 PER_CLASS = 3000
-MAX_CHARS = 8192
+MAX_CHARS = None
 DICTIONARY_BYTES = 112_640
 LEVEL = 3
 #: Texts are compressed in pieces of this many bytes, so that the dictionary matters all the way through.
@@ -94,7 +94,7 @@ def _dictionary(texts: list[bytes]) -> tuple[bytes, bool]:
 
 
 def fit(docs: DataFrame, labels: DataFrame, allowed: Column, label_col: str = "quality", id_col: str = "doc_id", text_col: str = "text", per_class: int = PER_CLASS) -> QualityModel:
-    """Fit on a sample of at most ``per_class`` labelled rows of each class, cut to :data:`MAX_CHARS`.
+    """Fit on a sample of at most ``per_class`` labelled rows of each class.
 
     Half of the rows make the dictionaries, the other half the calibration. Without rows of both classes the
     score is the share of label 1 among them, 0.5 if there are none.

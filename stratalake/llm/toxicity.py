@@ -18,9 +18,9 @@ from pyspark.sql import Column, DataFrame
 from stratalake.llm.common import id_and_text, texts_of
 from stratalake.llm.labelled import sample, share_of_ones
 
-#: Labelled rows per class and characters of each that the network is fitted on.
+#: Labelled rows per class that the network is fitted on, and characters of each: all.
 PER_CLASS = 1500
-MAX_CHARS = 6000
+MAX_CHARS = None
 WINDOW, STRIDE = 48, 32
 HIDDEN, WIDTH = 12, 12
 WORD_ROWS, GRAM_ROWS = 1 << 13, 1 << 15
@@ -391,7 +391,7 @@ def _scorer(network: Network) -> Scorer:
 
 
 def fit(docs: DataFrame, labels: DataFrame, allowed: Column, label_col: str = "toxic", id_col: str = "doc_id", text_col: str = "text", per_class: int = PER_CLASS, steps: int = STEPS) -> Network:
-    """Train on at most ``per_class`` labelled rows of each class, cut to :data:`MAX_CHARS` for training only."""
+    """Train on at most ``per_class`` labelled rows of each class, whole texts."""
     return train(sample(docs, labels, label_col, allowed, per_class, MAX_CHARS, id_col, text_col), steps)
 
 
