@@ -40,18 +40,74 @@ CASE_TYPES = {
     "Householder (HAS) Appeal": "D",
 }
 # Columns of the curated documents, in order.
-APPEAL_DOCUMENT = (
-    "documentId caseId caseReference version filename originalFilename size mime documentURI publishedDocumentURI "
-    "virusCheckStatus fileMD5 dateCreated dateReceived datePublished lastModified caseType redactedStatus documentType "
-    "sourceSystem origin owner author description caseStage horizonFolderId"
-).split()
-PROJECT_DOCUMENT = (
-    "documentId caseId caseRef documentReference version examinationRefNo filename originalFilename size mime "
-    "documentURI publishedDocumentURI path virusCheckStatus fileMD5 dateCreated lastModified caseType redactedStatus "
-    "publishedStatus datePublished documentType securityClassification sourceSystem origin owner author authorWelsh "
-    "representative description descriptionWelsh documentCaseStage filter1 filter1Welsh filter2 horizonFolderId "
-    "transcriptId"
-).split()
+APPEAL_DOCUMENT = [
+    "documentId",
+    "caseId",
+    "caseReference",
+    "version",
+    "filename",
+    "originalFilename",
+    "size",
+    "mime",
+    "documentURI",
+    "publishedDocumentURI",
+    "virusCheckStatus",
+    "fileMD5",
+    "dateCreated",
+    "dateReceived",
+    "datePublished",
+    "lastModified",
+    "caseType",
+    "redactedStatus",
+    "documentType",
+    "sourceSystem",
+    "origin",
+    "owner",
+    "author",
+    "description",
+    "caseStage",
+    "horizonFolderId",
+]
+# Columns, project document, in order.
+PROJECT_DOCUMENT = [
+    "documentId",
+    "caseId",
+    "caseRef",
+    "documentReference",
+    "version",
+    "examinationRefNo",
+    "filename",
+    "originalFilename",
+    "size",
+    "mime",
+    "documentURI",
+    "publishedDocumentURI",
+    "path",
+    "virusCheckStatus",
+    "fileMD5",
+    "dateCreated",
+    "lastModified",
+    "caseType",
+    "redactedStatus",
+    "publishedStatus",
+    "datePublished",
+    "documentType",
+    "securityClassification",
+    "sourceSystem",
+    "origin",
+    "owner",
+    "author",
+    "authorWelsh",
+    "representative",
+    "description",
+    "descriptionWelsh",
+    "documentCaseStage",
+    "filter1",
+    "filter1Welsh",
+    "filter2",
+    "horizonFolderId",
+    "transcriptId",
+]
 
 
 def appeal_documents(history: DataFrame) -> DataFrame:
@@ -108,11 +164,27 @@ REPRESENTED_BY = (
     (("An Organisation",), "ORGANISATION"),
     (("Members of the Public/Businesses", "Another Individual or Organisation", "Myself"), "PERSON"),
 )
-REPRESENTATION = (
-    "representationId referenceId examinationLibraryRef caseRef caseId status originalRepresentation redacted "
-    "redactedRepresentation redactedBy redactedNotes representationFrom representedId representativeId registerFor "
-    "representationType dateReceived attachmentIds"
-).split()
+# Columns, representation, in order.
+REPRESENTATION = [
+    "representationId",
+    "referenceId",
+    "examinationLibraryRef",
+    "caseRef",
+    "caseId",
+    "status",
+    "originalRepresentation",
+    "redacted",
+    "redactedRepresentation",
+    "redactedBy",
+    "redactedNotes",
+    "representationFrom",
+    "representedId",
+    "representativeId",
+    "registerFor",
+    "representationType",
+    "dateReceived",
+    "attachmentIds",
+]
 
 
 def representations(history: DataFrame) -> DataFrame:
@@ -136,10 +208,28 @@ def representations(history: DataFrame) -> DataFrame:
 
 # Advice states and columns.
 ADVICE_STATES = ((("Not Checked", "unchecked", "Depublished"), "unchecked"), (("Do Not Publish",), "donotpublish"))
-ADVICE = (
-    "adviceId adviceReference caseId caseReference title titleWelsh from agent method enquiryDate enquiryDetails "
-    "enquiryDetailsWelsh adviceGivenBy adviceDate adviceDetails adviceDetailsWelsh status redactionStatus attachmentIds"
-).split()
+# Columns, advice, in order.
+ADVICE = [
+    "adviceId",
+    "adviceReference",
+    "caseId",
+    "caseReference",
+    "title",
+    "titleWelsh",
+    "from",
+    "agent",
+    "method",
+    "enquiryDate",
+    "enquiryDetails",
+    "enquiryDetailsWelsh",
+    "adviceGivenBy",
+    "adviceDate",
+    "adviceDetails",
+    "adviceDetailsWelsh",
+    "status",
+    "redactionStatus",
+    "attachmentIds",
+]
 
 
 def advice(history: DataFrame) -> DataFrame:
@@ -157,10 +247,19 @@ def advice(history: DataFrame) -> DataFrame:
     ).distinct()
 
 
-TIMETABLE = (
-    "caseReference published eventId type eventTitle eventTitleWelsh description descriptionWelsh eventDate "
-    "eventDeadlineStartDate"
-).split()
+# Columns, timetable, in order.
+TIMETABLE = [
+    "caseReference",
+    "published",
+    "eventId",
+    "type",
+    "eventTitle",
+    "eventTitleWelsh",
+    "description",
+    "descriptionWelsh",
+    "eventDate",
+    "eventDeadlineStartDate",
+]
 
 
 def exam_timetable(history: DataFrame, projects: DataFrame) -> DataFrame:
@@ -175,11 +274,30 @@ def exam_timetable(history: DataFrame, projects: DataFrame) -> DataFrame:
 MEETING_FIRST = ["caseId", "caseReference"]
 MEETING_LAST = ["meetingId", "meetingDate", "meetingType"]
 MEETING_LEFT_OUT = HISTORY.names() | {"NSIPMeetingId", "NSIPProjectInfoInternalID", "row_hash"}
-INVOICE = (
-    "caseId caseReference invoiceStage invoiceNumber amountDue paymentDueDate invoicedDate paymentDate "
-    "refundCreditNoteNumber refundAmount refundIssueDate"
-).split()
-SUBSCRIPTION = "subscriptionId caseReference emailAddress subscriptionType startDate endDate language".split()
+# Columns, invoice, in order.
+INVOICE = [
+    "caseId",
+    "caseReference",
+    "invoiceStage",
+    "invoiceNumber",
+    "amountDue",
+    "paymentDueDate",
+    "invoicedDate",
+    "paymentDate",
+    "refundCreditNoteNumber",
+    "refundAmount",
+    "refundIssueDate",
+]
+# Columns, subscription, in order.
+SUBSCRIPTION = [
+    "subscriptionId",
+    "caseReference",
+    "emailAddress",
+    "subscriptionType",
+    "startDate",
+    "endDate",
+    "language",
+]
 
 
 def meetings(history: DataFrame) -> DataFrame:
@@ -200,12 +318,26 @@ def subscriptions(history: DataFrame) -> DataFrame:
 
 # --- appeals -------------------------------------------------------------------------------------
 
-EVENT_ESTIMATE = "id caseReference preparationTime sittingTime reportingTime".split()
-APPEAL_REPRESENTATION = (
-    "representationId caseId caseReference representationStatus originalRepresentation redacted redactedRepresentation "
-    "redactedBy invalidOrIncompleteDetails otherInvalidOrIncompleteDetails source serviceUserId representationType "
-    "dateReceived documentIds"
-).split()
+# Columns, event estimate, in order.
+EVENT_ESTIMATE = ["id", "caseReference", "preparationTime", "sittingTime", "reportingTime"]
+# Columns, appeal representation, in order.
+APPEAL_REPRESENTATION = [
+    "representationId",
+    "caseId",
+    "caseReference",
+    "representationStatus",
+    "originalRepresentation",
+    "redacted",
+    "redactedRepresentation",
+    "redactedBy",
+    "invalidOrIncompleteDetails",
+    "otherInvalidOrIncompleteDetails",
+    "source",
+    "serviceUserId",
+    "representationType",
+    "dateReceived",
+    "documentIds",
+]
 
 
 def event_estimates(history: DataFrame) -> DataFrame:
@@ -231,10 +363,24 @@ def appeal_representations(history: DataFrame) -> DataFrame:
     return active_rows(history, APPEAL_REPRESENTATION, distinct=False)
 
 
-INSPECTOR = (
-    "entraId sapId firstName lastName email grade fte unit service group inspectorManager title address specialisms "
-    "validFrom"
-).split()
+# Columns, inspector, in order.
+INSPECTOR = [
+    "entraId",
+    "sapId",
+    "firstName",
+    "lastName",
+    "email",
+    "grade",
+    "fte",
+    "unit",
+    "service",
+    "group",
+    "inspectorManager",
+    "title",
+    "address",
+    "specialisms",
+    "validFrom",
+]
 
 
 def inspector_changes(history: DataFrame, curated: DataFrame, action: str = "row_state_metadata") -> DataFrame:

@@ -128,30 +128,139 @@ def message_entity(
 # --- documents -----------------------------------------------------------------------------------
 
 # Columns of the row ids, in hash order.
-EXTRACT_DOCUMENT_ROW_ID = (
-    "AIEDocumentDataID documentId caseRef documentReference version examinationRefNo filename originalFilename size "
-    "mime documentUri path virusCheckStatus fileMD5 dateCreated lastModified caseType documentStatus redactedStatus "
-    "publishedStatus datePublished documentType securityClassification sourceSystem origin owner author representative "
-    "description stage filter1 filter2 Migrated ODTSourceSystem IngestionDate ValidTo"
-).split()
-PROJECT_DOCUMENT_ROW_ID = (
-    "NSIPDocumentID documentId caseId caseRef version examinationRefNo filename originalFilename size mime documentURI "
-    "publishedDocumentURI path virusCheckStatus fileMD5 dateCreated datePublished lastModified caseType redactedStatus "
-    "documentType securityClassification sourceSystem origin owner author authorWelsh description descriptionWelsh "
-    "documentCaseStage filter1 filter1Welsh filter2 horizonFolderId transcriptId publishedStatus Migrated "
-    "ODTSourceSystem IngestionDate ValidTo"
-).split()
-APPEAL_DOCUMENT_ROW_ID = (
-    "AppealsDocumentMetadataID documentId caseId caseReference version filename originalFilename size mime documentURI "
-    "publishedDocumentURI virusCheckStatus fileMD5 dateCreated dateReceived datePublished lastModified caseType "
-    "redactedStatus documentType sourceSystem origin owner author description caseStage horizonFolderId caseNumber "
-    "caseworkTypeGroup caseworkTypeAbbreviation versionFilename incomingOutgoingExternal publishedStatus Migrated "
-    "ODTSourceSystem IngestionDate ValidTo"
-).split()
+EXTRACT_DOCUMENT_ROW_ID = [
+    "AIEDocumentDataID",
+    "documentId",
+    "caseRef",
+    "documentReference",
+    "version",
+    "examinationRefNo",
+    "filename",
+    "originalFilename",
+    "size",
+    "mime",
+    "documentUri",
+    "path",
+    "virusCheckStatus",
+    "fileMD5",
+    "dateCreated",
+    "lastModified",
+    "caseType",
+    "documentStatus",
+    "redactedStatus",
+    "publishedStatus",
+    "datePublished",
+    "documentType",
+    "securityClassification",
+    "sourceSystem",
+    "origin",
+    "owner",
+    "author",
+    "representative",
+    "description",
+    "stage",
+    "filter1",
+    "filter2",
+    "Migrated",
+    "ODTSourceSystem",
+    "IngestionDate",
+    "ValidTo",
+]
+# Columns of the project document row id, in hash order.
+PROJECT_DOCUMENT_ROW_ID = [
+    "NSIPDocumentID",
+    "documentId",
+    "caseId",
+    "caseRef",
+    "version",
+    "examinationRefNo",
+    "filename",
+    "originalFilename",
+    "size",
+    "mime",
+    "documentURI",
+    "publishedDocumentURI",
+    "path",
+    "virusCheckStatus",
+    "fileMD5",
+    "dateCreated",
+    "datePublished",
+    "lastModified",
+    "caseType",
+    "redactedStatus",
+    "documentType",
+    "securityClassification",
+    "sourceSystem",
+    "origin",
+    "owner",
+    "author",
+    "authorWelsh",
+    "description",
+    "descriptionWelsh",
+    "documentCaseStage",
+    "filter1",
+    "filter1Welsh",
+    "filter2",
+    "horizonFolderId",
+    "transcriptId",
+    "publishedStatus",
+    "Migrated",
+    "ODTSourceSystem",
+    "IngestionDate",
+    "ValidTo",
+]
+# Columns of the appeal document row id, in hash order.
+APPEAL_DOCUMENT_ROW_ID = [
+    "AppealsDocumentMetadataID",
+    "documentId",
+    "caseId",
+    "caseReference",
+    "version",
+    "filename",
+    "originalFilename",
+    "size",
+    "mime",
+    "documentURI",
+    "publishedDocumentURI",
+    "virusCheckStatus",
+    "fileMD5",
+    "dateCreated",
+    "dateReceived",
+    "datePublished",
+    "lastModified",
+    "caseType",
+    "redactedStatus",
+    "documentType",
+    "sourceSystem",
+    "origin",
+    "owner",
+    "author",
+    "description",
+    "caseStage",
+    "horizonFolderId",
+    "caseNumber",
+    "caseworkTypeGroup",
+    "caseworkTypeAbbreviation",
+    "versionFilename",
+    "incomingOutgoingExternal",
+    "publishedStatus",
+    "Migrated",
+    "ODTSourceSystem",
+    "IngestionDate",
+    "ValidTo",
+]
 # A project document is the same if these agree.
-PROJECT_DOCUMENT_DEDUPE = (
-    "documentId filename version Migrated originalFilename ODTSourceSystem IngestionDate ValidTo IsActive"
-).split()
+PROJECT_DOCUMENT_DEDUPE = [
+    "documentId",
+    "filename",
+    "version",
+    "Migrated",
+    "originalFilename",
+    "ODTSourceSystem",
+    "IngestionDate",
+    "ValidTo",
+    "IsActive",
+]
 # Legacy document columns and their names in the history.
 PROJECT_DOCUMENT_LEGACY = {
     "dataId": "documentId",
@@ -181,9 +290,17 @@ PROJECT_DOCUMENT_LEGACY = {
     "filter2": "filter2",
     "parentid": "horizonFolderId",
 }
-PROJECT_DOCUMENT_EXTRACT = (
-    "examinationRefNo mime documentURI path fileMD5 securityClassification origin owner"
-).split()
+# Columns, project document extract, in order.
+PROJECT_DOCUMENT_EXTRACT = [
+    "examinationRefNo",
+    "mime",
+    "documentURI",
+    "path",
+    "fileMD5",
+    "securityClassification",
+    "origin",
+    "owner",
+]
 APPEAL_DOCUMENT_LEGACY = {
     "documentId": "documentId",
     "casenodeid": "caseId",
@@ -208,7 +325,8 @@ APPEAL_DOCUMENT_LEGACY = {
     "incomingOutgoingExternal": "incomingOutgoingExternal",
     "publishedStatus": "publishedStatus",
 }
-APPEAL_DOCUMENT_EXTRACT = "mime documentURI fileMD5 owner author".split()
+# Columns, appeal document extract, in order.
+APPEAL_DOCUMENT_EXTRACT = ["mime", "documentURI", "fileMD5", "owner", "author"]
 
 
 def extract_documents(extract: DataFrame) -> DataFrame:
@@ -276,16 +394,61 @@ def appeal_documents(messages: DataFrame, legacy: DataFrame, extract: DataFrame)
 # --- project families ----------------------------------------------------------------------------
 
 # Columns of the representation row id, in hash order.
-REPRESENTATION_ROW_ID = (
-    "NSIPRepresentationID representationId referenceId examinationLibraryRef caseRef caseId status "
-    "originalRepresentation redacted redactedRepresentation redactedBy redactedNotes representationFrom representedId "
-    "representativeId registerFor representationType dateReceived attachmentIds caseuniqueid organisationname jobtitle "
-    "fullname phonenumber emailaddress buildingnumber street town county country postcode attendprelimmeeting "
-    "AgentFullName AgentOrganisationName agent_phonenumber agent_emailaddress AgentBuildingNumber AgentStreet AgentTown "
-    "AgentCounty AgentCountry AgentPostcode representatcompacqhearing representatissuehearing "
-    "representatopenfloorhearing submitlaterreps webreference owneroroccupier powertosell entitledtoclaim other "
-    "descriptionifother preferredcontactmethod"
-).split()
+REPRESENTATION_ROW_ID = [
+    "NSIPRepresentationID",
+    "representationId",
+    "referenceId",
+    "examinationLibraryRef",
+    "caseRef",
+    "caseId",
+    "status",
+    "originalRepresentation",
+    "redacted",
+    "redactedRepresentation",
+    "redactedBy",
+    "redactedNotes",
+    "representationFrom",
+    "representedId",
+    "representativeId",
+    "registerFor",
+    "representationType",
+    "dateReceived",
+    "attachmentIds",
+    "caseuniqueid",
+    "organisationname",
+    "jobtitle",
+    "fullname",
+    "phonenumber",
+    "emailaddress",
+    "buildingnumber",
+    "street",
+    "town",
+    "county",
+    "country",
+    "postcode",
+    "attendprelimmeeting",
+    "AgentFullName",
+    "AgentOrganisationName",
+    "agent_phonenumber",
+    "agent_emailaddress",
+    "AgentBuildingNumber",
+    "AgentStreet",
+    "AgentTown",
+    "AgentCounty",
+    "AgentCountry",
+    "AgentPostcode",
+    "representatcompacqhearing",
+    "representatissuehearing",
+    "representatopenfloorhearing",
+    "submitlaterreps",
+    "webreference",
+    "owneroroccupier",
+    "powertosell",
+    "entitledtoclaim",
+    "other",
+    "descriptionifother",
+    "preferredcontactmethod",
+]
 # Legacy representation columns and their names in the history.
 REPRESENTATION_LEGACY = {
     "casereference": "caseRef",
@@ -335,13 +498,41 @@ def representations(messages: DataFrame, legacy: DataFrame, source_system: DataF
 
 
 # Columns of the advice row id, in hash order.
-ADVICE_ROW_ID = (
-    "NSIPAdviceID adviceId adviceReference caseId caseReference title titleWelsh from agent method enquiryDate "
-    "enquiryDetails enquiryDetailsWelsh adviceGivenBy adviceDate adviceDetails adviceDetailsWelsh status "
-    "redactionStatus attachmentIds Section51Advice EnquirerFirstName EnquirerLastName AdviceLastModified "
-    "AttachmentCount AttachmentsLastModified LastPublishedDate WelshLanguage CaseWorkType Migrated ODTSourceSystem "
-    "IngestionDate ValidTo"
-).split()
+ADVICE_ROW_ID = [
+    "NSIPAdviceID",
+    "adviceId",
+    "adviceReference",
+    "caseId",
+    "caseReference",
+    "title",
+    "titleWelsh",
+    "from",
+    "agent",
+    "method",
+    "enquiryDate",
+    "enquiryDetails",
+    "enquiryDetailsWelsh",
+    "adviceGivenBy",
+    "adviceDate",
+    "adviceDetails",
+    "adviceDetailsWelsh",
+    "status",
+    "redactionStatus",
+    "attachmentIds",
+    "Section51Advice",
+    "EnquirerFirstName",
+    "EnquirerLastName",
+    "AdviceLastModified",
+    "AttachmentCount",
+    "AttachmentsLastModified",
+    "LastPublishedDate",
+    "WelshLanguage",
+    "CaseWorkType",
+    "Migrated",
+    "ODTSourceSystem",
+    "IngestionDate",
+    "ValidTo",
+]
 # Legacy advice columns and their names in the history.
 ADVICE_LEGACY = {
     "enquirerOrganisation": "agent",
@@ -375,10 +566,24 @@ def advice(messages: DataFrame, legacy: DataFrame) -> DataFrame:
 
 
 # Columns of the timetable row id, in hash order, and the states that decide whether it is published.
-TIMETABLE_ROW_ID = (
-    "NSIPExaminationTimetableID caseReference published eventId type eventTitle eventTitleWelsh description "
-    "descriptionWelsh eventDate eventDeadlineStartDate Migrated ODTSourceSystem SourceSystemID IngestionDate ValidTo"
-).split()
+TIMETABLE_ROW_ID = [
+    "NSIPExaminationTimetableID",
+    "caseReference",
+    "published",
+    "eventId",
+    "type",
+    "eventTitle",
+    "eventTitleWelsh",
+    "description",
+    "descriptionWelsh",
+    "eventDate",
+    "eventDeadlineStartDate",
+    "Migrated",
+    "ODTSourceSystem",
+    "SourceSystemID",
+    "IngestionDate",
+    "ValidTo",
+]
 PUBLISHED = ("Published",)
 UNPUBLISHED = ("Not Published", "Ready to Publish")
 
@@ -438,10 +643,17 @@ def exam_timetable(messages: DataFrame, legacy: DataFrame, publish_states: DataF
 
 
 # The invoices of a project, and its person lists with their names in the history.
-INVOICE_FIELDS = (
-    "invoiceStage invoiceNumber amountDue paymentDueDate invoicedDate paymentDate refundCreditNoteNumber refundAmount "
-    "refundIssueDate"
-).split()
+INVOICE_FIELDS = [
+    "invoiceStage",
+    "invoiceNumber",
+    "amountDue",
+    "paymentDueDate",
+    "invoicedDate",
+    "paymentDate",
+    "refundCreditNoteNumber",
+    "refundAmount",
+    "refundIssueDate",
+]
 INVOICES_TYPE = (
     "array<struct<invoiceStage:string,invoiceNumber:string,amountDue:double,paymentDueDate:string,invoicedDate:string,"
     "paymentDate:string,refundCreditNoteNumber:string,refundAmount:double,refundIssueDate:string>>"
@@ -488,9 +700,16 @@ def projects(messages: DataFrame, legacy: DataFrame, row_id_cols: Sequence[str]
 
 def meetings(project_versions: DataFrame, target: DataFrame | None) -> DataFrame:
     """Meetings of all project versions, versioned per case and meeting, on top of what is in the table."""
-    kept = (
-        "NSIPProjectInfoInternalID caseId caseReference meetings Migrated ODTSourceSystem SourceSystemID IngestionDate"
-    ).split()
+    kept = [
+        "NSIPProjectInfoInternalID",
+        "caseId",
+        "caseReference",
+        "meetings",
+        "Migrated",
+        "ODTSourceSystem",
+        "SourceSystemID",
+        "IngestionDate",
+    ]
     rows = project_versions.filter("meetings IS NOT NULL").select(*kept)
     fields = [f.name for f in rows.schema["meetings"].dataType.elementType.fields]
     flat = nested.explode_flatten(rows, "meetings", fields).filter("meetingId IS NOT NULL")
@@ -510,14 +729,22 @@ def meetings(project_versions: DataFrame, target: DataFrame | None) -> DataFrame
 INVOICE_ROW_ID = (
     ["NSIPInvoiceID", "NSIPProjectInfoInternalID", "caseId", "caseReference"]
     + INVOICE_FIELDS
-    + "Migrated ODTSourceSystem SourceSystemID IngestionDate ValidTo IsActive".split()
+    + ["Migrated", "ODTSourceSystem", "SourceSystemID", "IngestionDate", "ValidTo", "IsActive"]
 )
 INVOICE_UPDATES = ("IsActive", "ValidTo", "Migrated", "RowID")
 
 
 def invoice_changes(project_versions: DataFrame, existing: DataFrame, now: Column) -> DataFrame:
     """Labelled changes that bring the invoice table up to the project versions; merged by :func:`invoices`."""
-    kept = "NSIPProjectInfoInternalID caseId caseReference invoices ODTSourceSystem SourceSystemID IngestionDate".split()
+    kept = [
+        "NSIPProjectInfoInternalID",
+        "caseId",
+        "caseReference",
+        "invoices",
+        "ODTSourceSystem",
+        "SourceSystemID",
+        "IngestionDate",
+    ]
     rows = project_versions.filter("invoices IS NOT NULL").select(*kept)
     flat = nested.explode_flatten(rows, "invoices", INVOICE_FIELDS)
     return history.append_rerank(
@@ -653,12 +880,39 @@ PARTIES = ((("Appellant", "tAppellant", "Apellant"), "Appellant"), (("Agent",),
 # Preferred contact methods; other methods are written in lower case.
 CONTACT_METHODS = ((("Letter",), "post"), (("E-Mail",), "email"))
 # Columns of a service user, in order.
-USER_COLUMNS = (
-    "ServiceUserID id salutation firstname lastname addressline1 addressline2 addressTown addressCounty postcode "
-    "addressCountry organisation organisationType role telephoneNumber otherPhoneNumber faxNumber emailAddress "
-    "webAddress serviceUserType serviceUserTypeInternal caseReference sourceSystem sourceSuid contactMethod Migrated "
-    "ODTSourceSystem IngestionDate ValidTo RowID IsActive"
-).split()
+USER_COLUMNS = [
+    "ServiceUserID",
+    "id",
+    "salutation",
+    "firstname",
+    "lastname",
+    "addressline1",
+    "addressline2",
+    "addressTown",
+    "addressCounty",
+    "postcode",
+    "addressCountry",
+    "organisation",
+    "organisationType",
+    "role",
+    "telephoneNumber",
+    "otherPhoneNumber",
+    "faxNumber",
+    "emailAddress",
+    "webAddress",
+    "serviceUserType",
+    "serviceUserTypeInternal",
+    "caseReference",
+    "sourceSystem",
+    "sourceSuid",
+    "contactMethod",
+    "Migrated",
+    "ODTSourceSystem",
+    "IngestionDate",
+    "ValidTo",
+    "RowID",
+    "IsActive",
+]
 
 
 def _legacy_user(df: DataFrame, id_col: str, cols: Mapping[str, Column]) -> DataFrame:

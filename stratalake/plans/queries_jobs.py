@@ -62,7 +62,16 @@ def message_book(since: Column) -> dict[str, Column]:
     }
 
 
-BOOK = "Migrated ODTSourceSystem SourceSystemID IngestionDate ValidTo RowID IsActive".split()
+# Columns, book, in order.
+BOOK = [
+    "Migrated",
+    "ODTSourceSystem",
+    "SourceSystemID",
+    "IngestionDate",
+    "ValidTo",
+    "RowID",
+    "IsActive",
+]
 
 
 def source_system(t: Tables) -> DataFrame:
@@ -523,10 +532,23 @@ def _representations(t: Tables) -> DataFrame:
             **message_book(at("2024-01-01")),
         },
     )
-    cols = (
-        "relevantrepid casereference casenodeid RelevantRepStatus representationoriginal representationredacted redactedBy "
-        "notes RelRepOnBehalfOf contactId agentcontactid RelRepOrganisation dateReceived attachmentId ingested_datetime"
-    ).split()
+    cols = [
+        "relevantrepid",
+        "casereference",
+        "casenodeid",
+        "RelevantRepStatus",
+        "representationoriginal",
+        "representationredacted",
+        "redactedBy",
+        "notes",
+        "RelRepOnBehalfOf",
+        "contactId",
+        "agentcontactid",
+        "RelRepOrganisation",
+        "dateReceived",
+        "attachmentId",
+        "ingested_datetime",
+    ]
     lines = t.orders.join(t.lineitem, F.col("o_orderkey") == F.col("l_orderkey"))
     legacy = shaped(
         lines,
@@ -581,7 +603,18 @@ def _advice(t: Tables) -> DataFrame:
             **message_book(at("2024-01-01")),
         },
     )
-    cols = "advicenodeid casenodeid enquirerfirstname enquirerlastname enquirerOrganisation enqirymethod adviceStatus attachmentdataID expected_from ingested_datetime".split()
+    cols = [
+        "advicenodeid",
+        "casenodeid",
+        "enquirerfirstname",
+        "enquirerlastname",
+        "enquirerOrganisation",
+        "enqirymethod",
+        "adviceStatus",
+        "attachmentdataID",
+        "expected_from",
+        "ingested_datetime",
+    ]
 
     def load(rows: DataFrame, day: str) -> DataFrame:
         return shaped(
@@ -963,17 +996,63 @@ def _service_users(t: Tables) -> DataFrame:
     role = F.when(F.col("c_acctbal") < 0, "Apellant").when(F.col("c_nationkey") < 5, "Interested").otherwise("Agent")
     involvement = shaped(
         c,
-        "ContactId Title FirstName LastName Address1 Address2 City County PostCode Country OrganisationName OrganisationTypeName "
-        "TelephoneOffice TelephoneMobile Fax Email case_number typeOfInvolvement expected_from".split(),
+        [
+            "ContactId",
+            "Title",
+            "FirstName",
+            "LastName",
+            "Address1",
+            "Address2",
+            "City",
+            "County",
+            "PostCode",
+            "Country",
+            "OrganisationName",
+            "OrganisationTypeName",
+            "TelephoneOffice",
+            "TelephoneMobile",
+            "Fax",
+            "Email",
+            "case_number",
+            "typeOfInvolvement",
+            "expected_from",
+        ],
         {"ContactId": F.col("id"), "FirstName": F.col("c_name"), "case_number": F.lit("C1"), "typeOfInvolvement": role, "expected_from": at(SNAPSHOT)},
     )
     applicants = shaped(
         c.filter("c_mktsegment = 'MACHINERY'"),
-        "caseNodeId ApplicantFirstName ApplicantLastName AddressLine1 AddressLine2 AddressTown AddressCounty PostCode PromoterName "
-        "ApplicantPhoneNumber ApplicantEmailAddress ApplicantWebAddress CaseReference expected_from".split(),
+        [
+            "caseNodeId",
+            "ApplicantFirstName",
+            "ApplicantLastName",
+            "AddressLine1",
+            "AddressLine2",
+            "AddressTown",
+            "AddressCounty",
+            "PostCode",
+            "PromoterName",
+            "ApplicantPhoneNumber",
+            "ApplicantEmailAddress",
+            "ApplicantWebAddress",
+            "CaseReference",
+            "expected_from",
+        ],
         {"caseNodeId": F.col("id"), "ApplicantFirstName": F.col("c_name"), "CaseReference": F.lit("C2"), "expected_from": at(SNAPSHOT)},
     )
-    person = "ContactId FullName BuildingNumber Street Town County PostCode Country OrganisationName JobTitle PhoneNumber EmailAddress".split()
+    person = [
+        "ContactId",
+        "FullName",
+        "BuildingNumber",
+        "Street",
+        "Town",
+        "County",
+        "PostCode",
+        "Country",
+        "OrganisationName",
+        "JobTitle",
+        "PhoneNumber",
+        "EmailAddress",
+    ]
     agent = ["AgentContactId"] + [f"Agent_{x}" for x in person[1:]]
     representation = shaped(
         c.filter("c_mktsegment = 'HOUSEHOLD'"),
