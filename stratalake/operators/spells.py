@@ -7,7 +7,7 @@ needs of those before it comes from a table of one row per slice.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
@@ -89,33 +89,45 @@ def reporting_lines(df: DataFrame, person: str, manager: str, sep: str = "/") ->
     way from there.
 
     By doubling: a step puts what is known of a manager's way before one's own, so a way of n managers takes log2(n)
-    steps. A manager who is no person counts as none. Who has not come to a top when every way must have ended is on or
-    under a circle: level, top and chain are null. A person who comes twice is an error; one without a name is left out.
+    steps. A manager who is no person counts as none. The first run of steps finds level and top, which are of fixed size.
+    If a step ends no way, who has not come to a top is on or under a circle: a longer way would have ended at one of its
+    managers. Their level, top and chain are null. Chains are put together in a second run, from those who came to a top
+    alone: round a circle a chain would double with every step. A person who comes twice is an error; one without a name
+    is left out.
     """
     rows = df.filter(named(person).isNotNull()).select(named(person).cast("string").alias("_id"), named(manager).cast("string").alias("_manager"))
     rows = rows.groupBy("_id").agg(F.count(F.lit(1)).alias("_n"), F.first("_manager").alias("_manager"))
     twice = F.raise_error(F.concat(F.lit("reporting lines: more than one row for "), F.col("_id"))).cast("boolean")
     rows = rows.filter(F.when(F.col("_n") > 1, twice).otherwise(F.lit(True))).drop("_n")
     people = rows.select(F.col("_id").alias("_known"))
-    rows = rows.join(people, F.col("_manager") == F.col("_known"), "left").select("_id", "_manager", F.col("_known").alias("_up"))
-    known = rows.select("_id", "_manager", "_up", F.col("_up").isNotNull().cast("long").alias("_level"), F.coalesce("_up", "_id").alias("_top"), F.col("_id").alias("_chain"))
-    known = materialise(known, "lines")
-    for _ in range(max(1, known.count()).bit_length() + 1):
-        if known.filter("_up is not null").isEmpty():
+    rows = rows.join(people, F.col("_manager") == F.col("_known"), "left").select("_id", "_manager", F.col("_known").alias("_first"))
+    rows = materialise(rows, "lines")
+    levels = rows.select("_id", F.col("_first").alias("_up"), F.col("_first").isNotNull().cast("long").alias("_level"), F.coalesce("_first", "_id").alias("_top"))
+    levels = _doubled(levels, {"_level": F.col("_a_level") + F.col("_level"), "_top": F.col("_a_top")})
+    levels = levels.select(F.col("_id").alias("_l"), "_level", "_top", F.col("_up").isNotNull().alias("_open"))
+    rows = materialise(rows.join(levels, F.col("_id") == F.col("_l")).drop("_l"), "lines")
+    chains = rows.filter("not _open").select("_id", F.col("_first").alias("_up"), F.col("_id").alias("_chain"))
+    chains = _doubled(chains, {"_chain": F.concat("_a_chain", F.lit(sep), "_chain")}).select(F.col("_id").alias("_c"), "_chain")
+    out = rows.join(chains, F.col("_id") == F.col("_c"), "left")
+    return out.select(
+        F.col("_id").alias(person), F.col("_manager").alias(manager), *[F.when(~F.col("_open"), F.col(f"_{c}")).alias(c) for c in ("level", "top", "chain")],
+        F.col("_open").alias("cyclic"),
+    )
+
+
+def _doubled(known: DataFrame, put: Mapping[str, Column]) -> DataFrame:
+    """``known`` when a step ends no way any more. ``put``: a column from one's own and, with ``_a`` before the name, from that
+    of the person ``_up``. Ways that came to a top are carried on as they are; only open ones are joined."""
+    open_ = known.filter("_up is not null").count()
+    while open_:
+        done, above = known.filter("_up is null"), known.select(*[named(c).alias("_a" + c) for c in known.columns])
+        met = known.filter("_up is not null").join(above, F.col("_up") == F.col("_a_id"))
+        met = met.select("_id", F.col("_a_up").alias("_up"), *[c.alias(name) for name, c in put.items()])
+        known = materialise(done.unionByName(met), "lines")
+        before, open_ = open_, known.filter("_up is not null").count()
+        if open_ == before:
             break
-        above = known.select(F.col("_id").alias("_a"), F.col("_up").alias("_a_up"), F.col("_level").alias("_a_level"), F.col("_top").alias("_a_top"), F.col("_chain").alias("_a_chain"))
-        met, found = known.join(above, F.col("_up") == F.col("_a"), "left"), F.col("_a").isNotNull()
-        known = met.select(
-            "_id", "_manager", F.col("_a_up").alias("_up"),
-            F.when(found, F.col("_level") + F.col("_a_level")).otherwise(F.col("_level")).alias("_level"),
-            F.when(found, F.col("_a_top")).otherwise(F.col("_top")).alias("_top"),
-            F.when(found, F.concat("_a_chain", F.lit(sep), "_chain")).otherwise(F.col("_chain")).alias("_chain"),
-        )
-        known = materialise(known, "lines")
-    open_ = F.col("_up").isNotNull()
-    return known.select(
-        F.col("_id").alias(person), F.col("_manager").alias(manager), *[F.when(~open_, F.col(f"_{c}")).alias(c) for c in ("level", "top", "chain")], open_.alias("cyclic")
-    )
+    return known
 
 
 def staff_movements(df: DataFrame, started: str, left: str, until: str) -> DataFrame:

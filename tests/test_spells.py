@@ -86,6 +86,26 @@ def test_reporting_lines(spark):
         spells.reporting_lines(spark.createDataFrame([("x", "y"), ("x", "z")], "person string, manager string"), "person", "manager").collect()
 
 
+def test_chains_do_not_grow_round_circles(spark, monkeypatch):
+    """People on and under circles need no chain; one that doubles with each step would hold thousands of names."""
+    longest, write = [], spells.materialise
+
+    def measured(df, name):
+        out = write(df, name)
+        texts = [F.max(F.length(c)) for c, kind in out.dtypes if kind == "string"]
+        longest.append(out.select(F.greatest(F.lit(0), F.lit(0), *[F.coalesce(t, F.lit(0)) for t in texts])).first()[0])
+        return out
+
+    monkeypatch.setattr(spells, "materialise", measured)
+    made = {"a": "b", "b": "a", "self": "self", "boss": None} | {f"u{i}": ("a", "self", f"u{i - 1}")[i % 3] for i in range(2000)} | {f"p{i}": f"p{i - 1}" if i else "boss" for i in range(9)}
+    out = spells.reporting_lines(spark.createDataFrame(list(made.items()), "person string, manager string"), "person", "manager")
+    found = {r["person"]: r for r in out.collect()}
+    assert len(found) == len(made) and found["p8"]["chain"] == "/".join(["boss", *[f"p{i}" for i in range(9)]]) and found["p8"]["level"] == 9
+    assert {p for p, r in found.items() if r["cyclic"]} == {p for p in made if p[0] in "abu" and p != "boss" or p == "self"}
+    assert all(r["chain"] is None and r["level"] is None and r["top"] is None for r in found.values() if r["cyclic"])
+    assert max(longest) <= len(found["p8"]["chain"])
+
+
 def test_movements(spark):
     df = spark.createDataFrame([(day(3), None), (day(40), day(60)), (day(41), day(45)), (None, day(9))], "s date, e date")
     out = rows(spells.staff_movements(df, "s", "e", "2024-04-30"))
