@@ -10,7 +10,7 @@ from __future__ import annotations
 from collections.abc import Mapping, Sequence
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from stratalake.functions.contract import ACTIVE, HISTORY, INACTIVE, HistoryColumns
@@ -20,9 +20,12 @@ from stratalake.functions.types import nullable
 from stratalake.functions.text import blank_to_null
 from stratalake.operators.joins import flag_exists, within, without
 from stratalake.operators.latest import first_per_key
-from stratalake.operators.ordered import HOT_ROWS, ID_SLICE_ROWS, SLICE, Timeline, along, global_id
+from stratalake.operators.ordered import HOT_ROWS, ID_SLICE_ROWS, SLICE, Timeline, along, count_rows, global_id, global_id_along
 from stratalake.session import materialise
 
+#: Keys of a table that a batch may affect to be broadcast: some 100 MB.
+BROADCAST_KEYS = 1_500_000
+
 
 def _flag(active: Column) -> Column:
     return F.when(active, F.lit(ACTIVE)).otherwise(F.lit(INACTIVE))
@@ -259,9 +262,17 @@ def group_updates(history: DataFrame, other: DataFrame, key: str, cols: HistoryC
 def history_state(history: DataFrame, keys: Sequence[str], id_name: str, cols: HistoryColumns = HISTORY) -> DataFrame:
     """One row per key, to be kept as a table beside the history: hash and time of its active row and its greatest id."""
     active = named(cols.active) == ACTIVE
-    return history.groupBy(*as_columns(keys)).agg(
-        F.max(F.when(active, F.col("row_hash"))).alias("row_hash"), F.max(F.when(active, named(cols.valid_from))).alias("since"), F.max(named(id_name)).alias("last_id")
-    )
+    packed = _packed_hash("row_hash")
+    sums = history.groupBy(*as_columns(keys)).agg(
+        F.max(F.when(active, packed)).alias("_packed"), F.max(F.when(active & packed.isNull(), F.col("row_hash"))).alias("_other"),
+        F.max(F.when(active, named(cols.valid_from))).alias("since"), F.max(named(id_name)).alias("last_id"),
+    )
+    return sums.select(*as_columns(keys), F.greatest(F.lower(F.hex("_packed")), "_other").alias("row_hash"), "since", "last_id")
+
+
+def _packed_hash(name: str) -> Column:
+    """A hash of :func:`state_hash` in the 32 bytes that it stands for, in the same order; null for any other text."""
+    return F.when(named(name).rlike("^[0-9a-f]{64}$"), F.unhex(named(name)))
 
 
 def incremental_history(
@@ -283,39 +294,50 @@ def incremental_history(
     yet are inserted. Versions that are in the table already are never inserted again. Ids go on from the
     greatest one.
 
-    What a batch affects is found from one row per key: the newest state in the source, reduced in the map tasks, against
-    ``state`` (:func:`history_state`), or the table's active rows where none is given. Only versions of affected keys
-    meet the table's, and only they are ranked and numbered. They are written to the shared folder once, as they also
-    close old rows.
+    What a batch affects is found from one row per key: the newest state in the source against ``state``
+    (:func:`history_state`, which has every key of the table), or the table's own where none is given. The source is moved
+    once for that, without its hashes, and the rows of affected keys are written. Only those whose key is in the table
+    meet the table's; if they are few, they are broadcast to it and the table is not moved.
     """
     time = cols.valid_from
-    hashed = source.withColumn("row_hash", state_hash([*keys, *tracked], "~"))
+    state_of = state_hash([*keys, *tracked], "~")
     order = [time, *tie, "row_hash"]
     if target is None:
-        return _versions(hashed, keys, order, id_name, F.lit(0), cols, hot_rows, id_slice_rows)
+        return _versions(source, keys, order, id_name, F.lit(0), state_of, cols, hot_rows, id_slice_rows)
 
+    last_id = target.select(named(id_name).alias("last_id")) if state is None or "last_id" not in state.columns else state
     if state is None:
         state = history_state(target, keys, id_name, cols)
-    newest = hashed.groupBy(*as_columns(keys)).agg(F.max_by("row_hash", F.struct(*as_columns(order))).alias("row_hash"))
-    active = state.select(*[named(k).alias(f"_k{i}") for i, k in enumerate(keys)], F.col("row_hash").alias("_active_hash"))
-    same_key = reduce(lambda x, y: x & y, [named(k) == F.col(f"_k{i}") for i, k in enumerate(keys)])
-    affected = (
-        newest.join(active, same_key, "left")
-        .filter(F.col("_active_hash").isNull() | (F.col("_active_hash") != F.col("row_hash")))
-        .select(*as_columns(keys))
+    active = state.select(
+        *[named(k).alias(f"_k{i}") for i, k in enumerate(keys)], _packed_hash("row_hash").alias("_active_hash"), F.lit(True).alias("_known")
     )
-    affected = materialise(affected, "affected")
+    same_key = reduce(lambda x, y: x & y, [named(k) == F.col(f"_k{i}") for i, k in enumerate(keys)])
+    differs = F.col("_active_hash").isNull() | (F.col("_active_hash") != F.unhex("_newest"))
+    helpers = ["_newest", "_active_hash", *[f"_k{i}" for i in range(len(keys))]]
+    keyed = source.filter(reduce(lambda x, y: x & y, [named(k).isNotNull() for k in keys]))  # a null key is no key
+    if count_rows(keyed, keys, hot_rows)[1]:
+        hashed = keyed.withColumn("row_hash", state_of)
+        newest = hashed.groupBy(*as_columns(keys)).agg(F.max_by("row_hash", F.struct(*as_columns(order))).alias("_newest"))
+        affected = newest.join(active, same_key, "left").filter(differs).drop(*helpers)
+        touched = hashed.join(materialise(affected, "affected"), list(keys))
+    else:
+        laid = keyed.drop("row_hash").repartition(*as_columns(keys)).withColumn("row_hash", state_of)
+        newest = F.max(F.struct(*as_columns(order))).over(Window.partitionBy(*as_columns(keys))).getField("row_hash")
+        touched = laid.withColumn("_newest", newest).join(active, same_key, "left").filter(differs).drop(*helpers)
+    touched = materialise(touched.withColumn("_known", F.coalesce("_known", F.lit(False))).drop("row_hash"), "touched")
+    touched = touched.withColumn("row_hash", state_of)
+
     on, present = {k: k for k in keys}, {c: c for c in [*keys, "row_hash", time]}
-    loaded = within(target.select(*as_columns(present)), affected, on)
-    pending = without(hashed.join(affected, list(keys), "left_semi"), loaded, present).select(*as_columns(hashed.columns))
-    pending = materialise(pending, "pending")
-    first = pending.groupBy(*[named(k).alias(f"_k{i}") for i, k in enumerate(keys)]).agg(
-        F.min(named(time)).alias("_first")
-    )
+    met = materialise(touched.filter("_known").select(*as_columns(keys)).distinct(), "affected")
+    sized = F.broadcast if met.count() <= BROADCAST_KEYS else (lambda df: df)
+    loaded = within(target.select(*as_columns(present)), sized(met), on)
+    again = materialise(without(touched.filter("_known"), loaded, present), "pending")
+    pending = touched.filter("not _known").unionByName(again).drop("_known", "row_hash")
+    first = again.groupBy(*[named(k).alias(f"_k{i}") for i, k in enumerate(keys)]).agg(F.min(named(time)).alias("_first"))
     expires = (named(cols.active) == ACTIVE) & F.col("_first").isNotNull()
     end_type = target.schema[cols.valid_to].dataType
     expired = (
-        target.join(first, same_key, "left")
+        target.join(sized(first), same_key, "left")
         .withColumns(
             {
                 cols.valid_to: F.when(expires, F.col("_first").cast(end_type)).otherwise(named(cols.valid_to)),
@@ -324,8 +346,8 @@ def incremental_history(
         )
         .select(*as_columns(target.columns))
     )
-    last_id = (state if "last_id" in state.columns else target.select(named(id_name).alias("last_id"))).agg(F.coalesce(F.max("last_id").cast("long"), F.lit(0))).scalar()
-    added = _versions(pending, keys, order, id_name, last_id, cols, hot_rows, id_slice_rows)
+    greatest = last_id.agg(F.coalesce(F.max("last_id").cast("long"), F.lit(0))).scalar()
+    added = _versions(pending, keys, order, id_name, greatest, state_of, cols, hot_rows, id_slice_rows)
     return expired.unionByName(added, allowMissingColumns=True)
 
 
@@ -335,13 +357,14 @@ def _versions(
     order: Sequence[str],
     id_name: str,
     start: Column,
+    state_of: Column,
     cols: HistoryColumns,
     hot_rows: int,
     id_slice_rows: int | None,
 ) -> DataFrame:
-    numbered = global_id(df, [*keys, *order], id_name, start, id_slice_rows)
-    ahead = along(numbered, keys, order, following={"_until": cols.valid_from, "_has_next": F.lit(True)}, hot_rows=hot_rows)
-    out = ahead.withColumns({cols.valid_to: F.col("_until"), cols.active: _flag(F.col("_has_next").isNull())})
+    following = {"_until": cols.valid_from, "_has_next": F.lit(True)}
+    out = global_id_along(df, keys, order, id_name, following, start, {"row_hash": state_of}, hot_rows, id_slice_rows)
+    out = out.withColumns({cols.valid_to: F.col("_until"), cols.active: _flag(F.col("_has_next").isNull())})
     return out.drop("_until", "_has_next")
 
 

@@ -26,6 +26,8 @@ from stratalake.functions.keys import as_columns, named
 from stratalake.session import materialise
 
 HOT_ROWS = 2_000_000
+#: Keys are first counted by so many buckets: no key has more rows than the fullest bucket.
+COUNT_BUCKETS = 8192
 #: Rows per slice for dense ids; none leaves the number of slices to the session's shuffle partitions.
 ID_SLICE_ROWS: int | None = None
 SLICE = "_slice"
@@ -44,6 +46,21 @@ def _slices(rows: int, per_slice: int) -> int:
     return max(2, -(-rows // per_slice))
 
 
+def count_rows(df: DataFrame, keys: Sequence[str], hot_rows: int) -> tuple[int, bool]:
+    """Number of rows, and whether some key has more than ``hot_rows``.
+
+    Buckets of keys are counted first, which leaves a few thousand rows of each map task, however many keys there are.
+    Single keys are counted only where a bucket is too full to tell.
+    """
+    by = [named(k) for k in keys]
+    for group in ([F.pmod(F.xxhash64(*by), F.lit(COUNT_BUCKETS)).alias("_bucket")] if by else []), by:
+        sizes = df.groupBy(*group).agg(F.count(F.lit(1)).alias("_n"))
+        rows, most = sizes.agg(F.coalesce(F.sum("_n"), F.lit(0)), F.coalesce(F.max("_n"), F.lit(0))).first()
+        if most <= hot_rows:
+            return rows, False
+    return rows, True
+
+
 @dataclass(frozen=True)
 class Timeline:
     """How the rows of a frame are laid out for windows over one key and order.
@@ -76,9 +93,8 @@ class Timeline:
         such as the table ``df`` was derived from.
         """
         by = [named(k) for k in keys]
-        sizes = (df if count_on is None else count_on).groupBy(*by).agg(F.count(F.lit(1)).alias("_n"))
-        rows, most = sizes.agg(F.coalesce(F.sum("_n"), F.lit(0)), F.coalesce(F.max("_n"), F.lit(0))).first()
-        if most <= hot_rows:
+        rows, hot = count_rows(df if count_on is None else count_on, keys, hot_rows)
+        if not hot:
             return Timeline(df, tuple(keys), tuple(order))
         ranged = df.repartitionByRange(_slices(2 * rows, hot_rows), *by, *[named(c) for c in order])
         staged = materialise(ranged.withColumn(SLICE, F.spark_partition_id()), "slices")
@@ -227,6 +243,11 @@ def global_id(
     by = [named(c) for c in order]
     slices = [] if slice_rows is None else [_slices((df if count_on is None else count_on).count(), slice_rows)]
     ranged = df.repartitionByRange(*slices, *by).sortWithinPartitions(*by)
+    return _placed(ranged, name, offset)
+
+
+def _placed(ranged: DataFrame, name: str, offset: Column) -> DataFrame:
+    """Ids of rows that lie in their order, within partitions and from one to the next."""
     staged = materialise(ranged.withColumn("_at", F.monotonically_increasing_id()), "ordered")
     # The generated id holds the partition above its 33rd bit and the place within it below.
     placed = staged.withColumns({"_part": F.shiftright("_at", 33), "_place": F.col("_at") % (1 << 33) + 1})
@@ -239,6 +260,37 @@ def global_id(
     )
 
 
+def global_id_along(
+    df: DataFrame,
+    keys: Sequence[str],
+    order: Sequence[str],
+    name: str,
+    following: Columns,
+    start: int | Column = 0,
+    computed: Mapping[str, Column] | None = None,
+    hot_rows: int = HOT_ROWS,
+    slice_rows: int | None = ID_SLICE_ROWS,
+) -> DataFrame:
+    """Dense ids in the order of key, then timeline, and values of the row after on the key's timeline.
+
+    Without a hot key both come from one exchange: a range of keys holds its keys whole, so the sorted slices serve the
+    window as well. ``computed`` are columns the order may name, such as a hash; they are computed from the row on both
+    sides of the exchange and neither moved nor written. A hot key is cut by :func:`global_id` and :func:`along`.
+    """
+    computed = dict(computed or {})
+    rows, hot = count_rows(df, keys, hot_rows)
+    if hot:
+        numbered = global_id(df.withColumns(computed), [*keys, *order], name, start, slice_rows)
+        return along(numbered, keys, order, following=following, hot_rows=hot_rows)
+    by = [named(k) for k in keys]
+    slices = [] if slice_rows is None else [_slices(rows, slice_rows)]
+    ranged = df.drop(*computed).repartitionByRange(*slices, *by).withColumns(computed)
+    forward = Window.partitionBy(*by).orderBy(*[named(c).asc() for c in order])
+    ahead = ranged.withColumn("_next", F.lead(_packed(following)).over(forward)).drop(*computed)
+    out = _placed(ahead, name, F.lit(start) if isinstance(start, int) else start).withColumns(computed)
+    return out.withColumns({alias: F.col("_next").getField(alias) for alias in following}).drop("_next")
+
+
 def chunk_groups(
     df: DataFrame, keys: Sequence[str], order: Sequence[str], size: int, name: str = "chunk", hot_rows: int = HOT_ROWS
 ) -> DataFrame:

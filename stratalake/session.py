@@ -51,5 +51,5 @@ def fresh_path(spark: SparkSession, name: str) -> str:
 def materialise(df: DataFrame, name: str) -> DataFrame:
     """Cut the lineage with a written table in the shared folder, so a lost executor reads it again."""
     path = fresh_path(df.sparkSession, name)
-    df.write.mode("errorifexists").parquet(path)
+    df.write.mode("errorifexists").parquet(path, compression="zstd")
     return df.sparkSession.read.schema(df.schema).parquet(path)

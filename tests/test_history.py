@@ -10,6 +10,7 @@ from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
 from stratalake.operators import history
+from stratalake.session import materialise
 from tests.conftest import rows
 
 D = datetime
@@ -250,3 +251,26 @@ def test_a_snapshot_with_two_rows_of_a_key_fails(spark):
     snapshot = spark.sql("SELECT 'a' AS k, 'x' AS v, timestamp'2025-01-01' AS IngestionDate UNION ALL SELECT 'a', 'y', timestamp'2025-01-01'")
     with pytest.raises(Exception, match="more than one row for key a"):
         history.snapshot_history(snapshot, current, "k", ["k", "v"]).collect()
+
+
+@pytest.mark.parametrize("with_state", [False, True])
+def test_incremental_history_of_a_hot_key(spark, with_state):
+    """Cut keys and whole ones give the same history; null keys are never inserted later."""
+    made = [("hot" if i % 3 else (None, "a", "b", "c")[i % 4], f"s{i % 5}", i, D(2024, 1, 1) + timedelta(i * 7 % 90)) for i in range(240)]
+    df = spark.createDataFrame(made, "k string, s string, tie int, IngestionDate timestamp")
+    found = []
+    for hot_rows in (2_000_000, 20):
+        args = (["k"], ["s"], "n", ["tie"])
+        table = materialise(history.incremental_history(df.filter("IngestionDate < '2024-02-10'"), None, *args, hot_rows=hot_rows), "table")
+        state = history.history_state(table, ["k"], "n") if with_state else None
+        found.append(rows(history.incremental_history(df, table, *args, hot_rows=hot_rows, state=state), "k", "s", "tie", "n", "IngestionDate", "ValidTo", "IsActive"))
+    assert found[0] == found[1] and len({r[3] for r in found[0]}) == len(found[0]) > 150
+    assert not any(r[0] is None and r[4] >= D(2024, 2, 10) for r in found[0])
+
+
+def test_a_state_keeps_the_greatest_hash_of_any_kind(spark):
+    made = [("a", "f" * 64, "Y", 1), ("a", "0" * 64, "Y", 2), ("b", "Zz", "Y", 3), ("b", "a" * 64, "Y", 4), ("c", "b" * 64, "N", 5), ("d", "zz", "Y", 6), ("d", "1" * 64, "Y", 7)]
+    df = spark.createDataFrame(made, "k string, row_hash string, IsActive string, n long").withColumn("IngestionDate", F.lit(D(2024, 1, 1)))
+    out = history.history_state(df, ["k"], "n")
+    assert out.columns == ["k", "row_hash", "since", "last_id"]
+    assert rows(out, "k", "row_hash", "last_id") == [("a", "f" * 64, 2), ("b", "a" * 64, 4), ("c", None, 5), ("d", "zz", 7)]

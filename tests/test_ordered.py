@@ -9,7 +9,8 @@ from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from stratalake.operators import nested
-from stratalake.operators.ordered import SLICE, Timeline, along, chunk_groups, global_id
+from stratalake.operators.ordered import SLICE, Timeline, along, chunk_groups, count_rows, global_id, global_id_along
+from tests.conftest import rows
 
 ORDERS = "/root/testdata/sf0.001/orders.parquet"
 
@@ -125,3 +126,20 @@ def test_folds_in_parts_hold_every_row_of_a_hot_key(spark):
             assert r["id"] in r["ids"] and r["ids"] == [i for i, _ in chunk] and r["vs"] == sorted(v for _, v in chunk)
         lists = nested.collect_into_parts(df.select("k", F.col("id").alias("v"), (F.col("id") % 2).alias("odd")), ["k"], "v", 16, hot_rows=hot_rows).collect()
         assert max(len(r["v"]) for r in lists) <= 16 and sorted(x for r in lists if r["k"] == "hot" and r["odd"] for x in r["v"]) == [i for i, _ in by_key["hot"]]
+
+
+@pytest.mark.parametrize("slice_rows", [None, 70])
+def test_ids_and_neighbours_of_one_exchange_match_those_of_two(spark, slice_rows):
+    df = spark.range(900).select(
+        F.when(F.col("id") % 3 > 0, "hot").when(F.col("id") % 7 > 0, F.concat(F.lit("k"), F.col("id") % 40)).alias("k"), (F.col("id") % 50).alias("t"), "id"
+    )
+    args = (["k"], ["t", "h"], "n", {"until": "t", "more": F.lit(True)}, 10, {"h": F.md5(F.col("id").cast("string"))})
+    one, two = (global_id_along(df, *args, hot_rows=hot, slice_rows=slice_rows) for hot in (2_000_000, 50))
+    assert rows(one, "n", "k", "t", "id", "h", "until", "more") == rows(two, "n", "k", "t", "id", "h", "until", "more")
+    assert [r["n"] for r in one.orderBy("n").collect()] == list(range(11, 911))
+
+
+def test_keys_are_counted_by_buckets_first(spark):
+    df = spark.range(30_000).withColumn("k", F.col("id") % 10_000)
+    assert count_rows(df, ["k"], 100) == (30_000, False) and count_rows(df, ["k"], 2) == (30_000, True)
+    assert count_rows(df, ["k"], 3) == (30_000, False) and count_rows(df.limit(0), ["k"], 3) == (0, False)

@@ -85,3 +85,26 @@ def test_a_small_batch_moves_no_history(t, monkeypatch):
     assert "SortMergeJoin" not in text and out.count() == table.count() + 1
     assert out.filter("VersionID > (SELECT 0)").agg(F.max("VersionID")).first()[0] == table.count() + 1
     assert out.filter("o_custkey = 1 AND IsActive = 'Y'").count() == 1
+
+
+def test_a_first_load_moves_its_rows_once(t, monkeypatch):
+    """Ids and ends come from one exchange, which the hashes do not pass; what it wrote is only scanned."""
+    staged, whole = [], ordered.materialise
+    monkeypatch.setattr(ordered, "materialise", lambda df, name: (staged.append((plan(df), df.columns)), whole(df, name))[1])
+    first = t.orders.select("o_custkey", "o_orderkey", "o_orderstatus", F.col("o_orderdate").alias("IngestionDate"))
+    out = history.incremental_history(first, None, ["o_custkey"], ["o_orderstatus"], "VersionID", ["o_orderkey"])
+    ((text, columns),) = staged
+    assert "row_hash" not in columns and text.count("rangepartitioning") == 1 and "hashpartitioning" not in text and "Window [lead" in text
+    assert "Window [lead" not in plan(out) and "rangepartitioning" not in plan(out)
+
+
+def test_a_later_load_moves_the_source_once(t, monkeypatch):
+    """What is affected is found beside the rows themselves: one exchange of the source, one of the state."""
+    first = t.orders.select("o_custkey", "o_orderkey", "o_orderstatus", F.col("o_orderdate").alias("IngestionDate"))
+    args = (["o_custkey"], ["o_orderstatus"], "VersionID", ["o_orderkey"])
+    table = materialise(history.incremental_history(first.filter("IngestionDate < '1997-01-01'"), None, *args), "history")
+    state = materialise(history.history_state(table, ["o_custkey"], "VersionID"), "state")
+    moved, whole = [], history.materialise
+    monkeypatch.setattr(history, "materialise", lambda df, name: (moved.append(plan(df).count("Exchange hashpartitioning")), whole(df, name))[1])
+    history.incremental_history(first, table, *args, state=state)
+    assert moved[0] <= 2 and sum(moved) <= 4
