@@ -679,13 +679,15 @@ def projects(messages: DataFrame, legacy: DataFrame, row_id_cols: Sequence[str]
     folded into one list per case and load, and their nested columns, delivered as text, are parsed into the types
     of the messages. The row id covers all listed columns, or all business columns.
     """
-    before = joins.without_from(legacy, messages.withColumnRenamed("caseId", "HorizonCaseNumber"), "HorizonCaseNumber", "IngestionDate", "IngestionDate")
-    listed = {c: a for c, a in PROJECT_LISTS.items() if c in before.columns}
-    rest = [c for c in before.columns if c not in listed and c != "HorizonCaseNumber"]
-    lists = nested.collect_over(before, ["caseId", "IngestionDate"], listed)
+    sent = messages.withColumnRenamed("caseId", "HorizonCaseNumber")
+    before = lambda df: joins.without_from(df, sent, "HorizonCaseNumber", "IngestionDate", "IngestionDate")
+    listed = {c: a for c, a in PROJECT_LISTS.items() if c in legacy.columns}
+    lists = nested.collect_over(before(legacy), ["caseId", "IngestionDate"], listed)
     lists = lists.withColumnsRenamed({"caseId": "_case", "IngestionDate": "_load"})
     same = named("caseId").eqNullSafe(named("_case")) & named("IngestionDate").eqNullSafe(named("_load"))
-    folded = before.select(*as_columns(rest)).distinct().join(lists, same).drop("_case", "_load")
+    # Copies go before the rows meet the messages: a version comes as often as its lists have values.
+    versions = legacy.select(*as_columns([c for c in legacy.columns if c not in listed])).distinct()
+    folded = before(versions).drop("HorizonCaseNumber").distinct().join(lists, same).drop("_case", "_load")
     parsed = folded.withColumns(
         {
             c: text.quoted_json(named(c).cast("string"), nullable(messages.schema[c].dataType))
