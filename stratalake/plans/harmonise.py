@@ -82,13 +82,10 @@ def versions_of(
 def _union(messages: DataFrame, legacy: DataFrame) -> DataFrame:
     """Message rows and legacy rows in the columns of the message rows."""
     types = {f.name: nullable(f.dataType) for f in messages.schema.fields}
-    aligned = legacy.select(
-        *[
-            (named(c).try_cast(t) if c in legacy.columns else F.lit(None).cast(t)).alias(c)
-            for c, t in types.items()
-        ]
-    )
-    return messages.unionByName(aligned.distinct())
+    # Distinct over the columns there are: the others are null in every row, but each would widen the rows compared.
+    once = legacy.select(*[named(c).try_cast(t).alias(c) for c, t in types.items() if c in legacy.columns]).distinct()
+    aligned = once.select(*[named(c) if c in legacy.columns else F.lit(None).cast(t).alias(c) for c, t in types.items()])
+    return messages.unionByName(aligned)
 
 
 # --- messages ------------------------------------------------------------------------------------
@@ -484,15 +481,14 @@ def representations(messages: DataFrame, legacy: DataFrame, source_system: DataF
             "representedId": named("contactId").cast("string"),
             "representativeId": named("agentcontactid").cast("string"),
             "registerFor": named("RelRepOnBehalfOf"),
-            "Migrated": F.lit("0"),
-            "ODTSourceSystem": F.lit(LEGACY_SOURCE),
-            "RowID": F.lit(""),
         }
     ).withColumnsRenamed(REPRESENTATION_LEGACY)
     facts = source_system.select("SourceSystemID", "IngestionDate", "ValidTo", "IsActive")
-    dated = joins.attach_constants(rows.drop("ingested_datetime", *facts.columns), facts)
-    shaped = conform.project_padded(dated, [c for c in messages.columns if c in dated.columns]).distinct()
-    theirs = nested.collect_into(shaped, ["representationId"], "attachmentIds")
+    fixed = {"Migrated": F.lit("0"), "ODTSourceSystem": F.lit(LEGACY_SOURCE), "RowID": F.lit("")}
+    # What is the same in every row is put on the folded rows: it cannot tell rows apart.
+    own = [c for c in messages.columns if c in rows.columns and c not in ("ingested_datetime", *fixed, *facts.columns)]
+    folded = nested.collect_into(rows.select(*as_columns(own)).distinct(), ["representationId"], "attachmentIds")
+    theirs = joins.attach_constants(folded.withColumns(fixed), facts)
     rows = _union(messages.distinct(), theirs)
     return versions_of(rows, "representationId", "NSIPRepresentationID", REPRESENTATION_ROW_ID, messages)
 

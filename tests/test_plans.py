@@ -7,8 +7,8 @@ import re
 import pytest
 from pyspark.sql import functions as F
 
-from stratalake.operators import history, joins, latest, merge, ordered
-from stratalake.plans import registry
+from stratalake.operators import history, joins, latest, merge, nested, ordered
+from stratalake.plans import harmonise, queries_jobs, registry
 from stratalake.session import materialise
 from tests.conftest import plan
 
@@ -108,3 +108,35 @@ def test_a_later_load_moves_the_source_once(t, monkeypatch):
     monkeypatch.setattr(history, "materialise", lambda df, name: (moved.append(plan(df).count("Exchange hashpartitioning")), whole(df, name))[1])
     history.incremental_history(first, table, *args, state=state)
     assert moved[0] <= 2 and sum(moved) <= 4
+
+
+def _handed(monkeypatch, module, name):
+    """What a step hands to an operator, call by call."""
+    frames, whole = [], getattr(module, name)
+    monkeypatch.setattr(module, name, lambda df, *args: (frames.append(df), whole(df, *args))[1])
+    return frames
+
+
+def test_project_copies_go_before_the_rows_meet_the_messages(spark, monkeypatch):
+    frames = _handed(monkeypatch, joins, "without_from")
+    row = "1L caseId, 1L HorizonCaseNumber, 'a' stage, 'Horizon' ODTSourceSystem, '' RowID, timestamp'2024-01-01' IngestionDate, string(null) ValidTo, '7' SourceSystemID"
+    legacy = spark.range(40).selectExpr("string(id % 20) region", *row.split(", "))
+    messages = spark.sql(f"SELECT bigint(null) NSIPProjectInfoInternalID, array('sent') regions, {row}").drop("HorizonCaseNumber").withColumn("caseId", F.lit(2).cast("long"))
+    out = harmonise.projects(messages, legacy)
+    assert [df.count() for df in frames if "region" not in df.columns] == [1]
+    assert sorted((r["caseId"], len(r["regions"])) for r in out.collect()) == [(1, 40), (2, 1)]
+
+
+def test_legacy_rows_are_compared_by_the_columns_they_have(spark):
+    messages = spark.sql("SELECT 1L a, 'x' b, " + ", ".join(f"string(null) n{i}" for i in range(30)))
+    legacy = spark.range(6).selectExpr("id % 3 a", "'y' b")
+    out = harmonise._union(messages, legacy)
+    assert out.count() == 4 and out.columns == messages.columns
+    assert not re.search(r"HashAggregate\(keys=\[[^]]*null|HashAggregate\(keys=\[[^]]*n\d+#", plan(out))
+
+
+def test_representations_are_folded_without_what_is_the_same_in_all(t, monkeypatch):
+    frames = _handed(monkeypatch, nested, "collect_into")
+    out = queries_jobs._representations(t)
+    assert not {"ODTSourceSystem", "Migrated", "RowID", "SourceSystemID", "IngestionDate", "ValidTo", "IsActive"} & set(frames[0].columns)
+    assert {r[0] for r in out.filter("ODTSourceSystem = 'Horizon'").select("Migrated").distinct().collect()} <= {"0", "1"} and out.filter("SourceSystemID IS NULL").isEmpty()
